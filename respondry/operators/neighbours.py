@@ -1,41 +1,51 @@
 """Exact k nearest neighbours inside each class, as Spark jobs.
 
-Rows are grouped into cells around sampled points, every row to its nearest one. A row first meets
-its own cell, which bounds how far its k-th neighbour can be; the triangle inequality then rules
-out most other cells, and only the remaining ones are visited. Nothing is approximated: a cell is
-skipped only when it provably holds no neighbour.
+Rows are put into cells around sampled centres, and neighbouring cells into blocks that fit a task.
+A row first searches its own block, which bounds how far its k-th neighbour can be. The triangle
+inequality then rules out other blocks, and only the remaining ones are visited. Nothing is
+approximated: a cell is skipped only when it provably holds no neighbour.
 
 Skew: equal vectors are reduced to their k + 1 smallest keys first (no other copy can be among
-anyone's neighbours), sampled points follow the density of the distinct vectors, and a cell or a
-set of visitors that is still too large is cut into chunks. A task holds at most one chunk of each.
+anyone's neighbours); centres are sampled from the distinct vectors and so follow their density;
+a cell above the block size is cut by key hash; and the queries of a block are dealt to as many
+tasks as they need. A task holds one block and one share of queries, whatever the data looks like.
+
+Cost: rows times visited cells. Vectors with few effective dimensions, or many rows relative to
+their spread, leave few cells open; spread-out high-dimensional vectors leave many, and then exact
+search is quadratic by nature. The shuffle grows with visited *blocks*, not cells or pairs.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from respondry.functions.hashing import cut_point, hash_unit
 from respondry.sources.workspace import written
 
-ROWS_PER_CELL = 4096
-CHUNK_ROWS = 16_384
+ROWS_PER_CELL = 2048
+BLOCK_BYTES = 96 * 2**20
+QUERY_ROWS = 8192
 CENTRE_BYTES = 64 * 2**20
-SLICE_CELLS = 2_000_000
+SLICE_ENTRIES = 1_000_000
+PAIR_ENTRIES = 8_000_000
 SLACK = 1e-6
 
 
+# --- inside a task -------------------------------------------------------------------------
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """List column -> (rows, dimensions) matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if len(column) == 0:
-        return np.empty((0, 0))
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
@@ -47,35 +57,97 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _rounding(a: np.ndarray, b: np.ndarray) -> float:
     """Bound on the rounding error of :func:`_squared`."""
-    return 1e-12 * float((a * a).sum(1).max(initial=0.0) + (b * b).sum(1).max(initial=0.0))
+    return 4e-12 * float((a * a).sum(1).max(initial=0.0) + (b * b).sum(1).max(initial=0.0))
 
 
-def k_smallest(queries: np.ndarray, data: np.ndarray, keys: np.ndarray, k: int):
-    """``(query row, key, squared distance)`` of the k nearest data rows of every query.
+def _exact(queries: np.ndarray, data: np.ndarray, rows: np.ndarray, cols: np.ndarray):
+    """Squared distances of the given pairs, entry by entry.
 
-    The matrix product only shortlists; distances are then taken entry by entry, so they do not
-    depend on how rows were grouped, and ties go to the smaller key.
+    The value depends on the two rows alone, not on how rows were grouped into tasks.
     """
-    parts = []
-    step = max(1, SLICE_CELLS // max(1, len(data)))
-    for start in range(0, len(queries), step):
-        q = queries[start:start + step]
-        rough = _squared(q, data)
-        if len(data) > k:
-            reach = np.partition(rough, k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero(rough <= (reach + 4 * _rounding(q, data))[:, None])
-        else:
-            rows, cols = np.nonzero(np.ones_like(rough, dtype=bool))
-        gap = q[rows] - data[cols]
-        d2 = np.einsum("ij,ij->i", gap, gap)
-        order = np.lexsort((keys[cols], d2, rows))
-        rows, cols, d2 = rows[order], cols[order], d2[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        kept = place < k
-        parts.append((rows[kept] + start, keys[cols[kept]], d2[kept]))
-    if not parts:
-        return np.empty(0, int), keys[:0], np.empty(0)
-    return tuple(np.concatenate(column) for column in zip(*parts))
+    d2 = np.empty(len(rows))
+    step = max(1, PAIR_ENTRIES // max(1, queries.shape[1]))
+    for s in range(0, len(rows), step):
+        gap = queries[rows[s:s + step]] - data[cols[s:s + step]]
+        d2[s:s + step] = np.einsum("ij,ij->i", gap, gap)
+    return d2
+
+
+def _shortlist(queries: np.ndarray, data: np.ndarray, reach: np.ndarray, k: int):
+    """Pairs that can be among the k best: within reach, and no worse than the k-th best here.
+
+    ``closeness`` is ``q.x - |x|^2 / 2``, so a squared distance is ``|q|^2 - 2 * closeness``; it
+    takes one matrix product and one comparison per pair.
+    """
+    ones = np.ones((len(queries), 1))
+    halves = (data * data).sum(1)[:, None] / -2
+    closeness = np.hstack([queries, ones]) @ np.hstack([data, halves]).T
+    allowance = _rounding(queries, data)
+    least = ((queries * queries).sum(1) - reach * reach - allowance) / 2
+    near = closeness >= least[:, None]
+    if len(data) > k and np.count_nonzero(near) > 4 * k * len(queries):
+        kth = np.partition(closeness, len(data) - k, axis=1)[:, len(data) - k]
+        near &= closeness >= (kth - allowance)[:, None]
+    return np.nonzero(near)
+
+
+def _first_k(rows: np.ndarray, keys: np.ndarray, d2: np.ndarray, k: int):
+    """The k best pairs of every query row, by distance, then key; sorted."""
+    order = np.lexsort((keys, d2, rows))
+    rows, keys, d2 = rows[order], keys[order], d2[order]
+    kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+    return rows[kept], keys[kept], d2[kept]
+
+
+def search_block(queries, reach, data, keys, cells, geometry, k: int):
+    """``(query row, key, squared distance)``: the k best of a block for every query.
+
+    ``reach`` is an upper bound on each query's k-th distance. Cells are searched nearest first
+    and the bound shrinks on the way, so later cells are often skipped.
+    """
+    order = np.argsort(cells, kind="stable")
+    data, keys, cells = data[order], keys[order], cells[order]
+    present, starts = np.unique(cells, return_index=True)
+    ends = np.append(starts[1:], len(cells))
+    centres, low, high = geometry(present)
+    distance = np.sqrt(_squared(queries, centres))
+    bound = np.maximum(distance - high, low - distance)
+    slack = SLACK * (1.0 + distance.max(initial=0.0))
+    reach = reach.copy()
+    rows, found, d2 = np.empty(0, np.int64), keys[:0], np.empty(0)
+    for c in np.argsort(distance.mean(0), kind="stable"):
+        asking = np.flatnonzero(bound[:, c] <= reach + slack)
+        residents = slice(starts[c], ends[c])
+        step = max(1, SLICE_ENTRIES // (ends[c] - starts[c]))
+        for s in range(0, len(asking), step):
+            some = asking[s:s + step]
+            pair_rows, cols = _shortlist(queries[some], data[residents], reach[some], k)
+            fresh = _exact(queries[some], data[residents], pair_rows, cols)
+            rows = np.concatenate([rows, some[pair_rows]])
+            found = np.concatenate([found, keys[residents][cols]])
+            d2 = np.concatenate([d2, fresh])
+        rows, found, d2 = _first_k(rows, found, d2, k)
+        full = np.flatnonzero(np.bincount(rows, minlength=len(queries)) == k)
+        last = np.searchsorted(rows, full, side="right") - 1
+        reach[full] = np.minimum(reach[full], np.sqrt(d2[last]))
+    return rows, found, d2
+
+
+# --- layout of cells and blocks ------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class ClassLayout:
+    """Cells of one class. A few numbers per cell, at most CENTRE_BYTES of centres."""
+
+    first: int
+    centres: np.ndarray
+    sampled: bool
+    low: np.ndarray
+    high: np.ndarray
+    pair_cells: np.ndarray
+    pair_starts: np.ndarray
+    blocks: np.ndarray
 
 
 def centres_for(rows: int, dimensions: int) -> int:
@@ -84,53 +156,98 @@ def centres_for(rows: int, dimensions: int) -> int:
     return max(1, min(wanted, CENTRE_BYTES // (8 * max(1, dimensions))))
 
 
-def _sample_centres(distinct: DataFrame, cls: str, key: str, dimensions: int):
-    """Centres per class: ``{class: (first cell number, matrix)}``, a hash sample of the rows."""
+def _sample_centres(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dict:
+    """``{class: centres}``, a key-hash sample of the distinct rows."""
     sizes = {r[cls]: r["count"] for r in distinct.groupBy(cls).count().collect()}
     chance = F.lit(0)
     for value, rows in sizes.items():
         wanted = centres_for(rows, dimensions)
         share = 0.0 if wanted == 1 else min(1.0, wanted / rows)
         chance = F.when(F.col(cls) == value, cut_point(share)).otherwise(chance)
-    # the share per class bounds what is collected: CENTRE_BYTES per class
-    sample = (
-        distinct.filter(hash_unit(F.col(key), ":centre:") < chance)
-        .select(cls, key, "vec")
-        .collect()
-    )
-    centres, first = {}, 0
-    for value in sorted(sizes):
-        rows = sorted((r[key], r["vec"]) for r in sample if r[cls] == value)
-        # any point will do as a centre, so a class without a sampled row takes the origin
-        matrix = np.array([v for _, v in rows]) if rows else np.zeros((1, dimensions))
-        centres[value] = (first, matrix, bool(rows))
-        first += len(matrix)
-    return centres
+    # the share bounds what is collected: CENTRE_BYTES per class
+    sample = distinct.filter(hash_unit(F.col(key), ":centre:") < chance).select(cls, key, "vec")
+    centres = {value: [] for value in sorted(sizes)}
+    for r in sample.collect():
+        centres[r[cls]].append((r[key], r["vec"]))
+    return {value: np.array([v for _, v in sorted(rows)]) for value, rows in centres.items()}
+
+
+def _group_cells(centres: np.ndarray, rows: np.ndarray, limit: int) -> list[np.ndarray]:
+    """Sets of nearby cells with at most ``limit`` rows each (a larger cell stands alone)."""
+    groups, open_sets = [], [np.arange(len(centres))]
+    while open_sets:
+        cells = open_sets.pop()
+        if len(cells) == 1 or rows[cells].sum() <= limit:
+            groups.append(cells)
+            continue
+        widest = centres[cells].var(0).argmax()
+        cells = cells[np.argsort(centres[cells, widest], kind="stable")]
+        filled = np.cumsum(rows[cells])
+        half = int(np.clip(np.searchsorted(filled, filled[-1] / 2), 1, len(cells) - 1))
+        open_sets += [cells[:half], cells[half:]]
+    return groups
+
+
+def _lay_out(centres: dict, facts: list, dimensions: int):
+    """Layouts per class, and ``(cell, first_block, pieces, shares)`` for every cell."""
+    limit = max(QUERY_ROWS, BLOCK_BYTES // (8 * dimensions))
+    total = sum(max(1, len(m)) for m in centres.values())
+    low, high = np.full(total, np.inf), np.full(total, -np.inf)
+    rows = np.zeros(total, np.int64)
+    for r in facts:
+        low[r["cell"]], high[r["cell"]], rows[r["cell"]] = r["low"], r["high"], r["rows"]
+    layouts, table, first, block = {}, [], 0, 0
+    for value, matrix in centres.items():
+        sampled = len(matrix) > 0
+        # any point will do as a centre: a class without a sampled row takes the origin
+        matrix = matrix if sampled else np.zeros((1, dimensions))
+        last = first + len(matrix)
+        pairs = []
+        for cells in _group_cells(matrix, rows[first:last], limit):
+            held = int(rows[first + cells].sum())
+            pieces = max(1, -(-held // limit)) if len(cells) == 1 else 1
+            shares = max(1, -(-held // (pieces * QUERY_ROWS)))
+            table += [(int(first + c), block, pieces, shares) for c in cells]
+            pairs += [(block + p, c) for p in range(pieces) for c in cells]
+            block += pieces
+        blocks, starts = np.unique([b for b, _ in pairs], return_index=True)
+        layouts[value] = ClassLayout(
+            first, matrix, sampled, low[first:last], high[first:last],
+            np.array([c for _, c in pairs]), starts, blocks,
+        )
+        first = last
+    return layouts, table
+
+
+# --- Spark steps ---------------------------------------------------------------------------
 
 
-def _assign_cells(points: DataFrame, cls: str, centres) -> DataFrame:
+def _assign_cells(points: DataFrame, cls: str, centres: dict, dimensions: int) -> DataFrame:
     """Add ``cell`` (nearest centre of the row's class) and ``to_centre`` (distance)."""
-    shared = points.sparkSession.sparkContext.broadcast(centres)
-    schema = T.StructType(
-        [*points.schema.fields, T.StructField("cell", T.IntegerType()),
-         T.StructField("to_centre", T.DoubleType())]
-    )
+    numbered, first = {}, 0
+    for value, matrix in centres.items():
+        matrix = matrix if len(matrix) else np.zeros((1, dimensions))
+        numbered[value] = (first, matrix)
+        first += len(matrix)
+    shared = points.sparkSession.sparkContext.broadcast(numbered)
+    schema = T.StructType([
+        *points.schema.fields, T.StructField("cell", T.IntegerType()),
+        T.StructField("to_centre", T.DoubleType()),
+    ])
 
     def assign(batches):
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
             classes = np.array(batch.column(cls).to_pylist())
-            cell = np.zeros(len(classes), np.int32)
-            distance = np.zeros(len(classes))
-            for value in set(classes.tolist()):
-                first, matrix, _ = shared.value[value]
+            cell, distance = np.zeros(len(classes), np.int32), np.zeros(len(classes))
+            for value in np.unique(classes).tolist():
+                start, matrix = shared.value[value]
                 mine = np.flatnonzero(classes == value)
-                step = max(1, SLICE_CELLS // len(matrix))
+                step = max(1, SLICE_ENTRIES // len(matrix))
                 for s in range(0, len(mine), step):
                     rows = mine[s:s + step]
-                    d2 = _squared(vectors[rows], matrix)
-                    near = d2.argmin(1)
-                    cell[rows] = first + near
+                    near = _squared(vectors[rows], matrix).argmin(1)
+                    cell[rows] = start + near
                     distance[rows] = np.sqrt(((vectors[rows] - matrix[near]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell), pa.array(distance)],
@@ -140,120 +257,108 @@ def _assign_cells(points: DataFrame, cls: str, centres) -> DataFrame:
     return points.mapInArrow(assign, schema)
 
 
-def _meet_own_cell(cells: DataFrame, cls: str, key: str, k: int) -> DataFrame:
-    """Every distinct row against its own chunk: ``near`` = the k best there, nearest first."""
-    near = T.ArrayType(T.StructType([
-        T.StructField("d2", T.DoubleType()), T.StructField("key", cells.schema[key].dataType),
-    ]))
-    schema = T.StructType([
-        T.StructField("q", cells.schema[key].dataType), cells.schema[cls],
-        T.StructField("vec", T.ArrayType(T.DoubleType())),
-        T.StructField("cell", T.IntegerType()), T.StructField("chunk", T.IntegerType()),
-        T.StructField("near", near),
+def _search(queries: DataFrame, residents: DataFrame, layouts, key: str, k: int, carry: list[str]):
+    """Every (block, share): its queries against its residents.
+
+    Returns the ``carry`` columns of each query and ``near``, its k best, nearest first.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast(layouts)
+    pair = T.StructType([
+        T.StructField("d2", T.DoubleType()), T.StructField("key", residents.schema[key].dataType),
     ])
-    target = T.StructType(schema.fields)
-
-    def meet(table: pa.Table) -> pa.Table:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        out = to_arrow_schema(target)
-        vectors = _matrix(table.column("vec"))
-        keys = table.column(key).to_numpy()
-        asking = np.flatnonzero(table.column("copy_no").to_numpy() == 1)
-        rows, found, d2 = k_smallest(vectors[asking], vectors, keys, k)
-        sizes = np.bincount(rows, minlength=len(asking))
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    schema = T.StructType(
+        [*[queries.schema[c] for c in carry], T.StructField("near", T.ArrayType(pair))]
+    )
+    target = to_arrow_schema(schema)
+
+    def geometry(cells):
+        by_first = sorted(shared.value.values(), key=lambda layout: layout.first)
+        firsts = np.array([layout.first for layout in by_first])
+        owner = by_first[np.searchsorted(firsts, cells[0], side="right") - 1]
+        local = cells - owner.first
+        return owner.centres[local], owner.low[local], owner.high[local]
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return target.empty_table()
+        rows, found, d2 = search_block(
+            _matrix(left.column("vec")), left.column("reach").to_numpy(),
+            _matrix(right.column("vec")), right.column(key).to_numpy(),
+            right.column("cell").to_numpy(), geometry, k,
+        )
+        counts = np.bincount(rows, minlength=left.num_rows)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         pairs = pa.StructArray.from_arrays(
-            [pa.array(d2), pa.array(found, type=table.schema.field(key).type)], ["d2", "key"]
+            [pa.array(d2), pa.array(found, right.schema.field(key).type)], ["d2", "key"]
         )
-        some = table.take(pa.array(asking))
+        near = pa.ListArray.from_arrays(pa.array(offsets), pairs)
         return pa.Table.from_arrays(
-            [
-                some.column(key), some.column(cls), some.column("vec"), some.column("cell"),
-                some.column("chunk"), pa.ListArray.from_arrays(pa.array(offsets), pairs),
-            ],
-            names=out.names,
-        ).cast(out)
+            [*[left.column(c) for c in carry], near], names=[*carry, "near"]
+        ).cast(target)
 
-    return cells.groupBy("cell", "chunk").applyInArrow(meet, schema)
+    return (
+        queries.groupBy("block", "share")
+        .cogroup(residents.groupBy("block", "share"))
+        .applyInArrow(meet, schema)
+    )
 
 
-def _add_targets(asked: DataFrame, cls: str, k: int, centres, shape) -> DataFrame:
-    """Add ``targets``: the cells that may still hold a neighbour closer than the k best known."""
-    shared = asked.sparkSession.sparkContext.broadcast((centres, shape))
-    schema = T.StructType(
-        [*asked.schema.fields, T.StructField("targets", T.ArrayType(T.IntegerType()))]
-    )
+def _add_targets(searched: DataFrame, cls: str, k: int, layouts) -> DataFrame:
+    """Add ``reach`` (bound on the k-th distance) and ``targets``, the blocks it leaves open."""
+    shared = searched.sparkSession.sparkContext.broadcast(layouts)
+    schema = T.StructType([
+        *searched.schema.fields, T.StructField("reach", T.DoubleType()),
+        T.StructField("targets", T.ArrayType(T.IntegerType())),
+    ])
 
     def add(batches):
-        all_centres, (nearest, farthest, chunks) = shared.value
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
             classes = np.array(batch.column(cls).to_pylist())
-            own = batch.column("cell").to_numpy()
+            own_cell, own_block = (batch.column(c).to_numpy() for c in ("cell", "block"))
             near = batch.column("near")
-            sizes = np.diff(near.offsets.to_numpy())
-            d2 = near.values.field("d2").to_numpy()
-            known = np.full(len(sizes), np.inf)
-            full = sizes >= k
-            known[full] = np.sqrt(d2[near.offsets.to_numpy()[1:][full] - 1])
-            targets: list = [None] * len(sizes)
-            for value in set(classes.tolist()):
-                first, matrix, real = all_centres[value]
-                last = first + len(matrix)
-                low, high = nearest[first:last], farthest[first:last]
+            offsets = near.offsets.to_numpy()
+            full = np.diff(offsets) >= k
+            reach = np.full(batch.num_rows, np.inf)
+            reach[full] = np.sqrt(near.values.field("d2").to_numpy()[offsets[1:][full] - 1])
+            targets: list = [None] * batch.num_rows
+            for value in np.unique(classes).tolist():
+                layout = shared.value[value]
                 mine = np.flatnonzero(classes == value)
-                step = max(1, SLICE_CELLS // len(matrix))
+                step = max(1, SLICE_ENTRIES // len(layout.centres))
                 for s in range(0, len(mine), step):
                     rows = mine[s:s + step]
-                    d = np.sqrt(_squared(vectors[rows], matrix))
-                    reach = known[rows]
-                    if real and len(matrix) >= k:
-                        # the centres are rows themselves, so k of them bound the distance too
-                        reach = np.minimum(reach, np.partition(d, k - 1, axis=1)[:, k - 1])
-                    slack = SLACK * (1.0 + d.max(initial=0.0))
-                    home = d[np.arange(len(rows)), own[rows] - first]
-                    bound = np.maximum(d - high[None, :], low[None, :] - d)
+                    d = np.sqrt(_squared(vectors[rows], layout.centres))
+                    if layout.sampled and len(layout.centres) >= k:
+                        # centres are rows themselves, so the k-th nearest one is a bound too
+                        kth = np.partition(d, k - 1, axis=1)[:, k - 1]
+                        reach[rows] = np.minimum(reach[rows], kth * (1 + SLACK) + SLACK)
+                    home = d[np.arange(len(rows)), own_cell[rows] - layout.first]
+                    bound = np.maximum(d - layout.high, layout.low - d)
                     bound = np.maximum(bound, (d - home[:, None]) / 2)
-                    open_cells = bound <= reach[:, None] + slack
-                    open_cells &= np.isfinite(high)[None, :]
-                    single = chunks[own[rows]] <= 1
-                    open_cells[single, own[rows][single] - first] = False
-                    for row, cell_flags in zip(rows, open_cells):
-                        targets[row] = (np.flatnonzero(cell_flags) + first).astype(np.int32)
+                    slack = SLACK * (1.0 + d.max(initial=0.0))
+                    open_cells = bound <= reach[rows][:, None] + slack
+                    open_cells &= np.isfinite(layout.high)
+                    open_blocks = np.logical_or.reduceat(
+                        open_cells[:, layout.pair_cells], layout.pair_starts, axis=1
+                    )
+                    for row, flags in zip(rows, open_blocks):
+                        blocks = layout.blocks[flags]
+                        targets[row] = blocks[blocks != own_block[row]].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(targets, type=pa.list_(pa.int32()))],
-                names=[*batch.schema.names, "targets"],
+                [*batch.columns, pa.array(reach), pa.array(targets, pa.list_(pa.int32()))],
+                names=[*batch.schema.names, "reach", "targets"],
             )
 
-    return asked.mapInArrow(add, schema)
-
+    return searched.mapInArrow(add, schema)
 
-def _meet_targets(visits: DataFrame, residents: DataFrame, key: str, k: int) -> DataFrame:
-    """Visiting queries against the residents of a chunk: ``(q, d2, key)``, k best per visit."""
-    key_type = residents.schema[key].dataType
-    schema = T.StructType([
-        T.StructField("q", key_type), T.StructField("d2", T.DoubleType()),
-        T.StructField("key", key_type),
-    ])
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        arrow_key = right.schema.field(key).type if right.num_rows else left.schema.field("q").type
-        if not left.num_rows or not right.num_rows:
-            q, d2, found = [], [], []
-        else:
-            rows, found, d2 = k_smallest(
-                _matrix(left.column("vec")), _matrix(right.column("vec")),
-                right.column(key).to_numpy(), k,
-            )
-            q = left.column("q").to_numpy()[rows]
-        return pa.Table.from_arrays(
-            [pa.array(q, arrow_key), pa.array(d2, pa.float64()), pa.array(found, arrow_key)],
-            names=["q", "d2", "key"],
-        )
 
-    group = ["cell", "chunk", "block"]
-    return visits.groupBy(*group).cogroup(residents.groupBy(*group)).applyInArrow(meet, schema)
+def _for_each_share(df: DataFrame, shares: DataFrame) -> DataFrame:
+    """Residents once per share of the queries that visit their block."""
+    numbers = F.sequence(F.lit(0), F.col("shares") - 1)
+    dealt = df.join(F.broadcast(shares), "block").withColumn("share", F.explode(numbers))
+    # fresh columns: the queries on the other side come from the same table
+    return dealt.select(*[F.col(c).alias(c) for c in dealt.columns])
 
 
 def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFrame:
@@ -264,7 +369,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     ``near`` = array of ``(d2, key, vec)`` ordered by distance, then key. A row finds its own
     ``k`` neighbours by dropping itself from the list of its vector.
     """
-    wanted = k + 1
+    spark, wanted = points.sparkSession, k + 1
     dimensions = points.select(F.size("vec").alias("d")).first()["d"]
     copies = Window.partitionBy(cls, "vec_hash", "vec").orderBy(key)
     candidates = written(
@@ -275,54 +380,47 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     )
     distinct = candidates.filter("copy_no = 1")
     centres = _sample_centres(distinct, cls, key, dimensions)
-    placed = written(_assign_cells(candidates, cls, centres), "cells")
-
-    # one row per cell, and the number of cells is bounded by CENTRE_BYTES
+    placed = written(_assign_cells(candidates, cls, centres, dimensions), "cells")
     facts = placed.groupBy("cell").agg(
-        F.count("*").alias("rows"), F.min("to_centre").alias("low"), F.max("to_centre").alias("high")
+        F.count("*").alias("rows"), F.min("to_centre").alias("low"),
+        F.max("to_centre").alias("high"),
     )
-    cells_total = sum(len(matrix) for _, matrix, _ in centres.values())
-    low, high = np.full(cells_total, np.inf), np.full(cells_total, np.inf)
-    chunks = np.zeros(cells_total, np.int64)
-    for r in facts.collect():
-        low[r["cell"]], high[r["cell"]] = r["low"], r["high"]
-        chunks[r["cell"]] = -(-r["rows"] // CHUNK_ROWS)
-    chunk_table = facts.select("cell", F.ceil(F.col("rows") / CHUNK_ROWS).alias("chunks"))
-    chunked = placed.join(F.broadcast(chunk_table), "cell").withColumn(
-        "chunk", F.pmod(F.xxhash64(key), "chunks").cast("int")
+    # one row per cell
+    layouts, table = _lay_out(centres, facts.collect(), dimensions)
+    homes = spark.createDataFrame(table, "cell int, first_block int, pieces int, shares int")
+    homed = placed.join(F.broadcast(homes), "cell").withColumn(
+        "block", (F.col("first_block") + F.pmod(F.xxhash64(key), "pieces")).cast("int")
     )
-
-    asked = written(
-        _add_targets(
-            _meet_own_cell(chunked, cls, key, wanted), cls, wanted, centres, (low, high, chunks)
-        ),
-        "queries",
+    residents = homed.select("block", key, "vec", "cell")
+    queries = homed.filter("copy_no = 1").select(
+        F.col(key).alias("q"), cls, "vec", "cell", "block",
+        F.pmod(F.xxhash64(key), "shares").cast("int").alias("share"),
+        F.lit(math.inf).alias("reach"),
+    )
+    own_shares = homes.select(
+        F.explode(F.sequence("first_block", F.col("first_block") + F.col("pieces") - 1))
+        .alias("block"), "shares",
+    ).distinct()
+    searched = _search(
+        queries, _for_each_share(residents, own_shares), layouts, key, wanted,
+        ["q", cls, "vec", "cell", "block"],
     )
+    asked = written(_add_targets(searched, cls, wanted, layouts), "queries")
     found = asked.select("q", F.inline("near"))
 
-    visits = asked.select(
-        "q", "vec", F.col("cell").alias("own_cell"), F.col("chunk").alias("own_chunk"),
-        F.explode("targets").alias("cell"),
-    )
-    visitors = visits.groupBy("cell").count()
+    visits = asked.select("q", "vec", "reach", F.explode("targets").alias("block"))
+    visitors = visits.groupBy("block").count()
     if not visitors.isEmpty():
-        blocks = chunk_table.join(F.broadcast(visitors), "cell").select(
-            "cell", "chunks", F.ceil(F.col("count") / CHUNK_ROWS).alias("blocks")
+        shares = visitors.select(
+            "block", F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("shares")
         )
-        steps = F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int"))
-        calls = (
-            visits.join(F.broadcast(blocks), "cell")
-            .withColumn("block", F.pmod(F.xxhash64("q"), "blocks").cast("int"))
-            .withColumn("chunk", F.explode(steps))
-            .filter((F.col("cell") != F.col("own_cell")) | (F.col("chunk") != F.col("own_chunk")))
-            .select("cell", "chunk", "block", "q", "vec")
+        calls = visits.join(F.broadcast(shares), "block").withColumn(
+            "share", F.pmod(F.xxhash64("q"), "shares").cast("int")
         )
-        residents = (
-            chunked.drop("chunks").join(F.broadcast(blocks), "cell")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-            .select("cell", "chunk", "block", key, "vec")
+        more = _search(
+            calls, _for_each_share(residents, shares), layouts, key, wanted, ["q"]
         )
-        found = found.unionByName(_meet_targets(calls, residents, key, wanted))
+        found = found.unionByName(more.select("q", F.inline("near")))
 
     best = Window.partitionBy("q").orderBy("d2", "key")
     kept = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= wanted)

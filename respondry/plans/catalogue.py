@@ -184,7 +184,7 @@ def feature_table(spark, sf_dir):
     size = F.size(vector_to_array("features"))
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
     return prepared.features.select(
-        KEY, "split", size.alias("slots"), F.round(total, 6).alias("total"), "label"
+        KEY, "split", size.alias("slots"), F.round(total, 3).alias("total"), "label"
     )
 
 

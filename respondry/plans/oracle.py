@@ -453,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
         "feature_table": with_contacts(
             *FEATURES,
             f"SELECT contact_id, {SPLIT} AS split, "
-            "CAST((SELECT slots FROM width) + 9 AS INT) AS slots, round(total, 6) AS total, "
+            "CAST((SELECT slots FROM width) + 9 AS INT) AS slots, round(total, 3) AS total, "
             "CAST(y = 'yes' AS DOUBLE) AS label FROM cleaned JOIN "
             "(SELECT contact_id, sum(value) AS total FROM entries GROUP BY contact_id) "
             "USING (contact_id)",

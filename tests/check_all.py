@@ -13,7 +13,7 @@ from tests.compare import difference, duck, duck_result, spark_result
 
 def main(sf_dir: str, names: list[str]) -> int:
     spark = session(
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
            "spark.driver.memory": "12g", "spark.master": "local[8]"}
     )
     spark.sparkContext.setLogLevel("ERROR")
