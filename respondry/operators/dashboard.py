@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from respondry.functions import fixed_values as fv
 from respondry.operators.risk import score_ranks
+from respondry.sources.workspace import written
 
 LIST_COLUMNS = (
     "overall_risk_level", "churn_risk", "credit_risk", "composite_risk_score",
@@ -20,15 +21,16 @@ def top_at_risk(
     """Customers with rank <= ``size``; ties at the limit all stay.
 
     The rank table has one row per distinct score, so the filter runs on it and the customers are
-    picked by a broadcast join. A huge tie at the top stays spread over all tasks.
+    picked by a broadcast join. A huge tie at the top stays spread over all tasks. The list is
+    written before it is sorted: sorting samples its input first, and would score everyone twice.
     """
     leading = score_ranks(assessed).filter(F.col("risk_priority_rank") <= size)
-    return (
+    listed = (
         assessed.select(key, *LIST_COLUMNS)
         .join(F.broadcast(leading), "composite_risk_score")
         .select(key, *LIST_COLUMNS, "risk_priority_rank")
-        .orderBy("risk_priority_rank", key)
     )
+    return written(listed, "top-at-risk").orderBy("risk_priority_rank", key)
 
 
 def top_by_score(
