@@ -20,15 +20,19 @@ def top_at_risk(
 ) -> DataFrame:
     """Customers with rank <= ``size``; ties at the limit all stay.
 
-    The rank table has one row per distinct score, so the filter runs on it and the customers are
+    A stored rank column is filtered directly. Otherwise the rank table has one row per distinct score, so the filter runs on it and the customers are
     picked by a broadcast join. A huge tie at the top stays spread over all tasks. The list is
     written before it is sorted: sorting samples its input first, and would score everyone twice.
     """
+    columns = [key, *LIST_COLUMNS, "risk_priority_rank"]
+    if "risk_priority_rank" in assessed.columns:
+        ranked = assessed.filter(F.col("risk_priority_rank") <= size)
+        return ranked.select(columns).orderBy("risk_priority_rank", key)
     leading = score_ranks(assessed).filter(F.col("risk_priority_rank") <= size)
     listed = (
         assessed.select(key, *LIST_COLUMNS)
         .join(F.broadcast(leading), "composite_risk_score")
-        .select(key, *LIST_COLUMNS, "risk_priority_rank")
+        .select(columns)
     )
     return written(listed, "top-at-risk").orderBy("risk_priority_rank", key)
 

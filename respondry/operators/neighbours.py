@@ -33,6 +33,7 @@ from respondry.sources.workspace import written
 ROWS_PER_CELL = 2048
 BLOCK_BYTES = 96 * 2**20
 QUERY_ROWS = 8192
+FEWEST_QUERIES = 1024
 CENTRE_BYTES = 64 * 2**20
 SLICE_ENTRIES = 1_000_000
 PAIR_ENTRIES = 8_000_000
@@ -188,7 +189,12 @@ def _group_cells(centres: np.ndarray, rows: np.ndarray, limit: int) -> list[np.n
     return groups
 
 
-def _lay_out(centres: dict, facts: list, dimensions: int):
+def _share_rows(rows: int, cores: int) -> int:
+    """Queries per task: at most QUERY_ROWS, fewer when that would leave cores idle."""
+    return min(QUERY_ROWS, max(FEWEST_QUERIES, rows // cores))
+
+
+def _lay_out(centres: dict, facts: list, dimensions: int, cores: int):
     """Layouts per class, and ``(cell, first_block, pieces, shares)`` for every cell."""
     limit = max(QUERY_ROWS, BLOCK_BYTES // (8 * dimensions))
     total = sum(max(1, len(m)) for m in centres.values())
@@ -196,6 +202,7 @@ def _lay_out(centres: dict, facts: list, dimensions: int):
     rows = np.zeros(total, np.int64)
     for r in facts:
         low[r["cell"]], high[r["cell"]], rows[r["cell"]] = r["low"], r["high"], r["rows"]
+    share_rows = _share_rows(int(rows.sum()), cores)
     layouts, table, first, block = {}, [], 0, 0
     for value, matrix in centres.items():
         sampled = len(matrix) > 0
@@ -206,7 +213,7 @@ def _lay_out(centres: dict, facts: list, dimensions: int):
         for cells in _group_cells(matrix, rows[first:last], limit):
             held = int(rows[first + cells].sum())
             pieces = max(1, -(-held // limit)) if len(cells) == 1 else 1
-            shares = max(1, -(-held // (pieces * QUERY_ROWS)))
+            shares = max(1, -(-held // (pieces * share_rows)))
             table += [(int(first + c), block, pieces, shares) for c in cells]
             pairs += [(block + p, c) for p in range(pieces) for c in cells]
             block += pieces
@@ -386,7 +393,8 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
         F.max("to_centre").alias("high"),
     )
     # one row per cell
-    layouts, table = _lay_out(centres, facts.collect(), dimensions)
+    cores = spark.sparkContext.defaultParallelism
+    layouts, table = _lay_out(centres, facts.collect(), dimensions, cores)
     homes = spark.createDataFrame(table, "cell int, first_block int, pieces int, shares int")
     homed = placed.join(F.broadcast(homes), "cell").withColumn(
         "block", (F.col("first_block") + F.pmod(F.xxhash64(key), "pieces")).cast("int")

@@ -478,6 +478,14 @@ def risk_marginals(spark, sf_dir):
     return risk.risk_marginals(_assessed(spark, sf_dir))
 
 
+@query
+def risk_table(spark, sf_dir):
+    """The whole risk table as stored for the dashboard."""
+    path = new_path(spark, "risk")
+    tables.write_table(risk.rank_customers(_assessed(spark, sf_dir)), path)
+    return tables.read_table(spark, path).drop("action_code", "poutcome_index")
+
+
 # --- dashboard -----------------------------------------------------------------------------
 
 

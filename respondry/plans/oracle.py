@@ -573,6 +573,9 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY ALL UNION ALL SELECT 'overall', overall_risk_level, count(*) FROM assessed "
             "GROUP BY ALL",
         ),
+        "risk_table": with_contacts(
+            *ASSESSED, "SELECT * EXCLUDE (action_code, o, oi) FROM final"
+        ),
         "top_at_risk": with_contacts(
             *ASSESSED,
             f"SELECT {risk_list}, risk_priority_rank FROM final WHERE risk_priority_rank <= 50",
