@@ -92,31 +92,38 @@ def risk_correlation(
 ) -> DataFrame:
     """Pearson correlations of the indicator columns present, as ``(i, j, ..., value)``.
 
-    One aggregate computes the upper triangle; the rest is mirrored. A constant column
-    correlates 0.0 with everything, itself included.
+    One aggregate job computes the upper triangle, the rest is mirrored. A pair uses the rows where
+    both values are known; a constant column correlates 0.0 with everything, itself included.
+
+    Without nulls one deviation per column serves all its pairs, and the aggregate stays within the
+    field limit of code generation. Only a table with nulls takes the second, per-pair form.
     """
     present = [c for c in indicators if c in assessed.columns]
-
-    def correlation(x: str, y: str):
-        spread = F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x))) * F.stddev_pop(
-            F.when(F.col(x).isNotNull(), F.col(y))
-        )
-        ratio = F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
-        return F.coalesce(F.nanvl(ratio, F.lit(0.0)), F.lit(0.0))
-
     pairs = [(i, j) for i in range(len(present)) for j in range(i, len(present))]
-    values = [
-        F.round(correlation(present[i], present[j]), digits).alias(f"r_{i}_{j}") for i, j in pairs
+    numbers = [F.col(c).cast("double") for c in present]
+
+    def cell(i: int, j: int, per_pair: bool):
+        x, y = numbers[i], numbers[j]
+        if per_pair:
+            spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        else:
+            spread = F.stddev_pop(x) * F.stddev_pop(y)
+        together = spread if i == j else F.covar_pop(x, y)
+        ratio = together / F.nullif(spread, F.lit(0.0))
+        value = F.coalesce(F.nanvl(ratio, F.lit(0.0)), F.lit(0.0))
+        return F.round(value, digits).alias(f"r_{i}_{j}")
+
+    known = [F.count(c).alias(f"known_{i}") for i, c in enumerate(present)]
+    row = assessed.agg(
+        F.count("*").alias("rows"), *known, *[cell(i, j, False) for i, j in pairs]
+    ).first()
+    if any(row[f"known_{i}"] < row["rows"] for i in range(len(present))):
+        row = assessed.agg(*[cell(i, j, True) for i, j in pairs]).first()
+    cells = [
+        (i, j, indicator_label(a), indicator_label(b), row[f"r_{min(i, j)}_{max(i, j)}"])
+        for i, a in enumerate(present)
+        for j, b in enumerate(present)
     ]
-    cells = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            F.lit(j).alias("j"),
-            F.lit(indicator_label(present[i])).alias("indicator_i"),
-            F.lit(indicator_label(present[j])).alias("indicator_j"),
-            F.col(f"r_{min(i, j)}_{max(i, j)}").alias("value"),
-        )
-        for i in range(len(present))
-        for j in range(len(present))
-    ])
-    return assessed.agg(*values).select(F.inline(cells))
+    return assessed.sparkSession.createDataFrame(
+        cells, "i int, j int, indicator_i string, indicator_j string, value double"
+    )

@@ -86,3 +86,19 @@ def test_one_pass_over_the_scan_for_statistics(spark, stored):
     table = read_table(spark, stored)
     plan = plan_of(modes(table, ["job", "marital", "education"]))
     assert plan.count("FileScan") == 1
+
+
+def test_correlation_aggregate_is_compiled(spark, stored, monkeypatch):
+    table = read_table(spark, stored)
+    seen, original = [], type(table).agg
+    monkeypatch.setattr(
+        type(table), "agg", lambda self, *c: seen.append(original(self, *c)) or seen[-1]
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dashboard.risk_correlation(risk.assess_risk(segments.segment_customers(table)))
+        assert len(seen) == 1
+        lines = [line for line in plan_of(seen[0]).splitlines() if "HashAggregate" in line]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(lines) == 2 and all("*(" in line for line in lines)
