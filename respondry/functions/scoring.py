@@ -12,11 +12,15 @@ from respondry.functions import fixed_values as fv
 
 
 def potential_band(p: Column, high: float = fv.HIGH_CUT, medium: float = fv.MEDIUM_CUT) -> Column:
-    """Potential segment of a probability; null and NaN count as low."""
-    usable = p.isNotNull() & ~F.isnan(p)
+    """Potential segment of a probability; null and NaN count as low.
+
+    The probability is named once per comparison: a filter on the segment is pushed down as this
+    whole expression, with the probability's own expression in place of every mention.
+    """
+    known = F.nanvl(p, F.lit(float("-inf")))
     return (
-        F.when(usable & (p > high), fv.HIGH_POTENTIAL)
-        .when(usable & (p >= medium), fv.MEDIUM_POTENTIAL)
+        F.when(known > high, fv.HIGH_POTENTIAL)
+        .when(known >= medium, fv.MEDIUM_POTENTIAL)
         .otherwise(fv.LOW_POTENTIAL)
     )
 

@@ -56,7 +56,9 @@ def add_composite(df: DataFrame) -> DataFrame:
         F.col("churn_risk_score") * fv.CHURN_WEIGHT_TENTHS
         + F.col("credit_risk_score") * fv.CREDIT_WEIGHT_TENTHS
     )
-    composite = tenths.cast("double") / 10
+    # a division may be null for the optimizer; saying it is not keeps joins on the composite from
+    # pushing a null test, with all score expressions inside, below every projection
+    composite = F.coalesce(tenths.cast("double") / 10, F.lit(0.0))
     return df.withColumns({
         "composite_risk_score": composite,
         "overall_risk_level": level_of(composite, fv.OVERALL_LEVELS),

@@ -6,6 +6,7 @@ import pytest
 
 from respondry.operators import dashboard, risk, segments, simulation
 from respondry.plans.catalogue import QUERIES
+from respondry.sources import derived
 from respondry.sources.tables import read_table, write_table
 
 ROW_WISE = [
@@ -102,3 +103,12 @@ def test_correlation_aggregate_is_compiled(spark, stored, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(lines) == 2 and all("*(" in line for line in lines)
+
+
+def test_no_score_expression_in_a_join_condition(spark, sf_dir):
+    """A null test on the composite must not be pushed into the join below the scores."""
+    assessed = risk.assess_risk(segments.segment_customers(derived.scored(spark, sf_dir)))
+    ranks = risk.score_ranks(assessed)
+    plan = plan_of(assessed.join(ranks, "composite_risk_score"))
+    conditions = [line for line in plan.splitlines() if "Join [o_custkey" in line]
+    assert conditions and all("isnotnull(" not in line for line in conditions)
