@@ -1,18 +1,19 @@
 """Exact k nearest neighbours inside each class, as Spark jobs.
 
-Rows are put into cells around sampled centres, and neighbouring cells into blocks that fit a task.
-A row first searches its own block, which bounds how far its k-th neighbour can be. The triangle
-inequality then rules out other blocks, and only the remaining ones are visited. Nothing is
-approximated: a cell is skipped only when it provably holds no neighbour.
+Rows are put into blocks that fit a task by a tree of axis splits grown on a sample. A row first
+searches its own block, which bounds how far its k-th neighbour can be. A block whose bounding box
+is farther away than that is ruled out, and only the others are visited. Inside a task the rows of
+a block are split the same way into small cells, and cells are skipped by their boxes. Nothing is
+approximated: rows are skipped only when they provably hold no neighbour. Axis splits suit vectors
+with 0/1 entries: a box then fixes those entries, and each differing one adds to its distance.
 
 Skew: equal vectors are reduced to their k + 1 smallest keys first (no other copy can be among
-anyone's neighbours); centres are sampled from the distinct vectors and so follow their density;
-a cell above the block size is cut by key hash; and the queries of a block are dealt to as many
-tasks as they need. A task holds one block and one share of queries, whatever the data looks like.
+anyone's neighbours); splits follow the density of the distinct vectors; a block that is still too
+large is cut by key hash; and the queries of a block are dealt to as many tasks as they need. A task
+holds one block and one share of queries, whatever the data looks like.
 
-Cost: rows times visited cells. Vectors with few effective dimensions, or many rows relative to
-their spread, leave few cells open; spread-out high-dimensional vectors leave many, and then exact
-search is quadratic by nature. The shuffle grows with visited *blocks*, not cells or pairs.
+Cost: rows times open cells. Where boxes rule nothing out (few rows spread over many dimensions)
+an exact search is quadratic by nature. The shuffle grows with visited *blocks*, not with pairs.
 """
 
 from __future__ import annotations
@@ -30,14 +31,84 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from respondry.functions.hashing import cut_point, hash_unit
 from respondry.sources.workspace import written
 
-ROWS_PER_CELL = 2048
+ROWS_PER_CELL = 1024
 BLOCK_BYTES = 96 * 2**20
 QUERY_ROWS = 8192
 FEWEST_QUERIES = 1024
-CENTRE_BYTES = 64 * 2**20
+SAMPLE_BYTES = 64 * 2**20
+SAMPLE_PER_BLOCK = 64
 SLICE_ENTRIES = 1_000_000
 PAIR_ENTRIES = 8_000_000
-SLACK = 1e-6
+SLACK = 1e-9
+
+
+# --- trees of axis splits ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Inner node ``i`` sends a row to ``left[i]`` if ``x[axis[i]] <= cut[i]``, else ``right[i]``.
+
+    A child below zero is leaf ``-child - 1``.
+    """
+
+    axis: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    def leaves_of(self, rows: np.ndarray) -> np.ndarray:
+        at = np.full(len(rows), 0 if len(self.axis) else -1)
+        while True:
+            inner = np.flatnonzero(at >= 0)
+            if not len(inner):
+                return -at - 1
+            node = at[inner]
+            goes_left = rows[inner, self.axis[node]] <= self.cut[node]
+            at[inner] = np.where(goes_left, self.left[node], self.right[node])
+
+
+def _halve(values: np.ndarray) -> float:
+    """A cut between two distinct values that leaves the sides as equal as possible."""
+    distinct, counts = np.unique(values, return_counts=True)
+    below = np.cumsum(counts)[:-1]
+    i = np.abs(below - len(values) / 2).argmin()
+    return (distinct[i] + distinct[i + 1]) / 2
+
+
+def grow_tree(rows: np.ndarray, leaf_rows: float) -> tuple[Tree, list[np.ndarray]]:
+    """Split along the most varied axis until leaves hold ``leaf_rows``; also the leaves' rows."""
+    axis, cut, children, leaves = [], [], [], []
+    waiting = [(np.arange(len(rows)), None)]
+    while waiting:
+        members, parent = waiting.pop()
+        spread = rows[members].var(0) if len(members) > max(1, leaf_rows) else np.zeros(1)
+        if spread.max() > 0:
+            number = len(axis)
+            values = rows[members, spread.argmax()]
+            axis.append(int(spread.argmax()))
+            cut.append(_halve(values))
+            children.append([0, 0])
+            low = values <= cut[-1]
+            waiting += [(members[low], (number, 0)), (members[~low], (number, 1))]
+        else:
+            number = -len(leaves) - 1
+            leaves.append(members)
+        if parent:
+            children[parent[0]][parent[1]] = number
+    sides = np.array(children, dtype=int).reshape(-1, 2)
+    return Tree(np.array(axis, dtype=int), np.array(cut), sides[:, 0], sides[:, 1]), leaves
+
+
+def _to_box(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to a box."""
+    gap = np.maximum(np.maximum(low - rows, rows - high), 0.0)
+    return np.einsum("ij,ij->i", gap, gap)
+
+
+def _to_far_corner(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    gap = np.maximum(np.abs(rows - low), np.abs(rows - high))
+    return np.einsum("ij,ij->i", gap, gap)
 
 
 # --- inside a task -------------------------------------------------------------------------
@@ -50,17 +121,6 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances by matrix product: fast, with rounding error."""
-    d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.maximum(d2, 0.0)
-
-
-def _rounding(a: np.ndarray, b: np.ndarray) -> float:
-    """Bound on the rounding error of :func:`_squared`."""
-    return 4e-12 * float((a * a).sum(1).max(initial=0.0) + (b * b).sum(1).max(initial=0.0))
-
-
 def _exact(queries: np.ndarray, data: np.ndarray, rows: np.ndarray, cols: np.ndarray):
     """Squared distances of the given pairs, entry by entry.
 
@@ -81,11 +141,11 @@ def _shortlist(queries: np.ndarray, data: np.ndarray, reach: np.ndarray, k: int)
     takes one matrix product and one comparison per pair.
     """
     ones = np.ones((len(queries), 1))
-    halves = (data * data).sum(1)[:, None] / -2
-    closeness = np.hstack([queries, ones]) @ np.hstack([data, halves]).T
-    allowance = _rounding(queries, data)
-    least = ((queries * queries).sum(1) - reach * reach - allowance) / 2
-    near = closeness >= least[:, None]
+    squares = (data * data).sum(1)
+    closeness = np.hstack([queries, ones]) @ np.hstack([data, squares[:, None] / -2]).T
+    own = (queries * queries).sum(1)
+    allowance = 4e-12 * float(own.max(initial=0.0) + squares.max(initial=0.0))
+    near = closeness >= ((own - reach - allowance) / 2)[:, None]
     if len(data) > k and np.count_nonzero(near) > 4 * k * len(queries):
         kth = np.partition(closeness, len(data) - k, axis=1)[:, len(data) - k]
         near &= closeness >= (kth - allowance)[:, None]
@@ -93,100 +153,79 @@ def _shortlist(queries: np.ndarray, data: np.ndarray, reach: np.ndarray, k: int)
 
 
 def _first_k(rows: np.ndarray, keys: np.ndarray, d2: np.ndarray, k: int):
-    """The k best pairs of every query row, by distance, then key; sorted."""
+    """The k best pairs of every query row, by distance, then key; with their places."""
     order = np.lexsort((keys, d2, rows))
     rows, keys, d2 = rows[order], keys[order], d2[order]
-    kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
-    return rows[kept], keys[kept], d2[kept]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    kept = place < k
+    return rows[kept], place[kept], keys[kept], d2[kept]
 
 
-def search_block(queries, reach, data, keys, cells, geometry, k: int):
-    """``(query row, key, squared distance)``: the k best of a block for every query.
+class Best:
+    """The k best pairs known so far per query, and the squared reach they leave."""
 
-    ``reach`` is an upper bound on each query's k-th distance. Cells are searched nearest first
-    and the bound shrinks on the way, so later cells are often skipped.
-    """
-    order = np.argsort(cells, kind="stable")
-    data, keys, cells = data[order], keys[order], cells[order]
-    present, starts = np.unique(cells, return_index=True)
-    ends = np.append(starts[1:], len(cells))
-    centres, low, high = geometry(present)
-    distance = np.sqrt(_squared(queries, centres))
-    bound = np.maximum(distance - high, low - distance)
-    slack = SLACK * (1.0 + distance.max(initial=0.0))
-    reach = reach.copy()
-    rows, found, d2 = np.empty(0, np.int64), keys[:0], np.empty(0)
-    for c in np.argsort(distance.mean(0), kind="stable"):
-        asking = np.flatnonzero(bound[:, c] <= reach + slack)
-        residents = slice(starts[c], ends[c])
-        step = max(1, SLICE_ENTRIES // (ends[c] - starts[c]))
+    def __init__(self, reach: np.ndarray, keys: np.ndarray, k: int):
+        self.k, self.reach = k, reach.copy()
+        self.d2 = np.full((len(reach), k), np.inf)
+        self.keys = np.zeros((len(reach), k), dtype=keys.dtype)
+
+    def meet(self, queries, asking, data, keys) -> None:
+        """Let the asking queries see some rows."""
+        step = max(1, SLICE_ENTRIES // len(data))
         for s in range(0, len(asking), step):
             some = asking[s:s + step]
-            pair_rows, cols = _shortlist(queries[some], data[residents], reach[some], k)
-            fresh = _exact(queries[some], data[residents], pair_rows, cols)
-            rows = np.concatenate([rows, some[pair_rows]])
-            found = np.concatenate([found, keys[residents][cols]])
-            d2 = np.concatenate([d2, fresh])
-        rows, found, d2 = _first_k(rows, found, d2, k)
-        full = np.flatnonzero(np.bincount(rows, minlength=len(queries)) == k)
-        last = np.searchsorted(rows, full, side="right") - 1
-        reach[full] = np.minimum(reach[full], np.sqrt(d2[last]))
-    return rows, found, d2
+            pair_rows, cols = _shortlist(queries[some], data, self.reach[some], self.k)
+            if not len(pair_rows):
+                continue
+            fresh = _exact(queries[some], data, pair_rows, cols)
+            touched = some[np.unique(pair_rows)]
+            old_rows = np.repeat(touched, self.k)
+            old_d2, old_keys = self.d2[touched].ravel(), self.keys[touched].ravel()
+            known = np.isfinite(old_d2)
+            rows, place, best_keys, d2 = _first_k(
+                np.concatenate([old_rows[known], some[pair_rows]]),
+                np.concatenate([old_keys[known], keys[cols]]),
+                np.concatenate([old_d2[known], fresh]), self.k,
+            )
+            self.d2[rows, place], self.keys[rows, place] = d2, best_keys
+            self.reach[touched] = np.minimum(self.reach[touched], self.d2[touched, -1])
+
 
+def search_block(queries, reach, data, keys, k: int) -> Best:
+    """The k best of a block for every query.
 
-# --- layout of cells and blocks ------------------------------------------------------------
+    ``reach`` is an upper bound on each query's squared k-th distance. Every query starts with the
+    cell nearest to it and then sees only the cells its shrinking reach leaves open.
+    """
+    _, cells = grow_tree(data, ROWS_PER_CELL)
+    bound = np.empty((len(queries), len(cells)))
+    for c, members in enumerate(cells):
+        bound[:, c] = _to_box(queries, data[members].min(0), data[members].max(0))
+    first = bound.argmin(1)
+    best = Best(reach, keys, k)
+    for c, members in enumerate(cells):
+        best.meet(queries, np.flatnonzero(first == c), data[members], keys[members])
+    for c in np.argsort(bound.mean(0), kind="stable"):
+        open_to = (bound[:, c] <= best.reach * (1 + SLACK) + SLACK) & (first != c)
+        best.meet(queries, np.flatnonzero(open_to), data[cells[c]], keys[cells[c]])
+    return best
+
+
+# --- blocks --------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class ClassLayout:
-    """Cells of one class. A few numbers per cell, at most CENTRE_BYTES of centres."""
+class Blocks:
+    """Blocks of one class: number, rows and bounding box of each."""
 
-    first: int
-    centres: np.ndarray
-    sampled: bool
+    numbers: np.ndarray
+    rows: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    pair_cells: np.ndarray
-    pair_starts: np.ndarray
-    blocks: np.ndarray
-
 
-def centres_for(rows: int, dimensions: int) -> int:
-    """How many cells a class of distinct rows gets."""
-    wanted = math.ceil(min(rows / ROWS_PER_CELL, math.sqrt(rows)))
-    return max(1, min(wanted, CENTRE_BYTES // (8 * max(1, dimensions))))
 
-
-def _sample_centres(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dict:
-    """``{class: centres}``, a key-hash sample of the distinct rows."""
-    sizes = {r[cls]: r["count"] for r in distinct.groupBy(cls).count().collect()}
-    chance = F.lit(0)
-    for value, rows in sizes.items():
-        wanted = centres_for(rows, dimensions)
-        share = 0.0 if wanted == 1 else min(1.0, wanted / rows)
-        chance = F.when(F.col(cls) == value, cut_point(share)).otherwise(chance)
-    # the share bounds what is collected: CENTRE_BYTES per class
-    sample = distinct.filter(hash_unit(F.col(key), ":centre:") < chance).select(cls, key, "vec")
-    centres = {value: [] for value in sorted(sizes)}
-    for r in sample.collect():
-        centres[r[cls]].append((r[key], r["vec"]))
-    return {value: np.array([v for _, v in sorted(rows)]) for value, rows in centres.items()}
-
-
-def _group_cells(centres: np.ndarray, rows: np.ndarray, limit: int) -> list[np.ndarray]:
-    """Sets of nearby cells with at most ``limit`` rows each (a larger cell stands alone)."""
-    groups, open_sets = [], [np.arange(len(centres))]
-    while open_sets:
-        cells = open_sets.pop()
-        if len(cells) == 1 or rows[cells].sum() <= limit:
-            groups.append(cells)
-            continue
-        widest = centres[cells].var(0).argmax()
-        cells = cells[np.argsort(centres[cells, widest], kind="stable")]
-        filled = np.cumsum(rows[cells])
-        half = int(np.clip(np.searchsorted(filled, filled[-1] / 2), 1, len(cells) - 1))
-        open_sets += [cells[:half], cells[half:]]
-    return groups
+def _block_rows(dimensions: int) -> int:
+    return max(QUERY_ROWS, BLOCK_BYTES // (8 * dimensions))
 
 
 def _share_rows(rows: int, cores: int) -> int:
@@ -194,82 +233,84 @@ def _share_rows(rows: int, cores: int) -> int:
     return min(QUERY_ROWS, max(FEWEST_QUERIES, rows // cores))
 
 
-def _lay_out(centres: dict, facts: list, dimensions: int, cores: int):
-    """Layouts per class, and ``(cell, first_block, pieces, shares)`` for every cell."""
-    limit = max(QUERY_ROWS, BLOCK_BYTES // (8 * dimensions))
-    total = sum(max(1, len(m)) for m in centres.values())
-    low, high = np.full(total, np.inf), np.full(total, -np.inf)
-    rows = np.zeros(total, np.int64)
-    for r in facts:
-        low[r["cell"]], high[r["cell"]], rows[r["cell"]] = r["low"], r["high"], r["rows"]
-    share_rows = _share_rows(int(rows.sum()), cores)
-    layouts, table, first, block = {}, [], 0, 0
-    for value, matrix in centres.items():
-        sampled = len(matrix) > 0
-        # any point will do as a centre: a class without a sampled row takes the origin
-        matrix = matrix if sampled else np.zeros((1, dimensions))
-        last = first + len(matrix)
-        pairs = []
-        for cells in _group_cells(matrix, rows[first:last], limit):
-            held = int(rows[first + cells].sum())
-            pieces = max(1, -(-held // limit)) if len(cells) == 1 else 1
-            shares = max(1, -(-held // (pieces * share_rows)))
-            table += [(int(first + c), block, pieces, shares) for c in cells]
-            pairs += [(block + p, c) for p in range(pieces) for c in cells]
-            block += pieces
-        blocks, starts = np.unique([b for b, _ in pairs], return_index=True)
-        layouts[value] = ClassLayout(
-            first, matrix, sampled, low[first:last], high[first:last],
-            np.array([c for _, c in pairs]), starts, blocks,
-        )
-        first = last
-    return layouts, table
-
-
-# --- Spark steps ---------------------------------------------------------------------------
-
-
-def _assign_cells(points: DataFrame, cls: str, centres: dict, dimensions: int) -> DataFrame:
-    """Add ``cell`` (nearest centre of the row's class) and ``to_centre`` (distance)."""
-    numbered, first = {}, 0
-    for value, matrix in centres.items():
-        matrix = matrix if len(matrix) else np.zeros((1, dimensions))
-        numbered[value] = (first, matrix)
-        first += len(matrix)
-    shared = points.sparkSession.sparkContext.broadcast(numbered)
-    schema = T.StructType([
-        *points.schema.fields, T.StructField("cell", T.IntegerType()),
-        T.StructField("to_centre", T.DoubleType()),
-    ])
+def _grow_trees(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dict:
+    """``{class: (first leaf, tree)}``, grown on a key-hash sample of the distinct rows."""
+    sizes = {r[cls]: r["count"] for r in distinct.groupBy(cls).count().collect()}
+    aim = _block_rows(dimensions) / 2
+    most = max(1, SAMPLE_BYTES // (8 * dimensions))
+    chance, shares = F.lit(0), {}
+    for value, rows in sizes.items():
+        wanted = min(most, SAMPLE_PER_BLOCK * math.ceil(rows / aim))
+        shares[value] = 0.0 if rows <= 2 * aim else min(1.0, wanted / rows)
+        chance = F.when(F.col(cls) == value, cut_point(shares[value])).otherwise(chance)
+    # the shares bound what is collected: SAMPLE_BYTES per class
+    picked = distinct.filter(hash_unit(F.col(key), ":tree:") < chance).select(cls, key, "vec")
+    sample = {value: [] for value in sorted(sizes)}
+    for r in picked.collect():
+        sample[r[cls]].append((r[key], r["vec"]))
+    trees, first = {}, 0
+    for value, rows in sample.items():
+        matrix = np.array([v for _, v in sorted(rows)]).reshape(-1, dimensions)
+        tree, leaves = grow_tree(matrix, max(1.0, aim * shares[value]))
+        trees[value] = (first, tree)
+        first += len(leaves)
+    return trees
+
+
+def _assign_leaves(points: DataFrame, cls: str, trees: dict) -> DataFrame:
+    """Add ``leaf``, the leaf of the row's class tree it falls into."""
+    shared = points.sparkSession.sparkContext.broadcast(trees)
+    schema = T.StructType([*points.schema.fields, T.StructField("leaf", T.IntegerType())])
 
     def assign(batches):
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
             classes = np.array(batch.column(cls).to_pylist())
-            cell, distance = np.zeros(len(classes), np.int32), np.zeros(len(classes))
+            leaf = np.zeros(len(classes), np.int32)
             for value in np.unique(classes).tolist():
-                start, matrix = shared.value[value]
-                mine = np.flatnonzero(classes == value)
-                step = max(1, SLICE_ENTRIES // len(matrix))
-                for s in range(0, len(mine), step):
-                    rows = mine[s:s + step]
-                    near = _squared(vectors[rows], matrix).argmin(1)
-                    cell[rows] = start + near
-                    distance[rows] = np.sqrt(((vectors[rows] - matrix[near]) ** 2).sum(1))
+                first, tree = shared.value[value]
+                mine = classes == value
+                leaf[mine] = first + tree.leaves_of(vectors[mine])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(distance)],
-                names=[*batch.schema.names, "cell", "to_centre"],
+                [*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"]
             )
 
     return points.mapInArrow(assign, schema)
 
 
-def _search(queries: DataFrame, residents: DataFrame, layouts, key: str, k: int, carry: list[str]):
+def _lay_out(boxes: list, trees: dict, dimensions: int, cores: int):
+    """Blocks per class, and ``(leaf, first_block, pieces, shares)`` of every leaf with rows.
+
+    ``boxes`` has one entry ``(leaf, rows, low, high)`` per leaf.
+    """
+    limit = _block_rows(dimensions)
+    share_rows = _share_rows(sum(r["rows"] for r in boxes), cores)
+    firsts = sorted((first, value) for value, (first, _) in trees.items())
+    starts = np.array([first for first, _ in firsts])
+    table, parts, block = [], {value: [] for value in trees}, 0
+    for r in sorted(boxes, key=lambda r: r["leaf"]):
+        value = firsts[np.searchsorted(starts, r["leaf"], side="right") - 1][1]
+        pieces = -(-r["rows"] // limit)
+        shares = max(1, -(-r["rows"] // (pieces * share_rows)))
+        table.append((r["leaf"], block, pieces, shares))
+        for number in range(block, block + pieces):
+            parts[value].append((number, r["rows"] // pieces, r["low"], r["high"]))
+        block += pieces
+    blocks = {
+        value: Blocks(*(np.array(column) for column in zip(*rows)))
+        for value, rows in parts.items() if rows
+    }
+    return blocks, table
+
+
+# --- Spark steps ---------------------------------------------------------------------------
+
+
+def _search(queries: DataFrame, residents: DataFrame, key: str, k: int, carry: list[str]):
     """Every (block, share): its queries against its residents.
 
     Returns the ``carry`` columns of each query and ``near``, its k best, nearest first.
     """
-    shared = queries.sparkSession.sparkContext.broadcast(layouts)
     pair = T.StructType([
         T.StructField("d2", T.DoubleType()), T.StructField("key", residents.schema[key].dataType),
     ])
@@ -278,25 +319,18 @@ def _search(queries: DataFrame, residents: DataFrame, layouts, key: str, k: int,
     )
     target = to_arrow_schema(schema)
 
-    def geometry(cells):
-        by_first = sorted(shared.value.values(), key=lambda layout: layout.first)
-        firsts = np.array([layout.first for layout in by_first])
-        owner = by_first[np.searchsorted(firsts, cells[0], side="right") - 1]
-        local = cells - owner.first
-        return owner.centres[local], owner.low[local], owner.high[local]
-
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return target.empty_table()
-        rows, found, d2 = search_block(
+        best = search_block(
             _matrix(left.column("vec")), left.column("reach").to_numpy(),
-            _matrix(right.column("vec")), right.column(key).to_numpy(),
-            right.column("cell").to_numpy(), geometry, k,
+            _matrix(right.column("vec")), right.column(key).to_numpy(), k,
         )
-        counts = np.bincount(rows, minlength=left.num_rows)
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        found = np.isfinite(best.d2)
+        offsets = np.concatenate([[0], np.cumsum(found.sum(1))]).astype(np.int32)
         pairs = pa.StructArray.from_arrays(
-            [pa.array(d2), pa.array(found, right.schema.field(key).type)], ["d2", "key"]
+            [pa.array(best.d2[found]), pa.array(best.keys[found], right.schema.field(key).type)],
+            ["d2", "key"],
         )
         near = pa.ListArray.from_arrays(pa.array(offsets), pairs)
         return pa.Table.from_arrays(
@@ -310,9 +344,9 @@ def _search(queries: DataFrame, residents: DataFrame, layouts, key: str, k: int,
     )
 
 
-def _add_targets(searched: DataFrame, cls: str, k: int, layouts) -> DataFrame:
-    """Add ``reach`` (bound on the k-th distance) and ``targets``, the blocks it leaves open."""
-    shared = searched.sparkSession.sparkContext.broadcast(layouts)
+def _add_targets(searched: DataFrame, cls: str, k: int, blocks: dict) -> DataFrame:
+    """Add ``reach`` (squared bound on the k-th distance) and ``targets``, the blocks left open."""
+    shared = searched.sparkSession.sparkContext.broadcast(blocks)
     schema = T.StructType([
         *searched.schema.fields, T.StructField("reach", T.DoubleType()),
         T.StructField("targets", T.ArrayType(T.IntegerType())),
@@ -322,36 +356,30 @@ def _add_targets(searched: DataFrame, cls: str, k: int, layouts) -> DataFrame:
         for batch in batches:
             vectors = _matrix(batch.column("vec"))
             classes = np.array(batch.column(cls).to_pylist())
-            own_cell, own_block = (batch.column(c).to_numpy() for c in ("cell", "block"))
+            own = batch.column("block").to_numpy()
             near = batch.column("near")
             offsets = near.offsets.to_numpy()
             full = np.diff(offsets) >= k
             reach = np.full(batch.num_rows, np.inf)
-            reach[full] = np.sqrt(near.values.field("d2").to_numpy()[offsets[1:][full] - 1])
-            targets: list = [None] * batch.num_rows
+            reach[full] = near.values.field("d2").to_numpy()[offsets[1:][full] - 1]
+            targets: list = [()] * batch.num_rows
             for value in np.unique(classes).tolist():
-                layout = shared.value[value]
-                mine = np.flatnonzero(classes == value)
-                step = max(1, SLICE_ENTRIES // len(layout.centres))
-                for s in range(0, len(mine), step):
-                    rows = mine[s:s + step]
-                    d = np.sqrt(_squared(vectors[rows], layout.centres))
-                    if layout.sampled and len(layout.centres) >= k:
-                        # centres are rows themselves, so the k-th nearest one is a bound too
-                        kth = np.partition(d, k - 1, axis=1)[:, k - 1]
-                        reach[rows] = np.minimum(reach[rows], kth * (1 + SLACK) + SLACK)
-                    home = d[np.arange(len(rows)), own_cell[rows] - layout.first]
-                    bound = np.maximum(d - layout.high, layout.low - d)
-                    bound = np.maximum(bound, (d - home[:, None]) / 2)
-                    slack = SLACK * (1.0 + d.max(initial=0.0))
-                    open_cells = bound <= reach[rows][:, None] + slack
-                    open_cells &= np.isfinite(layout.high)
-                    open_blocks = np.logical_or.reduceat(
-                        open_cells[:, layout.pair_cells], layout.pair_starts, axis=1
-                    )
-                    for row, flags in zip(rows, open_blocks):
-                        blocks = layout.blocks[flags]
-                        targets[row] = blocks[blocks != own_block[row]].astype(np.int32)
+                mine, there = np.flatnonzero(classes == value), shared.value[value]
+                if len(there.numbers) == 1:
+                    continue
+                rows = vectors[mine]
+                short = ~full[mine]
+                for b in np.flatnonzero(there.rows >= k) if short.any() else ():
+                    # a block with k rows bounds the distance of a query that has too few yet
+                    corner = _to_far_corner(rows[short], there.low[b], there.high[b])
+                    reach[mine[short]] = np.minimum(reach[mine[short]], corner)
+                limit = reach[mine] * (1 + SLACK) + SLACK
+                open_to = np.empty((len(mine), len(there.numbers)), dtype=bool)
+                for b in range(len(there.numbers)):
+                    open_to[:, b] = _to_box(rows, there.low[b], there.high[b]) <= limit
+                open_to &= there.numbers[None, :] != own[mine][:, None]
+                for row, flags in zip(mine, open_to):
+                    targets[row] = there.numbers[flags].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(reach), pa.array(targets, pa.list_(pa.int32()))],
                 names=[*batch.schema.names, "reach", "targets"],
@@ -386,48 +414,52 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
         "candidates",
     )
     distinct = candidates.filter("copy_no = 1")
-    centres = _sample_centres(distinct, cls, key, dimensions)
-    placed = written(_assign_cells(candidates, cls, centres, dimensions), "cells")
-    facts = placed.groupBy("cell").agg(
-        F.count("*").alias("rows"), F.min("to_centre").alias("low"),
-        F.max("to_centre").alias("high"),
+    trees = _grow_trees(distinct, cls, key, dimensions)
+    placed = written(_assign_leaves(candidates, cls, trees), "leaves")
+    # one row per leaf, and the number of leaves is bounded by SAMPLE_BYTES
+    boxes = (
+        placed.select("leaf", F.posexplode("vec").alias("axis", "x"))
+        .groupBy("leaf", "axis")
+        .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .groupBy("leaf")
+        .agg(
+            F.max("rows").alias("rows"),
+            F.array_sort(F.collect_list(F.struct("axis", "low", "high"))).alias("sides"),
+        )
+        .select("leaf", "rows", F.col("sides.low").alias("low"), F.col("sides.high").alias("high"))
     )
-    # one row per cell
     cores = spark.sparkContext.defaultParallelism
-    layouts, table = _lay_out(centres, facts.collect(), dimensions, cores)
-    homes = spark.createDataFrame(table, "cell int, first_block int, pieces int, shares int")
-    homed = placed.join(F.broadcast(homes), "cell").withColumn(
+    blocks, table = _lay_out(boxes.collect(), trees, dimensions, cores)
+    homes = spark.createDataFrame(table, "leaf int, first_block int, pieces int, shares int")
+    homed = placed.join(F.broadcast(homes), "leaf").withColumn(
         "block", (F.col("first_block") + F.pmod(F.xxhash64(key), "pieces")).cast("int")
     )
-    residents = homed.select("block", key, "vec", "cell")
+    residents = homed.select("block", key, "vec")
     queries = homed.filter("copy_no = 1").select(
-        F.col(key).alias("q"), cls, "vec", "cell", "block",
+        F.col(key).alias("q"), cls, "vec", "block",
         F.pmod(F.xxhash64(key), "shares").cast("int").alias("share"),
         F.lit(math.inf).alias("reach"),
     )
     own_shares = homes.select(
         F.explode(F.sequence("first_block", F.col("first_block") + F.col("pieces") - 1))
         .alias("block"), "shares",
-    ).distinct()
+    )
     searched = _search(
-        queries, _for_each_share(residents, own_shares), layouts, key, wanted,
-        ["q", cls, "vec", "cell", "block"],
+        queries, _for_each_share(residents, own_shares), key, wanted, ["q", cls, "vec", "block"]
     )
-    asked = written(_add_targets(searched, cls, wanted, layouts), "queries")
+    asked = written(_add_targets(searched, cls, wanted, blocks), "queries")
     found = asked.select("q", F.inline("near"))
 
-    visits = asked.select("q", "vec", "reach", F.explode("targets").alias("block"))
-    visitors = visits.groupBy("block").count()
-    if not visitors.isEmpty():
-        shares = visitors.select(
+    if any(len(there.numbers) > 1 for there in blocks.values()):
+        visits = asked.select("q", "vec", "reach", F.explode("targets").alias("block"))
+        # one row per block
+        shares = visits.groupBy("block").count().select(
             "block", F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("shares")
         )
         calls = visits.join(F.broadcast(shares), "block").withColumn(
             "share", F.pmod(F.xxhash64("q"), "shares").cast("int")
         )
-        more = _search(
-            calls, _for_each_share(residents, shares), layouts, key, wanted, ["q"]
-        )
+        more = _search(calls, _for_each_share(residents, shares), key, wanted, ["q"])
         found = found.unionByName(more.select("q", F.inline("near")))
 
     best = Window.partitionBy("q").orderBy("d2", "key")
