@@ -33,7 +33,8 @@ from respondry.sources.workspace import written
 
 ROWS_PER_CELL = 1024
 BLOCK_BYTES = 96 * 2**20
-QUERY_ROWS = 8192
+QUERY_BYTES = 64 * 2**20
+QUERY_ROWS = 65_536
 FEWEST_QUERIES = 1024
 SAMPLE_BYTES = 64 * 2**20
 SAMPLE_PER_BLOCK = 64
@@ -225,12 +226,17 @@ class Blocks:
 
 
 def _block_rows(dimensions: int) -> int:
-    return max(QUERY_ROWS, BLOCK_BYTES // (8 * dimensions))
+    return max(1, BLOCK_BYTES // (8 * dimensions))
 
 
-def _share_rows(rows: int, cores: int) -> int:
-    """Queries per task: at most QUERY_ROWS, fewer when that would leave cores idle."""
-    return min(QUERY_ROWS, max(FEWEST_QUERIES, rows // cores))
+def _most_queries(dimensions: int) -> int:
+    """Queries per task. Fewer tasks per block mean fewer copies of the block in the shuffle."""
+    return min(QUERY_ROWS, max(1, QUERY_BYTES // (8 * dimensions)))
+
+
+def _share_rows(rows: int, dimensions: int, cores: int) -> int:
+    """The most queries per task, or fewer when that would leave cores idle."""
+    return min(_most_queries(dimensions), max(FEWEST_QUERIES, rows // cores))
 
 
 def _grow_trees(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dict:
@@ -284,7 +290,7 @@ def _lay_out(boxes: list, trees: dict, dimensions: int, cores: int):
     ``boxes`` has one entry ``(leaf, rows, low, high)`` per leaf.
     """
     limit = _block_rows(dimensions)
-    share_rows = _share_rows(sum(r["rows"] for r in boxes), cores)
+    share_rows = _share_rows(sum(r["rows"] for r in boxes), dimensions, cores)
     firsts = sorted((first, value) for value, (first, _) in trees.items())
     starts = np.array([first for first, _ in firsts])
     table, parts, block = [], {value: [] for value in trees}, 0
@@ -454,7 +460,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
         visits = asked.select("q", "vec", "reach", F.explode("targets").alias("block"))
         # one row per block
         shares = visits.groupBy("block").count().select(
-            "block", F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("shares")
+            "block", F.ceil(F.col("count") / _most_queries(dimensions)).cast("int").alias("shares")
         )
         calls = visits.join(F.broadcast(shares), "block").withColumn(
             "share", F.pmod(F.xxhash64("q"), "shares").cast("int")

@@ -58,8 +58,13 @@ def build(
     max_depths=fv.GRID_MAX_DEPTH,
     parallelism: int = 2,
 ) -> tuple[Models, dict[str, DataFrame]]:
-    """Prepare, balance, search, evaluate. Writes ``train``, ``val``, ``test`` and ``models``."""
+    """Prepare, balance, search, evaluate. Writes ``train``, ``val``, ``test`` and ``models``.
+
+    A table without the key column gets one.
+    """
     spark = raw.sparkSession
+    if spec.key not in raw.columns:
+        raw = tables.with_row_key(raw, spec.key)
     prepared = preparation.prepare(raw, spec, fit_on)
     balanced = preparation.balanced_training_table(prepared, spec)
     tables.write_table(balanced, f"{out}/train")

@@ -98,6 +98,16 @@ def roundtrip_parquet(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query
+def row_key(spark, sf_dir):
+    """A key for a table without one: every row gets its own, and rereading does not change it."""
+    keyed = tables.with_row_key(_contacts(spark, sf_dir), "row_key")
+    again = keyed.select("row_key", F.col(KEY).alias("again"))
+    return keyed.join(again, "row_key").select(
+        KEY, (F.col(KEY) == F.col("again")).alias("stable")
+    )
+
+
 @query
 def feature_model_reload(spark, sf_dir):
     cleaned = _cleaned(spark, sf_dir)
@@ -264,10 +274,13 @@ def _test_scores(prepared, model):
 
 @query
 def forest_fit(spark, sf_dir):
+    """Test rows per label, and whether every score is a probability and agrees with the class."""
     prepared, model = _fitted(spark, sf_dir)
-    shares = F.col("p_yes").between(0.0, 1.0)
-    return _test_scores(prepared, model).groupBy("label", "prediction").agg(
-        F.count("*").alias("count"), F.every(shares).alias("probabilities_valid")
+    p, shares = F.col("p_yes"), vector_to_array("probability")
+    valid = p.between(0.0, 1.0) & (F.abs(shares[0] + shares[1] - 1) < 1e-9)
+    agrees = (F.col("prediction") == 1.0) == (shares[1] > shares[0])
+    return _test_scores(prepared, model).groupBy("label").agg(
+        F.count("*").alias("count"), F.every(valid & agrees).alias("scores_valid")
     )
 
 
@@ -289,10 +302,13 @@ def score_table(spark, sf_dir):
 
 @query
 def forest_reload(spark, sf_dir):
+    """Scores of the stored forest next to those of the fitted one."""
     prepared, model = _fitted(spark, sf_dir)
-    path = models.save_model(model, new_path(spark, "forest"))
-    return _test_scores(prepared, models.load_forest(path)).select(
-        KEY, "label", "prediction", F.round("p_yes", 6).alias("p_yes")
+    stored = models.load_forest(models.save_model(model, new_path(spark, "forest")))
+    before = _test_scores(prepared, model).select(KEY, "label", "p_yes")
+    after = _test_scores(prepared, stored).select(KEY, F.col("p_yes").alias("p_again"))
+    return before.join(after, KEY).select(
+        KEY, "label", (F.col("p_yes") == F.col("p_again")).alias("unchanged")
     )
 
 

@@ -413,6 +413,7 @@ def oracle_sql() -> dict[str, str]:
         "normalize_names": whole,
         "scan_parquet": "SELECT * FROM customer",
         "roundtrip_parquet": whole,
+        "row_key": with_contacts("SELECT contact_id, true AS stable FROM contacts"),
         "feature_model_reload": feature_entries,
         "clean_sentinel": with_contacts(MARKED, "SELECT * FROM marked"),
         "impute_mean": with_contacts(
@@ -483,6 +484,15 @@ def oracle_sql() -> dict[str, str]:
             ) + " FROM drawn d JOIN nearest n ON n.contact_id = d.contact_id AND n.place = d.place "
             "JOIN few m ON m.contact_id = n.neighbour",
         ),
+        "forest_fit": with_contacts(
+            *TRAIN_SIZES,
+            "SELECT label, n AS count, true AS scores_valid FROM rows_by WHERE split = 'test'",
+        ),
+        "forest_reload": with_contacts(
+            *CLEANED,
+            "SELECT contact_id, CAST(y = 'yes' AS DOUBLE) AS label, true AS unchanged FROM cleaned "
+            f"WHERE {SPLIT} = 'test'",
+        ),
         "metric_auc": with_contacts(
             *LABELLED,
             "ranked AS (SELECT label, rank() OVER (ORDER BY p_yes) + (count(*) OVER "

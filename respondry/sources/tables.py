@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from respondry.functions import fixed_values as fv
+from respondry.sources.workspace import written
 from respondry.spec import contact_schema
 
 CSV_OPTIONS = {"header": "true", "sep": ";", "quote": '"'}
@@ -44,6 +46,15 @@ def write_contacts_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+def with_row_key(df: DataFrame, key: str) -> DataFrame:
+    """Number the rows of a table that has no business key.
+
+    The numbers are unique, need no shuffle, and are arbitrary; the table is written once so that
+    they stay what they are from then on.
+    """
+    return written(df.select(F.monotonically_increasing_id().alias(key), "*"), "keyed")
+
+
 def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Parquet scan; ``partitions`` forces a shuffle and is best left to the scan and AQE."""
     df = spark.read.parquet(path)

@@ -6,6 +6,8 @@ and a lost executor costs a re-read instead of a recomputation.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder already set.
 
-    A temporary folder is made only for a single-machine session that names none.
+    A temporary folder is made only for a single-machine session that names none, and removed when
+    the process ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -24,6 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="respondry-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return context.getCheckpointDir().rstrip("/")
 

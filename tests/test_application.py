@@ -42,6 +42,9 @@ def test_inferred_and_explicit_schemas_agree(spark, sf_dir, tmp_path):
     raw = derived.contact_table(spark, sf_dir)
     tables.write_contacts_csv(tables.dotted_names(raw), path)
     explicit = tables.read_contacts_csv(spark, path, key="contact_id")
+    keyless = explicit.drop("contact_id")
+    keyed = tables.with_row_key(keyless, "contact_id")
+    assert keyed.select("contact_id").distinct().count() == raw.count()
     inferred = tables.read_contacts_csv(spark, path, infer=True)
     assert explicit.columns == inferred.columns == raw.columns
     same = inferred.select(*[inferred[f.name].cast(f.dataType) for f in explicit.schema.fields])
