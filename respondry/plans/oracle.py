@@ -1,7 +1,12 @@
-"""The same results in plain SQL over the given tables, written independently of the operators."""
+"""The same results in plain SQL over the given tables, written independently of the operators.
+
+Only texts and category lists are shared with them.
+"""
 
 from __future__ import annotations
 
+from respondry.functions import fixed_values as fv
+
 CONTACTS = """
 base AS (
   SELECT *, year(o_orderdate) * 12 + month(o_orderdate) AS ym,
@@ -187,12 +192,9 @@ ASSESSED = (
     "WHEN churn_risk = 'Medium Churn Risk' AND credit_risk = 'Medium Credit Risk' THEN 'moderate' "
     "ELSE 'routine' END AS action_code, rank() OVER (ORDER BY composite_risk_score DESC) "
     "AS risk_priority_rank FROM assessed)",
-    "actions(action_code, recommended_actions) AS (VALUES "
-    "('urgent', '紧急：安排立即个人联系。提供客户保留计划和财务咨询。'), "
-    "('high_priority', '高优先级：启动客户保留活动。考虑基于以往互动的个性化优惠。'), "
-    "('attention', '需要关注：密切监控账户。考虑主动信贷咨询或重组选项。'), "
-    "('moderate', '中等关注：纳入下次外联活动。评估产品适合度和满意度。'), "
-    "('routine', '常规：通过标准营销渠道保持定期互动。'))",
+    "actions(action_code, recommended_actions) AS (VALUES %s)" % ", ".join(
+        f"('{code}', '{text}')" for code, text in fv.ACTION_TEXTS.items()
+    ),
     "final AS (SELECT * FROM advised JOIN actions USING (action_code))",
 )
 DECIDED = (
@@ -208,14 +210,13 @@ DECIDED = (
     "CASE WHEN cons_conf_idx < -40 OR \"default\" = 'yes' THEN 'High Credit Risk' "
     "WHEN cons_conf_idx >= -40 AND cons_conf_idx < -20 AND (loan = 'yes' OR housing = 'yes') "
     "THEN 'Medium Credit Risk' ELSE 'Low Credit Risk' END AS credit_risk FROM banded)",
-    "decided AS (SELECT *, CASE potential "
-    "WHEN 'High Potential' THEN '高级营销活动：直接个人电话联系，提供优质的定期存款产品，降低利率门槛' "
-    "WHEN 'Medium Potential' THEN '标准营销活动：先发送邮件，然后电话跟进，提供常规定期存款产品' "
-    "ELSE '基础营销活动：群发邮件提供基本定期存款信息，定期更新' END || CASE churn_risk "
-    "WHEN 'High Churn Risk' THEN '。紧急提示：增加客户保留激励措施，如专属利率或增值服务' "
-    "WHEN 'Medium Churn Risk' THEN '。建议：包含忠诚度奖励，如期限灵活性或特殊优惠' ELSE '' END "
-    "|| CASE credit_risk WHEN 'High Credit Risk' THEN '。风险提示：推荐保守型金融产品，降低风险敞口' "
-    "ELSE '' END AS marketing_recommendation FROM ruled)",
+    "decided AS (SELECT *, CASE potential %s END || CASE churn_risk %s ELSE '' END "
+    "|| CASE credit_risk %s ELSE '' END AS marketing_recommendation FROM ruled)" % tuple(
+        " ".join(f"WHEN '{name}' THEN '{text}'" for name, text in texts.items())
+        for texts in (
+            fv.RECOMMENDATION_BASE, fv.RECOMMENDATION_CHURN, fv.RECOMMENDATION_CREDIT,
+        )
+    ),
 )
 
 # --- metrics -------------------------------------------------------------------------------
@@ -313,16 +314,7 @@ TRAIN_SIZES = (
 # --- validation ----------------------------------------------------------------------------
 
 LISTS = {
-    "job": "'admin.', 'blue-collar', 'entrepreneur', 'housemaid', 'management', 'retired', "
-           "'self-employed', 'services', 'student', 'technician', 'unemployed'",
-    "marital": "'married', 'single', 'divorced'",
-    "education": "'basic.4y', 'basic.6y', 'basic.9y', 'high.school', 'illiterate', "
-                 "'professional.course', 'university.degree'",
-    "default": "'no', 'yes'", "housing": "'no', 'yes'", "loan": "'no', 'yes'",
-    "contact": "'cellular', 'telephone'",
-    "month": "'jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'",
-    "day_of_week": "'mon', 'tue', 'wed', 'thu', 'fri'",
-    "poutcome": "'failure', 'nonexistent', 'success'",
+    c: ", ".join(f"'{value}'" for value in values) for c, values in fv.ALLOWED_VALUES.items()
 }
 LIMITS = {"age": "18 AND 95", "campaign": "1 AND 50", "pdays": "-1 AND 999", "previous": "0 AND 50"}
 SOFT = {"age": "18 AND 90", "campaign": "1 AND 20", "previous": "0 AND 10",
@@ -623,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
         "marketing_recommendation": by_key(DECIDED, "marketing_recommendation", "decided"),
         "decide_customers": by_key(
             DECIDED,
-            "CASE WHEN prediction = 1 THEN '是' ELSE '否' END AS prediction, "
+            f"CASE WHEN prediction = 1 THEN '{fv.WORD_YES}' ELSE '{fv.WORD_NO}' END AS prediction, "
             "printf('%.2f%%', p_yes * 100) AS probability, potential, churn_risk, credit_risk, "
             "marketing_recommendation, age, job, marital, education, housing, loan",
             "decided",
