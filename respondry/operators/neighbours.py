@@ -33,10 +33,12 @@ from respondry.sources.workspace import written
 
 ROWS_PER_CELL = 1024
 BLOCK_BYTES = 96 * 2**20
+BLOCK_ROWS = 262_144
 QUERY_BYTES = 64 * 2**20
 QUERY_ROWS = 65_536
 FEWEST_QUERIES = 1024
 SAMPLE_BYTES = 64 * 2**20
+SAMPLE_ROWS = 262_144
 SAMPLE_PER_BLOCK = 64
 SLICE_ENTRIES = 1_000_000
 PAIR_ENTRIES = 8_000_000
@@ -226,7 +228,8 @@ class Blocks:
 
 
 def _block_rows(dimensions: int) -> int:
-    return max(1, BLOCK_BYTES // (8 * dimensions))
+    """Rows per block. The row limit keeps short vectors from making thousands of cells a task."""
+    return min(BLOCK_ROWS, max(1, BLOCK_BYTES // (8 * dimensions)))
 
 
 def _most_queries(dimensions: int) -> int:
@@ -243,13 +246,13 @@ def _grow_trees(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dic
     """``{class: (first leaf, tree)}``, grown on a key-hash sample of the distinct rows."""
     sizes = {r[cls]: r["count"] for r in distinct.groupBy(cls).count().collect()}
     aim = _block_rows(dimensions) / 2
-    most = max(1, SAMPLE_BYTES // (8 * dimensions))
+    most = min(SAMPLE_ROWS, max(1, SAMPLE_BYTES // (8 * dimensions)))
     chance, shares = F.lit(0), {}
     for value, rows in sizes.items():
         wanted = min(most, SAMPLE_PER_BLOCK * math.ceil(rows / aim))
         shares[value] = 0.0 if rows <= 2 * aim else min(1.0, wanted / rows)
         chance = F.when(F.col(cls) == value, cut_point(shares[value])).otherwise(chance)
-    # the shares bound what is collected: SAMPLE_BYTES per class
+    # the shares bound what is collected: SAMPLE_ROWS and SAMPLE_BYTES per class
     picked = distinct.filter(hash_unit(F.col(key), ":tree:") < chance).select(cls, key, "vec")
     sample = {value: [] for value in sorted(sizes)}
     for r in picked.collect():
@@ -422,7 +425,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     distinct = candidates.filter("copy_no = 1")
     trees = _grow_trees(distinct, cls, key, dimensions)
     placed = written(_assign_leaves(candidates, cls, trees), "leaves")
-    # one row per leaf, and the number of leaves is bounded by SAMPLE_BYTES
+    # one row per leaf, and there are fewer leaves than sampled rows
     boxes = (
         placed.select("leaf", F.posexplode("vec").alias("axis", "x"))
         .groupBy("leaf", "axis")
