@@ -242,9 +242,9 @@ def _share_rows(rows: int, dimensions: int, cores: int) -> int:
     return min(_most_queries(dimensions), max(FEWEST_QUERIES, rows // cores))
 
 
-def _grow_trees(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dict:
-    """``{class: (first leaf, tree)}``, grown on a key-hash sample of the distinct rows."""
-    sizes = {r[cls]: r["count"] for r in distinct.groupBy(cls).count().collect()}
+def _grow_trees(points: DataFrame, cls: str, key: str, dimensions: int) -> dict:
+    """``{class: (first leaf, tree)}``, grown on the distinct vectors of a key-hash sample."""
+    sizes = {r[cls]: r["count"] for r in points.groupBy(cls).count().collect()}
     aim = _block_rows(dimensions) / 2
     most = min(SAMPLE_ROWS, max(1, SAMPLE_BYTES // (8 * dimensions)))
     chance, shares = F.lit(0), {}
@@ -253,13 +253,13 @@ def _grow_trees(distinct: DataFrame, cls: str, key: str, dimensions: int) -> dic
         shares[value] = 0.0 if rows <= 2 * aim else min(1.0, wanted / rows)
         chance = F.when(F.col(cls) == value, cut_point(shares[value])).otherwise(chance)
     # the shares bound what is collected: SAMPLE_ROWS and SAMPLE_BYTES per class
-    picked = distinct.filter(hash_unit(F.col(key), ":tree:") < chance).select(cls, key, "vec")
+    picked = points.filter(hash_unit(F.col(key), ":tree:") < chance).select(cls, "vec")
     sample = {value: [] for value in sorted(sizes)}
     for r in picked.collect():
-        sample[r[cls]].append((r[key], r["vec"]))
+        sample[r[cls]].append(r["vec"])
     trees, first = {}, 0
     for value, rows in sample.items():
-        matrix = np.array([v for _, v in sorted(rows)]).reshape(-1, dimensions)
+        matrix = np.unique(np.array(rows).reshape(-1, dimensions), axis=0)
         tree, leaves = grow_tree(matrix, max(1.0, aim * shares[value]))
         trees[value] = (first, tree)
         first += len(leaves)
@@ -416,18 +416,16 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     spark, wanted = points.sparkSession, k + 1
     dimensions = points.select(F.size("vec").alias("d")).first()["d"]
     copies = Window.partitionBy(cls, "vec_hash", "vec").orderBy(key)
-    candidates = written(
+    trees = _grow_trees(points, cls, key, dimensions)
+    limited = (
         points.select(cls, key, "vec", F.xxhash64("vec").alias("vec_hash"))
         .withColumn("copy_no", F.row_number().over(copies))
-        .filter(F.col("copy_no") <= wanted),
-        "candidates",
+        .filter(F.col("copy_no") <= wanted)
     )
-    distinct = candidates.filter("copy_no = 1")
-    trees = _grow_trees(distinct, cls, key, dimensions)
-    placed = written(_assign_leaves(candidates, cls, trees), "leaves")
+    candidates = written(_assign_leaves(limited, cls, trees), "candidates")
     # one row per leaf, and there are fewer leaves than sampled rows
     boxes = (
-        placed.select("leaf", F.posexplode("vec").alias("axis", "x"))
+        candidates.select("leaf", F.posexplode("vec").alias("axis", "x"))
         .groupBy("leaf", "axis")
         .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
         .groupBy("leaf")
@@ -440,7 +438,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     cores = spark.sparkContext.defaultParallelism
     blocks, table = _lay_out(boxes.collect(), trees, dimensions, cores)
     homes = spark.createDataFrame(table, "leaf int, first_block int, pieces int, shares int")
-    homed = placed.join(F.broadcast(homes), "leaf").withColumn(
+    homed = candidates.join(F.broadcast(homes), "leaf").withColumn(
         "block", (F.col("first_block") + F.pmod(F.xxhash64(key), "pieces")).cast("int")
     )
     residents = homed.select("block", key, "vec")
@@ -480,6 +478,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     lists = with_vectors.groupBy("q").agg(
         F.array_sort(F.collect_list(F.struct("d2", "key", "vec"))).alias("near")
     )
+    distinct = candidates.filter("copy_no = 1")
     return distinct.join(lists, F.col(key) == F.col("q")).select(cls, "vec_hash", "vec", "near")
 
 
