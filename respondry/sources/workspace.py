@@ -2,40 +2,50 @@
 
 Used where a result is read more than once: the table is computed once, its lineage ends there,
 and a lost executor costs a re-read instead of a recomputation.
+
+Every application has one folder of its own below ``spark.checkpoint.dir`` (or the checkpoint folder
+already set; the warehouse, which executors share as well, where neither is named). It goes when the
+application ends; after a crash, or earlier, :func:`clear` removes it.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder already set.
+def _file(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), file
+
 
-    A temporary folder is made only for a single-machine session that names none, and removed when
-    the process ends.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder, made if it is not there yet."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="respondry-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    folder = f"{base.rstrip('/')}/respondry-{context.applicationId}"
+    system, file = _file(spark, folder)
+    if system.mkdirs(file):
+        system.deleteOnExit(file)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove this application's written tables; results that still read them are lost."""
+    system, file = _file(spark, shared_folder(spark))
+    system.delete(file, True)
+
+
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and return a scan of it."""
     path = new_path(df.sparkSession, name)

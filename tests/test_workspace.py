@@ -1,24 +1,28 @@
-from types import SimpleNamespace
-
-import pytest
-
 from respondry.sources import workspace
 
 
-def session(master, configured=None, checkpoint=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
-    conf = SimpleNamespace(get=lambda key, default=None: configured or default)
-    return SimpleNamespace(sparkContext=context, conf=conf)
-
-
-def test_the_named_folder_is_used():
-    assert workspace.shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert workspace.shared_folder(session("yarn", None, "s3a://b/c")) == "s3a://b/c"
-
-
-def test_a_cluster_without_a_folder_is_an_error():
-    with pytest.raises(ValueError):
-        workspace.shared_folder(session("spark://host:7077"))
+def test_the_named_folder_is_used(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        folder = workspace.shared_folder(spark)
+        assert folder == f"file://{tmp_path}/respondry-{spark.sparkContext.applicationId}"
+        path = workspace.written(spark.range(3), "t").inputFiles()[0]
+        assert path.startswith(folder)
+        workspace.clear(spark)
+        assert not list(tmp_path.glob("respondry-*"))
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
+
+
+def test_without_a_name_it_is_in_the_warehouse(spark):
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    assert workspace.shared_folder(spark).startswith(f"{base}/respondry-")
 
 
 def test_written_keeps_columns_and_rows(spark):
