@@ -99,7 +99,6 @@ def linked(first: np.ndarray, second: np.ndarray, radius: int, same: bool) -> It
 
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     """All pairs ``(first, second)`` of different fingerprints of the written table ``prints`` within the radius."""
-    spark = prints.sparkSession
     unique = prints.select("fingerprint").distinct()
     counted = [f"q{i}" for i in range(4)]
     unique = unique.select("fingerprint", *quarters(F.col("fingerprint")))
@@ -109,9 +108,9 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     tiles = unique.join(F.broadcast(sizes), counted).select("fingerprint", *counted, cut)
     tiles = tiles.groupBy(*counted, "part").agg(F.sort_array(F.collect_list("fingerprint")).alias("prints"))
     tiles = written(tiles.withColumn("tile", F.concat_ws("-", *counted, "part")), "tiles")
-    steps = spark.createDataFrame(near_counts(radius), "s0 int, s1 int, s2 int, s3 int")
-    ends = tiles.select("tile", *counted).crossJoin(F.broadcast(steps))  # a fixed list of steps
-    ends = ends.select(F.col("tile").alias("one"), *[(F.col(f"q{i}") + F.col(f"s{i}")).alias(f"q{i}") for i in range(4)])
+    steps = F.array(*[F.array(*map(F.lit, step)) for step in near_counts(radius)])
+    ends = tiles.select(F.col("tile").alias("one"), *counted, F.explode(steps).alias("step"))
+    ends = ends.select("one", *[(F.col(f"q{i}") + F.col("step")[i]).alias(f"q{i}") for i in range(4)])
     pairs = ends.join(tiles.select(F.col("tile").alias("two"), *counted), counted).select("one", "two")
     own = F.substring_index("one", "-", 4) == F.substring_index("two", "-", 4)
     pairs = pairs.where(~own | (F.col("one") <= F.col("two")))
