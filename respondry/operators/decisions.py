@@ -133,12 +133,31 @@ def apply_rules(scored: DataFrame, p_col: str = "p_yes") -> DataFrame:
     )
 
 
+def percentage(p: Column) -> Column:
+    """A probability as percent with two decimals, the exact binary value rounded, ties to even.
+
+    The product with 100 is kept as a sum of two doubles (Dekker), so that a value next to a tie falls
+    on its own side. Null and NaN give null.
+    """
+    x = F.nullif(p.cast("double"), F.lit(float("nan"))) * 100
+    big = x * float((1 << 27) + 1)
+    high = big - (big - x)
+    cents = x * 100
+    rest = (high * 100 - cents) + (x - high) * 100
+    whole = F.floor(cents).cast("double")
+    over = (cents - whole - 0.5) + rest
+    even = F.pmod(whole, F.lit(2.0)) == 0
+    n = (whole + F.when((over > 0) | ((over == 0) & ~even), 1.0).otherwise(0.0)).cast("long")
+    shown = F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
+    return F.concat(shown, F.lit("%"))
+
+
 def decide(scored: DataFrame, key: str = "contact_id", p_col: str = "p_yes") -> DataFrame:
     """One decision row per customer."""
     return apply_rules(scored, p_col).select(
         key,
         F.when(F.col("prediction") == 1.0, fv.WORD_YES).otherwise(fv.WORD_NO).alias("prediction"),
-        F.format_string("%.2f%%", F.col(p_col) * 100).alias("probability"),
+        percentage(F.col(p_col)).alias("probability"),
         "potential",
         "churn_risk",
         "credit_risk",

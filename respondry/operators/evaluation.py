@@ -18,8 +18,11 @@ def outcome_counts(
 ) -> DataFrame:
     """Positives and negatives per distinct score (and group): all any metric needs.
 
-    Written once, so the scored table is scanned a single time for every metric and curve.
+    Written once, so the scored table is scanned a single time for every metric and curve. Rows
+    without a label or a score, NaN included, say nothing about the model and are left out.
     """
+    known = F.col(label).isNotNull() & F.col(score).isNotNull()
+    scored = scored.where(known & ~F.isnan(F.col(score).cast("double")))
     keys = [*(by or []), F.col(score).alias("score")]
     if prediction:
         keys.append(F.col(prediction).alias("prediction"))
@@ -107,7 +110,7 @@ def curve_areas(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = list(by or [])
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     tp0, fp0 = tp - pos, fp - neg
-    precision = tp / (tp + fp)
+    precision = F.try_divide(tp, tp + fp)
     precision0 = F.coalesce(F.try_divide(tp0, tp0 + fp0), F.lit(1.0))
     p, n = F.max("p").cast("double"), F.max("n").cast("double")
     return cumulative_counts(counts, by).groupBy(*by).agg(
@@ -120,6 +123,7 @@ def confusion(
     scored: DataFrame, by: list[str] | None = None, label: str = "label",
     prediction: str = "prediction",
 ) -> DataFrame:
+    scored = scored.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     return scored.groupBy(
         *(by or []), F.col(label).alias("label"), F.col(prediction).alias("prediction")
     ).count()

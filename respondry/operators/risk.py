@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from respondry.functions import fixed_values as fv
 from respondry.functions.scoring import level_of, term_points, text_lookup, total
 from respondry.operators.cumulative import running_totals
-from respondry.operators.features import frequency_index
+from respondry.operators.features import frequency_index, frequency_labels
 
 
 def churn_points() -> Column:
@@ -30,13 +30,22 @@ def credit_points() -> Column:
     return base + total(flags)
 
 
-def add_outcome_index(df: DataFrame) -> DataFrame:
-    """``poutcome_index``: 0.0 for the most frequent outcome, as the feature step numbers it."""
-    return df if "poutcome_index" in df.columns else frequency_index(df, ["poutcome"])
+def outcome_labels(df: DataFrame) -> list[str]:
+    """Outcomes by falling frequency, as the feature step numbers them; to be fitted on the whole table."""
+    return frequency_labels(df, ["poutcome"])["poutcome"]
 
 
-def add_scores(segmented: DataFrame) -> DataFrame:
-    return add_outcome_index(segmented).withColumns(
+def add_outcome_index(df: DataFrame, labels: list[str] | None) -> DataFrame:
+    """``poutcome_index`` by fitted labels; a table of the feature step has it already."""
+    if "poutcome_index" in df.columns:
+        return df
+    if labels is None:
+        raise ValueError("without poutcome_index, the fitted outcome labels are needed")
+    return frequency_index(df, ["poutcome"], {"poutcome": labels})
+
+
+def add_scores(segmented: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    return add_outcome_index(segmented, labels).withColumns(
         {"churn_risk_score": churn_points(), "credit_risk_score": credit_points()}
     )
 
@@ -83,9 +92,13 @@ def add_actions(df: DataFrame) -> DataFrame:
     )
 
 
-def assess_risk(segmented: DataFrame) -> DataFrame:
-    """All row-wise risk columns; one projection over the segmented table."""
-    return add_actions(add_composite(add_levels(add_scores(segmented))))
+def assess_risk(segmented: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """All row-wise risk columns; one projection over the segmented table, and no job.
+
+    ``labels`` are the :func:`outcome_labels` of the whole table, so that a part of it scores as it
+    does there.
+    """
+    return add_actions(add_composite(add_levels(add_scores(segmented, labels))))
 
 
 def score_ranks(assessed: DataFrame, column: str = "composite_risk_score") -> DataFrame:

@@ -57,7 +57,7 @@ def _segmented(spark, sf_dir):
 
 
 def _assessed(spark, sf_dir):
-    return risk.assess_risk(_segmented(spark, sf_dir))
+    return risk.assess_risk(_segmented(spark, sf_dir), risk.outcome_labels(_contacts(spark, sf_dir)))
 
 
 def _labelled_scores(spark, sf_dir):
@@ -100,12 +100,30 @@ def roundtrip_parquet(spark, sf_dir):
 
 @query
 def row_key(spark, sf_dir):
-    """A key for a table without one: every row gets its own, and rereading does not change it."""
-    keyed = tables.with_row_key(_contacts(spark, sf_dir), "row_key")
-    again = keyed.select("row_key", F.col(KEY).alias("again"))
-    return keyed.join(again, "row_key").select(
-        KEY, (F.col(KEY) == F.col("again")).alias("stable")
-    )
+    """A key for a table without one."""
+    return tables.with_row_key(_contacts(spark, sf_dir).drop(KEY), "row_key").select("row_key", "age", "job")
+
+
+@query
+def scan_csv_header(spark, sf_dir):
+    """Columns in another order than the schema's."""
+    path = new_path(spark, "contacts-csv")
+    contacts = tables.dotted_names(_contacts(spark, sf_dir))
+    tables.write_contacts_csv(contacts.select(*[F.col(f"`{c}`") for c in reversed(contacts.columns)]), path)
+    return tables.read_contacts_csv(spark, path, key=KEY)
+
+
+@query
+def metrics_unlabelled(spark, sf_dir):
+    """Areas where some rows have no label and others no score."""
+    scores = _labelled_scores(spark, sf_dir)
+    age = F.col(KEY) % 10
+    scores = scores.withColumns({
+        "label": F.when(age != 3, F.col("label")),
+        "p_yes": F.when(age == 5, F.lit(float("nan"))).when(age != 4, F.col("p_yes")),
+    })
+    areas = evaluation.curve_areas(evaluation.outcome_counts(scores))
+    return areas.select(F.round("roc_auc", 9).alias("auc"))
 
 
 @query
@@ -286,17 +304,17 @@ def forest_fit(spark, sf_dir):
 
 @query
 def grid_search(spark, sf_dir):
-    """Small grid; the full one is the default of the operator."""
+    """The full grid, three folds."""
     prepared = preparation.prepare(_contacts(spark, sf_dir))
     balanced = preparation.balanced_training_table(prepared)
-    return training.grid_search(balanced, num_trees=(5, 10), max_depths=(3,))[1]
+    return training.grid_search(balanced)[1]
 
 
 @query
 def score_table(spark, sf_dir):
     prepared, model = _fitted(spark, sf_dir)
-    return _test_scores(prepared, model).select(
-        KEY, "label", "prediction", F.round("p_yes", 6).alias("p_yes")
+    return training.score(prepared.features, model).select(
+        KEY, "split", "label", "prediction", F.round("p_yes", 6).alias("p_yes")
     )
 
 
@@ -595,7 +613,7 @@ def decide_customers(spark, sf_dir):
 @query
 def decide_with_model(spark, sf_dir):
     """Raw contacts through cleaning, features, forest and rules."""
-    prepared, model = _fitted(spark, sf_dir, num_trees=10)
+    prepared, model = _fitted(spark, sf_dir)
     scored = preparation.score_contacts(
         _contacts(spark, sf_dir), prepared.cleaning, prepared.features_model, model
     )

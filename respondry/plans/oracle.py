@@ -405,7 +405,13 @@ def oracle_sql() -> dict[str, str]:
         "normalize_names": whole,
         "scan_parquet": "SELECT * FROM customer",
         "roundtrip_parquet": whole,
-        "row_key": with_contacts("SELECT contact_id, true AS stable FROM contacts"),
+        "row_key": with_contacts(
+            "SELECT sha256(concat_ws(chr(31), " + ", ".join(
+                f"coalesce({q(c)}::VARCHAR, chr(0))" for c in fv.CONTACT_COLUMNS
+            ) + ")) || '-' || row_number() OVER (PARTITION BY "
+            + ", ".join(map(q, fv.CONTACT_COLUMNS)) + ") AS row_key, age, job FROM contacts"
+        ),
+        "scan_csv_header": whole,
         "feature_model_reload": feature_entries,
         "clean_sentinel": with_contacts(MARKED, "SELECT * FROM marked"),
         "impute_mean": with_contacts(
@@ -493,6 +499,15 @@ def oracle_sql() -> dict[str, str]:
             "(count(*) FILTER (label = 1) + 1) / 2) / (count(*) FILTER (label = 1) * "
             "count(*) FILTER (label = 0)), 9) AS auc FROM ranked",
         ),
+        "metrics_unlabelled": with_contacts(
+            *LABELLED,
+            "known AS (SELECT label, p_yes FROM labelled WHERE contact_id % 10 NOT IN (3, 4, 5))",
+            "ranked AS (SELECT label, rank() OVER (ORDER BY p_yes) + (count(*) OVER "
+            "(PARTITION BY p_yes) - 1) / 2 AS r FROM known)",
+            "SELECT round((sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * "
+            "(count(*) FILTER (label = 1) + 1) / 2) / (count(*) FILTER (label = 1) * "
+            "count(*) FILTER (label = 0)), 9) AS auc FROM ranked",
+        ),
         "metrics_multiclass": with_contacts(*LABELLED, *metric_parts(), "SELECT * FROM weighted"),
         "roc_curve": with_contacts(
             *curve,

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from respondry.functions import fixed_values as fv
-from respondry.sources.workspace import written
 from respondry.spec import contact_schema
 
+#: How a content key writes a null and separates fields.
+NULL_TEXT = "\x00"
+FIELD_END = "\x1f"
+
 CSV_OPTIONS = {"header": "true", "sep": ";", "quote": '"'}
 
 
@@ -33,13 +36,22 @@ def read_contacts_csv(
 ) -> DataFrame:
     """Semicolon-separated contact file, names normalised.
 
-    The schema is explicit, so the file is read once; ``infer=True`` costs a second pass.
+    Columns are bound by the names in the header, whatever their order, and come out in the order
+    of the schema; a missing or unknown one is an error. Types are those of the schema, so the rows
+    are read once; ``infer=True`` costs a second pass.
     """
     reader = spark.read.options(**CSV_OPTIONS)
     if infer:
         return normalize_names(reader.option("inferSchema", "true").csv(path))
-    schema = schema or contact_schema(key)
-    return normalize_names(reader.schema(schema).option("enforceSchema", "true").csv(path))
+    types = {f.name.replace(".", "_"): f.dataType for f in schema or contact_schema(key)}
+    header = [name.replace(".", "_") for name in reader.csv(path).columns]
+    if sorted(header) != sorted(types):
+        raise ValueError(
+            f"{path}: missing {sorted(set(types) - set(header))}, unknown or repeated "
+            f"{sorted(name for name in set(header) if name not in types or header.count(name) > 1)}"
+        )
+    bound = T.StructType([T.StructField(name, types[name]) for name in header])
+    return reader.schema(bound).option("enforceSchema", "true").csv(path).select(*types)
 
 
 def write_contacts_csv(df: DataFrame, path: str) -> None:
@@ -47,12 +59,17 @@ def write_contacts_csv(df: DataFrame, path: str) -> None:
 
 
 def with_row_key(df: DataFrame, key: str) -> DataFrame:
-    """Number the rows of a table that has no business key.
+    """Give the rows of a table without a business key one that follows from their content.
 
-    The numbers are unique, need no shuffle, and are arbitrary; the table is written once so that
-    they stay what they are from then on.
+    The key is a digest of all columns and a number among identical rows, so it does not depend on
+    files, partitions or order. Identical rows are counted before they are numbered, so a row that
+    repeats very often is no hot group.
     """
-    return written(df.select(F.monotonically_increasing_id().alias(key), "*"), "keyed")
+    values = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in df.columns]
+    digest = F.sha2(F.concat_ws(FIELD_END, *values), 256)
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
+    numbered = counted.withColumn("__number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return numbered.select(F.concat(digest, F.lit("-"), F.col("__number").cast("string")).alias(key), *df.columns)
 
 
 def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:

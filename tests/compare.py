@@ -6,6 +6,8 @@ import math
 
 import duckdb
 
+from respondry.operators import risk
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -59,3 +61,8 @@ def difference(expected, actual) -> str:
         if type(e) is not type(a)
     ]
     return f"types {types[0]}" if types else ""
+
+
+def assess(segmented):
+    """Risk columns with the outcomes numbered by the table itself."""
+    return risk.assess_risk(segmented, risk.outcome_labels(segmented))

@@ -9,7 +9,7 @@ SF_DIR = os.environ.get("RESPONDRY_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     spark = session(
         "tests",
         **{
@@ -18,6 +18,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from respondry.operators import evaluation, features, risk, segments
 from respondry.sources import derived
+from tests.compare import assess
 
 GOLDEN = {
     "/root/testdata/sf0.001": {
@@ -37,7 +38,7 @@ def test_totals(spark, sf_dir):
         F.count_if(F.col("p_yes").isin(0.5, 0.8)),
     ).first()
     assert tuple(row) == want["rows"]
-    assessed = risk.assess_risk(segments.segment_customers(df)).cache()
+    assessed = assess(segments.segment_customers(df)).cache()
     assert {k[0]: v for k, v in counts(assessed, "potential_segment").items()} == want["segments"]
     assert {k[0]: v for k, v in counts(assessed, "overall_risk_level").items()} == want["overall"]
     cells = counts(assessed, "churn_risk", "credit_risk")
@@ -51,5 +52,5 @@ def test_area_and_rank(spark):
     )
     area = evaluation.curve_areas(evaluation.outcome_counts(df)).first()["roc_auc"]
     assert abs(area - 0.6784088761477257) < 1e-12
-    ranked = risk.rank_customers(risk.assess_risk(segments.segment_customers(df)))
+    ranked = risk.rank_customers(assess(segments.segment_customers(df)))
     assert ranked.filter("risk_priority_rank <= 50").count() == 59

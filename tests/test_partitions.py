@@ -7,13 +7,13 @@ from respondry.operators import (
     cleaning, dashboard, evaluation, features, risk, segments, simulation, splitting,
 )
 from respondry.sources import derived
-from tests.compare import spark_result
+from tests.compare import assess, spark_result
 
 KEY = "contact_id"
 
 
 def assessed(df):
-    return risk.assess_risk(segments.segment_customers(df))
+    return assess(segments.segment_customers(df))
 
 
 def labelled(df):

@@ -8,6 +8,7 @@ from respondry.operators import dashboard, risk, segments, simulation
 from respondry.plans.catalogue import QUERIES
 from respondry.sources import derived
 from respondry.sources.tables import read_table, write_table
+from tests.compare import assess
 
 ROW_WISE = [
     "segment_customers", "segment_stats", "strategy_high", "strategy_high_medium",
@@ -54,7 +55,7 @@ def test_simulation_is_one_aggregate(spark, stored):
 
 
 def test_rank_has_no_window_over_rows(spark, stored):
-    assessed = risk.assess_risk(segments.segment_customers(read_table(spark, stored)))
+    assessed = assess(segments.segment_customers(read_table(spark, stored)))
     plan = plan_of(risk.rank_customers(assessed))
     window = plan.index("Window [")
     below = plan[window:]
@@ -64,7 +65,7 @@ def test_rank_has_no_window_over_rows(spark, stored):
 
 
 def test_top_list_sorts_only_leading_rows(spark, stored):
-    assessed = risk.assess_risk(segments.segment_customers(read_table(spark, stored)))
+    assessed = assess(segments.segment_customers(read_table(spark, stored)))
     plan = plan_of(dashboard.top_at_risk(assessed))
     assert "top-at-risk" in plan and "SinglePartition" not in plan
     assert "TakeOrderedAndProject" in plan_of(dashboard.top_by_score(assessed))
@@ -97,7 +98,7 @@ def test_correlation_aggregate_is_compiled(spark, stored, monkeypatch):
     )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        dashboard.risk_correlation(risk.assess_risk(segments.segment_customers(table)))
+        dashboard.risk_correlation(assess(segments.segment_customers(table)))
         assert len(seen) == 1
         lines = [line for line in plan_of(seen[0]).splitlines() if "HashAggregate" in line]
     finally:
@@ -107,7 +108,7 @@ def test_correlation_aggregate_is_compiled(spark, stored, monkeypatch):
 
 def test_no_score_expression_in_a_join_condition(spark, sf_dir):
     """A null test on the composite must not be pushed into the join below the scores."""
-    assessed = risk.assess_risk(segments.segment_customers(derived.scored(spark, sf_dir)))
+    assessed = assess(segments.segment_customers(derived.scored(spark, sf_dir)))
     ranks = risk.score_ranks(assessed)
     plan = plan_of(assessed.join(ranks, "composite_risk_score"))
     conditions = [line for line in plan.splitlines() if "Join [o_custkey" in line]

@@ -1,28 +1,11 @@
 from respondry.sources import workspace
 
 
-def test_the_named_folder_is_used(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        folder = workspace.shared_folder(spark)
-        assert folder == f"file://{tmp_path}/respondry-{spark.sparkContext.applicationId}"
-        path = workspace.written(spark.range(3), "t").inputFiles()[0]
-        assert path.startswith(folder)
-        workspace.clear(spark)
-        assert not list(tmp_path.glob("respondry-*"))
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
-
-
-def test_without_a_name_it_is_in_the_warehouse(spark):
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return
-    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    assert workspace.shared_folder(spark).startswith(f"{base}/respondry-")
+def test_tables_go_to_the_named_folder(spark):
+    folder = workspace.shared_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert folder == f"{named}/respondry-{spark.sparkContext.applicationId}"
+    assert workspace.written(spark.range(3), "t").inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file://"))
 
 
 def test_written_keeps_columns_and_rows(spark):
