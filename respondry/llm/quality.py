@@ -22,10 +22,11 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from respondry.llm.common import sampled, schema_with
+from respondry.sources.workspace import written
 
 SYMBOLS = "#$%&*|<>{}[]=_~^\\/@+"
 DIGITS = "0123456789"
@@ -155,12 +156,20 @@ def fit(features: np.ndarray, sizes: np.ndarray, labels: np.ndarray, settings: S
     return Model(theta[:-4], theta[-4:].reshape(2, 2))
 
 
-def train(docs: DataFrame, key: Column, label: Column, settings: Settings = Settings()) -> Model:
-    """A model from rows with ``text`` and a 0/1 label."""
-    rows = docs.select(key.alias("key"), "text", label.cast("int").alias("label")).where("label in (0, 1)")
-    lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
-    count, total = rows.agg(F.count("*"), F.coalesce(F.sum(lines), F.lit(0))).first()
-    wanted = min(settings.docs, int(settings.lines * count / max(total, 1)))
+def train(docs: DataFrame, labels: DataFrame, key: str, label: str, settings: Settings = Settings()) -> Model:
+    """A model from the ``text`` of ``docs`` and the 0/1 ``label`` that ``labels`` has for a key.
+
+    A key's labels count as one, the smallest. The sample is drawn from the keys, so only its own texts
+    leave the scan; it has about ``docs`` rows, which bounds what is broadcast.
+    """
+    given = labels.select(F.col(key), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
+    given = sampled(given.groupBy(key).agg(F.min("label").alias("label")), settings.docs, F.col(key))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(key, text.alias("text")).join(F.broadcast(given), key)
+    rows = rows.select(F.col(key).alias("key"), "text", "label", F.regexp_count("text", F.lit("\n")).alias("ends"))
+    rows = written(rows, "labelled")
+    count, total = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("ends") + 1), F.lit(0))).first()
+    wanted = min(count, int(settings.lines * count / max(total, 1)))
     schema = pa.schema([("label", pa.int32()), ("features", pa.binary()), ("lines", pa.int64()), ("key", pa.int64())])
 
     def run(batches):
@@ -170,7 +179,9 @@ def train(docs: DataFrame, key: Column, label: Column, settings: Settings = Sett
                 [batch["label"], [x.tobytes() for x in own], [len(x) for x in own], batch["place"]], schema=schema
             )
 
-    part = sampled(rows, wanted, F.col("key"), count).withColumn("place", F.xxhash64("key", "text"))
+    # another hash than that of the sample, which all these rows share
+    part = sampled(rows, wanted, F.concat(F.lit("lines"), F.col("key").cast("string")), count)
+    part = part.select("text", "label", F.xxhash64("key", "text").alias("place"))
     part = part.mapInArrow(run, "label int, features binary, lines long, key long").toPandas()
     part = part.sort_values(["key", "label", "lines"], kind="stable")
     labels = part["label"].to_numpy(int)

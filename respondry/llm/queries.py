@@ -14,9 +14,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
     """Learnt from the labelled ``docs`` that are not held out."""
-    labels = labels.select("doc_id", F.col("quality").alias("good"))
-    rows = docs.where(~remainder("doc_id", 5, 0)).select("doc_id", "text").join(labels, "doc_id")
-    return quality.train(rows, F.col("doc_id"), F.col("good"))
+    return quality.train(docs, labels.where(~remainder("doc_id", 5, 0)), "doc_id", "quality")
 
 
 def language_model(docs: DataFrame) -> language.Model:

@@ -84,14 +84,14 @@ def test_marginals_equal_enumeration():
 def test_quality_separates_and_scores_every_row(spark, docs, nothing):
     rows = [(i, text_of(40, i), 1) for i in range(40)] + [(100 + i, text_of(40, i).replace(" ", "### "), 0) for i in range(40)]
     train = spark.createDataFrame(rows + [(500, "a", None)], "doc_id long, text string, label int")
-    model = quality.train(train, F.col("doc_id"), F.col("label"))
+    model = quality.train(train.drop("label"), train.drop("text"), "doc_id", "label")
     good, bad = quality.score_texts(model, [text_of(40, 99), text_of(40, 98).replace(" ", "### ")])
     assert good > 0.8 and bad < 0.2
     scored = quality.score(docs, model)
     assert scored.columns == ["doc_id", "text", "lang", "source", "lang_pred", "score"]
     assert scored.where("score between 0 and 1").count() == 12
     assert quality.score(nothing, model).isEmpty()
-    empty = quality.train(nothing, F.col("doc_id"), F.lit(None))
+    empty = quality.train(nothing, nothing.select("doc_id", F.lit(None).alias("label")), "doc_id", "label")
     assert quality.score_texts(empty, [None]) == [0.5]
 
 
