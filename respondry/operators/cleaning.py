@@ -81,6 +81,8 @@ class CleaningModel:
     marker: str
     means: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str] = field(default_factory=dict)
+    #: of numeric columns that training leaves as they are; only scoring fills these
+    scoring_means: dict[str, float] = field(default_factory=dict)
     range_column: str | None = None
     range_limits: tuple[float, float] = (0, 0)
     dropped: tuple[str, ...] = ()
@@ -88,10 +90,14 @@ class CleaningModel:
     @classmethod
     def fit(cls, df: DataFrame, spec: TableSpec = CONTACTS) -> CleaningModel:
         marked = mark_missing(df, spec.missing_marker).drop(spec.key, *spec.dropped)
+        doubles = columns_of_type(marked, T.DoubleType)
+        others = [c for c in spec.numeric if c in marked.columns and c not in doubles]
+        means = mean_values(marked, doubles + others)
         return cls(
             marker=spec.missing_marker,
-            means=mean_values(marked),
+            means={c: v for c, v in means.items() if c in doubles},
             modes=mode_values(marked),
+            scoring_means={c: v for c, v in means.items() if c in others},
             range_column=spec.range_column,
             range_limits=tuple(spec.range_limits),
             dropped=tuple(spec.dropped),
@@ -113,9 +119,15 @@ class CleaningModel:
     def transform(self, df: DataFrame, filter_rows: bool = True) -> DataFrame:
         """Marker to null, fill, range filter, column drop.
 
-        Scoring passes ``filter_rows=False``: every customer who asks gets an answer.
+        Scoring passes ``filter_rows=False``: every customer who asks gets an answer, and a number
+        missing in a column that training does not fill is taken as the column's rounded mean.
         """
         cleaned = self.fill(mark_missing(df, self.marker))
+        if not filter_rows:
+            cleaned = cleaned.withColumns({
+                c: F.coalesce(c, F.round(F.lit(mean)).cast(cleaned.schema[c].dataType))
+                for c, mean in self.scoring_means.items() if c in cleaned.columns
+            })
         if filter_rows and self.range_column:
             cleaned = filter_range(cleaned, self.range_column, *self.range_limits)
         return cleaned.drop(*self.dropped)

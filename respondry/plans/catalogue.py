@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from respondry.operators import (
     simulation,
     splitting,
     training,
+    trees,
 )
 from respondry.operators.neighbours import row_neighbours
 from respondry.plans import preparation
@@ -52,6 +54,11 @@ def _cleaned(spark, sf_dir):
     return cleaning.CleaningModel.fit(raw).transform(raw)
 
 
+def _cleaned_once(spark, sf_dir):
+    """Written, for those who fit and apply."""
+    return written(_cleaned(spark, sf_dir), "cleaned")
+
+
 def _segmented(spark, sf_dir):
     return segments.segment_customers(derived.scored(spark, sf_dir))
 
@@ -128,7 +135,7 @@ def metrics_unlabelled(spark, sf_dir):
 
 @query
 def feature_model_reload(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     path = models.save_model(features.fit_features(cleaned), new_path(spark, "feature-model"))
     table = features.feature_table(cleaned, models.load_features_model(path))
     return _rounded(features.vector_entries(table, KEY), "value")
@@ -173,20 +180,20 @@ def clean_full(spark, sf_dir):
 
 @query
 def index_categories(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     table = features.fit_features(cleaned).transform(cleaned)
     return table.select(KEY, *[f"{c}_index" for c in fv.CATEGORICAL_COLUMNS])
 
 
 @query
 def one_hot(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     return features.one_hot_positions(features.fit_features(cleaned).transform(cleaned))
 
 
 @query
 def standard_scale(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     table = features.fit_features(cleaned).transform(cleaned)
     scaled = vector_to_array("scaled_features")
     return table.select(
@@ -196,7 +203,7 @@ def standard_scale(spark, sf_dir):
 
 @query
 def assemble_features(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     table = features.fit_features(cleaned).transform(cleaned)
     return _rounded(features.vector_entries(table, KEY), "value")
 
@@ -304,18 +311,35 @@ def forest_fit(spark, sf_dir):
 
 @query
 def grid_search(spark, sf_dir):
-    """The full grid, three folds."""
+    """The full grid, three folds; whether each AUC is one and the single best point has the largest."""
     prepared = preparation.prepare(_contacts(spark, sf_dir))
     balanced = preparation.balanced_training_table(prepared)
-    return training.grid_search(balanced)[1]
+    report = training.grid_search(balanced)[1]
+    best = report.agg(F.count_if("is_best").alias("n"), F.max("avg_auc").alias("auc")).first()
+    agrees = F.col("avg_auc").between(0.0, best["auc"]) & F.lit(best["n"] == 1 and best["auc"] <= 1)
+    return report.select(
+        "num_trees", "max_depth",
+        (agrees & (~F.col("is_best") | (F.col("avg_auc") == best["auc"]))).alias("agrees"),
+    )
+
+
+def _walked(spark, scored, model):
+    """Scored rows with the score found by walking the stored trees, and whether both agree."""
+    nodes = trees.node_table(spark, model)
+    depth = model.getOrDefault("maxDepth")
+    walked = trees.walked_scores(scored, KEY, nodes, model.getNumTrees, depth)
+    same = (F.abs(F.col("walked") - F.col("p_yes")) < 1e-9) & (
+        (F.col("prediction") == 1.0) == (F.col("p_yes") > 0.5)
+    )
+    return scored.join(walked, KEY, "left").withColumn("agrees", F.coalesce(same, F.lit(False)))
 
 
 @query
 def score_table(spark, sf_dir):
+    """Scores of all prepared rows, against those of the stored trees walked node by node."""
     prepared, model = _fitted(spark, sf_dir)
-    return training.score(prepared.features, model).select(
-        KEY, "split", "label", "prediction", F.round("p_yes", 6).alias("p_yes")
-    )
+    scored = training.score(prepared.features, model)
+    return _walked(spark, scored, model).select(KEY, "split", "label", "agrees")
 
 
 @query
@@ -332,9 +356,23 @@ def forest_reload(spark, sf_dir):
 
 @query
 def model_report(spark, sf_dir):
+    """Rows of the held-out splits, and whether the report agrees with Spark's own evaluators."""
     prepared, model = _fitted(spark, sf_dir)
     held_out = prepared.features.filter(F.col("split").isin("val", "test"))
-    return evaluation.evaluation_report(training.score(held_out, model))
+    scored = training.score(held_out, model).select("split", "label", "prediction", "p_yes", "rawPrediction")
+    scored = written(scored, "held-out")
+    rows = []
+    for row in evaluation.evaluation_report(scored).collect():  # two rows
+        part = scored.filter(F.col("split") == row["split"])
+        others = {"auc": BinaryClassificationEvaluator(numBins=0).evaluate(part)} | {
+            name: MulticlassClassificationEvaluator(metricName=metric).evaluate(part)
+            for name, metric in (
+                ("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"),
+                ("weighted_recall", "weightedRecall"), ("f1", "f1"),
+            )
+        }
+        rows.append((row["split"], part.count(), all(abs(row[c] - v) < 1e-9 for c, v in others.items())))
+    return spark.createDataFrame(rows, "split string, rows long, agrees boolean")
 
 
 @query
@@ -389,7 +427,7 @@ def eval_report(spark, sf_dir):
 
 @query
 def feature_names(spark, sf_dir):
-    cleaned = _cleaned(spark, sf_dir)
+    cleaned = _cleaned_once(spark, sf_dir)
     table = features.fit_features(cleaned).transform(cleaned)
     named = influence.names_from_metadata(table)
     return spark.createDataFrame(
@@ -405,14 +443,30 @@ def category_domain(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
+    """The leading features, against the gains in the stored trees."""
     prepared, model = _fitted(spark, sf_dir)
-    return influence.feature_importance(model, influence.names_from_metadata(prepared.features))
+    named = influence.names_from_metadata(prepared.features)
+    positions = spark.createDataFrame([(n[0], i) for i, n in enumerate(named)], "feature string, position int")
+    gained = trees.gain_importance(trees.node_table(spark, model))
+    top = influence.feature_importance(model, named).join(positions, "feature", "left")
+    same = F.abs(F.col("importance") - F.coalesce("gained", F.lit(0.0))) < 1e-9
+    return top.join(gained, "position", "left").select("rank", same.alias("agrees"))
 
 
 @query
 def importance_by_source(spark, sf_dir):
+    """Importance per column, against the gains in the stored trees."""
     prepared, model = _fitted(spark, sf_dir)
-    return influence.importance_by_source(model, influence.names_from_metadata(prepared.features))
+    named = influence.names_from_metadata(prepared.features)
+    positions = spark.createDataFrame([(n[1], i) for i, n in enumerate(named)], "source string, position int")
+    gained = trees.gain_importance(trees.node_table(spark, model))
+    gained = positions.join(gained, "position", "left").groupBy("source").agg(
+        F.coalesce(F.sum("gained"), F.lit(0.0)).alias("gained")
+    )
+    same = F.coalesce(F.abs(F.col("importance") - F.col("gained")) < 1e-9, F.lit(False))
+    return influence.importance_by_source(model, named).join(gained, "source", "left").select(
+        "source", same.alias("agrees")
+    )
 
 
 # --- segments and campaigns ----------------------------------------------------------------
@@ -610,11 +664,34 @@ def decide_customers(spark, sf_dir):
     )
 
 
+def _decided(spark, raw, prepared, model):
+    """Decisions next to what they say about the customer, and whether they follow from walked scores."""
+    scored = preparation.score_contacts(raw, prepared.cleaning, prepared.features_model, model)
+    checked = _walked(spark, scored, model).select(KEY, "agrees", "p_yes")
+    band = (
+        F.when(F.col("p_yes") > 0.8, "High Potential")
+        .when(F.col("p_yes") >= 0.5, "Medium Potential")
+        .otherwise("Low Potential")
+    )
+    return decisions.decide(scored).join(checked, KEY).withColumn(
+        "agrees", F.col("agrees") & (F.col("potential") == band)
+    )
+
+
 @query
 def decide_with_model(spark, sf_dir):
     """Raw contacts through cleaning, features, forest and rules."""
     prepared, model = _fitted(spark, sf_dir)
-    scored = preparation.score_contacts(
-        _contacts(spark, sf_dir), prepared.cleaning, prepared.features_model, model
+    decided = _decided(spark, _contacts(spark, sf_dir), prepared, model)
+    return decided.select(KEY, "customer_summary.*", "agrees")
+
+
+@query
+def decide_text_input(spark, sf_dir):
+    """Contacts as text, some numbers unreadable: every contact still gets a decision."""
+    prepared, model = _fitted(spark, sf_dir)
+    typed = decisions.typed_input(_text_contacts(spark, sf_dir))
+    decided = _decided(spark, typed, prepared, model)
+    return typed.select(KEY, F.concat_ws(",", "bad_columns").alias("bad_columns")).join(decided, KEY, "left").select(
+        KEY, "bad_columns", F.coalesce("agrees", F.lit(False)).alias("agrees")
     )
-    return decisions.decide(scored).select("*", "customer_summary.*").drop("customer_summary")

@@ -491,6 +491,34 @@ def oracle_sql() -> dict[str, str]:
             "SELECT contact_id, CAST(y = 'yes' AS DOUBLE) AS label, true AS unchanged FROM cleaned "
             f"WHERE {SPLIT} = 'test'",
         ),
+        "score_table": with_contacts(
+            *CLEANED,
+            f"SELECT contact_id, {SPLIT} AS split, CAST(y = 'yes' AS DOUBLE) AS label, true AS agrees "
+            "FROM cleaned",
+        ),
+        "grid_search": (
+            "SELECT CAST(t AS INT) AS num_trees, CAST(d AS INT) AS max_depth, true AS agrees "
+            "FROM (VALUES (50, 5), (50, 10), (100, 5), (100, 10)) grid(t, d)"
+        ),
+        "model_report": with_contacts(
+            *CLEANED,
+            f"SELECT {SPLIT} AS split, count(*) AS rows, true AS agrees FROM cleaned "
+            f"WHERE {SPLIT} <> 'train' GROUP BY ALL",
+        ),
+        "feature_importance": "SELECT CAST(r AS INT) AS rank, true AS agrees FROM range(1, 16) t(r)",
+        "importance_by_source": "SELECT source, true AS agrees FROM (VALUES %s) t(source)" % ", ".join(
+            f"('{c}')" for c in [*CATEGORICAL, *NUMERIC]
+        ),
+        "decide_with_model": with_contacts(
+            MARKED, FILLS,
+            f"filled AS (SELECT * REPLACE ({FILL_LIST}) FROM marked)",
+            "SELECT contact_id, age, job, marital, education, housing, loan, true AS agrees FROM filled",
+        ),
+        "decide_text_input": with_contacts(
+            "SELECT contact_id, concat_ws(',', CASE WHEN contact_id % 101 = 0 THEN 'age' END, "
+            "CASE WHEN contact_id % 103 = 0 THEN 'euribor3m' END) AS bad_columns, true AS agrees "
+            "FROM contacts"
+        ),
         "metric_auc": with_contacts(
             *LABELLED,
             "ranked AS (SELECT label, rank() OVER (ORDER BY p_yes) + (count(*) OVER "
