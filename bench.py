@@ -18,7 +18,7 @@ HEADLINE = (
     "index_categories", "one_hot", "standard_scale", "assemble_features", "feature_table",
     "split_assign", "smote_balance", "smote_points", "forest_fit", "score_table", "metric_auc",
     "metrics_multiclass", "roc_curve", "pr_curve", "eval_report", "feature_importance",
-    "grid_search", "decide_with_model",
+    "grid_search", "model_report", "forest_reload", "decide_with_model", "decide_text_input",
     "segment_customers", "segment_stats", "marketing_simulation", "risk_rank", "risk_summary",
     "risk_counts", "risk_marginals", "top_at_risk", "top_at_risk_limit", "score_profile",
     "score_histogram", "risk_correlation", "validate_input", "validation_summary",

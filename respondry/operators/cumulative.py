@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 512
 
 
 def _bucket_number(value: Column, cuts: list) -> Column:
@@ -26,13 +25,13 @@ def _bucket_number(value: Column, cuts: list) -> Column:
 def quantile_cuts(df: DataFrame, column: str, rows_per_bucket: int) -> list:
     """Cut points that leave about ``rows_per_bucket`` rows between neighbours.
 
-    Two aggregate jobs, one for a small table; at most ``MAX_BUCKETS`` numbers reach the driver.
+    Their number follows from the row count alone; so many numbers reach the driver.
     """
-    buckets = min(MAX_BUCKETS, -(-df.count() // rows_per_bucket))
+    buckets = -(-df.count() // rows_per_bucket)
     if buckets <= 1:
         return []
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(column, steps, 20 * MAX_BUCKETS).alias("cuts")).first()
+    cuts = df.agg(F.percentile_approx(column, steps, max(10_000, 20 * buckets)).alias("cuts")).first()
     return sorted(set(cuts["cuts"]))
 
 
@@ -86,9 +85,9 @@ def running_totals(
     if with_next:
         moved |= {f"{v}_next": F.coalesce(f"{v}_next", f"_{v}_after") for v in value_cols}
     helpers = [f"_{v}_{side}" for v in value_cols for side in ("before", "after")]
-    # at most MAX_BUCKETS rows per partition value: small enough to send to every task
+    # one row per range, joined by its measured size
     return (
-        inside.join(F.broadcast(offsets), [*groups, "_range"])
+        inside.join(offsets, [*groups, "_range"])
         .withColumns(moved)
         .drop("_range", *helpers)
     )

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from respondry.plans import catalogue, oracle
 from tests.compare import difference, duck_result, spark_result
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
@@ -10,6 +11,7 @@ QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(oracle.oracle_sql()) == set(catalogue.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
