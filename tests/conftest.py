@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # plans are read for the paths of written tables, which would be cut off
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )

@@ -33,11 +33,12 @@ def test_no_python_between_scan_and_result(spark, sf_dir, name):
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
     """A scored table on disk, as the reports would read it."""
-    from respondry.operators.risk import add_outcome_index
+    from respondry.operators.risk import add_outcome_index, outcome_labels
     from respondry.sources import derived
 
     path = str(tmp_path_factory.mktemp("stored") / "scored")
-    write_table(add_outcome_index(derived.scored(spark, sf_dir)), path)
+    table = derived.scored(spark, sf_dir)
+    write_table(add_outcome_index(table, outcome_labels(table)), path)
     return path
 
 
