@@ -7,9 +7,10 @@ histogram of their lengths, which has at most ``capacity`` entries however many
 A configuration says how many pieces of which lengths share a sequence. The program asks for the fewest
 configurations that cover the histogram. It is solved in rounds of multiplicative weights: every length
 has a weight that falls as its cover runs ahead; an unbounded-knapsack table prices the configurations;
-each length that lags takes the best configuration that holds it. The fractional solution is rounded up,
+each length that lags takes the best configuration that holds it. The fractional solution is rounded to
+whole numbers in several ways (up, down, to the nearest; all configurations or the full ones alone),
 those with the longest piece first, never beyond what is left of the histogram; what remains is packed
-by largest fitting length first. Pieces then take the places of the plan by their number within their
+by largest fitting length first, and the rounding with the fewest sequences is the plan. Pieces then take the places of the plan by their number within their
 length, which is found in shares so that no task holds all pieces of one length.
 
 Null text counts as empty, so it is the end id alone. Repeated rows are packed one by one.
@@ -155,8 +156,13 @@ def solve(histogram: np.ndarray, rounds: int = ROUNDS) -> dict[tuple[int, ...],
     return used
 
 
-def rounded(histogram: np.ndarray, used: dict[tuple[int, ...], float]) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations with whole numbers of sequences that take every piece exactly once."""
+def rounded(
+    histogram: np.ndarray, used: dict[tuple[int, ...], float], whole=np.ceil, least: int = 0
+) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations with whole numbers of sequences that take every piece exactly once.
+
+    ``whole`` rounds how often a configuration is used; those filled below ``least`` are left out.
+    """
     left, capacity = histogram.astype(np.int64).copy(), len(histogram) - 1
     plan: list[tuple[tuple[int, ...], int]] = []
 
@@ -169,7 +175,8 @@ def rounded(histogram: np.ndarray, used: dict[tuple[int, ...], float]) -> list[t
                 left[x] -= n * times
 
     for lengths, times in sorted(used.items(), key=lambda x: (-x[0][0], -sum(x[0]), -x[1], x[0])):
-        take(lengths, int(np.ceil(times)))
+        if sum(lengths) >= least:
+            take(lengths, int(whole(times)))
     while (present := np.flatnonzero(left)).size:
         room, lengths, free = capacity, [], left.copy()
         while (fits := present[: np.searchsorted(present, room, "right")]).size:
@@ -185,6 +192,13 @@ def rounded(histogram: np.ndarray, used: dict[tuple[int, ...], float]) -> list[t
     return plan
 
 
+def planned(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """The program's rounding with the fewest sequences; the first of equals."""
+    used, capacity = solve(histogram), len(histogram) - 1
+    plans = [rounded(histogram, used, whole, least) for least in (0, capacity) for whole in (np.ceil, np.rint, np.floor)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
 class Places:
     """Where the r-th piece of a length goes: arrays sorted by length and first rank, for a search."""
 
@@ -217,7 +231,7 @@ def packed(docs: DataFrame, path: str, key: str, capacity: int = 2048) -> DataFr
     histogram = np.zeros(capacity + 1, np.int64)
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most capacity rows
         histogram[row["length"]] = row["n"]
-    places = Places(rounded(histogram, solve(histogram)))
+    places = Places(planned(histogram))
     shared = docs.sparkSession.sparkContext.broadcast(places)
     earlier = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

@@ -149,6 +149,9 @@ def test_packing_is_gapless_and_near_the_bound(spark, docs, nothing):
     plan = packing.rounded(histogram, packing.solve(histogram))
     assert Counter(x for c, n in plan for x in c for _ in range(n)) == Counter(lengths.tolist())
     assert all(sum(c) <= 2048 for c, _ in plan)
+    best = packing.planned(histogram)
+    assert Counter(x for c, n in best for x in c for _ in range(n)) == Counter(lengths.tolist())
+    assert sum(n for _, n in best) <= sum(n for _, n in plan)
     assert sum(n for _, n in plan) <= 1.01 * max(lengths.sum() / 2048, (lengths > 1024).sum()) + 1
     pieces = packing.packed(docs, PATH, "doc_id").collect()
     at = {}
