@@ -44,10 +44,10 @@ def cumulative_counts(counts: DataFrame, by: list[str] | None = None) -> DataFra
     points = cumulative.running_totals(
         counts, "score", ["pos", "neg"], by, descending=True, cuts=cuts, with_next=True
     ).withColumnsRenamed({"pos_total": "tp", "neg_total": "fp"})
-    # one row per group
-    return (
-        points.join(F.broadcast(totals), by) if by else points.crossJoin(F.broadcast(totals))
-    )
+    if by:
+        return points.join(totals, by)
+    row = totals.first()
+    return points.withColumns({c: F.lit(row[c]).cast("long") for c in ("p", "n")})
 
 
 def _share(part: Column, whole: Column) -> Column:

@@ -371,7 +371,7 @@ def _add_targets(searched: DataFrame, cls: str, k: int, blocks: dict) -> DataFra
             full = np.diff(offsets) >= k
             reach = np.full(batch.num_rows, np.inf)
             reach[full] = near.values.field("d2").to_numpy()[offsets[1:][full] - 1]
-            targets: list = [()] * batch.num_rows
+            places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for value in np.unique(classes).tolist():
                 mine, there = np.flatnonzero(classes == value), shared.value[value]
                 if len(there.numbers) == 1:
@@ -387,10 +387,17 @@ def _add_targets(searched: DataFrame, cls: str, k: int, blocks: dict) -> DataFra
                 for b in range(len(there.numbers)):
                     open_to[:, b] = _to_box(rows, there.low[b], there.high[b]) <= limit
                 open_to &= there.numbers[None, :] != own[mine][:, None]
-                for row, flags in zip(mine, open_to):
-                    targets[row] = there.numbers[flags].astype(np.int32)
+                row, block = np.nonzero(open_to)
+                places.append(mine[row])
+                numbers.append(there.numbers[block].astype(np.int32))
+            places, numbers = np.concatenate(places), np.concatenate(numbers)
+            ends = np.cumsum(np.bincount(places, minlength=batch.num_rows))
+            targets = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], ends]), pa.int32()),
+                pa.array(numbers[np.argsort(places, kind="stable")]),
+            )
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(reach), pa.array(targets, pa.list_(pa.int32()))],
+                [*batch.columns, pa.array(reach), targets],
                 names=[*batch.schema.names, "reach", "targets"],
             )
 
