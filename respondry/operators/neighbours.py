@@ -43,6 +43,8 @@ SAMPLE_PER_BLOCK = 64
 SLICE_ENTRIES = 1_000_000
 PAIR_ENTRIES = 8_000_000
 SLACK = 1e-9
+#: A vector held by more than this share of all rows is dealt to several parts.
+HOT_SHARE = 1 / 1024
 
 
 # --- trees of axis splits ------------------------------------------------------------------
@@ -492,13 +494,25 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
 def row_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFrame:
     """Add ``others``: the k nearest other rows of the same class, as ``(d2, key, vec)``.
 
-    Rows meet their vector's list by an ordinary join; a vector with very many copies makes one
-    large partition, which adaptive execution splits.
+    Rows meet their vector's list by a join. A vector that holds more than a share of
+    :data:`HOT_SHARE` of all rows is dealt by key to several parts, each with a copy of its list.
     """
     lists = nearest_neighbours(points, cls, key, k)
+    same = [cls, "vec_hash"]
+    points = points.withColumn("vec_hash", F.xxhash64("vec"))
+    least = max(1, math.ceil(points.count() * HOT_SHARE))
+    hot = points.groupBy(*same).agg(F.count("*").alias("copies")).filter(F.col("copies") > least)
+    # fewer than 1 / HOT_SHARE rows
+    hot = F.broadcast(hot.select(*same, F.ceil(F.col("copies") / least).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    part = F.pmod(F.xxhash64(key, F.lit("part")), parts).cast("int")
+    points = points.join(hot, same, "left").withColumn("part", part).drop("parts")
+    lists = lists.join(hot, same, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts - 1))
+    ).drop("parts")
+    columns = [c for c in points.columns if c not in ("vec_hash", "part")]
     return (
-        points.withColumn("vec_hash", F.xxhash64("vec"))
-        .join(lists, [cls, "vec_hash", "vec"])
+        points.join(lists, [*same, "vec", "part"])
         .withColumn("others", F.slice(F.filter("near", lambda n: n["key"] != F.col(key)), 1, k))
-        .select(*points.columns, "others")
+        .select(*columns, "others")
     )
