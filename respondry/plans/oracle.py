@@ -41,7 +41,11 @@ contacts AS (
   SELECT
     o_orderkey AS contact_id,
     CAST(17 + (c_custkey * 31) % 90 AS INT) AS age,
-    CASE WHEN c_custkey % 11 = 0 THEN 'unknown' ELSE lower(c_mktsegment) END AS job,
+    CASE WHEN c_custkey % 11 = 0 THEN 'unknown'
+         WHEN c_mktsegment = 'AUTOMOBILE' THEN 'technician'
+         WHEN c_mktsegment = 'BUILDING' THEN 'blue-collar'
+         WHEN c_mktsegment = 'HOUSEHOLD' THEN 'housemaid'
+         WHEN c_mktsegment = 'MACHINERY' THEN 'admin.' ELSE lower(c_mktsegment) END AS job,
     CASE WHEN c_custkey % 53 = 0 THEN 'unknown' WHEN c_nationkey % 4 = 1 THEN 'single'
          WHEN c_nationkey % 4 = 2 THEN 'divorced' ELSE 'married' END AS marital,
     CASE c_custkey % 8 WHEN 0 THEN 'basic.4y' WHEN 1 THEN 'basic.6y' WHEN 2 THEN 'basic.9y'
