@@ -1,11 +1,14 @@
 """The pipeline and the registered queries on the small tables."""
 
+import itertools
+import random
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from respondry.llm import queries
+from respondry.llm import overlap, queries
 from respondry.llm.common import table
 from tests.compare import difference, duck_result, spark_result
 
@@ -45,3 +48,53 @@ def test_held_out_language(spark, sf_dir):
     found = queries.op2_language_id(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     right = found.where("held_out").select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right >= 0.95
+
+
+def planted(seed=5):
+    """Texts of 200 words and copies with one word to 4 % of the words changed, ids in pairs."""
+    random_ = random.Random(seed)
+    word = lambda: "".join(random_.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    texts = []
+    for edits in [1, 2, 4, 8] * 10:
+        text = [word() for _ in range(200)]
+        copy = list(text)
+        start = random_.randrange(100)
+        # neighbouring words, so that even 8 of 200 leave a similarity of 0.8 or more
+        copy[start : start + edits] = [word() for _ in range(edits)]
+        texts += [" ".join(text), " ".join(copy)]
+    return texts
+
+
+def jaccard(a, b):
+    a, b = ({tuple(x[i : i + 5]) for i in range(max(len(x) - 4, 1))} for x in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_dedup_joins_edited_copies_and_nothing_else(spark, sf_dir):
+    texts = planted()
+    assert all(jaccard(a, b) >= 0.8 for a, b in zip(texts[::2], texts[1::2]))
+    # changed words spread out: a similarity below 0.8, which stays
+    far = texts[0].split()
+    far[::20] = [f"other{i}" for i in range(10)]
+    assert jaccard(texts[0], " ".join(far)) < 0.8
+    rows = [(i, x, "en", "s", len(x)) for i, x in enumerate([*texts, " ".join(far)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
+    assert kept == {*range(0, len(texts), 2), len(texts)}
+
+
+def test_overlap_groups_equal_brute_force(spark, sf_dir, monkeypatch):
+    # every list longer than two rows is cut, and frequent shingles are few
+    monkeypatch.setattr(overlap, "PART", 2)
+    monkeypatch.setattr(overlap, "FREQUENT", 50)
+    docs = table(spark, sf_dir, "documents").orderBy("doc_id").limit(150)
+    odd = spark.createDataFrame([(10**6, None), (10**6 + 1, " "), (10**6 + 2, "one two"), (10**6 + 3, "One two")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").union(odd).cache()
+    sets = {r["doc_id"]: overlap.shingles((r["text"] or "").encode()) for r in docs.collect()}
+    component = {k: k for k in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if overlap.similar(sets[a], sets[b]) and component[a] != component[b]:
+            low, high = sorted((component[a], component[b]))
+            component = {k: low if c == high else c for k, c in component.items()}
+    got = {r["doc_id"]: r["component_id"] for r in overlap.groups(docs, "doc_id").collect()}
+    assert got == component and got[10**6 + 1] == 10**6 and got[10**6 + 3] == 10**6 + 2
