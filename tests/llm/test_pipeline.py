@@ -98,3 +98,12 @@ def test_overlap_groups_equal_brute_force(spark, sf_dir, monkeypatch):
             component = {k: low if c == high else c for k, c in component.items()}
     got = {r["doc_id"]: r["component_id"] for r in overlap.groups(docs, "doc_id").collect()}
     assert got == component and got[10**6 + 1] == 10**6 and got[10**6 + 3] == 10**6 + 2
+
+
+def test_near_dedup_keeps_one_row_of_repeated_ids(spark, sf_dir):
+    one, two, three, four = planted(9)[:8:2]
+    rows = [(7, one), (7, one), (7, two), (3, two), (7, three), (None, four), (None, four), (None, one)]
+    rows = [(i, x, "en", "s", len(x)) for i, x in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
+    assert sorted(kept, key=str) == sorted([(7, one), (3, two), (7, three), (None, four)], key=str)
