@@ -301,6 +301,15 @@ def test_language_model(spark, docs, nothing):
     assert perplexity.score(nothing, "doc_id", model, counts).isEmpty()
 
 
+def test_language_model_keeps_words_of_high_rank_as_symbols(spark):
+    """Words of rank 4,097 to 8,192 are symbols, and 16 symbols make two-symbol contexts."""
+    rows = [(i, " ".join(f"w{j}" for j in range(i * 900, i * 900 + 900))) for i in range(10)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    model, _ = perplexity.train(train, perplexity.Settings(sweeps=1, rounds=0))
+    assert model.symbols == 8192 and model.contexts.count == 255 + 2 + 16 * 16
+    assert model.logs.shape == (513, 8193)
+
+
 def test_seatings_follow_the_restaurant():
     """Tables of one dish whose menu probability is one are those of a plain Pitman-Yor restaurant."""
     random_ = np.random.default_rng(0)
