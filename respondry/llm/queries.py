@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from respondry.llm import bpe, language, neardup, neighbours, packing, perplexity, personal, quality, simhash, warc
+from respondry.llm import alignment, bpe, conversations, exactdup, language, neardup, neighbours, packing, perplexity, personal, quality, simhash, warc
 from respondry.llm.common import remainder, table
+from respondry.sources.workspace import new_path, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
@@ -76,11 +78,40 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY, "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, the larger ids first: what the index has by then is what stays."""
+    docs = exactdup.digests(table(spark, sf_dir, "documents"), "doc_id")
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    later = F.coalesce(F.col("doc_id") >= F.lit(middle), F.lit(False))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, "digest-index")
+    index = exactdup.DigestIndex.opened(spark, path, f"digests_{path[-32:]}", buckets=buckets)
+    parts = [
+        written(exactdup.deduplicated(index, docs.where(part), "doc_id", name), name)
+        for name, part in (("later", later), ("earlier", ~later))
+    ]
+    index.close()
+    rows = parts[0].unionByName(parts[1])
+    sizes = written(rows.groupBy("digest").agg(F.count("*").alias("group_size")), "sizes")
+    rows = exactdup.with_groups(rows.drop("group_size"), sizes, ["group_size"])
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return rows.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), "doc_id", VOCABULARY, PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_language_id, op3_best_fit_packing, op4_warc, op5_embedding_near_dedup,
         op6_pii, op7_lm_scoring, op8_nearest_neighbours, op9_simhash_near_dedup, op10_bpe,
+        op11_conversation_repair, op12_exact_dedup, op13_token_alignment,
     )
 }
 
@@ -112,4 +143,13 @@ SQL = {
                e.vec_id = least(e.vec_id, (SELECT min(two) FROM reach r WHERE r.one = e.vec_id)) AS kept
         FROM embeddings e
     """,
+    "op12_exact_dedup": """
+        WITH d AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain
+            FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(plain) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY plain)
+    """,
 }
