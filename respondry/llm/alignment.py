@@ -113,7 +113,7 @@ def lanes(a_ends: np.ndarray, b_ends: np.ndarray, a_first: np.ndarray, b_first:
     seconds = np.concatenate([b_first[:-1], at[common] + 1])
     order = np.argsort(firsts, kind="stable")
     firsts, seconds = firsts[order], seconds[order]
-    return np.stack([firsts, seconds, np.append(firsts[1:], a_first[-1])], axis=1)
+    return np.stack([firsts, seconds, np.append(firsts, a_first[-1])[1:]], axis=1)
 
 
 def lockstep(a_ends: np.ndarray, b_ends: np.ndarray, lane: np.ndarray) -> Merged:
