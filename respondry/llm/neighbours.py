@@ -28,6 +28,10 @@ from respondry.llm.vectors import matrix, sample, unit, usable
 from respondry.sources.workspace import written
 
 
+#: Rows met by all queries of a group at once.
+STRIP = 512
+
+
 @dataclass(frozen=True)
 class Settings:
     """``most_lists`` bounds what is broadcast; ``visited`` is the share of lists that a query visits."""
@@ -69,34 +73,58 @@ def nearest_lists(rows: np.ndarray, centroids: np.ndarray, count: int) -> np.nda
     return np.argsort(far, axis=1, kind="stable")[:, :count]
 
 
-def survivors(blocks: list[np.ndarray], query: np.ndarray, allowed: np.ndarray, k: int, significance: float) -> np.ndarray:
-    """Rows that may be among the k nearest to ``query``; squared distances by column blocks."""
-    width = len(query)
-    kept, far = np.zeros(0, np.int64), np.zeros(0)
-    bound, start, size = np.inf, 0, 64
-    while start < len(allowed):
-        rows = allowed[start : start + size]
-        start, size = start + size, 2 * size
-        partial, seen = np.zeros(len(rows)), 0
-        for block in blocks:
-            part = query[seen : seen + block.shape[1]]
-            gap = block[rows] - part
-            partial += np.einsum("ij,ij->i", gap, gap)
+def survivors(
+    blocks: list[np.ndarray], queries: list[np.ndarray], allowed, k: int, significance: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) that may be among a query's k nearest; squared distances by column blocks.
+
+    All queries meet a strip of rows at once, a matrix product per block of columns. After each block a
+    test on the distance so far abandons pairs, and rows that no query wants are left out of the next
+    block. ``allowed(strip)`` says which pairs of a slice of rows count at all.
+    """
+    n, m = len(blocks[0]), len(queries[0])
+    width = sum(block.shape[1] for block in blocks)
+    query, row, far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    bound, start, size = np.full(m, np.inf), 0, 64
+    while start < n:
+        strip = np.arange(start, min(start + size, n))
+        alive, start, size = allowed(strip), start + size, min(2 * size, STRIP)
+        partial, seen = np.zeros((len(strip), m)), 0
+        for block, part in zip(blocks, queries):
+            rows = block[strip]
+            partial += (rows * rows).sum(axis=1)[:, None] + (part * part).sum(axis=1) - 2 * (rows @ part.T)
             seen += block.shape[1]
-            if seen < width and bound < np.inf:
-                stay = partial * (width / seen) <= bound * (1 + significance / np.sqrt(seen)) ** 2
-                rows, partial = rows[stay], partial[stay]
-        kept, far = np.concatenate([kept, rows]), np.concatenate([far, partial])
-        if len(far) > k:
-            # squared distances are at most 4, so this leaves room for rounding
-            bound = np.partition(far, k - 1)[k - 1] + 1e-12
-            kept, far = kept[far <= bound], far[far <= bound]
-    return kept
+            # squared distances are at most 4, so 1e-12 leaves room for rounding
+            alive &= partial * (width / seen) <= bound * (1 + significance / np.sqrt(seen) * (seen < width)) ** 2 + 1e-12
+            wanted = alive.any(axis=1)
+            if not wanted.all():
+                strip, alive, partial = strip[wanted], alive[wanted], partial[wanted]
+        i, j = np.nonzero(alive)
+        query, row, far = np.concatenate([query, j]), np.concatenate([row, strip[i]]), np.concatenate([far, partial[i, j]])
+        order = np.lexsort((far, query))
+        query, row, far = query[order], row[order], far[order]
+        last = np.flatnonzero(places(query) == k - 1)
+        bound[query[last]] = far[last]
+        near = far <= bound[query] + 1e-12
+        query, row, far = query[near], row[near], far[near]
+    return query, row
+
+
+def places(group: np.ndarray) -> np.ndarray:
+    """Number of each entry within its run of equal values."""
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    return np.arange(len(group)) - np.repeat(first, np.diff(np.append(first, len(group))))
 
 
-def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosines; every row is summed the same way wherever it stands."""
-    return (rows * query).sum(axis=1) / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which changes no cosine, so that no square over- or underflows."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
+def exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Cosines of pairs; every row is summed the same way wherever it stands."""
+    rows, queries = scaled(rows), scaled(queries)
+    return (rows * queries).sum(axis=1) / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((queries * queries).sum(axis=1)))
 
 
 NEAR = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -167,20 +195,25 @@ def search(vectors: DataFrame, key: str, vector: str, asks: Column, k: int = 5,
         original = matrix(columns["vector"], width)
         sizes = np.diff(columns["vector"].offsets.to_numpy())
         turned = unit(original) @ shared.value.turn
-        held = np.flatnonzero(kind == 0)
-        blocks = [np.ascontiguousarray(turned[held][:, c : c + settings.columns]) for c in range(0, width, settings.columns)]
-        out: list[list] = [[], [], [], []]
-        for q in np.flatnonzero(kind == 1):
-            allowed = np.flatnonzero((numbers[held] != numbers[q]) & (sizes[held] == sizes[q]))
-            near = held[survivors(blocks, turned[q], allowed, k, settings.significance)]
-            scores = exact(original[near], original[q])
-            best = np.lexsort((ids[near], -scores))[:k]
-            out[0] += [numbers[q]] * len(best)
-            out[1] += [ids[q]] * len(best)
-            out[2] += ids[near[best]].tolist()
-            out[3] += scores[best].tolist()
-        if out[0]:
-            yield pa.record_batch(out, schema=NEAR)
+        held, asking = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+        if not len(held) or not len(asking):
+            return
+        blocks, parts = (
+            [np.ascontiguousarray(turned[side][:, c : c + settings.columns]) for c in range(0, width, settings.columns)]
+            for side in (held, asking)
+        )
+
+        def allowed(strip):
+            rows = held[strip][:, None]
+            return (numbers[rows] != numbers[asking]) & (sizes[rows] == sizes[asking])
+
+        query, near = survivors(blocks, parts, allowed, k, settings.significance)
+        query, near = asking[query], held[near]
+        scores = exact(original[near], original[query])
+        order = np.lexsort((ids[near], -scores, query))
+        order = order[places(query[order]) < k]
+        query, near = query[order], near[order]
+        yield pa.record_batch([numbers[query], ids[query], ids[near], scores[order]], schema=NEAR)
 
     found = met.mapInArrow(run, "query long, query_id long, id long, score double")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")

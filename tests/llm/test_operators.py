@@ -280,6 +280,80 @@ def test_neighbours_recall_and_ties(spark, vectors):
     assert neighbours.search(vectors.limit(0), "vec_id", "embedding", F.lit(True)).isEmpty()
 
 
+def test_neighbours_of_extreme_vectors(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [1.0, 0.0]), (5, [5e-324, 0.0]), (6, [-1e308, 1e308])]
+    frame = spark.createDataFrame([(i, v, 9, 9.0) for i, v in rows], "vec_id long, embedding array<double>, rank int, score double")
+    got = neighbours.search(frame, "vec_id", "embedding", F.col("vec_id") == 1).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [2, 3, 4, 5, 6]
+    assert np.allclose([r["score"] for r in got], [1, 1, 0.5**0.5, 0.5**0.5, 0])
+    near = neardup.near_duplicates(frame.withColumn("label", F.lit(1)), "vec_id", "embedding", "label").collect()
+    assert {r["vec_id"]: r["component_id"] for r in near} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
+
+
+def test_scan_keeps_every_nearest_pair_without_abandoning():
+    chosen = np.random.default_rng(8)
+    rows, asks = (neighbours.unit(chosen.normal(size=(n, 40))) for n in (1500, 30))
+    blocks, parts = ([x[:, c : c + 16] for c in range(0, 40, 16)] for x in (rows, asks))
+    query, row = neighbours.survivors(blocks, parts, lambda strip: np.ones((len(strip), 30), bool), 5, 1e9)
+    for q in range(30):
+        best = np.argsort(((rows - asks[q]) ** 2).sum(axis=1))[:5]
+        assert set(best.tolist()) <= set(row[query == q].tolist())
+    query, row = neighbours.survivors(blocks, parts, lambda strip: np.ones((len(strip), 30), bool), 5, 2.1)
+    hits = sum(len(set(np.argsort(((rows - asks[q]) ** 2).sum(axis=1))[:5].tolist()) & set(row[query == q].tolist())) for q in range(30))
+    assert hits >= 0.95 * 150
+
+
+def test_secrets_are_found_where_they_are_assigned():
+    def secrets(text):
+        return [text[a:b] for a, k, b in personal.spans(text) if personal.KINDS[k] == "secret"]
+
+    value = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"
+    for text in (f'token = "{value}" From', f"TOKEN = '{value}'!!", f"api_key: {value}.", f'"client_secret":"{value}"', f"Authorization: Bearer {value}"):
+        assert [x.rstrip(".") for x in secrets(text)] == [value], text
+    assert secrets('password = "hunter!?" and pwd=a1b2c3d4') == ["hunter!?", "a1b2c3d4"]
+    for text in ("the key: take it", "a token of thanks", "monkey = 12345678a", "keyboard", "password", "token =", "secret: something", ""):
+        assert secrets(text) == [], text
+    assert secrets("token = " * 10**5) == []
+
+
+def test_language_equals_brute_force(spark, docs):
+    """The contract of the method word by word, without the model's arrays."""
+    random_ = random.Random(4)
+    letters = {"aa": "abcde", "bb": "cdefg", "cc": "efgah"}
+    texts = [(lang, " ".join("".join(random_.choices(x, k=random_.randint(1, 4))) for _ in range(30))) for lang, x in letters.items() for _ in range(6)]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(texts)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"))
+    words, grams = {x: Counter() for x in letters}, {n: {x: Counter() for x in letters} for n in range(1, 5)}
+    for lang, text in texts:
+        for word in text.split():
+            words[lang][word] += 1
+            for n in range(1, 5):
+                padded = f"<{word}>" if n > 1 else word
+                grams[n][lang].update(padded[i : i + n] for i in range(len(padded) - n + 1))
+    words = {lang: Counter({w: n for w, n in found.items() if n > 1}) for lang, found in words.items()}
+
+    def logs(counts, unit):
+        size = len(set().union(*counts.values()))
+        return np.array([np.log((counts[x][unit] + 0.5) / (counts[x].total() + 0.5 * (size + 1))) for x in sorted(letters)])
+
+    for text in ["abc cde ghgh", "zzz a", "aceg bdfh", "hhhh", "eeee dddd ggag", "q"] + [t for _, t in texts[::4]]:
+        total = np.zeros(3)
+        for word in text.split():
+            if any(found[word] for found in words.values()):
+                total += logs(words, word)
+                continue
+            for n in range(4, 0, -1):
+                padded = f"<{word}>" if n > 1 else word
+                seen = [padded[i : i + n] for i in range(len(padded) - n + 1)]
+                seen = [g for g in seen if any(found[g] for found in grams[n].values())]
+                if seen:
+                    total += np.mean([logs(grams[n], g) for g in seen], axis=0)
+                    break
+        lang, score = language.score(model, text, {})
+        assert lang == sorted(letters)[int(np.argmax(total))]
+        assert np.isclose(score, 1 / np.exp(total - total.max()).sum())
+
+
 def test_language_model(spark, docs, nothing):
     rows = [(i, text_of(30, i)) for i in range(80)]
     train = spark.createDataFrame(rows, "doc_id long, text string")
