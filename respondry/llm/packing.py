@@ -13,22 +13,21 @@ those with the longest piece first, never beyond what is left of the histogram;
 by largest fitting length first, and the rounding with the fewest sequences is the plan. Pieces then take the places of the plan by their number within their
 length, which is found in shares so that no task holds all pieces of one length.
 
-Null text counts as empty, so it is the end id alone. Repeated rows are packed one by one.
+Null text counts as empty, so it is the end id alone; a null key is kept. Texts are encoded whole, whatever
+they hold. Repeated rows are packed one by one; other columns are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from respondry.llm import bpe
+from respondry.llm import encoding
 from respondry.llm.common import schema_with, task_numbers, text_bytes
 from respondry.sources.workspace import written
 
@@ -40,17 +39,6 @@ SLACK = 0.1
 PASSES = 4
 
 
-@cache
-def encoder(path: str) -> tiktoken.Encoding:
-    """A fast encoder with the file's vocabulary; its ids must rise with the rank of their merge."""
-    vocab = bpe.vocabulary(path)
-    merged = [code & bpe.ID_MASK for code in sorted(vocab.merges.values())]
-    if merged != sorted(merged):
-        raise ValueError(f"{path}: ids don't follow the order of merges")
-    ranks = {token: i for i, token in vocab.tokens.items() if i not in vocab.special.values()}
-    return tiktoken.Encoding("packing", pat_str=bpe.PATTERN.pattern, mergeable_ranks=ranks, special_tokens=vocab.special)
-
-
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """Start and length of the pieces of a document of ``length`` ids."""
     first = length % capacity or min(length, capacity)
@@ -63,12 +51,11 @@ def pieces(docs: DataFrame, path: str, key: str, capacity: int, end: int = 0) ->
     added = "piece int, start long, length long, ids_crc32 long, number long"
 
     def run(rows):
-        encoding, numbers = encoder(path), task_numbers()
+        numbers = task_numbers()
         for batch in rows:
             place, piece, starts, lengths, crcs = [], [], [], [], []
             for row, text in enumerate(batch["text"].to_pylist()):
-                ids = encoding.encode(text.decode("utf-8", "replace"), allowed_special="all")
-                ids = np.array([*ids, end], "<u4")
+                ids = np.append(encoding.ids(path, text.decode("utf-8", "replace")), end).astype("<u4")
                 for i, (start, length) in enumerate(cut(len(ids), capacity)):
                     place.append(row)
                     piece.append(i)
