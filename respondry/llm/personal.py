@@ -1,13 +1,15 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton runs over the whole text once and stops at anchors: at-signs, plus signs,
-digits, scheme marks and the words that announce an account. From each anchor a deterministic parser
+digits, scheme marks and the words that announce an account or a secret. From each anchor a deterministic parser
 expands to the boundaries of what may stand there, and a check decides: octets up to 255, Luhn, digit
 counts, mod-97 for account numbers that have it.
 
 Base kinds are ``email``, ``ip``, ``card`` and ``phone``; their spans are those of a leftmost,
 non-overlapping search per kind with failing matches dropped and not tried again. The method adds
-``account`` (an announced account number) and ``login`` (user and password in front of a host).
+``account`` (an announced account number), ``login`` (user and password in front of a host) and
+``secret`` (a value assigned to a token, key, password and the like; it has letters and digits, or
+stands in quotes or is long).
 
 Offsets are code points, ends exclusive. Null text counts as empty. Rows are independent of each other.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from respondry.llm.common import schema_with, text_bytes
 
-KINDS = ("email", "ip", "card", "phone", "account", "login")
+KINDS = ("email", "ip", "card", "phone", "account", "login", "secret")
 BASE = 4
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,6 +39,10 @@ CUES = ("account", "acct", "iban", "konto", "compte", "cuenta")
 AFTER_CUE = re.compile(r"(?:[ ]?(?:no|nr|number)\b\.?)?[ :#=]{1,3}", re.ASCII | re.IGNORECASE)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", re.ASCII)
 NUMBER = re.compile(r"[0-9](?:-?[0-9]){5,16}(?![A-Za-z0-9])", re.ASCII)
+SECRETS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "credential", "key", "bearer", "authorization")
+ASSIGNED = re.compile(r"""[A-Za-z_]{0,8}["']?[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}(?:bearer[ ]+)?|(?<=bearer)[ ]+""", re.ASCII | re.IGNORECASE)
+QUOTED = re.compile(r"""(["'`])([^"'`\s]{6,})\1""")
+BARE = re.compile(r"[A-Za-z0-9][A-Za-z0-9+/_.~-]{7,}={0,2}", re.ASCII)
 Span = tuple[int, int, int]
 
 
@@ -45,9 +51,10 @@ def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for word, what in [("@", "@"), ("+", "+"), ("://", "/"), *((d, "0") for d in string.digits)]:
         found.add_word(word, (what, len(word)))
-    for cue in CUES:
-        for form in (cue, cue.capitalize(), cue.upper()):
-            found.add_word(form, ("cue", len(form)))
+    for what, cues in (("cue", CUES), ("secret", SECRETS)):
+        for cue in cues:
+            for form in (cue, cue.capitalize(), cue.upper()):
+                found.add_word(form, (what, len(form)))
     found.make_automaton()
     return found
 
@@ -90,10 +97,24 @@ def _account(text: str, at: int) -> Span | None:
     return (at, 4, found.end()) if found else None
 
 
+def _secret(text: str, start: int, at: int) -> Span | None:
+    """The value assigned to the cue that stands from ``start`` to ``at``."""
+    if start and text[start - 1].isalpha() and not text[start].isupper():
+        return None
+    if not (gap := ASSIGNED.match(text, at)):
+        return None
+    if found := QUOTED.match(text, gap.end()):
+        return found.start(2), 6, found.end(2)
+    found = BARE.match(text, gap.end())
+    if found and (any(map(str.isdigit, found[0])) and any(map(str.isalpha, found[0])) or len(found[0]) >= 24):
+        return found.start(), 6, found.end()
+    return None
+
+
 def spans(text: str) -> list[Span]:
     """``(start, kind, end)`` in order of start, then kind."""
     out: list[Span] = []
-    email_end = dotted_end = grouped_end = account_end = 0
+    email_end = dotted_end = grouped_end = account_end = secret_end = 0
     for last, (what, size) in automaton().iter(text):
         if what == "0":
             if last >= dotted_end:
@@ -120,6 +141,10 @@ def spans(text: str) -> list[Span]:
         elif what == "/":
             if found := LOGIN.match(text, last + 1):
                 out.append((last + 1, 5, found.end()))
+        elif what == "secret":
+            if last >= secret_end and (found := _secret(text, last + 1 - size, last + 1)):
+                out.append(found)
+                secret_end = found[2]
         elif last + 1 > account_end and (found := _account(text, last + 1)):
             out.append(found)
             account_end = found[2]
