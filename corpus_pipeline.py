@@ -1,9 +1,9 @@
 """A training corpus from ``documents``: five stages, each written and read again.
 
-Language ID drops texts without a language or with an unsure one and names it in ``lang``; the quality
-classifier drops bad texts; near-dedup keeps the document with the smallest id of every group of texts whose
-five-word shingles are at least 0.8 similar (Jaccard), directly or through others; personal
-data is replaced by the name of its kind; what is left is packed into sequences. Stages take the columns
+Language ID drops texts without a language, with an unsure one, or of words unlike those of any language
+learnt, and names the language in ``lang``; the quality classifier drops bad texts; near-dedup keeps the
+document with the smallest id of every group of texts whose SimHash fingerprints (three words, at most two
+bits apart) are linked, directly or through others; personal data is replaced by the name of its kind; what is left is packed into sequences. Stages take the columns
 of ``documents``, with others beside them, and all but the last return those. Null text has no language
 and goes in the first stage. A null id is no reason to drop a row; in a group it comes after every other id.
 Rows that repeat an id are documents of their own: near-dedup keeps one row of a group, of equal ids the
@@ -15,19 +15,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from respondry.llm import language, overlap, packing, personal, quality, queries
+from respondry.llm import language, packing, personal, quality, queries, simhash
 from respondry.llm.common import table
 from respondry.sources.workspace import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Posterior below which a language counts as unsure.
 SURE = 0.5
+#: Share of a text's words, or of their longest n-grams, that its language must have been seen to use.
+FAMILIAR = 0.65
+#: Words of a shingle, and bits by which fingerprints of a group may differ.
+LENGTH, RADIUS = 3, 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    found = language.predict(docs, queries.language_model(docs))
-    found = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
+    found = language.predict(docs, queries.language_model(docs), familiar=True)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE) & (F.col("familiar") >= FAMILIAR)
+    found = found.where(known)
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
@@ -39,7 +44,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    groups = docs.select("row", "doc_id").join(overlap.groups(docs, "row"), "row")
+    groups = docs.select("row", "doc_id").join(simhash.groups(docs, "row", RADIUS, LENGTH), "row")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     least = groups.groupBy("component_id").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1")
     others = groups.join(least, "component_id").where(F.col("row") != F.col("least.row")).select("row")
