@@ -22,21 +22,22 @@ their own, and count; a null key is kept; other columns are ignored; an empty ta
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respondry.llm.bpe import byte_letters
+from respondry.llm import bpe, encoding
 from respondry.llm.common import schema_with, task_numbers, text_bytes
 from respondry.sources.workspace import written
 
 #: Text bytes merged at once, about, and the most documents.
-LOT = 4 << 20
+LOT = 1 << 20
 MOST = 10_000
 #: Tokens of A after which a lane of a long text may end.
 LANE = 256
@@ -47,7 +48,7 @@ SPACE_MARK = "▁"
 
 @dataclass(frozen=True)
 class Side:
-    """``encode`` gives the ids of texts; ``token`` and ``size`` the bytes of an id and how many."""
+    """``encode`` gives the ids of a text; ``token`` and ``size`` the bytes of an id and how many."""
 
     encode: object
     token: list[bytes]
@@ -56,35 +57,25 @@ class Side:
 
 @cache
 def byte_level(path: str) -> Side:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    tokenizer.encode_special_tokens = True
-    letters = byte_letters()
-    vocab = tokenizer.get_vocab(with_added_tokens=True)
-    token = [b""] * (max(vocab.values()) + 1)
-    for text, number in vocab.items():
-        token[number] = bytes(letters[x] for x in text) if all(x in letters for x in text) else text.encode()
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return Side(encode, token, np.array([len(x) for x in token]))
+    tokens = bpe.vocabulary(path).tokens
+    token = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+    return Side(lambda text: encoding.ids(path, " " + text, special=False), token, np.array([len(x) for x in token]))
 
 
 @cache
 def pieces(path: str) -> Side:
-    import sentencepiece
-
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     token = [
         bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE_MARK, " ").encode()
         for i in range(model.vocab_size())
     ]
-    return Side(lambda texts: model.encode(texts, num_threads=1), token, np.array([len(x) for x in token]))
+    return Side(lambda text: np.array(model.encode(text), np.uint32), token, np.array([len(x) for x in token]))
+
+
+@cache
+def numerals(size: int) -> list[str]:
+    """Every number below ``size`` before a comma, then before a bar, then before a semicolon."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(size)]
 
 
 @dataclass(frozen=True)
@@ -146,23 +137,35 @@ def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, merged: Merged, documents:
     order = np.argsort(key, kind="stable")
     key, ids = key[order], ids[order]
     last = np.append(key[1:] != key[:-1], True)
-    after = np.where(last, np.where(key % 2 == 0, "|", ";"), ",")
-    text = np.char.add(ids.astype("U8"), after).tolist()
+    size = int(ids.max(initial=0)) + 1
+    after = np.where(last, 1 + key % 2, 0)
+    text = list(map(numerals(1 << size.bit_length()).__getitem__, (ids + (after << size.bit_length())).tolist()))
     tokens = np.searchsorted(key, 2 * np.append(group[documents[:-1]], group[-1] + 1 if len(group) else 0))
     return ["".join(text[i:j])[:-1] for i, j in zip(tokens, tokens[1:])]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: all low bytes, then all second ones, and so on."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def aligned_lot(texts: list[bytes], first: Side, second: Side) -> dict:
     """Results of a lot's documents, its distinct pairs, their counts, and each link's pair as a number."""
-    plain = [t.decode("utf-8", "replace") for t in texts]
-    a, b = first.encode(plain), second.encode(plain)
-    for i, text in enumerate(texts):
-        whole = b" " + text
-        same = text and b"".join([first.token[x] for x in a[i]]) == whole and b"".join([second.token[x] for x in b[i]]) == whole
-        if not same:
-            a[i], b[i] = [], []
+    a, b = [], []
+    for text in texts:
+        one, two = (side.encode(text.decode("utf-8", "replace")) for side in (first, second))
+        sides = ((first, one), (second, two))
+        same = text and all(b"".join([side.token[x] for x in found.tolist()]) == b" " + text for side, found in sides)
+        a.append(one if same else one[:0])
+        b.append(two if same else two[:0])
     n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-    a_ids, b_ids = (np.fromiter((x for ids in side for x in ids), np.int64, sum(map(len, side))) for side in (a, b))
+    a_ids, b_ids = (np.concatenate([*side, np.zeros(0, np.uint32)]).astype(np.int64) for side in (a, b))
     a_ends, b_ends = np.cumsum(first.size[a_ids]), np.cumsum(second.size[b_ids])
     known = np.flatnonzero(n_a)
     a_first, b_first = (np.append(0, np.cumsum(n[known])) for n in (n_a, n_b))
@@ -176,9 +179,14 @@ def aligned_lot(texts: list[bytes], first: Side, second: Side) -> dict:
         digests[i] = hashlib.sha256(text.encode()).hexdigest()
     pairs = a_ids[merged.a] << PAIR_BITS | b_ids[merged.b]
     pairs, link, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+    # frequent pairs get small numbers, which pack well
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    pairs, counts, link = pairs[order], counts[order], rank[link]
     return {
         "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "groups_sha256": digests,
-        "pairs": pairs, "counts": counts, "links": link.astype("<u4").tobytes(),
+        "pairs": pairs, "counts": counts, "links": packed(link),
     }
 
 
@@ -242,7 +250,7 @@ def aligned(docs: DataFrame, key: str, first: str, second: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 n_links = batch["n_links"][i].values.to_numpy()
-                link = np.frombuffer(batch["links"][i].as_py(), "<u4")
+                link = unpacked(batch["links"][i].as_py())
                 if len(link):
                     totals = batch["totals"][i].values.to_numpy()
                     best = batch["best"][i].values.to_numpy(zero_copy_only=False)

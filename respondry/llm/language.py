@@ -44,12 +44,16 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """``rows`` maps a unit to its row of ``logs`` (units x languages); n-grams are keyed by length."""
+    """``words`` and ``grams`` (by length) map a unit to its row of ``logs`` (units x languages).
+
+    ``seen`` has, alike, whether a language was seen to use the unit.
+    """
 
     languages: tuple[str, ...]
     words: dict[str, int]
     grams: tuple[dict[str, int], ...]
     logs: np.ndarray
+    seen: np.ndarray
 
 
 def words_of(text: str | None) -> list[str]:
@@ -95,15 +99,18 @@ def train(docs: DataFrame, key: Column, settings: Settings = Settings()) -> Mode
     counts = units.select("lang", "kind", "unit", "n").toPandas().sort_values(["kind", "unit", "lang"])
     languages = tuple(sorted(counts["lang"].unique()))
     place = {lang: i for i, lang in enumerate(languages)}
-    tables, logs = [], []
+    tables, logs, seen = [], [], []
     for kind in range(LONGEST + 1):
         part = counts[counts["kind"] == kind]
         names = {unit: i for i, unit in enumerate(part["unit"].unique())}
         n = np.zeros((len(names), len(languages)))
         n[part["unit"].map(names).to_numpy(int), part["lang"].map(place).to_numpy(int)] = part["n"]
+        seen.append(n > 0)
         logs.append(np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * (len(names) + 1))))
         tables.append({unit: i + sum(map(len, tables)) for unit, i in names.items()})
-    return Model(languages, tables[0], tuple(tables[1:]), np.concatenate(logs) if languages else np.zeros((0, 0)))
+    if not languages:
+        return Model((), {}, tuple({} for _ in range(LONGEST)), np.zeros((0, 0)), np.zeros((0, 0), bool))
+    return Model(languages, tables[0], tuple(tables[1:]), np.concatenate(logs), np.concatenate(seen))
 
 
 def unknown_word(model: Model, word: str) -> np.ndarray | None:
@@ -137,20 +144,53 @@ def score(model: Model, text: str | None, memory: dict) -> tuple[str, float]:
     return model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (posterior under equal priors) of the column ``text``."""
+def familiarity(model: Model, text: str | None, lang: str, memory: dict) -> float:
+    """How much of a text ``lang`` was seen to use: the mean over its words, from 0 to 1.
+
+    A word seen counts 1, any other the share of its longest n-grams that were. Unlike the posterior it
+    does not grow more certain with the length of a text in a language that was never learnt.
+    """
+    found = words_of(text)
+    if lang not in model.languages or not found:
+        return 0.0
+    at, total = model.languages.index(lang), 0.0
+    for word in found:
+        known = memory.get((word, at))
+        if known is None:
+            row = model.words.get(word)
+            if row is not None and model.seen[row, at]:
+                known = 1.0
+            else:
+                length = min(LONGEST, len(word) + 2)
+                rows = [model.grams[length - 1].get(gram) for gram in grams_of(word, length)]
+                known = sum(x is not None and bool(model.seen[x, at]) for x in rows) / len(rows)
+            if len(memory) < REMEMBERED:
+                memory[word, at] = known
+        total += known
+    return total / len(found)
+
+
+def predict(docs: DataFrame, model: Model, familiar: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (posterior under equal priors) of the column ``text``.
+
+    With ``familiar`` also that column, see :func:`familiarity`.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "familiar")]
     docs = docs.select(*kept)
-    schema = schema_with(docs, "lang_pred string, score double")
+    schema = schema_with(docs, "lang_pred string, score double" + ", familiar double" * familiar)
 
     def run(rows):
         memory: dict[str, np.ndarray] = {}
+        shares: dict[tuple[str, int], float] = {}
         for batch in rows:
-            scored = [score(shared.value, text, memory) for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([s[0] for s in scored], pa.string()), pa.array([s[1] for s in scored], pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
-            )
+            texts = batch["text"].to_pylist()
+            scored = [score(shared.value, text, memory) for text in texts]
+            columns = [pa.array([s[0] for s in scored], pa.string()), pa.array([s[1] for s in scored], pa.float64())]
+            if familiar:
+                found = [familiarity(shared.value, text, s[0], shares) for text, s in zip(texts, scored)]
+                columns.append(pa.array(found, pa.float64()))
+            names = [*batch.schema.names, "lang_pred", "score", "familiar"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names[: len(batch.schema) + 2 + familiar])
 
     return docs.mapInArrow(run, schema)

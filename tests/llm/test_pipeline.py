@@ -1,14 +1,17 @@
 """The pipeline and the registered queries on the small tables."""
 
-import itertools
 import random
+import zlib
+from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
-from respondry.llm import overlap, queries
+from respondry.llm import packing, queries, simhash
 from respondry.llm.common import table
 from tests.compare import difference, duck_result, spark_result
 
@@ -50,60 +53,95 @@ def test_held_out_language(spark, sf_dir):
     assert right >= 0.95
 
 
-def planted(seed=5):
-    """Texts of 200 words and copies with one word to 4 % of the words changed, ids in pairs."""
+def texts_of(seed, count, words=200):
     random_ = random.Random(seed)
-    word = lambda: "".join(random_.choices("abcdefghijklmnopqrstuvwxyz", k=6))
-    texts = []
-    for edits in [1, 2, 4, 8] * 10:
-        text = [word() for _ in range(200)]
-        copy = list(text)
-        start = random_.randrange(100)
-        # neighbouring words, so that even 8 of 200 leave a similarity of 0.8 or more
-        copy[start : start + edits] = [word() for _ in range(edits)]
-        texts += [" ".join(text), " ".join(copy)]
-    return texts
-
-
-def jaccard(a, b):
-    a, b = ({tuple(x[i : i + 5]) for i in range(max(len(x) - 4, 1))} for x in (a.split(), b.split()))
-    return len(a & b) / len(a | b)
-
-
-def test_near_dedup_joins_edited_copies_and_nothing_else(spark, sf_dir):
-    texts = planted()
-    assert all(jaccard(a, b) >= 0.8 for a, b in zip(texts[::2], texts[1::2]))
-    # changed words spread out: a similarity below 0.8, which stays
-    far = texts[0].split()
-    far[::20] = [f"other{i}" for i in range(10)]
-    assert jaccard(texts[0], " ".join(far)) < 0.8
-    rows = [(i, x, "en", "s", len(x)) for i, x in enumerate([*texts, " ".join(far)])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
-    assert kept == {*range(0, len(texts), 2), len(texts)}
-
-
-def test_overlap_groups_equal_brute_force(spark, sf_dir, monkeypatch):
-    # every list longer than two rows is cut, and frequent shingles are few
-    monkeypatch.setattr(overlap, "PART", 2)
-    monkeypatch.setattr(overlap, "FREQUENT", 50)
-    docs = table(spark, sf_dir, "documents").orderBy("doc_id").limit(150)
-    odd = spark.createDataFrame([(10**6, None), (10**6 + 1, " "), (10**6 + 2, "one two"), (10**6 + 3, "One two")], "doc_id long, text string")
-    docs = docs.select("doc_id", "text").union(odd).cache()
-    sets = {r["doc_id"]: overlap.shingles((r["text"] or "").encode()) for r in docs.collect()}
-    component = {k: k for k in sets}
-    for a, b in itertools.combinations(sorted(sets), 2):
-        if overlap.similar(sets[a], sets[b]) and component[a] != component[b]:
-            low, high = sorted((component[a], component[b]))
-            component = {k: low if c == high else c for k, c in component.items()}
-    got = {r["doc_id"]: r["component_id"] for r in overlap.groups(docs, "doc_id").collect()}
-    assert got == component and got[10**6 + 1] == 10**6 and got[10**6 + 3] == 10**6 + 2
+    return [" ".join("".join(random_.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(words)) for _ in range(count)]
+
+
+def frame(spark, rows):
+    """Documents with an extra column under a name that stages use themselves."""
+    rows = [(i, x, "en", "s", len(x or ""), "clash") for i, x in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+
+
+def test_near_dedup_equals_brute_force(spark, sf_dir):
+    random_, rows = random.Random(5), []
+    for text in texts_of(1, 30):
+        for _ in range(4):
+            words = text.split(" ")
+            for _ in range(random_.choice([0, 1, 1, 2, 5])):
+                words[random_.randrange(len(words))] = "changed"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(1000, ""), (1001, "  "), (1002, "one two"), (1003, "One two")]
+    prints = [simhash.fingerprint(x.encode()) for _, x in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min(label[j] for j, y in enumerate(prints) if (x ^ y).bit_count() <= 2) for x in prints]
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), sf_dir).collect()}
+    assert kept == {rows[i][0] for i in set(label)}
 
 
 def test_near_dedup_keeps_one_row_of_repeated_ids(spark, sf_dir):
-    one, two, three, four = planted(9)[:8:2]
+    one, two, three, four = texts_of(9, 4)
     rows = [(7, one), (7, one), (7, two), (3, two), (7, three), (None, four), (None, four), (None, one)]
     rows = [(i, x, "en", "s", len(x)) for i, x in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
     assert sorted(kept, key=str) == sorted([(7, one), (3, two), (7, three), (None, four)], key=str)
+
+
+ODD = [
+    (None, "no id at all, and the text is here"), (1, None), (2, ""), (3, " \t"), (4, "x"), (4, "x"), (5, "the " * 200_000),
+    (6, "a" * 10**6), (7, "x" + " " * 10**6 + "y"), (8, "\n" * 10**6), (9, "mail me: a.b@c.de, token = 'abcdef0123456789'"),
+]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_every_stage_takes_odd_and_empty_tables(spark, sf_dir, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = frame(spark, ODD).withColumn("n_chars", F.lit(None).cast("long"))
+    rows = stage(spark, docs, sf_dir).collect()
+    ids = [r["doc_id"] for r in rows]
+    if name == "simhash_near_dedup":
+        assert sorted(ids, key=str) == sorted([None, 1, 4, 5, 6, 7, 9], key=str)
+    if name == "pii":
+        text = {r["doc_id"]: r["text"] for r in rows}
+        assert len(rows) == len(ODD) and text[9] == "mail me: [EMAIL], token = '[SECRET]'" and text[1] is None and text[7] == ODD[8][1]
+    if name == "best_fit_packing":
+        tokenizer = Tokenizer.from_file(queries.VOCABULARY)
+        expected = Counter()
+        for i, x in ODD:
+            found = [*tokenizer.encode(x or "", add_special_tokens=False).ids, 0]
+            for piece, (start, length) in enumerate(packing.cut(len(found), 2048)):
+                crc = zlib.crc32(np.array(found[start : start + length], "<u4").tobytes())
+                expected[(i, piece, start, length, crc)] += 1
+        assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == expected
+    empty = stage(spark, docs.limit(0), sf_dir)
+    assert empty.isEmpty()
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert empty.columns == list(corpus_pipeline.COLUMNS)
+
+
+def test_packed_pieces_have_the_ids_of_the_library(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = Tokenizer.from_file(queries.VOCABULARY)
+    expected = Counter()
+    for r in docs.collect():
+        found = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        for piece, (start, length) in enumerate(packing.cut(len(found), 2048)):
+            expected[(r["doc_id"], piece, start, length, zlib.crc32(np.array(found[start : start + length], "<u4").tobytes()))] += 1
+    rows = queries.op3_best_fit_packing(spark, sf_dir).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == expected
+
+
+def test_the_language_stage_drops_languages_not_learnt(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*corpus_pipeline.COLUMNS)
+    strange = [
+        (10**9, "Wczoraj wieczorem poszliśmy razem do kina i obejrzeliśmy nowy polski film o miłości."),
+        (10**9 + 1, "这是一个中文句子，用来测试。"), (10**9 + 2, "Це речення українською мовою для перевірки."),
+    ]
+    every = docs.union(frame(spark, strange).select(*corpus_pipeline.COLUMNS))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, every, sf_dir).select("doc_id").collect()}
+    assert not kept & {i for i, _ in strange}
+    good = table(spark, sf_dir, "labels").where("quality = 1").join(docs.where("lang IS NOT NULL"), "doc_id").select("doc_id").collect()
+    assert good and all(r["doc_id"] in kept for r in good)
