@@ -1,38 +1,27 @@
-"""Running totals over a whole ordered table without a one-partition window."""
+"""Running totals over a whole ordered table without a one-partition window.
+
+Order values are dealt to ranges by Spark's range partitioning, and the table is written with the number
+of its range. Sums run inside each range in parallel; the totals of the ranges, a row each, are summed
+separately and added. Neither the number of ranges nor any expression grows with the rows of a range, no
+value reaches the driver, and a table of any size goes the same way.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 500_000
-
-
-def _bucket_number(value: Column, cuts: list) -> Column:
-    """How many cut points are <= ``value``, as a balanced tree of comparisons."""
+from respondry.sources.workspace import written
 
-    def branch(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(cuts[middle]), branch(low, middle)).otherwise(
-            branch(middle + 1, high)
-        )
 
-    return branch(0, len(cuts))
+def in_ranges(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
+    """``df``, written, with ``_range``: numbers that rise with ``column``; equal values share a range.
 
-
-def quantile_cuts(df: DataFrame, column: str, rows_per_bucket: int) -> list:
-    """Cut points that leave about ``rows_per_bucket`` rows between neighbours.
-
-    Their number follows from the row count alone; so many numbers reach the driver.
+    The number of ranges is that of the shuffle partitions unless given. The table is written because
+    the ranges come from a sample: afterwards a recomputed task finds them as they were.
     """
-    buckets = -(-df.count() // rows_per_bucket)
-    if buckets <= 1:
-        return []
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(column, steps, max(10_000, 20 * buckets)).alias("cuts")).first()
-    return sorted(set(cuts["cuts"]))
+    dealt = df.repartitionByRange(ranges, column) if ranges else df.repartitionByRange(column)
+    return written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def running_totals(
@@ -41,38 +30,36 @@ def running_totals(
     value_cols: list[str],
     partition_cols: list[str] | None = None,
     descending: bool = False,
-    cuts: list | None = None,
     with_next: bool = False,
+    ranges: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Add ``<value>_total``: the inclusive running sum of each value in ``order_col`` order.
 
-    ``df`` has one row per (partition, order value). ``cuts`` (see :func:`quantile_cuts`) splits
-    the order values into ranges: sums run inside each range in parallel, and the few range
-    totals are summed separately and added. The range of a row depends on its value alone, so a
-    recomputed task lands in the same range. Without cuts the table is taken as small.
-
-    ``with_next=True`` also adds ``<value>_next``, the value of the following row (null at the end).
+    ``df`` has one row per (partition, order value). ``with_next=True`` also adds ``<value>_next``, the
+    value of the following row (null at the end). ``small=True`` promises a table of bounded size,
+    which is summed in one task per partition.
     """
     groups = list(partition_cols or [])
     direction = F.desc if descending else F.asc
-    ranged = df.withColumn("_range", _bucket_number(F.col(order_col), cuts or []))
+    ranged = df.withColumn("_range", F.lit(0)) if small else in_ranges(df, order_col, ranges)
     order = Window.partitionBy(*groups, "_range").orderBy(direction(order_col))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = {f"{v}_total": F.sum(v).over(upto) for v in value_cols}
     if with_next:
         columns |= {f"{v}_next": F.lead(v).over(order) for v in value_cols}
     inside = ranged.withColumns(columns)
-    if not cuts:
+    if small:
         return inside.drop("_range")
 
-    first_of = F.min_by if not descending else F.max_by
+    first_of = F.max_by if descending else F.min_by
     over_ranges = Window.partitionBy(*groups).orderBy(direction("_range"))
     earlier = over_ranges.rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy(*groups, "_range").agg(
+    totals = ranged.groupBy(*groups, "_range").agg(
         *[F.sum(v).alias(f"_{v}_sum") for v in value_cols],
         *[first_of(v, order_col).alias(f"_{v}_first") for v in value_cols],
     )
-    offsets = ranges.select(
+    offsets = totals.select(
         *groups,
         "_range",
         *[

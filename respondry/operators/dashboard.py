@@ -92,35 +92,29 @@ def risk_correlation(
 ) -> DataFrame:
     """Pearson correlations of the indicator columns present, as ``(i, j, ..., value)``.
 
-    One aggregate job computes the upper triangle, the rest is mirrored. A pair uses the rows where
-    both values are known; a constant column correlates 0.0 with everything, itself included.
-
-    Without nulls one deviation per column serves all its pairs, and the aggregate stays within the
-    field limit of code generation. Only a table with nulls takes the second, per-pair form.
+    A pair uses the rows where both values are known; a constant column correlates 0.0 with
+    everything, itself included. Every row becomes one entry per pair of the upper triangle, and one
+    aggregate by pair merges their counts, means and co-moments task by task; the rest is mirrored.
+    So there is one pass and one formula, with nulls or without, and the plan stays as small as for
+    one pair.
     """
     present = [c for c in indicators if c in assessed.columns]
-    pairs = [(i, j) for i in range(len(present)) for j in range(i, len(present))]
     numbers = [F.col(c).cast("double") for c in present]
-
-    def cell(i: int, j: int, per_pair: bool):
-        x, y = numbers[i], numbers[j]
-        if per_pair:
-            spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-        else:
-            spread = F.stddev_pop(x) * F.stddev_pop(y)
-        together = spread if i == j else F.covar_pop(x, y)
-        ratio = together / F.nullif(spread, F.lit(0.0))
-        value = F.coalesce(F.nanvl(ratio, F.lit(0.0)), F.lit(0.0))
-        return F.round(value, digits).alias(f"r_{i}_{j}")
-
-    known = [F.count(c).alias(f"known_{i}") for i, c in enumerate(present)]
-    row = assessed.agg(
-        F.count("*").alias("rows"), *known, *[cell(i, j, False) for i, j in pairs]
-    ).first()
-    if any(row[f"known_{i}"] < row["rows"] for i in range(len(present))):
-        row = assessed.agg(*[cell(i, j, True) for i, j in pairs]).first()
+    pairs = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), x.alias("x"), y.alias("y"))
+        for i, x in enumerate(numbers) for j, y in enumerate(numbers) if i <= j
+    ]
+    entries = assessed.select(F.inline(F.array(*pairs))) if pairs else assessed.sparkSession.createDataFrame([], "i int, j int, x double, y double")
+    x, y = F.col("x"), F.col("y")
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    together = F.when(F.col("i") == F.col("j"), spread).otherwise(F.covar_pop(x, y))
+    ratio = F.nanvl(together / F.nullif(spread, F.lit(0.0)), F.lit(0.0))
+    known = entries.where(x.isNotNull() & y.isNotNull()).groupBy("i", "j").agg(
+        F.round(F.coalesce(ratio, F.lit(0.0)), digits).alias("value")
+    )
+    found = {(r["i"], r["j"]): r["value"] for r in known.collect()}  # a row per pair of columns
     cells = [
-        (i, j, indicator_label(a), indicator_label(b), row[f"r_{min(i, j)}_{max(i, j)}"])
+        (i, j, indicator_label(a), indicator_label(b), found.get((min(i, j), max(i, j)), 0.0))
         for i, a in enumerate(present)
         for j, b in enumerate(present)
     ]

@@ -32,17 +32,18 @@ def outcome_counts(
     return written(counts, "outcome-counts")
 
 
-def cumulative_counts(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+def cumulative_counts(
+    counts: DataFrame, by: list[str] | None = None, ranges: int | None = None
+) -> DataFrame:
     """Counts in descending score order with running ``tp``/``fp`` and the totals ``p``/``n``."""
     by = list(by or [])
     if "prediction" in counts.columns:
         counts = counts.groupBy(*by, "score").agg(
             F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
         )
-    cuts = cumulative.quantile_cuts(counts, "score", cumulative.ROWS_PER_BUCKET)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     points = cumulative.running_totals(
-        counts, "score", ["pos", "neg"], by, descending=True, cuts=cuts, with_next=True
+        counts, "score", ["pos", "neg"], by, descending=True, with_next=True, ranges=ranges
     ).withColumnsRenamed({"pos_total": "tp", "neg_total": "fp"})
     if by:
         return points.join(totals, by)

@@ -108,7 +108,7 @@ def score_ranks(assessed: DataFrame, column: str = "composite_risk_score") -> Da
     per distinct score; no sort or window ever sees the rows themselves.
     """
     per_score = assessed.groupBy(column).agg(F.count("*").alias("rows"))
-    return running_totals(per_score, column, ["rows"], descending=True).select(
+    return running_totals(per_score, column, ["rows"], descending=True, small=True).select(
         column, (F.col("rows_total") - F.col("rows") + 1).alias("risk_priority_rank")
     )
 

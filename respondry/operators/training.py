@@ -9,12 +9,12 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from respondry.functions import fixed_values as fv
 from respondry.operators.splitting import fold_number
-from respondry.sources.workspace import written
+from respondry.sources.workspace import exists, new_path, written
 
 
 def forest(num_trees: int = 20, max_depth: int = 5, seed: int = fv.SEED) -> RandomForestClassifier:
@@ -30,11 +30,17 @@ def fit_forest(
 
 
 def auc(scored: DataFrame) -> float:
+    """Exact area under the ROC curve: no bins."""
     return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol="label", rawPredictionCol="p_yes", metricName="areaUnderROC", numBins=0
     ).evaluate(scored)
 
 
+def search_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out rows of a search in ``folder``: ``num_trees, max_depth, fold, row_key, label, p_yes``."""
+    return spark.read.option("basePath", folder).parquet(f"{folder}/num_trees=*/max_depth=*/fold=*")
+
+
 def grid_search(
     train: DataFrame,
     key: str = "row_key",
@@ -43,15 +49,22 @@ def grid_search(
     folds: int = fv.FOLDS,
     seed: int = fv.SEED,
     parallelism: int = 2,
+    folder: str | None = None,
 ) -> tuple[RandomForestClassificationModel, DataFrame]:
     """Cross-validated search by AUC, then a refit of the best point on all rows.
 
     Folds come from the key's hash and are written as folder partitions, so leaving one out is a
-    pruned scan. Returns the model and one report row per grid point.
+    pruned scan. Every fit writes its held-out predictions to a part of ``folder`` (one of the
+    application's own if none is named), and a search that is started again with the same folder and
+    the same rows goes on after the parts it finds whole; see :func:`search_results`. Returns the model
+    and one report row per grid point.
     """
     spark = train.sparkSession
+    folder = folder or new_path(spark, "search")
     folded = written(
-        train.select("features", "label", fold_number(F.col(key), folds, seed).alias("fold")),
+        train.select(
+            F.col(key).alias("row_key"), "features", "label", fold_number(F.col(key), folds, seed).alias("fold")
+        ),
         "folds",
         partition_by=("fold",),
     )
@@ -60,8 +73,12 @@ def grid_search(
     @inheritable_thread_target(spark)
     def one_fit(task):
         (trees, depth), held_out = task
-        model = fit_forest(folded.filter(F.col("fold") != held_out), trees, depth, seed)
-        return auc(model.transform(folded.filter(F.col("fold") == held_out)))
+        part = f"{folder}/num_trees={trees}/max_depth={depth}/fold={held_out}"
+        if not exists(spark, f"{part}/_SUCCESS"):
+            model = fit_forest(folded.filter(F.col("fold") != held_out), trees, depth, seed)
+            scored = score(folded.filter(F.col("fold") == held_out), model)
+            scored.select("row_key", "label", "p_yes").write.mode("overwrite").parquet(part)
+        return auc(spark.read.parquet(part))
 
     with ThreadPool(max(1, parallelism)) as pool:
         values = pool.map(one_fit, list(product(grid, range(folds))))

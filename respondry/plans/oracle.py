@@ -451,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(map(q, COLUMNS)) + ") AS row_key, age, job FROM contacts"
         ),
         "scan_csv_header": whole,
+        "scan_csv_folder": whole,
         "feature_model_reload": feature_entries,
         "clean_sentinel": with_contacts(MARKED, "SELECT * FROM marked"),
         "impute_mean": with_contacts(
@@ -527,17 +528,20 @@ def oracle_sql() -> dict[str, str]:
         ),
         "forest_reload": with_contacts(
             *CLEANED,
-            "SELECT contact_id, CAST(y = 'yes' AS DOUBLE) AS label, true AS unchanged FROM cleaned "
-            f"WHERE {SPLIT} = 'test'",
+            f"SELECT contact_id, {SPLIT} AS split, CAST(y = 'yes' AS DOUBLE) AS label, true AS unchanged "
+            "FROM cleaned",
         ),
         "score_table": with_contacts(
             *CLEANED,
             f"SELECT contact_id, {SPLIT} AS split, CAST(y = 'yes' AS DOUBLE) AS label, true AS agrees "
             "FROM cleaned",
         ),
-        "grid_search": (
-            "SELECT CAST(t AS INT) AS num_trees, CAST(d AS INT) AS max_depth, true AS agrees "
-            "FROM (VALUES (50, 5), (50, 10), (100, 5), (100, 10)) grid(t, d)"
+        "grid_search": with_contacts(
+            *CLEANED,
+            f"SELECT CAST(t AS INT) AS num_trees, CAST(d AS INT) AS max_depth, CAST(3 AS INT) AS folds, "
+            f"(SELECT CAST(2 * greatest(count(*) FILTER (y = 'yes'), count(*) FILTER (y <> 'yes')) AS BIGINT) "
+            f"FROM cleaned WHERE {SPLIT} = 'train') AS rows, true AS agrees "
+            "FROM (VALUES (50, 5), (50, 10), (100, 5), (100, 10)) grid(t, d)",
         ),
         "model_report": with_contacts(
             *CLEANED,
@@ -677,6 +681,12 @@ def oracle_sql() -> dict[str, str]:
         "score_histogram": histogram(bins),
         "score_histogram_overflow": histogram([*bins, (">100", "s > 100")]),
         "risk_correlation": with_contacts(*ASSESSED, correlations),
+        "risk_correlation_nulls": with_contacts(
+            *ASSESSED,
+            "partly AS (SELECT * REPLACE (CASE WHEN contact_id % 7 <> 3 THEN pdays END AS pdays, "
+            "CASE WHEN contact_id % 5 <> 1 THEN cons_conf_idx END AS cons_conf_idx) FROM assessed)",
+            correlations.replace("FROM assessed", "FROM partly"),
+        ),
         "typed_input": with_contacts(
             f"SELECT contact_id, {typed}, concat_ws(',', "
             "CASE WHEN contact_id % 101 = 0 THEN 'age' END, "

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +17,9 @@ from respondry.spec import contact_schema
 NULL_TEXT = "\x00"
 FIELD_END = "\x1f"
 
+#: Files whose headers are read at a time.
+HEADER_READERS = 16
+
 CSV_OPTIONS = {"header": "true", "sep": ";", "quote": '"'}
 
 
@@ -27,31 +34,83 @@ def dotted_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[raw.get(name, name) for name in df.columns])
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """The first line of every file, null where it is empty. Files are opened, not read."""
+    jvm = spark.sparkContext._jvm
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
+
+    def first(path: str) -> str | None:
+        file = jvm.org.apache.hadoop.fs.Path(path)
+        stream = file.getFileSystem(settings).open(file)
+        codec = codecs.getCodec(file)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        text = jvm.java.io.InputStreamReader(stream, jvm.java.nio.charset.StandardCharsets.UTF_8)
+        reader = jvm.java.io.BufferedReader(text)
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPool(HEADER_READERS) as pool:
+        return dict(zip(paths, pool.map(first, paths)))
+
+
+def header_names(line: str) -> list[str]:
+    cells = next(csv.reader([line.removeprefix("\ufeff")], delimiter=CSV_OPTIONS["sep"], quotechar=CSV_OPTIONS["quote"]))
+    return [name.replace(".", "_") for name in cells]
+
+
 def read_contacts_csv(
     spark: SparkSession,
     path: str,
     key: str | None = None,
     schema: T.StructType | None = None,
     infer: bool = False,
+    unreadable: str | None = None,
 ) -> DataFrame:
-    """Semicolon-separated contact file, names normalised.
+    """Semicolon-separated contact files, names normalised.
 
-    Columns are bound by the names in the header, whatever their order, and come out in the order
-    of the schema; a missing or unknown one is an error. Types are those of the schema, so the rows
-    are read once; ``infer=True`` costs a second pass.
+    Every file's columns are bound by the names in its own header, whatever their order, and come out
+    in the order of the schema; a file with a missing or unknown column is an error that names it, an
+    empty file has no rows. Files with equal headers are one scan. Types are those of the schema, so
+    the rows are read once; ``infer=True`` costs a second pass. ``unreadable`` names a column that gets
+    the line as it stands where a value does not fit its type (that value is null) or cells are missing.
     """
     reader = spark.read.options(**CSV_OPTIONS)
-    if infer:
-        return normalize_names(reader.option("inferSchema", "true").csv(path))
+    files = sorted(spark.read.schema("line string").text(path).inputFiles())
     types = {f.name.replace(".", "_"): f.dataType for f in schema or contact_schema(key)}
-    header = [name.replace(".", "_") for name in reader.csv(path).columns]
-    if sorted(header) != sorted(types):
-        raise ValueError(
-            f"{path}: missing {sorted(set(types) - set(header))}, unknown or repeated "
-            f"{sorted(name for name in set(header) if name not in types or header.count(name) > 1)}"
-        )
-    bound = T.StructType([T.StructField(name, types[name]) for name in header])
-    return reader.schema(bound).option("enforceSchema", "true").csv(path).select(*types)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file, line in first_lines(spark, files).items():
+        if line is None:
+            continue
+        names = header_names(line)
+        if not infer and sorted(names) != sorted(types):
+            raise ValueError(
+                f"{file}: missing {sorted(set(types) - set(names))}, unknown or repeated "
+                f"{sorted(name for name in set(names) if name not in types or names.count(name) > 1)}"
+            )
+        headers.setdefault(tuple(names), []).append(file)
+
+    def scan(names: tuple[str, ...], paths: list[str]) -> DataFrame:
+        if infer:
+            return reader.option("inferSchema", "true").csv(paths).toDF(*names)
+        bound = [T.StructField(name, types[name]) for name in names]
+        columns = list(types)
+        options = {"enforceSchema": "true"}
+        if unreadable:
+            bound.append(T.StructField(unreadable, T.StringType()))
+            columns.append(unreadable)
+            options["columnNameOfCorruptRecord"] = unreadable
+        return spark.read.options(**CSV_OPTIONS, **options).schema(T.StructType(bound)).csv(paths).select(*columns)
+
+    scans = [scan(names, paths) for names, paths in headers.items()]
+    if not scans:
+        fields = [T.StructField(name, kind) for name, kind in types.items()]
+        fields += [T.StructField(unreadable, T.StringType())] if unreadable else []
+        return spark.createDataFrame([], T.StructType(fields))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def write_contacts_csv(df: DataFrame, path: str) -> None:

@@ -40,6 +40,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, file = _file(spark, path)
+    return system.exists(file)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove this application's written tables; results that still read them are lost."""
     system, file = _file(spark, shared_folder(spark))
