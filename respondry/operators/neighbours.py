@@ -1,8 +1,9 @@
 """Exact k nearest neighbours inside each class, as Spark jobs.
 
 Rows are put into blocks that fit a task by a tree of axis splits grown on a sample. A row first
-searches its own block, which bounds how far its k-th neighbour can be. A block whose bounding box
-is farther away than that is ruled out, and only the others are visited. Inside a task the rows of
+searches its own block, which bounds how far its k-th neighbour can be. Bounding boxes of the tree's nodes,
+one inside the other, are walked from the root, and what lies in a box farther away than that is ruled
+out; only the blocks that are left are visited. Inside a task the rows of
 a block are split the same way into small cells, and cells are skipped by their boxes. Nothing is
 approximated: rows are skipped only when they provably hold no neighbour. Axis splits suit vectors
 with 0/1 entries: a box then fixes those entries, and each differing one adds to its distance.
@@ -111,11 +112,6 @@ def _to_box(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", gap, gap)
 
 
-def _to_far_corner(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    gap = np.maximum(np.abs(rows - low), np.abs(rows - high))
-    return np.einsum("ij,ij->i", gap, gap)
-
-
 # --- inside a task -------------------------------------------------------------------------
 
 
@@ -221,12 +217,92 @@ def search_block(queries, reach, data, keys, k: int) -> Best:
 
 @dataclass(frozen=True)
 class Blocks:
-    """Blocks of one class: number, rows and bounding box of each."""
+    """The blocks of one class under a hierarchy of bounding boxes, one per node of the class tree.
 
-    numbers: np.ndarray
-    rows: np.ndarray
+    Node ``i`` below ``len(left)`` is inner, with its children in ``left`` and ``right``; the others are
+    leaves, in order. An inner box holds the boxes below it, so a node that is too far away rules out
+    everything below it. A leaf's rows lie in ``pieces`` blocks from number ``first`` on; an empty leaf
+    has none, and a box that is nowhere.
+    """
+
+    left: np.ndarray
+    right: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    rows: np.ndarray
+    first: np.ndarray
+    pieces: np.ndarray
+
+    @staticmethod
+    def over(tree: Tree, leaves: dict) -> Blocks:
+        """From ``{leaf: (rows, low, high, first, pieces)}``, the leaves numbered as the tree does."""
+        inner = len(tree.axis)
+        low = np.full((2 * inner + 1, len(next(iter(leaves.values()))[1])), np.inf)
+        high, rows = -low, np.zeros(2 * inner + 1, np.int64)
+        first, pieces = np.zeros((2, inner + 1), np.int64)
+        for leaf, (count, bottom, top, number, parts) in leaves.items():
+            rows[inner + leaf], low[inner + leaf], high[inner + leaf] = count, bottom, top
+            first[leaf], pieces[leaf] = number, parts
+        left, right = (np.where(side < 0, inner - side - 1, side) for side in (tree.left, tree.right))
+        # children come after their parents
+        for node in range(inner - 1, -1, -1):
+            a, b = left[node], right[node]
+            rows[node] = rows[a] + rows[b]
+            low[node], high[node] = np.minimum(low[a], low[b]), np.maximum(high[a], high[b])
+        return Blocks(left, right, low, high, rows, first, pieces)
+
+    def _apart(self, points: np.ndarray, row: np.ndarray, node: np.ndarray, far: bool = False) -> np.ndarray:
+        """Squared distance of each pair's row to its node's box, or to the box's far corner."""
+        out = np.empty(len(row))
+        step = max(1, PAIR_ENTRIES // points.shape[1])
+        for s in range(0, len(row), step):
+            some = slice(s, s + step)
+            x, low, high = points[row[some]], self.low[node[some]], self.high[node[some]]
+            gap = np.maximum(np.abs(x - low), np.abs(x - high)) if far else np.maximum(np.maximum(low - x, x - high), 0.0)
+            out[some] = np.einsum("ij,ij->i", gap, gap)
+        return out
+
+    def surely(self, points: np.ndarray, k: int) -> np.ndarray:
+        """A squared distance within which every point has ``k`` rows, infinite where the class has fewer.
+
+        Each point goes down to the nearer child that holds ``k`` rows; the far corner of a box with
+        so many rows is such a distance.
+        """
+        bound, everyone = np.full(len(points), np.inf), np.arange(len(points))
+        node = np.zeros(len(points), np.int64)
+        if self.rows[0] < k:
+            return bound
+        while True:
+            bound[everyone] = np.minimum(bound[everyone], self._apart(points, everyone, node, far=True))
+            inside = node < len(self.left)
+            everyone, node = everyone[inside], node[inside]
+            sides = [side[node] for side in (self.left, self.right)]
+            apart = [np.where(self.rows[x] >= k, self._apart(points, everyone, x), np.inf) for x in sides]
+            node = np.where(apart[0] <= apart[1], *sides)
+            enough = np.minimum(*apart) < np.inf
+            everyone, node = everyone[enough], node[enough]
+            if not len(everyone):
+                return bound
+
+    def within(self, points: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, block) of the blocks whose box is no farther from a point than its limit.
+
+        All points walk down together; a pair of point and node that is too far apart goes no further.
+        """
+        row = np.arange(len(points))
+        node = np.zeros(len(points), np.int64)
+        rows, leaves = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(row):
+            near = self._apart(points, row, node) <= limit[row]
+            row, node = row[near], node[near]
+            leaf = node >= len(self.left)
+            rows.append(row[leaf])
+            leaves.append(node[leaf] - len(self.left))
+            row, node = np.repeat(row[~leaf], 2), np.stack([self.left[node[~leaf]], self.right[node[~leaf]]], 1).ravel()
+        row, leaf = np.concatenate(rows), np.concatenate(leaves)
+        pieces = self.pieces[leaf]
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        return np.repeat(row, pieces), np.repeat(self.first[leaf], pieces) + number
 
 
 def _block_rows(dimensions: int) -> int:
@@ -298,20 +374,15 @@ def _lay_out(boxes: list, trees: dict, dimensions: int, cores: int):
     share_rows = _share_rows(sum(r["rows"] for r in boxes), dimensions, cores)
     firsts = sorted((first, value) for value, (first, _) in trees.items())
     starts = np.array([first for first, _ in firsts])
-    table, parts, block = [], {value: [] for value in trees}, 0
+    table, leaves, block = [], {value: {} for value in trees}, 0
     for r in sorted(boxes, key=lambda r: r["leaf"]):
-        value = firsts[np.searchsorted(starts, r["leaf"], side="right") - 1][1]
+        first, value = firsts[np.searchsorted(starts, r["leaf"], side="right") - 1]
         pieces = -(-r["rows"] // limit)
         shares = max(1, -(-r["rows"] // (pieces * share_rows)))
         table.append((r["leaf"], block, pieces, shares))
-        for number in range(block, block + pieces):
-            parts[value].append((number, r["rows"] // pieces, r["low"], r["high"]))
+        leaves[value][r["leaf"] - first] = (r["rows"], r["low"], r["high"], block, pieces)
         block += pieces
-    blocks = {
-        value: Blocks(*(np.array(column) for column in zip(*rows)))
-        for value, rows in parts.items() if rows
-    }
-    return blocks, table
+    return {value: Blocks.over(trees[value][1], found) for value, found in leaves.items() if found}, table
 
 
 # --- Spark steps ---------------------------------------------------------------------------
@@ -376,22 +447,14 @@ def _add_targets(searched: DataFrame, cls: str, k: int, blocks: dict) -> DataFra
             places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for value in np.unique(classes).tolist():
                 mine, there = np.flatnonzero(classes == value), shared.value[value]
-                if len(there.numbers) == 1:
+                if there.pieces.sum() == 1:
                     continue
-                rows = vectors[mine]
-                short = ~full[mine]
-                for b in np.flatnonzero(there.rows >= k) if short.any() else ():
-                    # a block with k rows bounds the distance of a query that has too few yet
-                    corner = _to_far_corner(rows[short], there.low[b], there.high[b])
-                    reach[mine[short]] = np.minimum(reach[mine[short]], corner)
-                limit = reach[mine] * (1 + SLACK) + SLACK
-                open_to = np.empty((len(mine), len(there.numbers)), dtype=bool)
-                for b in range(len(there.numbers)):
-                    open_to[:, b] = _to_box(rows, there.low[b], there.high[b]) <= limit
-                open_to &= there.numbers[None, :] != own[mine][:, None]
-                row, block = np.nonzero(open_to)
-                places.append(mine[row])
-                numbers.append(there.numbers[block].astype(np.int32))
+                rows, short = vectors[mine], ~full[mine]
+                reach[mine[short]] = there.surely(rows[short], k)
+                row, block = there.within(rows, reach[mine] * (1 + SLACK) + SLACK)
+                other = block != own[mine][row]
+                places.append(mine[row[other]])
+                numbers.append(block[other].astype(np.int32))
             places, numbers = np.concatenate(places), np.concatenate(numbers)
             ends = np.cumsum(np.bincount(places, minlength=batch.num_rows))
             targets = pa.ListArray.from_arrays(
@@ -466,7 +529,7 @@ def nearest_neighbours(points: DataFrame, cls: str, key: str, k: int) -> DataFra
     asked = written(_add_targets(searched, cls, wanted, blocks), "queries")
     found = asked.select("q", F.inline("near"))
 
-    if any(len(there.numbers) > 1 for there in blocks.values()):
+    if any(there.pieces.sum() > 1 for there in blocks.values()):
         visits = asked.select("q", "vec", "reach", F.explode("targets").alias("block"))
         # one row per block
         shares = visits.groupBy("block").count().select(

@@ -30,6 +30,7 @@ from respondry.plans import preparation
 from respondry.sources import derived, models, tables
 from respondry.sources.workspace import new_path, written
 from respondry.spec import CONTACTS
+from respondry.streaming import decisions as arrivals
 
 KEY = CONTACTS.key
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,6 +256,41 @@ def smote_balance(spark, sf_dir):
     return balanced.groupBy("label", "is_synthetic").count()
 
 
+def _between(point, one, other):
+    """Whether ``point`` lies between two vectors, up to rounding."""
+    span = F.zip_with(one, other, lambda a, b: b - a)
+    gone = F.zip_with(one, point, lambda a, p: p - a)
+
+    def dot(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+
+    step = F.coalesce(dot(gone, span) / F.nullif(dot(span, span), F.lit(0.0)), F.lit(0.0))
+    rest = F.zip_with(gone, span, lambda g, s: g - step * s)
+    return step.between(-1e-9, 1 + 1e-9) & (dot(rest, rest) < 1e-12)
+
+
+@query
+def smote_real_space(spark, sf_dir):
+    """Synthetic rows of the training table, on its own one-hot and scaled vectors.
+
+    Per row: whether it lies between its parent and one of the parent's nearest rows of the class.
+    """
+    prepared = preparation.prepare(_contacts(spark, sf_dir))
+    balanced = preparation.balanced_training_table(prepared)
+    train = prepared.split("train").select(KEY, "features", "label")
+    missing = oversampling.balance_plan(train, "label")[1]
+    points = oversampling.minority_points(train, KEY, "label", "features", missing)
+    near = row_neighbours(points, "label", KEY, fv.OVERSAMPLE_NEIGHBOURS)
+    near = near.select(F.col(KEY).cast("string").alias("parent"), F.col("vec").alias("own"), "others")
+    made = balanced.where("is_synthetic").select(
+        F.substring_index("row_key", "#", 1).alias("parent"), "label", vector_to_array("features").alias("point")
+    )
+    inside = F.exists("others", lambda other: _between(F.col("point"), F.col("own"), other["vec"]))
+    alone = (F.size("others") == 0) & (F.col("point") == F.col("own"))
+    checked = made.join(near, "parent", "left").select("label", F.coalesce(inside | alone, F.lit(False)).alias("between"))
+    return checked.groupBy("label").agg(F.count("*").alias("count"), F.every("between").alias("between"))
+
+
 @query
 def smote_multiclass_balance(spark, sf_dir):
     vectors = written(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vectors")
@@ -695,6 +731,21 @@ def decide_customers(spark, sf_dir):
     )
 
 
+@query
+def decide_stream(spark, sf_dir):
+    """Scored contacts that arrive as files; the stream ends after the first ones and is started again."""
+    folder, out, checkpoint = (new_path(spark, name) for name in ("arriving", "decided", "decided-checkpoint"))
+    scored = derived.scored(spark, sf_dir)
+    for part in range(2):
+        scored.where(F.pmod(F.xxhash64(KEY), F.lit(2)) == part).write.mode("append").parquet(folder)
+        arriving = arrivals.incoming_contacts(spark, folder, scored.schema, files_per_batch=2)
+        arrivals.start_decisions(decisions.decide(arriving), out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select(
+        KEY, "prediction", "probability", "potential", "churn_risk", "credit_risk",
+        "marketing_recommendation", "customer_summary.*",
+    )
+
+
 def _decided(spark, raw, prepared, model):
     """Decisions next to what they say about the customer, and whether they follow from walked scores."""
     scored = preparation.score_contacts(raw, prepared.cleaning, prepared.features_model, model)

@@ -510,6 +510,11 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT arg_min(label, n), true, max(n) - min(n) FROM rows_by "
             "WHERE split = 'train' HAVING max(n) > min(n)",
         ),
+        "smote_real_space": with_contacts(
+            *TRAIN_SIZES,
+            "SELECT arg_min(label, n) AS label, max(n) - min(n) AS count, true AS between FROM rows_by "
+            "WHERE split = 'train' HAVING max(n) > min(n)",
+        ),
         "smote_multiclass_balance": EMBEDDING_SIZES,
         "smote_neighbours": with_contacts(
             *POINTS, "SELECT contact_id, CAST(place AS INT) AS place, neighbour, d2 FROM nearest"
@@ -712,4 +717,11 @@ def oracle_sql() -> dict[str, str]:
             "marketing_recommendation, age, job, marital, education, housing, loan",
             "decided",
         ),
+        "decide_stream": by_key(
+            DECIDED,
+            "CASE WHEN prediction = 1 THEN '是' ELSE '否' END AS prediction, "
+            "printf('%.2f%%', p_yes * 100) AS probability, potential, churn_risk, credit_risk, "
+            "marketing_recommendation, age, job, marital, education, housing, loan",
+            "decided",
+        ),
     }

@@ -59,13 +59,46 @@ def test_tree_sends_rows_to_their_own_leaf(problem):
         assert len(members) <= leaf_rows or (data[members] == data[members][0]).all()
 
 
+def hierarchy(data, leaf_rows, pieces=2):
+    """The boxes of a tree over some rows; every third leaf is taken as empty."""
+    tree, members = neighbours.grow_tree(data, leaf_rows)
+    full = {leaf: rows for leaf, rows in enumerate(members) if leaf % 3 != 2}
+    leaves = {
+        leaf: (len(rows), data[rows].min(0), data[rows].max(0), pieces * number, pieces)
+        for number, (leaf, rows) in enumerate(full.items())
+    }
+    return neighbours.Blocks.over(tree, leaves), leaves, np.concatenate(list(full.values()))
+
+
 @settings(max_examples=100, deadline=None)
 @given(problems())
-def test_box_bounds_hold(problem):
-    data, _, _ = problem
-    half = max(1, len(data) // 2)
-    box, queries = data[:half], data
-    low, high = box.min(0), box.max(0)
-    d2 = ((queries[:, None, :] - box[None, :, :]) ** 2).sum(2)
-    assert (neighbours._to_box(queries, low, high) <= d2.min(1)).all()
-    assert (neighbours._to_far_corner(queries, low, high) >= d2.max(1)).all()
+def test_walk_finds_the_boxes_within_reach(problem):
+    data, k, leaf_rows = problem
+    blocks, leaves, held = hierarchy(data, leaf_rows)
+    limit = np.resize([0.0, 3.0, 400.0, np.inf], len(data))
+    expected = sorted(
+        (row, number)
+        for _, low, high, first, pieces in leaves.values()
+        for row, near in enumerate(neighbours._to_box(data, low, high) <= limit) if near
+        for number in range(first, first + pieces)
+    )
+    row, block = blocks.within(data, limit)
+    assert sorted(zip(row.tolist(), block.tolist())) == expected
+    sure, d2 = blocks.surely(data, k), np.sort(((data[:, None] - data[None, held]) ** 2).sum(2), axis=1)
+    if len(held) < k:
+        assert np.isinf(sure).all()
+    else:
+        assert (sure >= d2[:, k - 1]).all() and np.isfinite(sure).all()
+
+
+def test_a_walk_meets_few_boxes(monkeypatch):
+    """Points near their own cluster meet some logarithm of the boxes, not all."""
+    rng = np.random.default_rng(1)
+    data = rng.uniform(0, 1000, (20_000, 2))
+    blocks, leaves, _ = hierarchy(data, 20)
+    met, apart = [], neighbours.Blocks._apart
+    monkeypatch.setattr(
+        neighbours.Blocks, "_apart", lambda self, points, row, *rest, **more: met.append(len(row)) or apart(self, points, row, *rest, **more)
+    )
+    blocks.within(data[:500], np.full(500, 25.0))
+    assert len(leaves) > 600 and sum(met) / 500 < 60

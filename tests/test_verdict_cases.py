@@ -26,6 +26,40 @@ def test_header_decides_which_column_is_which(spark, sf_dir, tmp_path):
         tables.read_contacts_csv(spark, str(tmp_path / "short"))
 
 
+def test_files_of_different_orders_are_read_together(spark, sf_dir, tmp_path):
+    raw = tables.dotted_names(derived.contact_table(spark, sf_dir).drop("contact_id")).limit(40).cache()
+    rows = sorted(map(str, tables.normalize_names(raw).collect()))
+    names = [f"`{c}`" for c in raw.columns]
+    half = F.pmod(F.xxhash64(F.struct("*")), F.lit(2))
+    tables.write_contacts_csv(raw.where(half == 0).select(*names), str(tmp_path / "in" / "a"))
+    turned = raw.where(half == 1).select(*names[::-1])
+    turned.coalesce(1).write.options(**tables.CSV_OPTIONS, compression="gzip").csv(str(tmp_path / "in" / "b"))
+    (tmp_path / "in" / "b" / "empty.csv").write_text("")
+    back = tables.read_contacts_csv(spark, str(tmp_path / "in" / "*"))
+    assert sorted(map(str, back.collect())) == rows
+    tables.write_contacts_csv(raw.withColumnRenamed("age", "years"), str(tmp_path / "in" / "c"))
+    with pytest.raises(ValueError, match=r"in/c/part.*missing \['age'\].*years"):
+        tables.read_contacts_csv(spark, str(tmp_path / "in" / "*"))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.csv").write_text("")
+    nothing = tables.read_contacts_csv(spark, str(tmp_path / "none"), unreadable="bad")
+    assert nothing.isEmpty() and nothing.columns == [*back.columns, "bad"]
+
+
+def test_unreadable_lines_are_shown(spark, sf_dir, tmp_path):
+    raw = tables.dotted_names(derived.contact_table(spark, sf_dir).drop("contact_id")).limit(3)
+    tables.write_contacts_csv(raw.coalesce(1), str(tmp_path / "csv"))
+    file = next((tmp_path / "csv").glob("part*.csv"))
+    lines = file.read_text().splitlines()
+    cells = lines[1].split(";")
+    cells[lines[0].split(";").index("age")] = "forty"
+    file.write_text("\n".join([lines[0], ";".join(cells), *lines[2:], "half;a;line"]) + "\n")
+    next((tmp_path / "csv").glob(".part*.crc")).unlink()
+    rows = tables.read_contacts_csv(spark, str(tmp_path / "csv"), unreadable="bad").collect()
+    assert [r["bad"] for r in rows] == [";".join(cells), None, None, "half;a;line"]
+    assert rows[0]["age"] is None and rows[1]["age"] is not None
+
+
 def test_rows_without_label_or_score_are_left_out(spark):
     nan = float("nan")
     known = [(1.0, 0.9), (0.0, 0.8), (1.0, 0.7), (0.0, 0.1)]
