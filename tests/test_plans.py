@@ -91,20 +91,24 @@ def test_one_pass_over_the_scan_for_statistics(spark, stored):
     assert plan.count("FileScan") == 1
 
 
-def test_correlation_aggregate_is_compiled(spark, stored, monkeypatch):
+def test_correlation_is_one_compiled_pass(spark, stored, monkeypatch):
+    """With nulls or without: one job, one scan, one aggregate."""
     table = read_table(spark, stored)
-    seen, original = [], type(table).agg
-    monkeypatch.setattr(
-        type(table), "agg", lambda self, *c: seen.append(original(self, *c)) or seen[-1]
-    )
+    seen, original = [], type(table).collect
+    assessed = assess(segments.segment_customers(table))
+    partly = assessed.withColumn("pdays", F.when(F.col("campaign") > 1, F.col("pdays")))
+    monkeypatch.setattr(type(table), "collect", lambda self: seen.append(self) or original(self))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        dashboard.risk_correlation(assess(segments.segment_customers(table)))
-        assert len(seen) == 1
-        lines = [line for line in plan_of(seen[0]).splitlines() if "HashAggregate" in line]
+        for frame in (assessed, partly):
+            dashboard.risk_correlation(frame)
+        plans = [plan_of(frame) for frame in seen]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(lines) == 2 and all("*(" in line for line in lines)
+    assert len(plans) == 2
+    for plan in plans:
+        lines = [line for line in plan.splitlines() if "HashAggregate" in line]
+        assert len(lines) == 2 and all("*(" in line for line in lines) and plan.count("FileScan") == 1
 
 
 def test_no_score_expression_in_a_join_condition(spark, sf_dir):
