@@ -37,6 +37,8 @@ from respondry.sources.workspace import written
 END = b"\n"
 #: Distinct tokens that a counting task holds before it hands them on.
 HELD = 250_000
+#: Restaurants that are sent to be seated at a time.
+TOGETHER = 64
 #: Longer tokens are never part of the dictionary.
 LONGEST = 64
 
@@ -234,15 +236,27 @@ def predictive(customers: np.ndarray, tables: np.ndarray, menu: np.ndarray, disc
     return (customers - discount * tables + new * menu) / (strength + total)
 
 
-def seated_together(spark, customers: np.ndarray, menus: np.ndarray, discount: float, settings: Settings, turn: int) -> np.ndarray:
-    """Tables of many restaurants, one row of the job each; all are independent given their menus."""
+def seated_together(
+    spark, customers: np.ndarray, menus: np.ndarray, menu_of: np.ndarray, discount: float, settings: Settings, turn: int
+) -> np.ndarray:
+    """Tables of many restaurants, a number of them at a time; all are independent given their menus.
+
+    Restaurant i orders from the row ``menu_of[i]`` of ``menus``.
+    """
     out = np.zeros_like(customers)
+    open_ = np.flatnonzero(customers.any(axis=1))
+    for start in range(0, len(open_), TOGETHER):
+        _seat_some(spark, open_[start : start + TOGETHER], customers, menus, menu_of, discount, settings, turn, out)
+    return out
+
+
+def _seat_some(spark, places, customers, menus, menu_of, discount, settings, turn, out) -> None:
+    """Fill the rows ``places`` of ``out``; a restaurant is one row of the job."""
     rows = []
-    for i in np.flatnonzero(customers.any(axis=1)):
+    for i in places:
         dishes = np.flatnonzero(customers[i])
-        rows.append((int(i), dishes.astype("<i4").tobytes(), customers[i, dishes].astype("<i8").tobytes(), menus[i, dishes].astype("<f8").tobytes()))
-    if not rows:
-        return out
+        menu = menus[menu_of[i], dishes]
+        rows.append((int(i), dishes.astype("<i4").tobytes(), customers[i, dishes].astype("<i8").tobytes(), menu.astype("<f8").tobytes()))
     frame = spark.createDataFrame(
         pd.DataFrame(rows, columns=["place", "dishes", "customers", "menu"]), "place int, dishes binary, customers binary, menu binary"
     )
@@ -260,7 +274,6 @@ def seated_together(spark, customers: np.ndarray, menus: np.ndarray, discount: f
     found = frame.repartition(min(len(rows), 24)).mapInArrow(run, "place int, dishes binary, tables binary")
     for row in found.collect():  # one row per restaurant
         out[row["place"], np.frombuffer(row["dishes"], "<i4")] = np.frombuffer(row["tables"], "<i8")
-    return out
 
 
 def averaged(spark, own: np.ndarray, contexts: Contexts, settings: Settings) -> np.ndarray:
@@ -271,12 +284,15 @@ def averaged(spark, own: np.ndarray, contexts: Contexts, settings: Settings) ->
     root = uniform
     discounts = [discount_of(own[deep]), discount_of(own[~deep]), 0.0]
     total = np.zeros(own.shape)
-    middle = np.tile(root, (int((~deep).sum()), 1))
+    middle = root[None, :]
+    shared = np.zeros(len(parents), np.int64)
     for sweep in range(settings.sweeps):
-        lower = seated_together(spark, own[deep], middle[parents[deep]], discounts[0], settings, 2 * sweep)
+        lower = seated_together(
+            spark, own[deep], middle, parents[deep] if sweep else shared, discounts[0], settings, 2 * sweep
+        )
         customers = own[~deep].copy()
         np.add.at(customers, parents[deep], lower)
-        upper = seated_together(spark, customers, np.tile(root, (len(customers), 1)), discounts[1], settings, 2 * sweep + 1)
+        upper = seated_together(spark, customers, root[None, :], shared, discounts[1], settings, 2 * sweep + 1)
         base = upper.sum(axis=0)
         discounts[2] = discount_of(base)
         dishes = np.flatnonzero(base)
@@ -330,6 +346,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, Data
     commonest = commonest.sort_values(["n", "token"], ascending=[False, True])
     known = {token: i for i, token in enumerate(commonest["token"])}
     numbers = commonest["n"].to_numpy(np.int64)
+    del commonest
     symbols = min(settings.symbols, len(known))
     contexts = Contexts(min(settings.single, symbols), min(settings.paired, symbols))
     own = context_counts(docs, known, symbols, contexts)
