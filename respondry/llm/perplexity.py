@@ -11,7 +11,8 @@ level's tables being the customers of the next. Predictive probabilities are ave
 after the first. Inside the tail symbol a word has a Pitman-Yor probability of its own, from its count,
 over all tail words of the corpus and one unseen word.
 
-Counts, contexts and the tail cover every training document. What is held whole is bounded: the
+Counts, contexts and the tail cover every training document. Restaurants are rows of written tables, seated
+in tasks, a restaurant's tables becoming its parent's customers by a grouping. What is held whole is bounded: the
 commonest tokens, all of one count or none and at most ``dictionary``, and a table of contexts by symbols. Tokens outside the dictionary are
 looked up by a join with the written counts.
 
@@ -25,7 +26,6 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +37,6 @@ from respondry.sources.workspace import written
 END = b"\n"
 #: Distinct tokens that a counting task holds before it hands them on.
 HELD = 250_000
-#: Restaurants that are sent to be seated at a time.
-TOGETHER = 64
 #: Longer tokens are never part of the dictionary.
 LONGEST = 64
 
@@ -66,12 +64,6 @@ class Contexts:
     def count(self) -> int:
         return self.single + 2 + self.paired**2
 
-    @property
-    def parents(self) -> np.ndarray:
-        """-1 for contexts that order from the root."""
-        pairs = np.tile(np.arange(self.paired), self.paired)
-        return np.concatenate([np.full(self.single + 2, -1), pairs])
-
     def of(self, symbols: np.ndarray) -> np.ndarray:
         """The context of every position of one text."""
         out = np.empty(len(symbols), np.int64)
@@ -150,12 +142,12 @@ def symbols_of(found: list[bytes], known: dict[bytes, int], tail: int) -> np.nda
     return np.minimum(np.array([get(x, tail) for x in found], np.int64), tail)
 
 
-def context_counts(docs: DataFrame, known: dict[bytes, int], symbols: int, contexts: Contexts) -> np.ndarray:
-    """Contexts x (symbols and tail): how often each symbol follows, over all rows."""
+def context_counts(docs: DataFrame, known: dict[bytes, int], symbols: int, contexts: Contexts) -> DataFrame:
+    """``context``, ``dish`` (a symbol, or the tail) and how often it follows, ``n``, over all rows; written."""
     only = {token: i for token, i in known.items() if i < symbols}
     shared = docs.sparkSession.sparkContext.broadcast(only)
     width = symbols + 1
-    schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("context", pa.int32()), ("dish", pa.int32()), ("n", pa.int64())])
 
     def run(rows):
         seen = np.zeros(contexts.count * width, np.int32)
@@ -164,18 +156,14 @@ def context_counts(docs: DataFrame, known: dict[bytes, int], symbols: int, conte
                 found = symbols_of(tokens_of(text), shared.value, symbols)
                 np.add.at(seen, contexts.of(found) * width + found, 1)
         cells = np.flatnonzero(seen)
-        yield from batches({"cell": cells, "n": seen[cells].astype(np.int64)}, schema)
+        yield from batches({"context": cells // width, "dish": cells % width, "n": seen[cells].astype(np.int64)}, schema)
 
-    parts = docs.select(text_bytes("text")).mapInArrow(run, "cell long, n long")
-    cells = parts.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most contexts x symbols rows
-    out = np.zeros(contexts.count * width, np.int64)
-    out[cells["cell"].to_numpy(np.int64)] = cells["n"]
-    return out.reshape(contexts.count, width)
+    parts = docs.select(text_bytes("text")).mapInArrow(run, "context int, dish int, n long")
+    return written(parts.groupBy("context", "dish").agg(F.sum("n").alias("n")), "contexts")
 
 
-def discount_of(counts: np.ndarray) -> float:
+def discount_of(once: int, twice: int) -> float:
     """From the numbers of dishes eaten once and twice, as in Kneser-Ney smoothing."""
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
     return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95))
 
 
@@ -236,76 +224,129 @@ def predictive(customers: np.ndarray, tables: np.ndarray, menu: np.ndarray, disc
     return (customers - discount * tables + new * menu) / (strength + total)
 
 
-def seated_together(
-    spark, customers: np.ndarray, menus: np.ndarray, menu_of: np.ndarray, discount: float, settings: Settings, turn: int
-) -> np.ndarray:
-    """Tables of many restaurants, a number of them at a time; all are independent given their menus.
+def restaurants(cells: DataFrame) -> DataFrame:
+    """A row per context: its ``dishes`` in order and their ``customers``; at most as many as symbols."""
+    by_dish = F.sort_array(F.collect_list(F.struct("dish", "n"))).alias("eaten")
+    rows = cells.groupBy("context").agg(by_dish)
+    return rows.select("context", F.col("eaten.dish").alias("dishes"), F.col("eaten.n").alias("customers"))
 
-    Restaurant i orders from the row ``menu_of[i]`` of ``menus``.
-    """
-    out = np.zeros_like(customers)
-    open_ = np.flatnonzero(customers.any(axis=1))
-    for start in range(0, len(open_), TOGETHER):
-        _seat_some(spark, open_[start : start + TOGETHER], customers, menus, menu_of, discount, settings, turn, out)
+
+def _dense(dishes, values, width: int) -> np.ndarray:
+    out = np.zeros(width)
+    if dishes is not None and len(dishes):
+        out[np.asarray(dishes)] = values
     return out
 
 
-def _seat_some(spark, places, customers, menus, menu_of, discount, settings, turn, out) -> None:
-    """Fill the rows ``places`` of ``out``; a restaurant is one row of the job."""
-    rows = []
-    for i in places:
-        dishes = np.flatnonzero(customers[i])
-        menu = menus[menu_of[i], dishes]
-        rows.append((int(i), dishes.astype("<i4").tobytes(), customers[i, dishes].astype("<i8").tobytes(), menu.astype("<f8").tobytes()))
-    frame = spark.createDataFrame(
-        pd.DataFrame(rows, columns=["place", "dishes", "customers", "menu"]), "place int, dishes binary, customers binary, menu binary"
-    )
-    schema = pa.schema([("place", pa.int32()), ("dishes", pa.binary()), ("tables", pa.binary())])
+def _seat(rows: DataFrame, width: int, discount: float, settings: Settings, turn: int, first: int, root: np.ndarray, above: float) -> DataFrame:
+    """``rows`` with ``tables``, seated in tasks, a restaurant with a random generator of its own.
+
+    The menu is ``root``, or where ``rows`` have them that of the parent with its ``parent_dishes``,
+    ``parent_customers`` and ``parent_tables`` under the discount ``above``. Random numbers depend on the
+    settings, the turn and the context's place after ``first`` alone.
+    """
+    schema = schema_with(rows, "tables array<long>")
 
     def run(batches):
         for batch in batches:
+            found = []
             for row in batch.to_pylist():
-                random = np.random.default_rng([settings.seed, turn, row["place"]])
-                tables = seated(
-                    np.frombuffer(row["customers"], "<i8"), np.frombuffer(row["menu"], "<f8"), discount, settings.strength, settings.rounds, random
-                )
-                yield pa.record_batch([[row["place"]], [row["dishes"]], [tables.astype("<i8").tobytes()]], schema=schema)
+                menu = root
+                if "parent_dishes" in row and row["parent_dishes"] is not None:
+                    sides = (_dense(row["parent_dishes"], row[f"parent_{c}"], width) for c in ("customers", "tables"))
+                    menu = predictive(*sides, root, above, settings.strength)
+                random = np.random.default_rng([settings.seed, turn, row["context"] - first])
+                dishes, customers = np.array(row["dishes"], np.int64), np.array(row["customers"], np.int64)
+                found.append(seated(customers, menu[dishes], discount, settings.strength, settings.rounds, random))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], names=[*batch.schema.names, "tables"]
+            )
+
+    return rows.mapInArrow(run, schema)
+
+
+def _eaten(cells: DataFrame, where: Column) -> list[int]:
+    """How many dishes of some contexts were eaten once, and how many twice."""
+    return list(cells.where(where).agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first())
 
-    found = frame.repartition(min(len(rows), 24)).mapInArrow(run, "place int, dishes binary, tables binary")
-    for row in found.collect():  # one row per restaurant
-        out[row["place"], np.frombuffer(row["dishes"], "<i4")] = np.frombuffer(row["tables"], "<i8")
 
+def _parents(upper: DataFrame) -> DataFrame:
+    return upper.select(
+        F.col("context").alias("parent"), F.col("dishes").alias("parent_dishes"),
+        F.col("customers").alias("parent_customers"), F.col("tables").alias("parent_tables"),
+    )
+
+
+def averaged(cells: DataFrame, width: int, contexts: Contexts, settings: Settings) -> np.ndarray:
+    """Contexts x symbols of log10 probabilities, averaged over the sweeps after the first.
 
-def averaged(spark, own: np.ndarray, contexts: Contexts, settings: Settings) -> np.ndarray:
-    """Contexts x symbols of log10 probabilities, averaged over the sweeps after the first."""
-    parents = contexts.parents
-    deep, width = parents >= 0, own.shape[1]
+    Restaurants are rows of tables, seated in tasks; the tables of a two-symbol restaurant are customers
+    of its parent by a grouping. What reaches the driver are discounts, the root's customers (one number
+    per symbol) and the finished probabilities.
+    """
+    edge = contexts.single + 2
+    deep, parent = F.col("context") >= edge, ((F.col("context") - edge) % max(contexts.paired, 1)).cast("int")
     uniform = np.full(width, 1 / width)
     root = uniform
-    discounts = [discount_of(own[deep]), discount_of(own[~deep]), 0.0]
-    total = np.zeros(own.shape)
-    middle = root[None, :]
-    shared = np.zeros(len(parents), np.int64)
+    discounts = [discount_of(*_eaten(cells, deep)), discount_of(*_eaten(cells, ~deep)), 0.0]
+    lower_rows = written(restaurants(cells.where(deep)).withColumn("parent", parent), "lower")
+    upper, roots, seatings = None, [], []
     for sweep in range(settings.sweeps):
-        lower = seated_together(
-            spark, own[deep], middle, parents[deep] if sweep else shared, discounts[0], settings, 2 * sweep
-        )
-        customers = own[~deep].copy()
-        np.add.at(customers, parents[deep], lower)
-        upper = seated_together(spark, customers, root[None, :], shared, discounts[1], settings, 2 * sweep + 1)
-        base = upper.sum(axis=0)
-        discounts[2] = discount_of(base)
-        dishes = np.flatnonzero(base)
+        rows = lower_rows if upper is None else lower_rows.join(_parents(upper), "parent", "left")
+        lower = _seat(rows, width, discounts[0], settings, 2 * sweep, edge, root, discounts[1])
+        lower = written(lower.select("context", "parent", "dishes", "customers", "tables"), "lower-seated")
+        sent = lower.select(F.col("parent").alias("context"), F.explode(F.arrays_zip("dishes", "tables")).alias("x"))
+        sent = sent.select("context", F.col("x.dishes").alias("dish"), F.col("x.tables").alias("n"))
+        customers = cells.where(~deep).unionByName(sent).groupBy("context", "dish").agg(F.sum("n").alias("n"))
+        upper = written(_seat(restaurants(customers), width, discounts[1], settings, 2 * sweep + 1, 0, root, 0.0), "upper-seated")
+        served = upper.select(F.explode(F.arrays_zip("dishes", "tables")).alias("x"))
+        served = served.groupBy(F.col("x.dishes").alias("dish")).agg(F.sum("x.tables").alias("n")).orderBy("dish").collect()
+        dishes, base = (np.array([r[c] for r in served], np.int64) for c in ("dish", "n"))  # at most a row per symbol
+        discounts[2] = discount_of(int((base == 1).sum()), int((base == 2).sum()))
         random = np.random.default_rng([settings.seed, sweep])
-        tables = np.zeros_like(base)
+        tables = np.zeros(0, np.int64)
         if dishes.size:
-            tables[dishes] = seated(base[dishes], uniform[dishes], discounts[2], settings.strength, settings.rounds, random)
-        root = predictive(base, tables, uniform, discounts[2], settings.strength)
-        middle = predictive(customers, upper, root, discounts[1], settings.strength)
+            tables = seated(base, uniform[dishes], discounts[2], settings.strength, settings.rounds, random)
+        root = predictive(_dense(dishes, base, width), _dense(dishes, tables, width), uniform, discounts[2], settings.strength)
         if sweep or settings.sweeps == 1:
-            total[~deep] += middle
-            total[deep] += predictive(own[deep], lower, middle[parents[deep]], discounts[0], settings.strength)
-    return np.log10(total / max(settings.sweeps - 1, 1)).astype(np.float32)
+            roots.append(root)
+            seatings.append((lower, upper))
+    return _finished(cells.sparkSession, seatings, roots, contexts, width, discounts, settings)
+
+
+def _finished(spark, seatings, roots, contexts: Contexts, width: int, discounts: list[float], settings: Settings) -> np.ndarray:
+    """Mean probabilities over the seatings, a context at a time; contexts without customers take their menu."""
+    edge = contexts.single + 2
+    every = spark.range(contexts.count).select(F.col("id").cast("int").alias("context"))
+    every = every.withColumn("parent", F.when(F.col("context") >= edge, (F.col("context") - edge) % max(contexts.paired, 1)).cast("int"))
+    sides = ("dishes", "customers", "tables")
+    for i, (lower, upper) in enumerate(seatings):
+        own = upper.select("context", *sides).union(lower.select("context", *sides))
+        own = own.select("context", *[F.col(c).alias(f"{c}_{i}") for c in sides])
+        above = upper.select(F.col("context").alias("parent"), *[F.col(c).alias(f"parent_{c}_{i}") for c in sides])
+        every = every.join(own, "context", "left").join(above, "parent", "left")
+
+    def mixed(row, head: str, i: int, menu: np.ndarray, discount: float) -> np.ndarray:
+        dishes = row[f"{head}dishes_{i}"]
+        customers, tables = (_dense(dishes, row[f"{head}{c}_{i}"], width) for c in sides[1:])
+        return predictive(customers, tables, menu, discount, settings.strength)
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                total = np.zeros(width)
+                for i, root in enumerate(roots):
+                    if row["parent"] is None:
+                        total += mixed(row, "", i, root, discounts[1])
+                    else:
+                        total += mixed(row, "", i, mixed(row, "parent_", i, root, discounts[1]), discounts[0])
+                logs = np.log10(total / len(roots)).astype("<f4")
+                yield pa.RecordBatch.from_arrays([pa.array([row["context"]], pa.int32()), pa.array([logs.tobytes()], pa.binary())], names=["context", "logs"])
+
+    out = np.zeros((contexts.count, width), np.float32)
+    for row in every.repartition(min(contexts.count, 24), "context").mapInArrow(run, "context int, logs binary").collect():
+        out[row["context"]] = np.frombuffer(row["logs"], "<f4")
+    return out
 
 
 def tail_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, copies: int = 32) -> Tail:
@@ -332,7 +373,6 @@ def tail_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, co
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
     """The model, and the written counts of all tokens."""
-    spark = docs.sparkSession
     counts = written(counted(docs), "tokens")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     short = F.octet_length("token") <= LONGEST
@@ -349,8 +389,8 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, Data
     del commonest
     symbols = min(settings.symbols, len(known))
     contexts = Contexts(min(settings.single, symbols), min(settings.paired, symbols))
-    own = context_counts(docs, known, symbols, contexts)
-    logs = averaged(spark, own, contexts, settings)
+    cells = context_counts(docs, known, symbols, contexts)
+    logs = averaged(cells, symbols + 1, contexts, settings)
     # the tail's words by count: all, less those that are symbols
     histogram = dict(zip(spread["n"].tolist(), spread["words"].tolist()))
     for n in numbers[:symbols].tolist():
