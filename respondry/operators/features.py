@@ -15,9 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from respondry.operators.cleaning import value_counts
+from respondry.operators.cumulative import running_totals
+from respondry.sources.workspace import written
 from respondry.spec import CONTACTS, TableSpec
 
 
+#: A value is frequent if more than one row in so many has it.
+HOT_VALUES = 1000
+
+
 def frequency_labels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Values of each column, most frequent first, ties alphabetical.
 
@@ -42,6 +48,44 @@ def frequency_index(
     return df.withColumns({f"{c}_index": index_expression(c, labels[c]) for c in columns})
 
 
+def category_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, value, count, number)``: values numbered by falling frequency, ties alphabetical.
+
+    The numbers of :func:`frequency_labels` as a table: values are ranked in ranges, so there may be any
+    number of them and none reaches the driver. Written, as it is read once per column.
+    """
+    counts = value_counts(df, columns).withColumns({
+        "place": F.struct((-F.col("count")).alias("order"), F.col("value").alias("name")), "one": F.lit(1),
+    })
+    ranked = running_totals(counts, "place", ["one"], ["column"])
+    number = (F.col("one_total") - 1).cast("double").alias("number")
+    return written(ranked.select("column", "value", "count", number), "dictionary")
+
+
+def index_by_dictionary(
+    df: DataFrame, columns: list[str], dictionary: DataFrame, key: str
+) -> DataFrame:
+    """Add ``<column>_index`` by joins with a :func:`category_dictionary`; an unseen value gets null.
+
+    Values with more than one row in :data:`HOT_VALUES`, at most so many per column, are broadcast. Their
+    rows then take part in the join under a name of their own that no value has, so they are spread
+    over all tasks and no task gets a frequent value whole.
+    """
+    for column in columns:
+        own = dictionary.where(F.col("column") == column)
+        total = own.agg(F.sum("count")).first()[0] or 0
+        own = own.select(F.col("value").alias("__value"), F.col("number").alias("__number"), "count")
+        hot = own.where(F.col("count") * HOT_VALUES > total).drop("count")  # fewer than HOT_VALUES rows
+        hot = F.broadcast(hot.withColumnsRenamed({"__value": "__hot_value", "__number": "__hot"}))
+        df = df.join(hot, F.col(column) == F.col("__hot_value"), "left")
+        spread = F.concat(F.lit("\x00"), F.xxhash64(key).cast("string"))
+        asked = F.when(F.col("__hot").isNull() & F.col(column).isNotNull(), F.col(column)).otherwise(spread)
+        df = df.withColumn("__asked", asked).join(own.drop("count"), F.col("__asked") == F.col("__value"), "left")
+        df = df.withColumn(f"{column}_index", F.coalesce("__hot", "__number"))
+        df = df.drop("__hot_value", "__hot", "__asked", "__value", "__number")
+    return df
+
+
 def category_domain(df: DataFrame, spec: TableSpec = CONTACTS) -> DataFrame:
     """``(column, value)``: the distinct known values of every categorical column."""
     return (
@@ -70,23 +114,33 @@ def fit_features(
     the scaler takes one more. No stage touches the label, so unlabelled rows can be scored.
     ``handle_invalid`` says what an unseen category does: ``error``, ``skip`` or ``keep``.
     """
-    categorical, numeric = list(spec.categorical), list(spec.numeric)
+    encoded = [f"{c}_encoded" for c in spec.categorical]
+    stages = [
+        *category_stages(spec, handle_invalid), *scaling_stages(spec),
+        VectorAssembler(inputCols=[*encoded, "scaled_features"], outputCol="features"),
+    ]
+    return Pipeline(stages=stages).fit(df)
+
+
+def category_stages(spec: TableSpec = CONTACTS, handle_invalid: str = "error") -> list:
+    """Numbers and one-hot blocks of the categories."""
+    categorical = list(spec.categorical)
     indexed = [f"{c}_index" for c in categorical]
-    encoded = [f"{c}_encoded" for c in categorical]
     indexer = StringIndexer(
         inputCols=categorical, outputCols=indexed, handleInvalid=handle_invalid,
         stringOrderType="frequencyDesc",
     )
-    stages = [
-        indexer,
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        VectorAssembler(inputCols=numeric, outputCol="numeric_features"),
+    encoded = [f"{c}_encoded" for c in categorical]
+    return [indexer, OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)]
+
+
+def scaling_stages(spec: TableSpec = CONTACTS) -> list:
+    return [
+        VectorAssembler(inputCols=list(spec.numeric), outputCol="numeric_features"),
         StandardScaler(
             inputCol="numeric_features", outputCol="scaled_features", withMean=False, withStd=True
         ),
-        VectorAssembler(inputCols=[*encoded, "scaled_features"], outputCol="features"),
     ]
-    return Pipeline(stages=stages).fit(df)
 
 
 def known_values(

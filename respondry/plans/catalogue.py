@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -195,20 +196,31 @@ def clean_full(spark, sf_dir):
 @query
 def index_categories(spark, sf_dir):
     cleaned = _cleaned_once(spark, sf_dir)
-    table = features.fit_features(cleaned).transform(cleaned)
+    table = Pipeline(stages=features.category_stages()[:1]).fit(cleaned).transform(cleaned)
     return table.select(KEY, *[f"{c}_index" for c in fv.CATEGORICAL_COLUMNS])
 
 
+@query
+def index_by_dictionary(spark, sf_dir):
+    """Categories of any number, as tables: the customer and the priority of every order."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderpriority").alias("priority"))
+    columns = ["customer", "priority"]
+    indexed = features.index_by_dictionary(orders, columns, features.category_dictionary(orders, columns), "o_orderkey")
+    return indexed.select("o_orderkey", "customer_index", "priority_index")
+
+
 @query
 def one_hot(spark, sf_dir):
     cleaned = _cleaned_once(spark, sf_dir)
-    return features.one_hot_positions(features.fit_features(cleaned).transform(cleaned))
+    model = Pipeline(stages=features.category_stages()).fit(cleaned)
+    return features.one_hot_positions(model.transform(cleaned))
 
 
 @query
 def standard_scale(spark, sf_dir):
     cleaned = _cleaned_once(spark, sf_dir)
-    table = features.fit_features(cleaned).transform(cleaned)
+    table = Pipeline(stages=features.scaling_stages()).fit(cleaned).transform(cleaned)
     scaled = vector_to_array("scaled_features")
     return table.select(
         KEY, *[F.round(scaled[i], 6).alias(c) for i, c in enumerate(fv.NUMERIC_COLUMNS)]

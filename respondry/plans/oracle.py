@@ -510,6 +510,13 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT arg_min(label, n), true, max(n) - min(n) FROM rows_by "
             "WHERE split = 'train' HAVING max(n) > min(n)",
         ),
+        "index_by_dictionary": """
+            WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, o_orderpriority AS priority FROM orders),
+            c AS (SELECT customer, row_number() OVER (ORDER BY count(*) DESC, customer) - 1 AS n FROM o GROUP BY customer),
+            p AS (SELECT priority, row_number() OVER (ORDER BY count(*) DESC, priority) - 1 AS n FROM o GROUP BY priority)
+            SELECT o_orderkey, CAST(c.n AS DOUBLE) AS customer_index, CAST(p.n AS DOUBLE) AS priority_index
+            FROM o LEFT JOIN c USING (customer) LEFT JOIN p USING (priority)
+        """,
         "smote_real_space": with_contacts(
             *TRAIN_SIZES,
             "SELECT arg_min(label, n) AS label, max(n) - min(n) AS count, true AS between FROM rows_by "

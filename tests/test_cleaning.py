@@ -1,6 +1,8 @@
 import math
 
-from respondry.operators import cleaning
+from pyspark.sql import functions as F
+
+from respondry.operators import cleaning, features
 from respondry.plans.preparation import prepare
 from respondry.sources import derived
 from respondry.spec import TableSpec
@@ -51,3 +53,33 @@ def test_fit_on_train_ignores_other_splits(spark, sf_dir):
     everything, train_only = prepare(raw), prepare(raw, fit_on="train")
     assert everything.cleaning.means != train_only.cleaning.means
     assert everything.features.count() == train_only.features.count()
+
+
+def test_a_dictionary_numbers_as_the_labels_do(spark):
+    """Ties, nulls, a value that a third of all rows share, values not in the dictionary."""
+    df = spark.range(0, 3000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("v"), F.col("id") % 500)).alias("a"),
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("b"),
+    )
+    labels = features.frequency_labels(df, ["a", "b"])
+    strange = df.union(spark.createDataFrame([(10**6, "\x00", "z")], "id long, a string, b string"))
+    for hot in (1000, 1):
+        features.HOT_VALUES = hot
+        try:
+            dictionary = features.category_dictionary(df, ["a", "b"])
+            got = features.index_by_dictionary(strange, ["a", "b"], dictionary, "id")
+            expected = features.frequency_index(strange, ["a", "b"], labels)
+            assert got.columns == expected.columns
+            assert got.exceptAll(expected).isEmpty() and got.count() == 3001
+        finally:
+            features.HOT_VALUES = 1000
+
+
+def test_a_million_categories(spark):
+    df = spark.range(0, 1_100_000).select("id", F.concat(F.lit("c"), F.col("id") % 1_000_000).alias("a"))
+    dictionary = features.category_dictionary(df, ["a"])
+    got = features.index_by_dictionary(df, ["a"], dictionary, "id")
+    row = got.agg(F.count("*"), F.countDistinct("a_index"), F.max("a_index"), F.count("a_index")).first()
+    assert tuple(row) == (1_100_000, 1_000_000, 999_999.0, 1_100_000)
+    # the hundred thousand that occur twice come first
+    assert got.where("id < 100000").agg(F.max("a_index")).first()[0] < 100_000
