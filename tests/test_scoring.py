@@ -10,6 +10,7 @@ from respondry.operators.cleaning import CleaningModel
 from respondry.plans import preparation
 from respondry.sources import derived
 from respondry.sources.workspace import new_path, written
+from respondry.streaming import decisions as arrivals
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +64,25 @@ def test_a_stump_has_no_importance(spark):
     assert trees.gain_importance(nodes).count() == 0
     walked = trees.walked_scores(training.score(table, model), "contact_id", nodes, 2, 2)
     assert walked.count() == 2
+
+
+def test_a_stream_goes_on_after_a_failure(spark, sf_dir, tmp_path):
+    """Batches that were written before the failure count once, the others are done by the next start."""
+    scored = derived.scored(spark, sf_dir).limit(240).cache()
+    scored.repartition(6).write.parquet(f"{tmp_path}/in")
+    expected = decisions.decide(scored).select("contact_id", "potential", "churn_risk")
+
+    def start(broken):
+        arriving = arrivals.incoming_contacts(spark, f"{tmp_path}/in", scored.schema, files_per_batch=1)
+        decided = decisions.decide(arriving).select("contact_id", "potential", "churn_risk")
+        if broken is not None:
+            risk = F.when(F.col("contact_id") == broken, F.raise_error(F.lit("stop"))).otherwise(F.col("churn_risk"))
+            decided = decided.withColumn("churn_risk", risk)
+        arrivals.start_decisions(decided, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+
+    broken = spark.read.parquet(f"{tmp_path}/in").orderBy(F.desc(F.col("_metadata.file_path"))).first()["contact_id"]
+    with pytest.raises(Exception, match="stop"):
+        start(broken)
+    start(None)
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert got.exceptAll(expected).isEmpty() and got.count() == 240

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from respondry.operators import decisions, evaluation, influence, training
@@ -111,3 +112,25 @@ def test_stream_decides_like_a_table(fitted, spark, tmp_path):
     expected = decisions.decide(scored)
     assert stored.count() == 1500
     assert expected.select(stored.columns).exceptAll(stored).isEmpty()
+
+
+def test_a_search_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    rows = [(i, Vectors.dense([float(i % 10), float(i % 7)]), float(i % 10 > 4)) for i in range(300)]
+    train = spark.createDataFrame(rows, ["row_key", "features", "label"])
+    fits, fit = [], training.fit_forest
+    monkeypatch.setattr(training, "fit_forest", lambda *a: fits.append(a[1:3]) or fit(*a))
+    folder = f"file://{tmp_path}/search"
+    settings = {"num_trees": (2, 3), "max_depths": (2,), "folds": 2, "folder": folder}
+    first = training.grid_search(train, **settings)[1].collect()
+    assert len(fits) == 5  # two points, two folds, the refit
+    # one part never ended: only that one is fitted again, and the best point
+    (tmp_path / "search/num_trees=3/max_depth=2/fold=1/_SUCCESS").unlink()
+    fits.clear()
+    again = training.grid_search(train, **settings)[1].collect()
+    assert again == first and sorted(fits)[-1] == (3, 2) and len(fits) == 2
+    held_out = training.search_results(spark, folder)
+    assert held_out.count() == 600
+    counts = evaluation.outcome_counts(held_out, ["num_trees", "fold"])
+    areas = evaluation.curve_areas(counts, ["num_trees", "fold"]).groupBy("num_trees").agg(F.avg("roc_auc").alias("auc"))
+    expected = {r["num_trees"]: r["auc"] for r in areas.collect()}
+    assert all(abs(expected[r["num_trees"]] - r["avg_auc"]) < 1e-9 for r in first)
