@@ -7,7 +7,8 @@ that no token holds. The fragments are encoded independently, those seen before
 ids concatenated. Cuts inside a word can't change what the pattern does, since it ran before.
 
 Texts are encoded whole. The special token's string becomes its id, as the tokenizers library does.
-Null text counts as empty and has no ids.
+Null text counts as empty and has no ids; a null key is kept, repeated rows are rows of their own, other
+columns are ignored, and an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
-from respondry.llm import packing, queries, simhash
+from respondry.llm import bpe, exactdup, language, neardup, neighbours, packing, perplexity, personal, quality, queries, simhash, warc
 from respondry.llm.common import table
 from tests.compare import difference, duck_result, spark_result
 
@@ -145,3 +145,28 @@ def test_the_language_stage_drops_languages_not_learnt(spark, sf_dir):
     assert not kept & {i for i, _ in strange}
     good = table(spark, sf_dir, "labels").where("quality = 1").join(docs.where("lang IS NOT NULL"), "doc_id").select("doc_id").collect()
     assert good and all(r["doc_id"] in kept for r in good)
+
+
+def clashing(df, names):
+    """``df`` with extra columns under names that operators use themselves."""
+    return df.withColumns({n: F.lit("x") for n in names.split() if n not in df.columns})
+
+
+def test_extra_columns_clash_with_nothing(spark, sf_dir):
+    pages = clashing(table(spark, sf_dir, "pages"), "first digest bytes share n run key captured url_key payload_bytes record_type refers_to value")
+    folder = warc.write_archives(pages, "page_id", "url", "html", F.timestamp_seconds(F.coalesce("page_id", F.lit(0))))
+    assert warc.history(warc.read_archives(spark, folder)).count() == pages.count()
+    vectors = clashing(table(spark, sf_dir, "embeddings"), "id vector number list visited component_id kept n_links key dims asks group score rank i j")
+    assert neardup.near_duplicates(vectors, "vec_id", "embedding", "label").count() == vectors.count()
+    asks = F.col("vec_id") % 50 == 0
+    found = neighbours.search(vectors, "vec_id", "embedding", asks)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"] and found.count() == 5 * vectors.where(asks).count()
+    names = "token n number ids fingerprint component_id piece start length share rank score lang_pred key lot pairs digest row held_out logs base spans"
+    docs = clashing(table(spark, sf_dir, "documents"), names)
+    n, labels = docs.count(), table(spark, sf_dir, "labels")
+    assert quality.score(docs, quality.train(docs, labels, "doc_id", "quality")).count() == n
+    assert language.predict(docs, language.train(docs, F.col("doc_id"))).count() == n
+    assert personal.found(docs, "doc_id").count() == simhash.groups(docs, "doc_id").count() == n
+    assert bpe.digests(docs, queries.VOCABULARY, "doc_id").count() == exactdup.digests(docs, "doc_id").count() == n
+    model = perplexity.train(docs, perplexity.Settings(symbols=200, single=10, paired=3, sweeps=2))
+    assert perplexity.score(docs, "doc_id", *model).count() == n
