@@ -14,14 +14,14 @@ from respondry.plans.catalogue import QUERIES
 from respondry.plans.session import session
 
 HEADLINE = (
-    "scan_csv", "roundtrip_parquet", "clean_full", "impute_mode", "impute_mean",
+    "scan_csv", "scan_csv_folder", "index_by_dictionary", "decide_stream", "roundtrip_parquet", "clean_full", "impute_mode", "impute_mean",
     "index_categories", "one_hot", "standard_scale", "assemble_features", "feature_table",
     "split_assign", "smote_balance", "smote_points", "forest_fit", "score_table", "metric_auc",
     "metrics_multiclass", "roc_curve", "pr_curve", "eval_report", "feature_importance",
     "grid_search", "model_report", "forest_reload", "decide_with_model", "decide_text_input",
     "segment_customers", "segment_stats", "marketing_simulation", "risk_rank", "risk_summary",
     "risk_counts", "risk_marginals", "top_at_risk", "top_at_risk_limit", "score_profile",
-    "score_histogram", "risk_correlation", "validate_input", "validation_summary",
+    "score_histogram", "risk_correlation", "risk_correlation_nulls", "validate_input", "validation_summary",
     "decide_customers",
 )
 
