@@ -384,6 +384,35 @@ def test_language_model_keeps_words_of_high_rank_as_symbols(spark):
     assert model.logs.shape == (513, 8193)
 
 
+def test_scores_add_up_word_by_word(spark, docs):
+    """A text's score is the sum over its words of the context's and, for rare words, the tail's logs."""
+    rows = [(i, text_of(40, i)) for i in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    model, counts = perplexity.train(train, perplexity.Settings(dictionary=60, symbols=30, single=7, paired=3, sweeps=2))
+    counted = Counter(w for _, t in rows for w in [*t.split(), "\n"])
+    symbols, edge = model.symbols, model.contexts.single + 2
+    assert symbols == 30 and len(counted) > len(model.known) > symbols
+
+    def by_hand(text):
+        words = [*re.findall(r"[^\x20\x09-\x0D]+", "".join(x.lower() if x.isascii() else x for x in text)), "\n"]
+        signs = [min(model.known.get(w.encode(), symbols), symbols) for w in words]
+        total = 0.0
+        for i, sign in enumerate(signs):
+            context = edge - 1 if i == 0 else min(signs[i - 1], edge - 2)
+            if i > 1 and max(signs[i - 2 : i]) < 3:
+                context = edge + 3 * signs[i - 2] + signs[i - 1]
+            total += float(model.logs[context, sign])
+            if sign == symbols:
+                total += float(model.tail.log10(np.array([counted[words[i]]]))[0])
+        return total
+
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.where("doc_id IS NOT NULL").collect()}
+    for r in perplexity.score(docs.where("doc_id IS NOT NULL"), "doc_id", model, counts).collect():
+        assert np.isclose(r["score"], by_hand(texts[r["doc_id"]]), rtol=1e-6)
+    # the averaged probabilities of every context sum to one, with customers or without
+    assert np.allclose((10.0 ** model.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
+
+
 def test_seatings_follow_the_restaurant():
     """Tables of one dish whose menu probability is one are those of a plain Pitman-Yor restaurant."""
     random_ = np.random.default_rng(0)
