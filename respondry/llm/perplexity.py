@@ -1,20 +1,21 @@
 """Log probabilities of texts under a hierarchical Pitman-Yor model.
 
-Tokens are words (white space 20, 09-0D between them, only A-Z lower-cased) and one end. The commonest
-``symbols`` training tokens are symbols of their own, all others share one tail symbol. A restaurant
-belongs to each of the commonest contexts: the last two symbols where both are among the ``paired``
-commonest, else the last one where it is among the ``single`` commonest, else one for all other contexts
-and one for the start. Two-symbol restaurants order from that of their last symbol, those from the
-root, the root from a uniform menu. Customers sit by the Chinese-restaurant process: a sweep seats
-them one lot after another and then moves single customers by Gibbs steps, level after level, each
-level's tables being the customers of the next. Predictive probabilities are averaged over the sweeps
-after the first. Inside the tail symbol a word has a Pitman-Yor probability of its own, from its count,
-over all tail words of the corpus and one unseen word.
-
-Counts, contexts and the tail cover every training document. Restaurants are rows of written tables, seated
-in tasks, a restaurant's tables becoming its parent's customers by a grouping. What is held whole is bounded: the
-commonest tokens, all of one count or none and at most ``dictionary``, and a table of contexts by symbols. Tokens outside the dictionary are
-looked up by a join with the written counts.
+Tokens are words (white space 20, 09-0D between them, only A-Z lower-cased) and one end, which also
+precedes the first. A restaurant belongs to every token that training rows hold as a context; all of them
+share the root as their parent, and the root's menu is uniform over the training tokens and one unseen.
+Customers sit by the Chinese-restaurant process: a sweep seats them one lot after another and then moves
+single customers by Gibbs steps; the tables are the root's customers, and its menu serves the next sweep.
+Predictive probabilities are averaged over the sweeps after the first, under the last root.
+
+Every context and every pair of tokens counts. Pairs are cut into buckets by a hash of the context, those of
+a context with more than a quarter of a bucket by a hash of both tokens, so no bucket grows with a hot
+context; what such a context has seated in all buckets is summed after every sweep. Buckets follow the
+number of training tokens; a bucket is a row of a written table and is seated in a task. Positions of all
+texts, scored or learnt, meet their bucket by the same hash, and a text's sums come back in blocks of
+texts. Held whole are: the commonest tokens (all of one count or none, at most ``dictionary``) with the
+root's customers of each, a short number for a common word and a place to look it up; hot contexts, at most four a bucket.
+Tokens outside the dictionary are known by 62 bits of a hash and looked up by joins with written counts;
+while seating, such a token's root count is that of its bucket.
 
 Null text is empty and consists of the end alone. With no training rows every probability comes from
 empty restaurants. Rows that repeat a key are scored one by one; a null key is kept.
@@ -23,10 +24,13 @@ empty restaurants. Rows that repeat a key are scored one by one; a null key is k
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +43,17 @@ END = b"\n"
 HELD = 250_000
 #: Longer tokens are never part of the dictionary.
 LONGEST = 64
+#: Positions that a task holds before it hands them on.
+LOT = 1_000_000
+#: Texts of a block; sums of logs travel as whole numbers of this unit, so their order does not matter.
+BLOCK_BITS, UNIT = 12, 1e-9
 
 
 @dataclass(frozen=True)
 class Settings:
     dictionary: int = 200_000
-    symbols: int = 8_192
-    single: int = 255
-    paired: int = 16
+    bucket: int = 500_000
+    least_buckets: int = 32
     sweeps: int = 4
     rounds: int = 12
     strength: float = 1.0
@@ -54,45 +61,49 @@ class Settings:
 
 
 @dataclass(frozen=True)
-class Contexts:
-    """Numbers of contexts: one symbol, any other, start, then pairs of symbols."""
+class Tokens:
+    """Numbers of tokens: the place in the dictionary, beyond it a hash."""
 
-    single: int
-    paired: int
+    known: dict[bytes, int]
 
-    @property
-    def count(self) -> int:
-        return self.single + 2 + self.paired**2
-
-    def of(self, symbols: np.ndarray) -> np.ndarray:
-        """The context of every position of one text."""
-        out = np.empty(len(symbols), np.int64)
-        out[0] = self.single + 1
-        last = symbols[:-1]
-        out[1:] = np.minimum(last, self.single)
-        both = (symbols[:-2] < self.paired) & (symbols[1:-1] < self.paired)
-        out[2:][both] = self.single + 2 + symbols[:-2][both] * self.paired + symbols[1:-1][both]
-        return out
+    def _other(self, token: bytes) -> int:
+        return len(self.known) + (xxhash.xxh64_intdigest(token) >> 2)
+
+    def codes(self, found: list[bytes]) -> np.ndarray:
+        get = self.known.get
+        return np.array([self._other(x) if (i := get(x)) is None else i for x in found], np.int64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 @dataclass(frozen=True)
-class Model:
-    known: dict[bytes, int]
-    counts: np.ndarray
-    tokens: int
-    distinct: int
-    contexts: Contexts
-    logs: np.ndarray
-    tail: Tail
+class Cuts:
+    """The bucket of a pair; ``hot`` contexts, in order and with their customers, are cut by both tokens."""
 
-    @property
-    def symbols(self) -> int:
-        return self.logs.shape[1] - 1
+    buckets: int
+    hot: np.ndarray
+    customers: np.ndarray
+
+    def place(self, contexts: np.ndarray) -> np.ndarray:
+        """The place among the hot contexts, -1 for others."""
+        if not len(self.hot):
+            return np.full(len(contexts), -1)
+        at = np.minimum(np.searchsorted(self.hot, contexts), len(self.hot) - 1)
+        return np.where(self.hot[at] == contexts, at, -1)
+
+    def of(self, contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        both = np.where(self.place(contexts) >= 0, _mixed(tokens), np.uint64(0))
+        return (_mixed(contexts.astype(np.uint64) ^ both) % np.uint64(self.buckets)).astype(np.int64)
 
 
 @dataclass(frozen=True)
-class Tail:
-    """Words of the tail symbol: ``seats[c]`` is the mean number of tables of a word with c customers."""
+class Root:
+    """The root: ``seats[c]`` is the mean number of tables of a word with c customers."""
 
     seats: np.ndarray
     discount: float
@@ -137,29 +148,97 @@ def counted(docs: DataFrame) -> DataFrame:
     return parts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def symbols_of(found: list[bytes], known: dict[bytes, int], tail: int) -> np.ndarray:
-    get = known.get
-    return np.minimum(np.array([get(x, tail) for x in found], np.int64), tail)
+def packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers of equal count, byte by byte, so that leading zeros cost next to nothing."""
+    planes = [np.ascontiguousarray(c, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(x.T).view(np.int64).ravel() for x in planes]
+
 
+def _runs(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Beginnings and ends of equal values."""
+    edges = np.flatnonzero(np.diff(sorted_)) + 1
+    return zip([0, *edges.tolist()], [*edges.tolist(), len(sorted_)]) if len(sorted_) else iter(())
 
-def context_counts(docs: DataFrame, known: dict[bytes, int], symbols: int, contexts: Contexts) -> DataFrame:
-    """``context``, ``dish`` (a symbol, or the tail) and how often it follows, ``n``, over all rows; written."""
-    only = {token: i for token, i in known.items() if i < symbols}
-    shared = docs.sparkSession.sparkContext.broadcast(only)
-    width = symbols + 1
-    schema = pa.schema([("context", pa.int32()), ("dish", pa.int32()), ("n", pa.int64())])
+
+def _summed(contexts: np.ndarray, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs in order, each once, with their sums."""
+    order = np.lexsort((tokens, contexts))
+    contexts, tokens, n = contexts[order], tokens[order], n[order]
+    new = np.ones(len(contexts), bool)
+    new[1:] = (np.diff(contexts) != 0) | (np.diff(tokens) != 0)
+    first = np.flatnonzero(new)
+    return contexts[first], tokens[first], np.add.reduceat(n, first) if len(first) else n
+
+
+class Lot:
+    """Positions of several texts: context, token and, in scoring, the text's number."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, end: int, codes: np.ndarray, number: int = 0) -> None:
+        before = np.empty_like(codes)
+        before[0], before[1:] = end, codes[:-1]
+        self.parts.append((before, codes, np.full(len(codes), number, np.int64)))
+        self.size += len(codes)
+
+    def taken(self) -> tuple[np.ndarray, ...]:
+        out = tuple(np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.zeros(0, np.int64),) * 3
+        self.parts, self.size = [], 0
+        return out
+
+
+def pairs(docs: DataFrame, tokens: Tokens, cuts: Cuts) -> DataFrame:
+    """A written row per bucket: ``data`` are contexts, tokens and counts, with how many pairs occur once and twice."""
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, cuts))
+    wire = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
+    schema = pa.schema([*wire, ("once", pa.int64()), ("twice", pa.int64())])
+
+    def handed(lot: Lot, cuts: Cuts):
+        contexts, found, _ = lot.taken()
+        contexts, found, n = _summed(contexts, found, np.ones(len(contexts), np.int64))
+        bucket = cuts.of(contexts, found)
+        order = np.argsort(bucket, kind="stable")
+        contexts, found, n, bucket = contexts[order], found[order], n[order], bucket[order]
+        for a, b in _runs(bucket):
+            yield pa.RecordBatch.from_pylist([{"bucket": int(bucket[a]), "data": packed(contexts[a:b], found[a:b], n[a:b])}], wire)
 
     def run(rows):
-        seen = np.zeros(contexts.count * width, np.int32)
+        tokens, cuts = shared.value
+        end, lot = int(tokens.codes([END])[0]), Lot()
         for batch in rows:
-            for text in batch["text"].to_pylist():
-                found = symbols_of(tokens_of(text), shared.value, symbols)
-                np.add.at(seen, contexts.of(found) * width + found, 1)
-        cells = np.flatnonzero(seen)
-        yield from batches({"context": cells // width, "dish": cells % width, "n": seen[cells].astype(np.int64)}, schema)
+            for text in batch["text"]:
+                lot.add(end, tokens.codes(tokens_of(text.as_py())))
+                if lot.size >= LOT:
+                    yield from handed(lot, cuts)
+        yield from handed(lot, cuts)
+
+    def merged(bucket: int, held: list[bytes]):
+        contexts, found, n = _summed(*(np.concatenate(x) for x in zip(*(unpacked(data, 3) for data in held))))
+        row = {"bucket": bucket, "data": packed(contexts, found, n), "once": int((n == 1).sum()), "twice": int((n == 2).sum())}
+        return pa.RecordBatch.from_pylist([row], schema)
+
+    def merge(rows):
+        now, held = None, []
+        for batch in rows:
+            for bucket, data in zip(batch["bucket"].to_pylist(), batch["data"]):
+                if bucket != now and held:
+                    yield merged(now, held)
+                    held = []
+                now = bucket
+                held.append(data.as_py())
+        if held:
+            yield merged(now, held)
 
-    parts = docs.select(text_bytes("text")).mapInArrow(run, "context int, dish int, n long")
-    return written(parts.groupBy("context", "dish").agg(F.sum("n").alias("n")), "contexts")
+    parts = docs.select(text_bytes("text")).mapInArrow(run, "bucket long, data binary")
+    parts = parts.repartition(cuts.buckets, "bucket").sortWithinPartitions("bucket")
+    return written(parts.mapInArrow(merge, "bucket long, data binary, once long, twice long"), "pairs")
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -167,197 +246,194 @@ def discount_of(once: int, twice: int) -> float:
     return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95))
 
 
-def seated(customers: np.ndarray, menu: np.ndarray, discount: float, strength: float, rounds: int, random) -> np.ndarray:
-    """Tables of each dish of one restaurant; ``menu`` is the parent's probability of the dish.
+def seated(
+    customers: np.ndarray, menu: np.ndarray, discount: float, strength: float, rounds: int, random,
+    place: np.ndarray | None = None, elsewhere: np.ndarray | None = None,
+) -> np.ndarray:
+    """Tables of each dish; ``place`` is the dish's restaurant (one by default), ``menu`` the parent's
+    probability of the dish, ``elsewhere`` the tables a restaurant has in other buckets.
 
     Customers first sit in growing lots, the chance of a new table held during a lot. Then, in each round,
     one customer of every dish leaves and sits again: at a table by its size less the discount, or at a new one.
     """
-    n = len(customers)
-    tables = np.ones(n, np.int64)
-    sitting = np.ones(n, np.int64)
+    place = np.zeros(len(customers), np.int64) if place is None else place
+    total = np.zeros(place.max(initial=0) + 1) if elsewhere is None else elsewhere.astype(float)
+    total += np.bincount(place, minlength=len(total))
+    tables = np.ones(len(customers), np.int64)
+    movers = np.flatnonzero(customers > 1)
+    if not movers.size:
+        return tables
+    # dishes of one customer keep their table; only the others are worked on
+    n, customers, menu, place = len(movers), customers[movers], menu[movers], place[movers]
+    now, sitting = np.ones(n, np.int64), np.ones(n, np.int64)
     while (waiting := np.flatnonzero(sitting < customers)).size:
         lot = np.minimum(customers[waiting] - sitting[waiting], np.maximum(sitting[waiting] // 10, 1))
-        new = (strength + discount * tables.sum()) * menu[waiting]
-        tables[waiting] += random.binomial(lot, new / (new + sitting[waiting] - discount * tables[waiting]))
+        new = (strength + discount * total[place[waiting]]) * menu[waiting]
+        opened = random.binomial(lot, new / (new + sitting[waiting] - discount * now[waiting]))
+        now[waiting] += opened
+        np.add.at(total, place[waiting], opened)
         sitting[waiting] += lot
-    movers = np.flatnonzero(customers > 1)
-    if not movers.size or not rounds:
-        return tables
+    if rounds:
+        now = _moved(customers, now, menu, discount, strength, rounds, random, place, total)
+    tables[movers] = now
+    return tables
+
+
+def _moved(customers, tables, menu, discount, strength, rounds, random, place, total) -> np.ndarray:
+    """Tables after the Gibbs rounds; dishes here have at least two customers."""
+    n = len(customers)
+    total = total - np.bincount(place, tables, len(total))  # without these dishes
     dish = np.repeat(np.arange(n), tables)
     number = np.arange(len(dish)) - np.repeat(np.cumsum(tables) - tables, tables)
     weight = (number + 1.0) ** (-1 / discount)
     weight /= np.bincount(dish, weight, n)[dish]
     size = 1 + np.floor((customers - tables)[dish] * weight).astype(np.int64)
     size[number == 0] += customers - np.bincount(dish, size, n).astype(np.int64)
+    every = np.arange(n)
     for _ in range(rounds):
-        first = np.searchsorted(dish, movers)
-        last = np.searchsorted(dish, movers, "right") - 1
+        first = np.searchsorted(dish, every)
+        last = np.searchsorted(dish, every, "right") - 1
         ends = np.cumsum(size)
         begin = ends[first] - size[first]
-        leave = np.searchsorted(ends, begin + np.floor(random.random(len(movers)) * customers[movers]), "right")
+        leave = np.searchsorted(ends, begin + np.floor(random.random(n) * customers), "right")
         size[leave] -= 1
         now = np.bincount(dish[size > 0], minlength=n)
-        new = (strength + discount * now.sum()) * menu[movers]
-        others = customers[movers] - 1 - discount * now[movers]
-        opens = random.random(len(movers)) * (new + others) < new
+        new = (strength + discount * (total + np.bincount(place, now, len(total)))[place]) * menu
+        others = customers - 1 - discount * now
+        opens = random.random(n) * (new + others) < new
         room = np.where(size > 0, size - discount, 0.0)
         ends = np.cumsum(room)
         begin = ends[first] - room[first]
-        join = np.searchsorted(ends, begin + random.random(len(movers)) * others, "right")
+        join = np.searchsorted(ends, begin + random.random(n) * others, "right")
         join = np.clip(join, first, last)
         # rounding may point at a table just left empty; its last customer then stays
         join = np.where(size[join] > 0, join, leave)
         size[join[~opens]] += 1
         size = np.concatenate([size, np.ones(opens.sum(), np.int64)])
-        dish = np.concatenate([dish, movers[opens]])
+        dish = np.concatenate([dish, every[opens]])
         order = np.argsort(dish, kind="stable")
         order = order[size[order] > 0]
         dish, size = dish[order], size[order]
     return np.bincount(dish, minlength=n)
 
 
-def predictive(customers: np.ndarray, tables: np.ndarray, menu: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Probabilities of all dishes, restaurants in rows."""
-    total = customers.sum(axis=-1, keepdims=True)
-    new = strength + discount * tables.sum(axis=-1, keepdims=True)
-    return (customers - discount * tables + new * menu) / (strength + total)
+@dataclass(frozen=True)
+class Sweep:
+    """The root after a sweep, its customers of each dictionary token, and the tables of hot contexts."""
+
+    root: Root
+    served: np.ndarray
+    hot: np.ndarray
+
+    def menu(self, tokens: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The root's probabilities; tokens outside the dictionary have ``others`` customers."""
+        inside = tokens < len(self.served)
+        return 10.0 ** self.root.log10(np.where(inside, np.append(self.served, 0)[np.where(inside, tokens, -1)], others))
+
+
+class Bucket:
+    """The restaurants of a bucket: pairs in order, the restaurant of each."""
+
+    def __init__(self, data: bytes | None, cuts: Cuts):
+        empty = [np.zeros(0, np.int64)] * 3
+        self.pair_context, self.token, self.n = empty if data is None else unpacked(data, 3)
+        self.contexts, self.place = np.unique(self.pair_context, return_inverse=True)
+        self.hot = cuts.place(self.contexts)
+        self.customers = np.bincount(self.place, self.n, len(self.contexts))
+        self.whole = np.where(self.hot >= 0, np.append(cuts.customers, 0)[self.hot], self.customers)
+        self.words, self.word = np.unique(self.token, return_inverse=True)
+        self.seen = np.bincount(self.word, minlength=len(self.words))[self.word]
+
+    def seat(self, number: int, turn: int, before: list[Sweep], distinct: int, discount: float, settings: Settings) -> np.ndarray:
+        """Tables of every pair in sweep ``turn``, the same whenever it is asked for."""
+        rest = 1 - self.customers / np.maximum(self.whole, 1)
+        if turn:
+            menu = before[turn - 1].menu(self.token, self.seen)
+            tables = np.append(before[turn - 1].hot, 0)[self.hot]
+        else:
+            menu = np.full(len(self.token), 1 / (distinct + 1))
+            tables = np.bincount(self.place, minlength=len(self.contexts)) / np.maximum(1 - rest, 1e-12)
+        elsewhere = np.where(self.hot >= 0, tables * rest, 0.0)
+        random = np.random.default_rng([settings.seed, turn, number])
+        return seated(self.n, menu, discount, settings.strength, settings.rounds, random, self.place, elsewhere)
+
+    def keep(self, number: int, sweeps: list[Sweep], distinct: int, discount: float, settings: Settings) -> None:
+        """Means over the sweeps after the first: each pair's own share, each context's share of the menu."""
+        turns = range(min(1, len(sweeps) - 1), len(sweeps))
+        self.own, self.menu = np.zeros(len(self.token)), np.zeros(len(self.contexts))
+        for turn in turns:
+            tables = self.seat(number, turn, sweeps, distinct, discount, settings)
+            total = np.bincount(self.place, tables, len(self.contexts))
+            total = np.where(self.hot >= 0, np.append(sweeps[turn].hot, 0)[self.hot], total)
+            self.own += (self.n - discount * tables) / (self.whole + settings.strength)[self.place] / len(turns)
+            self.menu += (settings.strength + discount * total) / (self.whole + settings.strength) / len(turns)
+        self.key = self.place * max(len(self.words), 1) + self.word
+
+    def look(self, contexts: np.ndarray, tokens: np.ndarray, model: Shared) -> tuple[np.ndarray, np.ndarray]:
+        """Own share and share of the menu of every position; a context never learnt takes its menu."""
+        own, menu = np.zeros(len(contexts)), np.ones(len(contexts))
+        hot = model.cuts.place(contexts)
+        menu[hot >= 0] = model.hot_menu[hot[hot >= 0]]
+        if len(self.key):
+            row = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+            found = self.contexts[row] == contexts
+            menu[found] = self.menu[row[found]]
+            word = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
+            key = row * len(self.words) + word
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            found &= (self.words[word] == tokens) & (self.key[at] == key)
+            own[found] = self.own[at[found]]
+        return own, menu
+
 
+@dataclass(frozen=True)
+class Shared:
+    """What every task of the scoring needs."""
 
-def restaurants(cells: DataFrame) -> DataFrame:
-    """A row per context: its ``dishes`` in order and their ``customers``; at most as many as symbols."""
-    by_dish = F.sort_array(F.collect_list(F.struct("dish", "n"))).alias("eaten")
-    rows = cells.groupBy("context").agg(by_dish)
-    return rows.select("context", F.col("eaten.dish").alias("dishes"), F.col("eaten.n").alias("customers"))
+    tokens: Tokens
+    counts: np.ndarray
+    total: int
+    distinct: int
+    cuts: Cuts
+    discount: float
+    sweeps: list[Sweep]
+    settings: Settings
 
+    @property
+    def hot_menu(self) -> np.ndarray:
+        kept = self.sweeps[min(1, len(self.sweeps) - 1) :]
+        tables = np.mean([s.hot for s in kept], axis=0)
+        return (self.settings.strength + self.discount * tables) / (self.cuts.customers + self.settings.strength)
 
-def _dense(dishes, values, width: int) -> np.ndarray:
-    out = np.zeros(width)
-    if dishes is not None and len(dishes):
-        out[np.asarray(dishes)] = values
-    return out
+    @property
+    def root(self) -> Root:
+        return self.sweeps[-1].root
 
+    def bucket(self, number: int, data: bytes | None) -> Bucket:
+        found = Bucket(data, self.cuts)
+        found.keep(number, self.sweeps, self.distinct, self.discount, self.settings)
+        return found
 
-def _seat(rows: DataFrame, width: int, discount: float, settings: Settings, turn: int, first: int, root: np.ndarray, above: float) -> DataFrame:
-    """``rows`` with ``tables``, seated in tasks, a restaurant with a random generator of its own.
 
-    The menu is ``root``, or where ``rows`` have them that of the parent with its ``parent_dishes``,
-    ``parent_customers`` and ``parent_tables`` under the discount ``above``. Random numbers depend on the
-    settings, the turn and the context's place after ``first`` alone.
-    """
-    schema = schema_with(rows, "tables array<long>")
-
-    def run(batches):
-        for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                menu = root
-                if "parent_dishes" in row and row["parent_dishes"] is not None:
-                    sides = (_dense(row["parent_dishes"], row[f"parent_{c}"], width) for c in ("customers", "tables"))
-                    menu = predictive(*sides, root, above, settings.strength)
-                random = np.random.default_rng([settings.seed, turn, row["context"] - first])
-                dishes, customers = np.array(row["dishes"], np.int64), np.array(row["customers"], np.int64)
-                found.append(seated(customers, menu[dishes], discount, settings.strength, settings.rounds, random))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], names=[*batch.schema.names, "tables"]
-            )
-
-    return rows.mapInArrow(run, schema)
-
-
-def _eaten(cells: DataFrame, where: Column) -> list[int]:
-    """How many dishes of some contexts were eaten once, and how many twice."""
-    return list(cells.where(where).agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first())
-
-
-def _parents(upper: DataFrame) -> DataFrame:
-    return upper.select(
-        F.col("context").alias("parent"), F.col("dishes").alias("parent_dishes"),
-        F.col("customers").alias("parent_customers"), F.col("tables").alias("parent_tables"),
-    )
+@dataclass(frozen=True)
+class Model:
+    """``pairs``: the written buckets; ``served``: the root's customers by number of token; ``counts``: by token."""
 
+    shared: Shared
+    pairs: DataFrame
+    served: DataFrame
+    counts: DataFrame
 
-def averaged(cells: DataFrame, width: int, contexts: Contexts, settings: Settings) -> np.ndarray:
-    """Contexts x symbols of log10 probabilities, averaged over the sweeps after the first.
 
-    Restaurants are rows of tables, seated in tasks; the tables of a two-symbol restaurant are customers
-    of its parent by a grouping. What reaches the driver are discounts, the root's customers (one number
-    per symbol) and the finished probabilities.
-    """
-    edge = contexts.single + 2
-    deep, parent = F.col("context") >= edge, ((F.col("context") - edge) % max(contexts.paired, 1)).cast("int")
-    uniform = np.full(width, 1 / width)
-    root = uniform
-    discounts = [discount_of(*_eaten(cells, deep)), discount_of(*_eaten(cells, ~deep)), 0.0]
-    lower_rows = written(restaurants(cells.where(deep)).withColumn("parent", parent), "lower")
-    upper, roots, seatings = None, [], []
-    for sweep in range(settings.sweeps):
-        rows = lower_rows if upper is None else lower_rows.join(_parents(upper), "parent", "left")
-        lower = _seat(rows, width, discounts[0], settings, 2 * sweep, edge, root, discounts[1])
-        lower = written(lower.select("context", "parent", "dishes", "customers", "tables"), "lower-seated")
-        sent = lower.select(F.col("parent").alias("context"), F.explode(F.arrays_zip("dishes", "tables")).alias("x"))
-        sent = sent.select("context", F.col("x.dishes").alias("dish"), F.col("x.tables").alias("n"))
-        customers = cells.where(~deep).unionByName(sent).groupBy("context", "dish").agg(F.sum("n").alias("n"))
-        upper = written(_seat(restaurants(customers), width, discounts[1], settings, 2 * sweep + 1, 0, root, 0.0), "upper-seated")
-        served = upper.select(F.explode(F.arrays_zip("dishes", "tables")).alias("x"))
-        served = served.groupBy(F.col("x.dishes").alias("dish")).agg(F.sum("x.tables").alias("n")).orderBy("dish").collect()
-        dishes, base = (np.array([r[c] for r in served], np.int64) for c in ("dish", "n"))  # at most a row per symbol
-        discounts[2] = discount_of(int((base == 1).sum()), int((base == 2).sum()))
-        random = np.random.default_rng([settings.seed, sweep])
-        tables = np.zeros(0, np.int64)
-        if dishes.size:
-            tables = seated(base, uniform[dishes], discounts[2], settings.strength, settings.rounds, random)
-        root = predictive(_dense(dishes, base, width), _dense(dishes, tables, width), uniform, discounts[2], settings.strength)
-        if sweep or settings.sweeps == 1:
-            roots.append(root)
-            seatings.append((lower, upper))
-    return _finished(cells.sparkSession, seatings, roots, contexts, width, discounts, settings)
-
-
-def _finished(spark, seatings, roots, contexts: Contexts, width: int, discounts: list[float], settings: Settings) -> np.ndarray:
-    """Mean probabilities over the seatings, a context at a time; contexts without customers take their menu."""
-    edge = contexts.single + 2
-    every = spark.range(contexts.count).select(F.col("id").cast("int").alias("context"))
-    every = every.withColumn("parent", F.when(F.col("context") >= edge, (F.col("context") - edge) % max(contexts.paired, 1)).cast("int"))
-    sides = ("dishes", "customers", "tables")
-    for i, (lower, upper) in enumerate(seatings):
-        own = upper.select("context", *sides).union(lower.select("context", *sides))
-        own = own.select("context", *[F.col(c).alias(f"{c}_{i}") for c in sides])
-        above = upper.select(F.col("context").alias("parent"), *[F.col(c).alias(f"parent_{c}_{i}") for c in sides])
-        every = every.join(own, "context", "left").join(above, "parent", "left")
-
-    def mixed(row, head: str, i: int, menu: np.ndarray, discount: float) -> np.ndarray:
-        dishes = row[f"{head}dishes_{i}"]
-        customers, tables = (_dense(dishes, row[f"{head}{c}_{i}"], width) for c in sides[1:])
-        return predictive(customers, tables, menu, discount, settings.strength)
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                total = np.zeros(width)
-                for i, root in enumerate(roots):
-                    if row["parent"] is None:
-                        total += mixed(row, "", i, root, discounts[1])
-                    else:
-                        total += mixed(row, "", i, mixed(row, "parent_", i, root, discounts[1]), discounts[0])
-                logs = np.log10(total / len(roots)).astype("<f4")
-                yield pa.RecordBatch.from_arrays([pa.array([row["context"]], pa.int32()), pa.array([logs.tobytes()], pa.binary())], names=["context", "logs"])
-
-    out = np.zeros((contexts.count, width), np.float32)
-    for row in every.repartition(min(contexts.count, 24), "context").mapInArrow(run, "context int, logs binary").collect():
-        out[row["context"]] = np.frombuffer(row["logs"], "<f4")
-    return out
-
-
-def tail_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, copies: int = 32) -> Tail:
-    """The tail restaurant from how many of its words have each count; seatings of a count are averaged."""
+def root_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, copies: int = 32) -> Root:
+    """The root from how many of its words have each count; seatings of a count are averaged."""
     counts = np.array(sorted(histogram), np.int64)
     words_with = np.array([histogram[c] for c in counts.tolist()], np.int64)
     customers, number = int((counts * words_with).sum()), int(words_with.sum())
     once, twice = histogram.get(1, 0), histogram.get(2, 0)
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.95))
     size = int(min(counts.max(initial=1), most))
-    tail = Tail(np.minimum(np.arange(size + 1), 1.0), discount, settings.strength, customers, float(number), number)
+    tail = Root(np.minimum(np.arange(size + 1), 1.0), discount, settings.strength, customers, float(number), number)
     for turn in range(3):
         random = np.random.default_rng([settings.seed, 1000 + turn])
         new = (settings.strength + discount * tail.tables) / (number + 1)
@@ -365,18 +441,47 @@ def tail_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, co
         for c in range(1, size):
             tables += random.random(copies) * (new + c - discount * tables) < new
             seats.append(float(tables.mean()))
-        tail = Tail(np.array(seats[: size + 1]), discount, settings.strength, customers, tail.tables, number)
+        tail = Root(np.array(seats[: size + 1]), discount, settings.strength, customers, tail.tables, number)
         total = float((tail.tables_of(counts) * words_with).sum()) if number else 0.0
-        tail = Tail(tail.seats, discount, settings.strength, customers, total, number)
+        tail = Root(tail.seats, discount, settings.strength, customers, total, number)
     return tail
 
 
-def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """The model, and the written counts of all tokens."""
+def _swept(rows: DataFrame, distinct: int, cuts: Cuts, discount: float, size: int, before: list[Sweep], settings: Settings) -> tuple[Sweep, DataFrame]:
+    """The next sweep over all buckets, and the root's customers by number of token (hot contexts: -1, -2, ...)."""
+    shared = rows.sparkSession.sparkContext.broadcast((cuts, before))
+    schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
+    turn = len(before)
+
+    def run(rows):
+        cuts, before = shared.value
+        for batch in rows:
+            for number, data in zip(batch["bucket"].to_pylist(), batch["data"]):
+                bucket = Bucket(data.as_py(), cuts)
+                tables = bucket.seat(number, turn, before, distinct, discount, settings)
+                by_word = np.bincount(bucket.word, tables, len(bucket.words)).astype(np.int64)
+                by_context = np.bincount(bucket.place, tables, len(bucket.contexts)).astype(np.int64)
+                hot = bucket.hot >= 0
+                codes = np.concatenate([bucket.words, -1 - bucket.hot[hot]])
+                yield from batches({"code": codes, "n": np.concatenate([by_word, by_context[hot]])}, schema)
+
+    tables = rows.select("bucket", "data").mapInArrow(run, "code long, n long")
+    served = written(tables.groupBy("code").agg(F.sum("n").alias("n")), "served")
+    inside = served.where(F.col("code") < size).toPandas()  # the dictionary and hot contexts
+    code, n = inside["code"].to_numpy(np.int64), inside["n"].to_numpy(np.int64)
+    known, hot = np.zeros(size, np.int64), np.zeros(len(cuts.hot), np.int64)
+    known[code[code >= 0]] = n[code >= 0]
+    hot[-1 - code[code < 0]] = n[code < 0]
+    spread = served.where("code >= 0").groupBy("n").count().collect()  # at most as many as counts fit into the corpus
+    return Sweep(root_of({r["n"]: r["count"] for r in spread}, settings), known, hot), served
+
+
+def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
+    """The model of all rows."""
     counts = written(counted(docs), "tokens")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     short = F.octet_length("token") <= LONGEST
-    spread = counts.groupBy("n").agg(F.count("*").alias("words"), F.count_if(short).alias("short"))
+    spread = counts.groupBy("n").agg(F.count_if(short).alias("short"))
     spread = spread.orderBy(F.desc("n")).toPandas()  # at most as many counts as fit into the corpus, about a root of it
     least = spread["n"][spread["short"].cumsum() <= settings.dictionary].min()
     # where not even the commonest count fits, the dictionary is empty
@@ -384,76 +489,159 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Model, Data
     commonest = counts.where(short & (F.col("n") >= least_count)).toPandas()
     commonest["token"] = commonest["token"].map(bytes)
     commonest = commonest.sort_values(["n", "token"], ascending=[False, True])
-    known = {token: i for i, token in enumerate(commonest["token"])}
+    tokens = Tokens({token: i for i, token in enumerate(commonest["token"])})
     numbers = commonest["n"].to_numpy(np.int64)
     del commonest
-    symbols = min(settings.symbols, len(known))
-    contexts = Contexts(min(settings.single, symbols), min(settings.paired, symbols))
-    cells = context_counts(docs, known, symbols, contexts)
-    logs = averaged(cells, symbols + 1, contexts, settings)
-    # the tail's words by count: all, less those that are symbols
-    histogram = dict(zip(spread["n"].tolist(), spread["words"].tolist()))
-    for n in numbers[:symbols].tolist():
-        histogram[n] -= 1
-    tail = tail_of({n: w for n, w in histogram.items() if w}, settings)
-    return Model(known, numbers, int(tokens), int(distinct), contexts, logs, tail), counts
-
-
-def score(docs: DataFrame, key: str, model: Model, counts: DataFrame) -> DataFrame:
-    """Per row: ``key``, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigrams) and ``score``, both log10."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = "number long, token binary, times long, n_tokens long, n_known long, base double, logs double"
+    buckets = max(settings.least_buckets, total // settings.bucket)
+    hot = counts.where(F.col("n") * 4 * buckets > total).collect()  # fewer than four a bucket
+    codes = tokens.codes([bytes(r["token"]) for r in hot])
+    order = np.argsort(codes)
+    cuts = Cuts(int(buckets), codes[order], np.array([r["n"] for r in hot], np.int64)[order])
+    rows = pairs(docs, tokens, cuts)
+    discount = discount_of(*rows.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first())
+    sweeps: list[Sweep] = []
+    for _ in range(settings.sweeps):
+        sweep, served = _swept(rows, int(distinct), cuts, discount, len(numbers), sweeps, settings)
+        sweeps.append(sweep)
+    shared = Shared(tokens, numbers, int(total), int(distinct), cuts, discount, sweeps, settings)
+    return Model(shared, rows, served.where(F.col("code") >= len(numbers)), counts)
+
+
+def _positions(docs: DataFrame, key: str, shared) -> DataFrame:
+    """Written: a row per text with its unigram sums, a row per text and token outside the dictionary, and rows
+    of ``data`` with the positions of a bucket."""
+    added = "number long, token binary, times long, n_tokens long, n_known long, base double, bucket long, data binary"
+    fields = [("number", pa.int64()), ("token", pa.binary()), *((c, pa.int64()) for c in ("times", "n_tokens", "n_known"))]
+    schema = pa.schema([*fields, ("base", pa.float64()), ("bucket", pa.int64()), ("data", pa.binary())])
+
+    def handed(lot: Lot, cuts: Cuts):
+        contexts, found, numbers = lot.taken()
+        bucket = cuts.of(contexts, found)
+        order = np.argsort(bucket, kind="stable")
+        contexts, found, numbers, bucket = contexts[order], found[order], numbers[order], bucket[order]
+        for a, b in _runs(bucket):
+            least = int(numbers[a:b].min())
+            yield (least, None, 0, 0, 0, 0.0, int(bucket[a]), packed(contexts[a:b], found[a:b], numbers[a:b] - least))
 
     def run(rows):
-        model, numbers = shared.value, task_numbers()
-        symbols = model.symbols
-        known, seen = model.known, np.log10(np.concatenate([model.counts, [0]]) + 1.0)
-        tail = np.zeros(len(model.counts) + 1)
-        tail[symbols:-1] = model.tail.log10(model.counts[symbols:])
-        unseen = len(model.counts)
-        every = np.log10(model.tokens + model.distinct + 1.0)
+        model, numbers, lot = shared.value, task_numbers(), Lot()
+        end, size = int(model.tokens.codes([END])[0]), len(model.counts)
+        seen = np.log10(np.concatenate([model.counts, [0]]) + 1.0)
+        every = np.log10(model.total + model.distinct + 1.0)
+        keys = None
+
+        def batch_of(lines, keys):
+            arrays = [pa.array(column, f.type) for column, f in zip(zip(*lines), schema)]
+            return pa.RecordBatch.from_arrays([keys, *arrays], names=[key, *schema.names])
+
         for batch in rows:
-            place, out = [], [[] for _ in range(7)]
-            for row, text in enumerate(batch["text"].to_pylist()):
-                number, found = next(numbers), tokens_of(text)
-                at = np.array([known.get(x, unseen) for x in found], np.int64)
-                signs = np.minimum(at, symbols)
-                rare = Counter([found[i] for i in np.flatnonzero(at == unseen).tolist()])
+            keys = batch[key]
+            for row, text in enumerate(batch["text"]):
+                number, found = next(numbers), tokens_of(text.as_py())
+                codes = model.tokens.codes(found)
+                at = np.minimum(codes, size)
+                lot.add(end, codes, number)
+                rare = Counter([found[i] for i in np.flatnonzero(at == size).tolist()])
                 base = seen[at].sum() - len(at) * every
-                logs = model.logs[model.contexts.of(signs), signs].sum(dtype=np.float64) + tail[at].sum()
-                lines = [(number, None, 0, len(at), int((at < unseen).sum()), float(base), float(logs))]
-                lines += [(number, token, n, 0, 0, 0.0, 0.0) for token, n in rare.items()]
-                place += [row] * len(lines)
-                for column, values in zip(out, zip(*lines)):
-                    column += values
-            schema = pa.schema([("number", pa.int64()), ("token", pa.binary()), *((c, pa.int64()) for c in ("times", "n_tokens", "n_known")), ("base", pa.float64()), ("logs", pa.float64())])
-            lines = [pa.array(column, f.type) for column, f in zip(out, schema)]
-            keys = batch[key].take(pa.array(place, pa.int64()))
-            yield pa.RecordBatch.from_arrays([keys, *lines], names=[key, *schema.names])
-
-    lines = docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added))
-    lines = written(lines, "scored")
-    sums = ["n_tokens", "n_known", "base", "logs"]
-    rare = lines.where("token is not null").select("number", "token", "times").join(counts, "token", "left")
+                lines = [(number, None, 0, len(at), int((at < size).sum()), float(base), None, None)]
+                lines += [(number, token, n, 0, 0, 0.0, None, None) for token, n in rare.items()]
+                yield batch_of(lines, keys.take(pa.array([row] * len(lines), pa.int64())))
+                if lot.size >= LOT:
+                    for line in handed(lot, model.cuts):
+                        yield batch_of([line], pa.nulls(1, keys.type))
+        if keys is not None:
+            for line in handed(lot, model.cuts):
+                yield batch_of([line], pa.nulls(1, keys.type))
+
+    return written(docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added)), "positions")
+
+
+def _logs(lines: DataFrame, model: Model, shared) -> DataFrame:
+    """``number`` and ``units``, a text's sum of log10 probabilities in units."""
+    at = lines.where("data IS NOT NULL").select("bucket", F.lit(1).alias("kind"), F.col("number").alias("least"), "data")
+    both = model.pairs.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"), "data").unionByName(at)
+    both = both.repartition(model.shared.cuts.buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    out = "block long, data binary, number long, code long, own double, menu double"
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    schema = pa.schema(list(zip([x.split()[0] for x in out.split(", ")], kinds)))
+
+    def run(rows):
+        model = shared.value
+        size, bucket, now = len(model.counts), None, None
+        for batch in rows:
+            for number, kind, least, data in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["least"].to_pylist(), batch["data"]):
+                if number != now:
+                    bucket, now = model.bucket(number, data.as_py() if kind == 0 else None), number
+                if kind == 0:
+                    continue
+                contexts, tokens, texts = unpacked(data.as_py(), 3)
+                texts = texts + least
+                own, menu = bucket.look(contexts, tokens, model)
+                known = tokens < size
+                p = own[known] + menu[known] * model.sweeps[-1].menu(tokens[known], np.zeros(known.sum(), np.int64))
+                units = np.rint(np.log10(p) / UNIT).astype(np.int64)
+                text, place = np.unique(texts[known], return_inverse=True)
+                sums = np.zeros(len(text), np.int64)
+                np.add.at(sums, place, units)
+                block = text >> BLOCK_BITS
+                for a, b in _runs(block):
+                    row = {"block": int(block[a]), "data": packed(text[a:b] - (block[a] << BLOCK_BITS), sums[a:b])}
+                    yield pa.RecordBatch.from_pylist([row], schema)
+                rare = ~known
+                if rare.any():
+                    nothing = [None] * int(rare.sum())
+                    columns = {"block": nothing, "data": nothing, "number": texts[rare], "code": tokens[rare], "own": own[rare], "menu": menu[rare]}
+                    yield from batches(columns, schema)
+
+    found = written(both.mapInArrow(run, out), "logs")
+
+    def add(rows):
+        now, sums, seen = None, np.zeros(1 << BLOCK_BITS, np.int64), np.zeros(1 << BLOCK_BITS, bool)
+
+        def finished():
+            at = np.flatnonzero(seen)
+            return pa.RecordBatch.from_pydict({"number": at + (now << BLOCK_BITS), "units": sums[at]})
+
+        for batch in rows:
+            for block, data in zip(batch["block"].to_pylist(), batch["data"]):
+                if block != now:
+                    if now is not None:
+                        yield finished()
+                    now, sums[:], seen[:] = block, 0, False
+                text, units = unpacked(data.as_py(), 2)
+                sums[text] += units  # a row holds a text once
+                seen[text] = True
+        if now is not None:
+            yield finished()
 
     def look_up(rows):
-        tail = shared.value.tail
+        root = shared.value.root
         for batch in rows:
-            times = batch["times"].to_numpy()
-            n = batch["n"].to_numpy()
-            found = {"number": batch["number"], "n_tokens": np.zeros(len(n), np.int64), "n_known": np.where(n > 0, times, 0)}
-            found |= {"base": times * np.log10(n + 1.0), "logs": times * tail.log10(n)}
-            yield pa.RecordBatch.from_pydict(found)
+            p = batch["own"].to_numpy() + batch["menu"].to_numpy() * 10.0 ** root.log10(batch["n"].to_numpy())
+            yield pa.RecordBatch.from_pydict({"number": batch["number"], "units": np.rint(np.log10(p) / UNIT).astype(np.int64)})
+
+    common = found.where("block IS NOT NULL").select("block", "data")
+    common = common.repartition("block").sortWithinPartitions("block").mapInArrow(add, "number long, units long")
+    rare = found.where("code IS NOT NULL").join(model.served, "code", "left")
+    rare = rare.select("number", "own", "menu", F.coalesce("n", F.lit(0)).alias("n")).mapInArrow(look_up, "number long, units long")
+    return common.unionByName(rare).groupBy("number").agg(F.sum("units").alias("units"))
 
-    rare = rare.select("number", "times", F.coalesce("n", F.lit(0)).alias("n"))
-    rare = rare.mapInArrow(look_up, "number long, n_tokens long, n_known long, base double, logs double")
-    sums = rare.groupBy("number").agg(F.sum("n_known").alias("k"), F.sum("base").alias("b"), F.sum("logs").alias("l"))
-    whole = lines.where("token is null").join(sums, "number", "left")
+
+def score(docs: DataFrame, key: str, model: Model) -> DataFrame:
+    """Per row: ``key``, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigrams) and ``score``, both log10."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.shared)
+    lines = _positions(docs, key, shared)
+    rare = lines.where("token IS NOT NULL").select("number", "token", "times").join(model.counts, "token", "left")
+    n = F.coalesce("n", F.lit(0))
+    rare = rare.groupBy("number").agg(
+        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("k"), F.sum(F.col("times") * F.log10(n + 1.0)).alias("b")
+    )
+    whole = lines.where("n_tokens > 0").join(rare, "number", "left").join(_logs(lines, model, shared), "number", "left")
 
     def plus(a: str, b: str) -> Column:
         return F.col(a) + F.coalesce(F.col(b), F.lit(0))
 
     return whole.select(
-        key, "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        plus("base", "b").alias("base_score"), plus("logs", "l").alias("score"),
+        key, "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(model.shared.total).cast("long").alias("train_tokens"),
+        plus("base", "b").alias("base_score"), (F.col("units") * F.lit(UNIT)).alias("score"),
     )

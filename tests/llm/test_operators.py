@@ -354,15 +354,18 @@ def test_language_equals_brute_force(spark, docs):
         assert np.isclose(score, 1 / np.exp(total - total.max()).sum())
 
 
+def ascii_lower(text):
+    return "".join(x.lower() if x.isascii() else x for x in text)
+
+
+def tokens_by_hand(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text)), "\n"]
+
+
 def test_language_model(spark, docs, nothing):
     rows = [(i, text_of(30, i)) for i in range(80)]
-    train = spark.createDataFrame(rows, "doc_id long, text string")
-    settings = perplexity.Settings(dictionary=100, symbols=40, single=8, paired=3)
-    model, counts = perplexity.train(train, settings)
-    assert np.allclose((10.0 ** model.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
-    tail = [r["n"] for r in counts.collect() if model.known.get(bytes(r["token"]), 10**9) >= model.symbols]
-    assert np.isclose((10.0 ** model.tail.log10(np.array([*tail, 0]))).sum(), 1)
-    scored = {r["doc_id"]: r for r in perplexity.score(docs, "doc_id", model, counts).collect()}
+    model = perplexity.train(spark.createDataFrame(rows, "doc_id long, text string"), perplexity.Settings(dictionary=100))
+    scored = {r["doc_id"]: r for r in perplexity.score(docs, "doc_id", model).collect()}
     counted = Counter(w for _, t in rows for w in [*t.split(), "\n"])
     total, distinct = sum(counted.values()), len(counted)
     found = [*text_of(50, 4).split(), "\n"]
@@ -370,47 +373,79 @@ def test_language_model(spark, docs, nothing):
     assert scored[4]["n_known"] == sum(counted[w] > 0 for w in found) and scored[4]["train_tokens"] == total
     assert scored[1]["n_tokens"] == scored[2]["n_tokens"] == scored[3]["n_tokens"] == 1
     assert all(r["score"] < 0 for r in scored.values())
-    empty, no_counts = perplexity.train(nothing)
-    assert perplexity.score(docs, "doc_id", empty, no_counts).where("base_score <> 0 or score > 0").isEmpty()
-    assert perplexity.score(nothing, "doc_id", model, counts).isEmpty()
+    assert perplexity.score(docs, "doc_id", model).count() == docs.count()
+    empty = perplexity.train(nothing)
+    assert perplexity.score(docs, "doc_id", empty).where("base_score <> 0 or score > 0").isEmpty()
+    assert perplexity.score(nothing, "doc_id", model).isEmpty()
 
 
-def test_language_model_keeps_words_of_high_rank_as_symbols(spark):
-    """Words of rank 4,097 to 8,192 are symbols, and 16 symbols make two-symbol contexts."""
-    rows = [(i, " ".join(f"w{j}" for j in range(i * 900, i * 900 + 900))) for i in range(10)]
-    train = spark.createDataFrame(rows, "doc_id long, text string")
-    model, _ = perplexity.train(train, perplexity.Settings(sweeps=1, rounds=0))
-    assert model.symbols == 8192 and model.contexts.count == 255 + 2 + 16 * 16
-    assert model.logs.shape == (513, 8193)
+@pytest.mark.parametrize("dictionary", [0, 60, 10_000])
+def test_scores_add_up_word_by_word(spark, docs, dictionary):
+    """Every context of the training rows counts; scores are sums of mean predictive probabilities, which sum to one."""
+    rows = [(i, text_of(40, i)) for i in range(60)]
+    settings = perplexity.Settings(dictionary=dictionary, least_buckets=3, sweeps=3)
+    model = perplexity.train(spark.createDataFrame(rows, "doc_id long, text string"), settings)
+    inner = model.shared
+    pairs = Counter()
+    for _, text in rows:
+        found = tokens_by_hand(text)
+        pairs.update(zip(["\n", *found], found))
+    names = sorted({w for pair in pairs for w in pair})
+    code = dict(zip(names, inner.tokens.codes([w.encode() for w in names]).tolist()))
+    # n, and tables of each kept sweep, of every pair; no pair lies in two buckets
+    stored, seats, homes = {}, {}, Counter()
+    for r in model.pairs.collect():
+        bucket = perplexity.Bucket(r["data"], inner.cuts)
+        ids = list(zip(bucket.pair_context.tolist(), bucket.token.tolist()))
+        homes.update(set(bucket.contexts.tolist()))
+        assert not stored.keys() & set(ids)
+        stored |= dict(zip(ids, bucket.n.tolist()))
+        turns = [bucket.seat(r["bucket"], t, inner.sweeps, inner.distinct, inner.discount, settings) for t in (1, 2)]
+        seats |= dict(zip(ids, zip(*(t.tolist() for t in turns))))
+    assert stored == {(code[v], code[w]): n for (v, w), n in pairs.items()}
+    assert len(inner.cuts.hot) and max(homes.values()) > 1  # a hot context is cut
+    assert all(1 <= t <= stored[p] for p, both in seats.items() for t in both)
+    served = Counter()
+    for (_, w), both in seats.items():
+        served[w] += both[-1]
+    root = {w: 10.0 ** float(inner.root.log10(np.array([served.get(c, 0)]))[0]) for w, c in code.items()}
+    unseen = 10.0 ** float(inner.root.log10(np.array([0]))[0])
+    assert np.isclose(sum(root.values()) + unseen, 1)
+    customers, tables = Counter(), {}
+    for (v, _), n in stored.items():
+        customers[v] += n
+    for (v, _), both in seats.items():
+        tables[v] = tuple(map(sum, zip(tables.get(v, (0, 0)), both)))
+
+    def probability(v, w):
+        v, d, a, base = code.get(v), inner.discount, settings.strength, root.get(w, unseen)
+        if v not in customers:
+            return base
+        own, both = stored.get((v, code.get(w)), 0), seats.get((v, code.get(w)), (0, 0))
+        return np.mean([(own - d * t + (a + d * every) * base) / (customers[v] + a) for t, every in zip(both, tables[v])])
+
+    for v in ["\n", "the1", names[5], "never"]:
+        assert np.isclose(sum(probability(v, w) for w in names) + probability(v, "never seen"), 1)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.where("doc_id IS NOT NULL").collect()}
+    texts |= dict(rows[50:])
+    asked = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in perplexity.score(asked, "doc_id", model).collect():
+        found = tokens_by_hand(texts[r["doc_id"]])
+        by_hand = sum(np.log10(probability(v, w)) for v, w in zip(["\n", *found], found))
+        assert np.isclose(r["score"], by_hand, rtol=1e-6), r
 
 
-def test_scores_add_up_word_by_word(spark, docs):
-    """A text's score is the sum over its words of the context's and, for rare words, the tail's logs."""
-    rows = [(i, text_of(40, i)) for i in range(60)]
+def test_language_model_counts_do_not_depend_on_buckets(spark):
+    rows = [(i, text_of(200, i)) for i in range(20)]
     train = spark.createDataFrame(rows, "doc_id long, text string")
-    model, counts = perplexity.train(train, perplexity.Settings(dictionary=60, symbols=30, single=7, paired=3, sweeps=2))
-    counted = Counter(w for _, t in rows for w in [*t.split(), "\n"])
-    symbols, edge = model.symbols, model.contexts.single + 2
-    assert symbols == 30 and len(counted) > len(model.known) > symbols
-
-    def by_hand(text):
-        words = [*re.findall(r"[^\x20\x09-\x0D]+", "".join(x.lower() if x.isascii() else x for x in text)), "\n"]
-        signs = [min(model.known.get(w.encode(), symbols), symbols) for w in words]
-        total = 0.0
-        for i, sign in enumerate(signs):
-            context = edge - 1 if i == 0 else min(signs[i - 1], edge - 2)
-            if i > 1 and max(signs[i - 2 : i]) < 3:
-                context = edge + 3 * signs[i - 2] + signs[i - 1]
-            total += float(model.logs[context, sign])
-            if sign == symbols:
-                total += float(model.tail.log10(np.array([counted[words[i]]]))[0])
-        return total
-
-    texts = {r["doc_id"]: r["text"] or "" for r in docs.where("doc_id IS NOT NULL").collect()}
-    for r in perplexity.score(docs.where("doc_id IS NOT NULL"), "doc_id", model, counts).collect():
-        assert np.isclose(r["score"], by_hand(texts[r["doc_id"]]), rtol=1e-6)
-    # the averaged probabilities of every context sum to one, with customers or without
-    assert np.allclose((10.0 ** model.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
+    found = []
+    for buckets, parts in ((1, 1), (64, 7)):
+        settings = perplexity.Settings(least_buckets=buckets, rounds=4)
+        model = perplexity.train(train.repartition(parts), settings)
+        scores = {r["doc_id"]: r["score"] / r["n_tokens"] for r in perplexity.score(train, "doc_id", model).collect()}
+        found.append([scores[i] for i, _ in rows])
+    # random numbers differ, the probabilities hardly
+    assert np.allclose(*found, rtol=0.03)
 
 
 def test_seatings_follow_the_restaurant():

@@ -168,5 +168,5 @@ def test_extra_columns_clash_with_nothing(spark, sf_dir):
     assert language.predict(docs, language.train(docs, F.col("doc_id"))).count() == n
     assert personal.found(docs, "doc_id").count() == simhash.groups(docs, "doc_id").count() == n
     assert bpe.digests(docs, queries.VOCABULARY, "doc_id").count() == exactdup.digests(docs, "doc_id").count() == n
-    model = perplexity.train(docs, perplexity.Settings(symbols=200, single=10, paired=3, sweeps=2))
-    assert perplexity.score(docs, "doc_id", *model).count() == n
+    model = perplexity.train(docs, perplexity.Settings(sweeps=2))
+    assert perplexity.score(docs, "doc_id", model).count() == n
