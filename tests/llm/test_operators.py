@@ -382,7 +382,7 @@ def test_language_model(spark, docs, nothing):
 @pytest.mark.parametrize("dictionary", [0, 60, 10_000])
 def test_scores_add_up_word_by_word(spark, docs, dictionary):
     """Every context of the training rows counts; scores are sums of mean predictive probabilities, which sum to one."""
-    rows = [(i, text_of(40, i)) for i in range(60)]
+    rows = [(i, text_of(30, i) + " hot red" * 10 + " hot" * (i % 3)) for i in range(60)]
     settings = perplexity.Settings(dictionary=dictionary, least_buckets=3, sweeps=3)
     model = perplexity.train(spark.createDataFrame(rows, "doc_id long, text string"), settings)
     inner = model.shared
@@ -424,7 +424,7 @@ def test_scores_add_up_word_by_word(spark, docs, dictionary):
         own, both = stored.get((v, code.get(w)), 0), seats.get((v, code.get(w)), (0, 0))
         return np.mean([(own - d * t + (a + d * every) * base) / (customers[v] + a) for t, every in zip(both, tables[v])])
 
-    for v in ["\n", "the1", names[5], "never"]:
+    for v in ["\n", "hot", "the1", names[5], "never"]:
         assert np.isclose(sum(probability(v, w) for w in names) + probability(v, "never seen"), 1)
     texts = {r["doc_id"]: r["text"] or "" for r in docs.where("doc_id IS NOT NULL").collect()}
     texts |= dict(rows[50:])
