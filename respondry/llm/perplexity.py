@@ -14,8 +14,9 @@ number of training tokens; a bucket is a row of a written table and is seated in
 texts, scored or learnt, meet their bucket by the same hash, and a text's sums come back in blocks of
 texts. Held whole are: the commonest tokens (all of one count or none, at most ``dictionary``) with the
 root's customers of each, a short number for a common word and a place to look it up; hot contexts, at most four a bucket.
-Tokens outside the dictionary are known by 62 bits of a hash and looked up by joins with written counts;
-while seating, such a token's root count is that of its bucket.
+Tokens outside the dictionary are known by 62 bits of a hash; positions that hold them meet their counts by
+that number afterwards. While seating, such a token's root count is that of its bucket, and how many of
+them have each root count is taken in the first and the last sweep.
 
 Null text is empty and consists of the end alone. With no training rows every probability comes from
 empty restaurants. Rows that repeat a key are scored one by one; a null key is kept.
@@ -26,12 +27,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from respondry.llm.common import batches, schema_with, task_numbers, text_bytes, words
@@ -337,7 +339,8 @@ class Bucket:
     def __init__(self, data: bytes | None, cuts: Cuts):
         empty = [np.zeros(0, np.int64)] * 3
         self.pair_context, self.token, self.n = empty if data is None else unpacked(data, 3)
-        self.contexts, self.place = np.unique(self.pair_context, return_inverse=True)
+        new = np.diff(self.pair_context, prepend=-1) != 0  # in order
+        self.contexts, self.place = self.pair_context[new], np.cumsum(new) - 1
         self.hot = cuts.place(self.contexts)
         self.customers = np.bincount(self.place, self.n, len(self.contexts))
         self.whole = np.where(self.hot >= 0, np.append(cuts.customers, 0)[self.hot], self.customers)
@@ -409,6 +412,16 @@ class Shared:
     def root(self) -> Root:
         return self.sweeps[-1].root
 
+    @cached_property
+    def root_menu(self) -> np.ndarray:
+        """The last root's probabilities of the dictionary's tokens."""
+        return 10.0 ** self.root.log10(self.sweeps[-1].served)
+
+    @property
+    def parts(self) -> int:
+        """Parts of the tokens outside the dictionary, of about as many tokens as a bucket has pairs."""
+        return max(self.settings.least_buckets, self.distinct // self.settings.bucket)
+
     def bucket(self, number: int, data: bytes | None) -> Bucket:
         found = Bucket(data, self.cuts)
         found.keep(number, self.sweeps, self.distinct, self.discount, self.settings)
@@ -417,12 +430,12 @@ class Shared:
 
 @dataclass(frozen=True)
 class Model:
-    """``pairs``: the written buckets; ``served``: the root's customers by number of token; ``counts``: by token."""
+    """``pairs``: the written buckets; ``others``: tokens outside the dictionary, their ``code``, the root's
+    customers ``n`` and how often they occur, ``times``."""
 
     shared: Shared
     pairs: DataFrame
-    served: DataFrame
-    counts: DataFrame
+    others: DataFrame
 
 
 def root_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, copies: int = 32) -> Root:
@@ -447,11 +460,15 @@ def root_of(histogram: dict[int, int], settings: Settings, most: int = 5_000, co
     return tail
 
 
-def _swept(rows: DataFrame, distinct: int, cuts: Cuts, discount: float, size: int, before: list[Sweep], settings: Settings) -> tuple[Sweep, DataFrame]:
-    """The next sweep over all buckets, and the root's customers by number of token (hot contexts: -1, -2, ...)."""
+def _swept(
+    rows: DataFrame, distinct: int, cuts: Cuts, discount: float, size: int, before: list[Sweep], settings: Settings, spread: dict[int, int] | None
+) -> tuple[Sweep, DataFrame, dict[int, int]]:
+    """The next sweep over all buckets; the root's customers by number of token with the token's count (hot
+    contexts: -1, -2, ...); and how many tokens outside the dictionary have each number of root customers,
+    which are not counted where ``spread``, that of an earlier sweep, is given."""
     shared = rows.sparkSession.sparkContext.broadcast((cuts, before))
-    schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
-    turn = len(before)
+    schema = pa.schema([("code", pa.int64()), ("n", pa.int64()), ("times", pa.int64())])
+    turn, every = len(before), spread is None
 
     def run(rows):
         cuts, before = shared.value
@@ -459,21 +476,28 @@ def _swept(rows: DataFrame, distinct: int, cuts: Cuts, discount: float, size: in
             for number, data in zip(batch["bucket"].to_pylist(), batch["data"]):
                 bucket = Bucket(data.as_py(), cuts)
                 tables = bucket.seat(number, turn, before, distinct, discount, settings)
-                by_word = np.bincount(bucket.word, tables, len(bucket.words)).astype(np.int64)
+                by_word, times = (np.bincount(bucket.word, x, len(bucket.words)).astype(np.int64) for x in (tables, bucket.n))
                 by_context = np.bincount(bucket.place, tables, len(bucket.contexts)).astype(np.int64)
                 hot = bucket.hot >= 0
-                codes = np.concatenate([bucket.words, -1 - bucket.hot[hot]])
-                yield from batches({"code": codes, "n": np.concatenate([by_word, by_context[hot]])}, schema)
-
-    tables = rows.select("bucket", "data").mapInArrow(run, "code long, n long")
-    served = written(tables.groupBy("code").agg(F.sum("n").alias("n")), "served")
-    inside = served.where(F.col("code") < size).toPandas()  # the dictionary and hot contexts
+                sent = slice(None) if every else slice(int(np.searchsorted(bucket.words, size)))
+                codes = np.concatenate([bucket.words[sent], -1 - bucket.hot[hot]])
+                columns = {"code": codes, "n": np.concatenate([by_word[sent], by_context[hot]])}
+                columns["times"] = np.concatenate([times[sent], np.zeros(hot.sum(), np.int64)])
+                yield from batches(columns, schema)
+
+    tables = rows.select("bucket", "data").mapInArrow(run, "code long, n long, times long")
+    served = written(tables.groupBy("code").agg(F.sum("n").alias("n"), F.sum("times").alias("times")), "served")
+    inside = served.where(F.col("code") < size).select("code", "n").toPandas()  # the dictionary and hot contexts
     code, n = inside["code"].to_numpy(np.int64), inside["n"].to_numpy(np.int64)
     known, hot = np.zeros(size, np.int64), np.zeros(len(cuts.hot), np.int64)
     known[code[code >= 0]] = n[code >= 0]
     hot[-1 - code[code < 0]] = n[code < 0]
-    spread = served.where("code >= 0").groupBy("n").count().collect()  # at most as many as counts fit into the corpus
-    return Sweep(root_of({r["n"]: r["count"] for r in spread}, settings), known, hot), served
+    others = served.where(F.col("code") >= size)
+    if every:  # at most as many counts as fit into the corpus
+        spread = {r["n"]: r["count"] for r in others.groupBy("n").count().collect()}
+    whole = Counter(known[known > 0].tolist())
+    whole.update(spread)
+    return Sweep(root_of(whole, settings), known, hot), others, spread
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
@@ -500,74 +524,93 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     rows = pairs(docs, tokens, cuts)
     discount = discount_of(*rows.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first())
     sweeps: list[Sweep] = []
-    for _ in range(settings.sweeps):
-        sweep, served = _swept(rows, int(distinct), cuts, discount, len(numbers), sweeps, settings)
+    spread = None
+    for turn in range(settings.sweeps):
+        spread = None if turn + 1 == settings.sweeps else spread
+        sweep, others, spread = _swept(rows, int(distinct), cuts, discount, len(numbers), sweeps, settings, spread)
         sweeps.append(sweep)
     shared = Shared(tokens, numbers, int(total), int(distinct), cuts, discount, sweeps, settings)
-    return Model(shared, rows, served.where(F.col("code") >= len(numbers)), counts)
+    return Model(shared, rows, others)
 
 
 def _positions(docs: DataFrame, key: str, shared) -> DataFrame:
-    """Written: a row per text with its unigram sums, a row per text and token outside the dictionary, and rows
-    of ``data`` with the positions of a bucket."""
-    added = "number long, token binary, times long, n_tokens long, n_known long, base double, bucket long, data binary"
-    fields = [("number", pa.int64()), ("token", pa.binary()), *((c, pa.int64()) for c in ("times", "n_tokens", "n_known"))]
-    schema = pa.schema([*fields, ("base", pa.float64()), ("bucket", pa.int64()), ("data", pa.binary())])
+    """Written: a row per text, and rows of ``data`` with the positions of a bucket."""
+    added = "number long, n_tokens long, bucket long, data binary"
+    schema = pa.schema([("number", pa.int64()), ("n_tokens", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
 
-    def handed(lot: Lot, cuts: Cuts):
+    def handed(lot: Lot, cuts: Cuts, nothing: pa.DataType):
         contexts, found, numbers = lot.taken()
         bucket = cuts.of(contexts, found)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((contexts, bucket))
         contexts, found, numbers, bucket = contexts[order], found[order], numbers[order], bucket[order]
         for a, b in _runs(bucket):
             least = int(numbers[a:b].min())
-            yield (least, None, 0, 0, 0, 0.0, int(bucket[a]), packed(contexts[a:b], found[a:b], numbers[a:b] - least))
+            data = packed(contexts[a:b], found[a:b], numbers[a:b] - least)
+            arrays = [pa.array([x], f.type) for x, f in zip((least, None, int(bucket[a]), data), schema)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, nothing), *arrays], names=[key, *schema.names])
 
     def run(rows):
-        model, numbers, lot = shared.value, task_numbers(), Lot()
-        end, size = int(model.tokens.codes([END])[0]), len(model.counts)
-        seen = np.log10(np.concatenate([model.counts, [0]]) + 1.0)
-        every = np.log10(model.total + model.distinct + 1.0)
-        keys = None
-
-        def batch_of(lines, keys):
-            arrays = [pa.array(column, f.type) for column, f in zip(zip(*lines), schema)]
-            return pa.RecordBatch.from_arrays([keys, *arrays], names=[key, *schema.names])
-
+        model, numbers, lot, keys = shared.value, task_numbers(), Lot(), None
+        end = int(model.tokens.codes([END])[0])
         for batch in rows:
-            keys = batch[key]
-            for row, text in enumerate(batch["text"]):
-                number, found = next(numbers), tokens_of(text.as_py())
-                codes = model.tokens.codes(found)
-                at = np.minimum(codes, size)
-                lot.add(end, codes, number)
-                rare = Counter([found[i] for i in np.flatnonzero(at == size).tolist()])
-                base = seen[at].sum() - len(at) * every
-                lines = [(number, None, 0, len(at), int((at < size).sum()), float(base), None, None)]
-                lines += [(number, token, n, 0, 0, 0.0, None, None) for token, n in rare.items()]
-                yield batch_of(lines, keys.take(pa.array([row] * len(lines), pa.int64())))
+            keys, at, sizes = batch[key], [], []
+            for text in batch["text"]:
+                codes = model.tokens.codes(tokens_of(text.as_py()))
+                at.append(next(numbers))
+                sizes.append(len(codes))
+                lot.add(end, codes, at[-1])
                 if lot.size >= LOT:
-                    for line in handed(lot, model.cuts):
-                        yield batch_of([line], pa.nulls(1, keys.type))
+                    yield from handed(lot, model.cuts, keys.type)
+            nothing = [pa.nulls(len(at), f.type) for f in list(schema)[2:]]
+            arrays = [keys, pa.array(at, pa.int64()), pa.array(sizes, pa.int64()), *nothing]
+            yield pa.RecordBatch.from_arrays(arrays, names=[key, *schema.names])
         if keys is not None:
-            for line in handed(lot, model.cuts):
-                yield batch_of([line], pa.nulls(1, keys.type))
+            yield from handed(lot, model.cuts, keys.type)
 
     return written(docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added)), "positions")
 
 
-def _logs(lines: DataFrame, model: Model, shared) -> DataFrame:
-    """``number`` and ``units``, a text's sum of log10 probabilities in units."""
+def _blocks(texts: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Sums per text, packed by blocks of texts."""
+    text, place = np.unique(texts, return_inverse=True)
+    sums = np.zeros((len(values), len(text)), np.int64)
+    for out, value in zip(sums, values):
+        np.add.at(out, place, value)
+    block = text >> BLOCK_BITS
+    for a, b in _runs(block):
+        yield int(block[a]), packed(text[a:b] - (block[a] << BLOCK_BITS), *sums[:, a:b])
+
+
+def _units(p: np.ndarray) -> np.ndarray:
+    return np.rint(np.log10(p) / UNIT).astype(np.int64)
+
+
+def _met(lines: DataFrame, model: Model, shared) -> DataFrame:
+    """Written: sums of dictionary tokens by ``block``, and by ``part`` the positions of the others with their
+    context's shares (``data``, both)."""
     at = lines.where("data IS NOT NULL").select("bucket", F.lit(1).alias("kind"), F.col("number").alias("least"), "data")
     both = model.pairs.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"), "data").unionByName(at)
     both = both.repartition(model.shared.cuts.buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    out = "block long, data binary, number long, code long, own double, menu double"
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-    schema = pa.schema(list(zip([x.split()[0] for x in out.split(", ")], kinds)))
+    schema = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("least", pa.int64()), ("data", pa.binary())])
+
+    def row(*values):
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
+
+    def others(held: list[tuple[np.ndarray, ...]], parts: int):
+        texts, tokens, own, menu = (np.concatenate(x) for x in zip(*held))
+        part = tokens % parts
+        order = np.lexsort((tokens, part))
+        part, least = part[order], int(texts.min())
+        # shares as single precision: bits as whole numbers
+        bits = [np.ascontiguousarray(x[order], np.float32).view(np.int32).astype(np.int64) for x in (own, menu)]
+        for a, b in _runs(part):
+            at = order[a:b]
+            yield row(None, int(part[a]), least, packed(texts[at] - least, tokens[at], bits[0][a:b], bits[1][a:b]))
 
     def run(rows):
         model = shared.value
-        size, bucket, now = len(model.counts), None, None
+        size, bucket, now, held, waiting = len(model.counts), None, None, [], 0
+        seen = np.rint(np.log10(model.counts + 1.0) / UNIT).astype(np.int64)
         for batch in rows:
             for number, kind, least, data in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["least"].to_pylist(), batch["data"]):
                 if number != now:
@@ -578,29 +621,60 @@ def _logs(lines: DataFrame, model: Model, shared) -> DataFrame:
                 texts = texts + least
                 own, menu = bucket.look(contexts, tokens, model)
                 known = tokens < size
-                p = own[known] + menu[known] * model.sweeps[-1].menu(tokens[known], np.zeros(known.sum(), np.int64))
-                units = np.rint(np.log10(p) / UNIT).astype(np.int64)
-                text, place = np.unique(texts[known], return_inverse=True)
-                sums = np.zeros(len(text), np.int64)
-                np.add.at(sums, place, units)
-                block = text >> BLOCK_BITS
-                for a, b in _runs(block):
-                    row = {"block": int(block[a]), "data": packed(text[a:b] - (block[a] << BLOCK_BITS), sums[a:b])}
-                    yield pa.RecordBatch.from_pylist([row], schema)
-                rare = ~known
-                if rare.any():
-                    nothing = [None] * int(rare.sum())
-                    columns = {"block": nothing, "data": nothing, "number": texts[rare], "code": tokens[rare], "own": own[rare], "menu": menu[rare]}
-                    yield from batches(columns, schema)
-
-    found = written(both.mapInArrow(run, out), "logs")
+                inside = tokens[known]
+                p = own[known] + menu[known] * model.root_menu[inside]
+                for block, sums in _blocks(texts[known], _units(p), seen[inside], np.ones(len(inside), np.int64)):
+                    yield row(block, None, None, sums)
+                if not known.all():
+                    held.append(tuple(x[~known] for x in (texts, tokens, own, menu)))
+                    waiting += len(held[-1][0])
+                if waiting >= LOT:
+                    yield from others(held, model.parts)
+                    held, waiting = [], 0
+        if held:
+            yield from others(held, model.parts)
+
+    return written(both.mapInArrow(run, "block long, part long, least long, data binary"), "met")
+
+
+def _sums(lines: DataFrame, model: Model, shared) -> DataFrame:
+    """``number`` and a text's sums over its tokens, ``units`` and ``base`` in units, and ``n_known``."""
+    met = _met(lines, model, shared)
+    parts = model.shared.parts
+    nothing = F.lit(0).cast("long")
+    table = model.others.select((F.col("code") % parts).alias("part"), F.lit(0).alias("kind"), nothing.alias("least"), "code", "n", "times", F.lit(None).cast("binary").alias("data"))
+    asked = met.where("part IS NOT NULL").select("part", F.lit(1).alias("kind"), "least", nothing.alias("code"), nothing.alias("n"), nothing.alias("times"), "data")
+    both = table.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    schema = pa.schema([("block", pa.int64()), ("data", pa.binary())])
+
+    def look_up(rows):
+        root, now, held, found = shared.value.root, None, [], None
+        for batch in rows:
+            part, kind = (batch[c].to_numpy() for c in ("part", "kind"))
+            for a, b in _runs(part * 2 + kind):
+                if part[a] != now:
+                    now, held, found = part[a], [], None
+                if kind[a] == 0:
+                    held.append(np.stack([batch[c].to_numpy()[a:b] for c in ("code", "n", "times")]))
+                    continue
+                if found is None:
+                    found = np.concatenate([*held, [[-1], [0], [0]]], axis=1, dtype=np.int64)
+                    found = found[:, np.argsort(found[0])]
+                for least, data in zip(batch["least"].slice(a, b - a).to_pylist(), batch["data"].slice(a, b - a)):
+                    texts, tokens, own, menu = unpacked(data.as_py(), 4)
+                    at = np.minimum(np.searchsorted(found[0], tokens), found.shape[1] - 1)
+                    n, times = np.where(found[0][at] == tokens, found[1:, at], 0)
+                    own, menu = (x.astype(np.int32).view(np.float32).astype(float) for x in (own, menu))
+                    units = _units(own + menu * 10.0 ** root.log10(n))
+                    for block, sums in _blocks(texts + least, units, _units(times + 1.0), (times > 0).astype(np.int64)):
+                        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sums], pa.binary())], schema=schema)
 
     def add(rows):
-        now, sums, seen = None, np.zeros(1 << BLOCK_BITS, np.int64), np.zeros(1 << BLOCK_BITS, bool)
+        now, sums, seen = None, np.zeros((3, 1 << BLOCK_BITS), np.int64), np.zeros(1 << BLOCK_BITS, bool)
 
         def finished():
             at = np.flatnonzero(seen)
-            return pa.RecordBatch.from_pydict({"number": at + (now << BLOCK_BITS), "units": sums[at]})
+            return pa.RecordBatch.from_pydict({"number": at + (now << BLOCK_BITS)} | dict(zip(("units", "base", "n_known"), sums[:, at])))
 
         for batch in rows:
             for block, data in zip(batch["block"].to_pylist(), batch["data"]):
@@ -608,40 +682,24 @@ def _logs(lines: DataFrame, model: Model, shared) -> DataFrame:
                     if now is not None:
                         yield finished()
                     now, sums[:], seen[:] = block, 0, False
-                text, units = unpacked(data.as_py(), 2)
-                sums[text] += units  # a row holds a text once
+                text, *values = unpacked(data.as_py(), 4)
+                sums[:, text] += values  # a row holds a text once
                 seen[text] = True
         if now is not None:
             yield finished()
 
-    def look_up(rows):
-        root = shared.value.root
-        for batch in rows:
-            p = batch["own"].to_numpy() + batch["menu"].to_numpy() * 10.0 ** root.log10(batch["n"].to_numpy())
-            yield pa.RecordBatch.from_pydict({"number": batch["number"], "units": np.rint(np.log10(p) / UNIT).astype(np.int64)})
-
-    common = found.where("block IS NOT NULL").select("block", "data")
-    common = common.repartition("block").sortWithinPartitions("block").mapInArrow(add, "number long, units long")
-    rare = found.where("code IS NOT NULL").join(model.served, "code", "left")
-    rare = rare.select("number", "own", "menu", F.coalesce("n", F.lit(0)).alias("n")).mapInArrow(look_up, "number long, units long")
-    return common.unionByName(rare).groupBy("number").agg(F.sum("units").alias("units"))
+    rows = met.where("block IS NOT NULL").select("block", "data").unionByName(both.mapInArrow(look_up, "block long, data binary"))
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(add, "number long, units long, base long, n_known long")
 
 
 def score(docs: DataFrame, key: str, model: Model) -> DataFrame:
     """Per row: ``key``, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigrams) and ``score``, both log10."""
     shared = docs.sparkSession.sparkContext.broadcast(model.shared)
     lines = _positions(docs, key, shared)
-    rare = lines.where("token IS NOT NULL").select("number", "token", "times").join(model.counts, "token", "left")
-    n = F.coalesce("n", F.lit(0))
-    rare = rare.groupBy("number").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("k"), F.sum(F.col("times") * F.log10(n + 1.0)).alias("b")
-    )
-    whole = lines.where("n_tokens > 0").join(rare, "number", "left").join(_logs(lines, model, shared), "number", "left")
-
-    def plus(a: str, b: str) -> Column:
-        return F.col(a) + F.coalesce(F.col(b), F.lit(0))
-
+    whole = lines.where("n_tokens IS NOT NULL").select(key, "number", "n_tokens").join(_sums(lines, model, shared), "number")
+    every = float(np.log10(model.shared.total + model.shared.distinct + 1.0))
     return whole.select(
-        key, "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(model.shared.total).cast("long").alias("train_tokens"),
-        plus("base", "b").alias("base_score"), (F.col("units") * F.lit(UNIT)).alias("score"),
+        key, "n_tokens", "n_known", F.lit(model.shared.total).cast("long").alias("train_tokens"),
+        (F.col("base") * F.lit(UNIT) - F.col("n_tokens") * F.lit(every)).alias("base_score"),
+        (F.col("units") * F.lit(UNIT)).alias("score"),
     )
