@@ -127,6 +127,17 @@ class Root:
         return np.log10((served + menu) / (self.customers + self.strength))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A written table; its shuffles are removed as soon as it is written, not when the driver collects garbage."""
+    conf, setting = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(setting, "false")
+    conf.set(setting, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(setting, before)
+
+
 def tokens_of(text: bytes) -> list[bytes]:
     return [*words(text), END]
 
@@ -240,7 +251,7 @@ def pairs(docs: DataFrame, tokens: Tokens, cuts: Cuts) -> DataFrame:
 
     parts = docs.select(text_bytes("text")).mapInArrow(run, "bucket long, data binary")
     parts = parts.repartition(cuts.buckets, "bucket").sortWithinPartitions("bucket")
-    return written(parts.mapInArrow(merge, "bucket long, data binary, once long, twice long"), "pairs")
+    return _written(parts.mapInArrow(merge, "bucket long, data binary, once long, twice long"), "pairs")
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -350,11 +361,11 @@ class Bucket:
     def seat(self, number: int, turn: int, before: list[Sweep], distinct: int, discount: float, settings: Settings) -> np.ndarray:
         """Tables of every pair in sweep ``turn``, the same whenever it is asked for."""
         rest = 1 - self.customers / np.maximum(self.whole, 1)
+        menu, asked = np.full(len(self.token), 1 / (distinct + 1)), self.n > 1  # one customer has one table
         if turn:
-            menu = before[turn - 1].menu(self.token, self.seen)
+            menu[asked] = before[turn - 1].menu(self.token[asked], self.seen[asked])
             tables = np.append(before[turn - 1].hot, 0)[self.hot]
         else:
-            menu = np.full(len(self.token), 1 / (distinct + 1))
             tables = np.bincount(self.place, minlength=len(self.contexts)) / np.maximum(1 - rest, 1e-12)
         elsewhere = np.where(self.hot >= 0, tables * rest, 0.0)
         random = np.random.default_rng([settings.seed, turn, number])
@@ -486,7 +497,7 @@ def _swept(
                 yield from batches(columns, schema)
 
     tables = rows.select("bucket", "data").mapInArrow(run, "code long, n long, times long")
-    served = written(tables.groupBy("code").agg(F.sum("n").alias("n"), F.sum("times").alias("times")), "served")
+    served = _written(tables.groupBy("code").agg(F.sum("n").alias("n"), F.sum("times").alias("times")), "served")
     inside = served.where(F.col("code") < size).select("code", "n").toPandas()  # the dictionary and hot contexts
     code, n = inside["code"].to_numpy(np.int64), inside["n"].to_numpy(np.int64)
     known, hot = np.zeros(size, np.int64), np.zeros(len(cuts.hot), np.int64)
@@ -502,7 +513,7 @@ def _swept(
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """The model of all rows."""
-    counts = written(counted(docs), "tokens")
+    counts = _written(counted(docs), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     short = F.octet_length("token") <= LONGEST
     spread = counts.groupBy("n").agg(F.count_if(short).alias("short"))
@@ -567,7 +578,7 @@ def _positions(docs: DataFrame, key: str, shared) -> DataFrame:
         if keys is not None:
             yield from handed(lot, model.cuts, keys.type)
 
-    return written(docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added)), "positions")
+    return _written(docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added)), "positions")
 
 
 def _blocks(texts: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -634,7 +645,7 @@ def _met(lines: DataFrame, model: Model, shared) -> DataFrame:
         if held:
             yield from others(held, model.parts)
 
-    return written(both.mapInArrow(run, "block long, part long, least long, data binary"), "met")
+    return _written(both.mapInArrow(run, "block long, part long, least long, data binary"), "met")
 
 
 def _sums(lines: DataFrame, model: Model, shared) -> DataFrame:
