@@ -31,9 +31,10 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from respondry.llm.common import batches, schema_with, task_numbers, text_bytes, words
@@ -54,7 +55,7 @@ BLOCK_BITS, UNIT = 12, 1e-9
 @dataclass(frozen=True)
 class Settings:
     dictionary: int = 200_000
-    bucket: int = 500_000
+    bucket: int = 1_000_000
     least_buckets: int = 32
     sweeps: int = 4
     rounds: int = 12
@@ -143,33 +144,49 @@ def tokens_of(text: bytes) -> list[bytes]:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``token`` (binary) and ``n`` over all rows."""
-    schema = pa.schema([("token", pa.binary()), ("n", pa.int64())])
+    """``token`` (binary), how often rows to ``learn`` hold it, ``n``, and how often all do, ``every``."""
+    schema = pa.schema([("token", pa.binary()), ("n", pa.int64()), ("every", pa.int64())])
+
+    def handed(learnt: Counter, others: Counter):
+        for held, factor in ((learnt, 1), (others, 0)):
+            n = np.fromiter(held.values(), np.int64, len(held))
+            yield from batches({"token": list(held), "n": n * factor, "every": n}, schema)
 
     def run(rows):
-        held: Counter = Counter()
+        learnt, others = Counter(), Counter()
         for batch in rows:
-            for text in batch["text"].to_pylist():
-                held.update(tokens_of(text))
-                if len(held) > HELD:
-                    yield from batches({"token": list(held), "n": list(held.values())}, schema)
-                    held = Counter()
-        if held:
-            yield from batches({"token": list(held), "n": list(held.values())}, schema)
+            for text, learn in zip(batch["text"].to_pylist(), batch["learn"].to_pylist()):
+                (learnt if learn else others).update(tokens_of(text))
+                if len(learnt) + len(others) > HELD:
+                    yield from handed(learnt, others)
+                    learnt, others = Counter(), Counter()
+        yield from handed(learnt, others)
 
-    parts = docs.select(text_bytes("text")).mapInArrow(run, "token binary, n long")
-    return parts.groupBy("token").agg(F.sum("n").alias("n"))
+    parts = docs.select("text", "learn").mapInArrow(run, "token binary, n long, every long")
+    return parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Whole numbers of equal count, byte by byte, so that leading zeros cost next to nothing."""
-    planes = [np.ascontiguousarray(c, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    """Whole numbers of equal count, byte by byte; a column has as many bytes as its largest number needs."""
+    widths, planes = [], []
+    for column in columns:
+        column = np.ascontiguousarray(column, np.int64)
+        low, high = (int(column.min()), int(column.max())) if len(column) else (0, 0)
+        widths.append(8 if low < 0 else max(1, (high.bit_length() + 7) // 8))
+        planes.append(column.view(np.uint8).reshape(-1, 8)[:, : widths[-1]].T.tobytes())
+    return bytes(widths) + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(x.T).view(np.int64).ravel() for x in planes]
+    widths, out, at = list(data[:columns]), [], 0
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[columns:]), np.uint8)
+    n = len(planes) // sum(widths)
+    for width in widths:
+        column = np.zeros((n, 8), np.uint8)
+        column[:, :width] = planes[at : at + n * width].reshape(width, n).T
+        out.append(column.view(np.int64).ravel())
+        at += n * width
+    return out
 
 
 def _runs(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -182,20 +199,25 @@ def _summed(contexts: np.ndarray, tokens: np.ndarray, n: np.ndarray) -> tuple[np
     """Pairs in order, each once, with their sums."""
     order = np.lexsort((tokens, contexts))
     contexts, tokens, n = contexts[order], tokens[order], n[order]
+    first = np.flatnonzero(_changes(contexts, tokens))
+    return contexts[first], tokens[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _changes(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """True where a position holds another pair than the one before."""
     new = np.ones(len(contexts), bool)
     new[1:] = (np.diff(contexts) != 0) | (np.diff(tokens) != 0)
-    first = np.flatnonzero(new)
-    return contexts[first], tokens[first], np.add.reduceat(n, first) if len(first) else n
+    return new
 
 
 class Lot:
-    """Positions of several texts: context, token and, in scoring, the text's number."""
+    """Positions of several texts: context, token, the text's number."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, end: int, codes: np.ndarray, number: int = 0) -> None:
+    def add(self, end: int, codes: np.ndarray, number: int) -> None:
         before = np.empty_like(codes)
         before[0], before[1:] = end, codes[:-1]
         self.parts.append((before, codes, np.full(len(codes), number, np.int64)))
@@ -207,51 +229,112 @@ class Lot:
         return out
 
 
-def pairs(docs: DataFrame, tokens: Tokens, cuts: Cuts) -> DataFrame:
-    """A written row per bucket: ``data`` are contexts, tokens and counts, with how many pairs occur once and twice."""
-    shared = docs.sparkSession.sparkContext.broadcast((tokens, cuts))
-    wire = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
-    schema = pa.schema([*wire, ("once", pa.int64()), ("twice", pa.int64())])
+#: What a row of a text and a row of positions have besides the text's key.
+LINE = pa.schema(
+    [("number", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.int64()), ("bucket", pa.int64()), ("at", pa.binary())]
+)
+LINE_DDL = "number long, n_tokens long, n_known long, base long, bucket long, at binary"
+
+
+def _row(schema: pa.Schema, **values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
 
-    def handed(lot: Lot, cuts: Cuts):
-        contexts, found, _ = lot.taken()
-        contexts, found, n = _summed(contexts, found, np.ones(len(contexts), np.int64))
+
+def _lines(docs: DataFrame, tokens: Tokens, counts: np.ndarray, cuts: Cuts) -> DataFrame:
+    """From ``key``, ``text`` and ``learn``: a row per text, ``base`` and ``n_known`` of its dictionary tokens, and
+    rows of positions, ``at`` (context, token, twice the text's number from ``number`` on and one more if learnt)."""
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, counts, cuts))
+
+    def handed(lot: Lot, cuts: Cuts, schema: pa.Schema):
+        contexts, found, numbers = lot.taken()
         bucket = cuts.of(contexts, found)
-        order = np.argsort(bucket, kind="stable")
-        contexts, found, n, bucket = contexts[order], found[order], n[order], bucket[order]
+        order = np.lexsort((contexts, bucket))
+        contexts, found, numbers, bucket = contexts[order], found[order], numbers[order], bucket[order]
         for a, b in _runs(bucket):
-            yield pa.RecordBatch.from_pylist([{"bucket": int(bucket[a]), "data": packed(contexts[a:b], found[a:b], n[a:b])}], wire)
+            least = int(numbers[a:b].min()) >> 1
+            at = packed(contexts[a:b], found[a:b], numbers[a:b] - 2 * least)
+            yield _row(schema, number=least, bucket=int(bucket[a]), at=at)
 
     def run(rows):
-        tokens, cuts = shared.value
-        end, lot = int(tokens.codes([END])[0]), Lot()
+        (tokens, counts, cuts), numbers, lot, schema = shared.value, task_numbers(), Lot(), None
+        end, size = int(tokens.codes([END])[0]), len(counts)
+        seen = np.append(_units(counts + 1.0), 0)
         for batch in rows:
-            for text in batch["text"]:
-                lot.add(end, tokens.codes(tokens_of(text.as_py())))
+            schema = pa.schema([pa.field("key", batch["key"].type), *LINE])
+            at, sizes, known, base = [], [], [], []
+            for text, learn in zip(batch["text"], batch["learn"].to_pylist()):
+                codes = tokens.codes(tokens_of(text.as_py()))
+                at.append(next(numbers))
+                sizes.append(len(codes))
+                inside = np.minimum(codes, size)
+                known.append(int((inside < size).sum()))
+                base.append(int(seen[inside].sum()))
+                lot.add(end, codes, 2 * at[-1] + learn)
                 if lot.size >= LOT:
-                    yield from handed(lot, cuts)
-        yield from handed(lot, cuts)
-
-    def merged(bucket: int, held: list[bytes]):
-        contexts, found, n = _summed(*(np.concatenate(x) for x in zip(*(unpacked(data, 3) for data in held))))
-        row = {"bucket": bucket, "data": packed(contexts, found, n), "once": int((n == 1).sum()), "twice": int((n == 2).sum())}
-        return pa.RecordBatch.from_pylist([row], schema)
+                    yield from handed(lot, cuts, schema)
+            nothing = [pa.nulls(len(at), f.type) for f in list(LINE)[4:]]
+            arrays = [batch["key"], *(pa.array(x, pa.int64()) for x in (at, sizes, known, base)), *nothing]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        if schema is not None:
+            yield from handed(lot, cuts, schema)
+
+    return docs.select("key", "text", "learn").mapInArrow(run, schema_with(docs.select("key"), LINE_DDL))
+
+
+def _placed(lines: DataFrame, buckets: int, hold: int) -> DataFrame:
+    """Written: the texts' rows as they are, and a row per bucket: ``data`` are the learnt pairs and their counts,
+    with how many pairs occur ``once`` and ``twice``, and ``at`` its positions in order of pairs. Positions beyond
+    ``hold`` (many texts share a pair) follow in rows of their own, without ``data``."""
+    added = "data binary, once long, twice long"
+
+    def merged(bucket: int, held: list[tuple[np.ndarray, ...]], beyond: list[tuple[np.ndarray, ...]], schema: pa.Schema):
+        contexts, tokens, numbers = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((tokens, contexts))
+        contexts, tokens, numbers = contexts[order], tokens[order], numbers[order]
+        first = np.flatnonzero(_changes(contexts, tokens))
+        n = np.add.reduceat(numbers & 1, first) if len(first) else numbers
+        found, counts = (contexts[first], tokens[first]), n
+        if beyond:
+            *found, counts = _summed(*(np.concatenate(x) for x in zip((*found, n), *beyond)))
+        learnt = counts > 0
+        counts = counts[learnt]
+        least = int(numbers.min(initial=1 << 62)) >> 1
+        at = packed(contexts, tokens, numbers - 2 * least) if hold else None
+        data = packed(*(x[learnt] for x in found), counts)
+        return _row(schema, bucket=bucket, number=least, at=at, data=data, once=int((counts == 1).sum()), twice=int((counts == 2).sum()))
 
     def merge(rows):
-        now, held = None, []
+        now, held, size, beyond, schema = None, [(np.zeros(0, np.int64),) * 3], 0, [], None
         for batch in rows:
-            for bucket, data in zip(batch["bucket"].to_pylist(), batch["data"]):
-                if bucket != now and held:
-                    yield merged(now, held)
-                    held = []
+            schema = pa.schema([*batch.schema, ("data", pa.binary()), ("once", pa.int64()), ("twice", pa.int64())])
+            texts = batch.filter(pc.is_null(batch["at"]))
+            if texts.num_rows:
+                nothing = [pa.nulls(texts.num_rows, f.type) for f in list(schema)[-3:]]
+                yield pa.RecordBatch.from_arrays([*texts.columns, *nothing], schema=schema)
+            rest = batch.filter(pc.is_valid(batch["at"]))
+            for bucket, least, at in zip(rest["bucket"].to_pylist(), rest["number"].to_pylist(), rest["at"]):
+                if bucket != now and now is not None:
+                    yield merged(now, held, beyond, schema)
+                    held, size, beyond = held[:1], 0, []
                 now = bucket
-                held.append(data.as_py())
-        if held:
-            yield merged(now, held)
+                contexts, tokens, numbers = unpacked(at.as_py(), 3)
+                if size + len(contexts) <= (hold or LOT):
+                    held.append((contexts, tokens, numbers + 2 * least))
+                    size += len(contexts)
+                    continue
+                learnt = (numbers & 1).astype(bool)
+                beyond.append(_summed(contexts[learnt], tokens[learnt], np.ones(int(learnt.sum()), np.int64)))
+                if sum(len(x[0]) for x in beyond) > LOT:
+                    beyond = [_summed(*(np.concatenate(x) for x in zip(*beyond)))]
+                if hold:
+                    yield _row(schema, bucket=bucket, number=least, at=at.as_py())
+        if now is not None:
+            yield merged(now, held, beyond, schema)
 
-    parts = docs.select(text_bytes("text")).mapInArrow(run, "bucket long, data binary")
-    parts = parts.repartition(cuts.buckets, "bucket").sortWithinPartitions("bucket")
-    return _written(parts.mapInArrow(merge, "bucket long, data binary, once long, twice long"), "pairs")
+    # a text's row may go to any task
+    task = F.coalesce("bucket", F.pmod(F.hash("number"), F.lit(buckets)).cast("long"))
+    parts = lines.withColumn("task", task).repartition(buckets, "task").sortWithinPartitions("bucket").drop("task")
+    return _written(parts.mapInArrow(merge, schema_with(lines, added)), "buckets")
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -293,41 +376,49 @@ def seated(
 
 
 def _moved(customers, tables, menu, discount, strength, rounds, random, place, total) -> np.ndarray:
-    """Tables after the Gibbs rounds; dishes here have at least two customers."""
+    """Tables after the Gibbs rounds; dishes here have at least two customers.
+
+    A dish of two has one customer left whoever leaves. Of the others every table's size is kept, dish by dish.
+    """
     n = len(customers)
     total = total - np.bincount(place, tables, len(total))  # without these dishes
-    dish = np.repeat(np.arange(n), tables)
-    number = np.arange(len(dish)) - np.repeat(np.cumsum(tables) - tables, tables)
+    big = np.flatnonzero(customers > 2)
+    many, count = customers[big], tables[big]
+    number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    dish = np.repeat(np.arange(len(big)), count)
     weight = (number + 1.0) ** (-1 / discount)
-    weight /= np.bincount(dish, weight, n)[dish]
-    size = 1 + np.floor((customers - tables)[dish] * weight).astype(np.int64)
-    size[number == 0] += customers - np.bincount(dish, size, n).astype(np.int64)
-    every = np.arange(n)
+    weight /= np.bincount(dish, weight, len(big))[dish]
+    size = 1 + np.floor((many - count)[dish] * weight).astype(np.int64)
+    size[number == 0] += many - np.bincount(dish, size, len(big)).astype(np.int64)
     for _ in range(rounds):
-        first = np.searchsorted(dish, every)
-        last = np.searchsorted(dish, every, "right") - 1
+        now = np.ones(n, np.int64)
+        last = np.cumsum(count) - 1
+        first = last + 1 - count
         ends = np.cumsum(size)
-        begin = ends[first] - size[first]
-        leave = np.searchsorted(ends, begin + np.floor(random.random(n) * customers), "right")
+        leave = np.searchsorted(ends, ends[first] - size[first] + np.floor(random.random(len(big)) * many), "right")
         size[leave] -= 1
-        now = np.bincount(dish[size > 0], minlength=n)
+        empty = size[leave] == 0
+        now[big] = count - empty
         new = (strength + discount * (total + np.bincount(place, now, len(total)))[place]) * menu
         others = customers - 1 - discount * now
         opens = random.random(n) * (new + others) < new
+        tables = now + opens
         room = np.where(size > 0, size - discount, 0.0)
         ends = np.cumsum(room)
-        begin = ends[first] - room[first]
-        join = np.searchsorted(ends, begin + random.random(n) * others, "right")
+        join = np.searchsorted(ends, ends[first] - room[first] + random.random(len(big)) * others[big], "right")
         join = np.clip(join, first, last)
         # rounding may point at a table just left empty; its last customer then stays
         join = np.where(size[join] > 0, join, leave)
-        size[join[~opens]] += 1
-        size = np.concatenate([size, np.ones(opens.sum(), np.int64)])
-        dish = np.concatenate([dish, every[opens]])
-        order = np.argsort(dish, kind="stable")
-        order = order[size[order] > 0]
-        dish, size = dish[order], size[order]
-    return np.bincount(dish, minlength=n)
+        opened = opens[big]
+        size[join[~opened]] += 1
+        size[leave[opened & empty]] = 1  # the table left empty is the new one
+        more, gone = opened & ~empty, size[leave] == 0
+        at = np.flatnonzero(size > 0)
+        ahead = np.searchsorted(at, last[more] + 1)
+        size = np.insert(size[at], ahead, 1)
+        count = count + more - gone
+        tables[big] = count
+    return tables
 
 
 @dataclass(frozen=True)
@@ -341,7 +432,15 @@ class Sweep:
     def menu(self, tokens: np.ndarray, others: np.ndarray) -> np.ndarray:
         """The root's probabilities; tokens outside the dictionary have ``others`` customers."""
         inside = tokens < len(self.served)
-        return 10.0 ** self.root.log10(np.where(inside, np.append(self.served, 0)[np.where(inside, tokens, -1)], others))
+        out = np.empty(len(tokens))
+        out[inside] = self.known[tokens[inside]]
+        out[~inside] = 10.0 ** self.root.log10(others[~inside])
+        return out
+
+    @cached_property
+    def known(self) -> np.ndarray:
+        """The root's probabilities of the dictionary's tokens."""
+        return 10.0 ** self.root.log10(self.served)
 
 
 class Bucket:
@@ -423,10 +522,9 @@ class Shared:
     def root(self) -> Root:
         return self.sweeps[-1].root
 
-    @cached_property
+    @property
     def root_menu(self) -> np.ndarray:
-        """The last root's probabilities of the dictionary's tokens."""
-        return 10.0 ** self.root.log10(self.sweeps[-1].served)
+        return self.sweeps[-1].known
 
     @property
     def parts(self) -> int:
@@ -441,7 +539,7 @@ class Shared:
 
 @dataclass(frozen=True)
 class Model:
-    """``pairs``: the written buckets; ``others``: tokens outside the dictionary, their ``code``, the root's
+    """``pairs``: the learnt pairs by bucket; ``others``: tokens outside the dictionary, their ``code``, the root's
     customers ``n`` and how often they occur, ``times``."""
 
     shared: Shared
@@ -483,21 +581,25 @@ def _swept(
 
     def run(rows):
         cuts, before = shared.value
+        known, hot = np.zeros(size, np.int64), np.zeros(len(cuts.hot), np.int64)
         for batch in rows:
             for number, data in zip(batch["bucket"].to_pylist(), batch["data"]):
                 bucket = Bucket(data.as_py(), cuts)
                 tables = bucket.seat(number, turn, before, distinct, discount, settings)
                 by_word, times = (np.bincount(bucket.word, x, len(bucket.words)).astype(np.int64) for x in (tables, bucket.n))
                 by_context = np.bincount(bucket.place, tables, len(bucket.contexts)).astype(np.int64)
-                hot = bucket.hot >= 0
-                sent = slice(None) if every else slice(int(np.searchsorted(bucket.words, size)))
-                codes = np.concatenate([bucket.words[sent], -1 - bucket.hot[hot]])
-                columns = {"code": codes, "n": np.concatenate([by_word[sent], by_context[hot]])}
-                columns["times"] = np.concatenate([times[sent], np.zeros(hot.sum(), np.int64)])
-                yield from batches(columns, schema)
+                inside = int(np.searchsorted(bucket.words, size))
+                known[bucket.words[:inside]] += by_word[:inside]
+                hot[bucket.hot[bucket.hot >= 0]] += by_context[bucket.hot >= 0]
+                if every:
+                    yield from batches({"code": bucket.words[inside:], "n": by_word[inside:], "times": times[inside:]}, schema)
+        codes, n = np.concatenate([np.arange(size), -1 - np.arange(len(hot))]), np.concatenate([known, hot])
+        yield from batches({"code": codes[n > 0], "n": n[n > 0], "times": np.zeros((n > 0).sum(), np.int64)}, schema)
 
     tables = rows.select("bucket", "data").mapInArrow(run, "code long, n long, times long")
-    served = _written(tables.groupBy("code").agg(F.sum("n").alias("n"), F.sum("times").alias("times")), "served")
+    served = tables.groupBy("code").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
+    if every:
+        served = _written(served, "served")
     inside = served.where(F.col("code") < size).select("code", "n").toPandas()  # the dictionary and hot contexts
     code, n = inside["code"].to_numpy(np.int64), inside["n"].to_numpy(np.int64)
     known, hot = np.zeros(size, np.int64), np.zeros(len(cuts.hot), np.int64)
@@ -511,28 +613,30 @@ def _swept(
     return Sweep(root_of(whole, settings), known, hot), others, spread
 
 
-def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
-    """The model of all rows."""
+def _learnt(docs: DataFrame, settings: Settings, hold: int) -> tuple[Model, DataFrame]:
+    """The model of the rows of ``key``, ``text`` and ``learn`` that are to be learnt, and all rows as placed."""
     counts = _written(counted(docs), "tokens")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    short = F.octet_length("token") <= LONGEST
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "every")]
+    total, every, distinct = counts.agg(*sums, F.count_if(F.col("n") > 0)).first()
+    short = (F.octet_length("token") <= LONGEST) & (F.col("n") > 0)
     spread = counts.groupBy("n").agg(F.count_if(short).alias("short"))
     spread = spread.orderBy(F.desc("n")).toPandas()  # at most as many counts as fit into the corpus, about a root of it
     least = spread["n"][spread["short"].cumsum() <= settings.dictionary].min()
     # where not even the commonest count fits, the dictionary is empty
     least_count = (1 << 62) if least != least else int(least)
-    commonest = counts.where(short & (F.col("n") >= least_count)).toPandas()
+    commonest = counts.where(short & (F.col("n") >= least_count)).select("token", "n").toPandas()
     commonest["token"] = commonest["token"].map(bytes)
     commonest = commonest.sort_values(["n", "token"], ascending=[False, True])
     tokens = Tokens({token: i for i, token in enumerate(commonest["token"])})
     numbers = commonest["n"].to_numpy(np.int64)
     del commonest
-    buckets = max(settings.least_buckets, total // settings.bucket)
-    hot = counts.where(F.col("n") * 4 * buckets > total).collect()  # fewer than four a bucket
+    buckets = max(settings.least_buckets, every // settings.bucket)
+    hot = counts.where(F.col("every") * 4 * buckets > every).collect()  # fewer than four a bucket
     codes = tokens.codes([bytes(r["token"]) for r in hot])
     order = np.argsort(codes)
     cuts = Cuts(int(buckets), codes[order], np.array([r["n"] for r in hot], np.int64)[order])
-    rows = pairs(docs, tokens, cuts)
+    placed = _placed(_lines(docs, tokens, numbers, cuts), cuts.buckets, hold)
+    rows = placed.where("once IS NOT NULL").select("bucket", "data", "once", "twice")
     discount = discount_of(*rows.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first())
     sweeps: list[Sweep] = []
     spread = None
@@ -541,72 +645,38 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
         sweep, others, spread = _swept(rows, int(distinct), cuts, discount, len(numbers), sweeps, settings, spread)
         sweeps.append(sweep)
     shared = Shared(tokens, numbers, int(total), int(distinct), cuts, discount, sweeps, settings)
-    return Model(shared, rows, others)
+    return Model(shared, rows.select("bucket", "data"), others), placed
 
 
-def _positions(docs: DataFrame, key: str, shared) -> DataFrame:
-    """Written: a row per text, and rows of ``data`` with the positions of a bucket."""
-    added = "number long, n_tokens long, bucket long, data binary"
-    schema = pa.schema([("number", pa.int64()), ("n_tokens", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
+def _keyed(docs: DataFrame, key: Column, learn: Column) -> DataFrame:
+    return docs.select(key.alias("key"), text_bytes("text"), learn.alias("learn"))
 
-    def handed(lot: Lot, cuts: Cuts, nothing: pa.DataType):
-        contexts, found, numbers = lot.taken()
-        bucket = cuts.of(contexts, found)
-        order = np.lexsort((contexts, bucket))
-        contexts, found, numbers, bucket = contexts[order], found[order], numbers[order], bucket[order]
-        for a, b in _runs(bucket):
-            least = int(numbers[a:b].min())
-            data = packed(contexts[a:b], found[a:b], numbers[a:b] - least)
-            arrays = [pa.array([x], f.type) for x, f in zip((least, None, int(bucket[a]), data), schema)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, nothing), *arrays], names=[key, *schema.names])
 
-    def run(rows):
-        model, numbers, lot, keys = shared.value, task_numbers(), Lot(), None
-        end = int(model.tokens.codes([END])[0])
-        for batch in rows:
-            keys, at, sizes = batch[key], [], []
-            for text in batch["text"]:
-                codes = model.tokens.codes(tokens_of(text.as_py()))
-                at.append(next(numbers))
-                sizes.append(len(codes))
-                lot.add(end, codes, at[-1])
-                if lot.size >= LOT:
-                    yield from handed(lot, model.cuts, keys.type)
-            nothing = [pa.nulls(len(at), f.type) for f in list(schema)[2:]]
-            arrays = [keys, pa.array(at, pa.int64()), pa.array(sizes, pa.int64()), *nothing]
-            yield pa.RecordBatch.from_arrays(arrays, names=[key, *schema.names])
-        if keys is not None:
-            yield from handed(lot, model.cuts, keys.type)
-
-    return _written(docs.select(key, text_bytes("text")).mapInArrow(run, schema_with(docs.select(key), added)), "positions")
+def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
+    """The model of all rows."""
+    return _learnt(_keyed(docs, F.lit(None).cast("long"), F.lit(True)), settings, 0)[0]
 
 
 def _blocks(texts: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Sums per text, packed by blocks of texts."""
-    text, place = np.unique(texts, return_inverse=True)
-    sums = np.zeros((len(values), len(text)), np.int64)
-    for out, value in zip(sums, values):
-        np.add.at(out, place, value)
+    order = np.argsort(texts, kind="stable")
+    texts = texts[order]
+    first = np.flatnonzero(np.diff(texts, prepend=-1))
+    text, sums = texts[first], [np.add.reduceat(x[order], first) for x in values]
     block = text >> BLOCK_BITS
     for a, b in _runs(block):
-        yield int(block[a]), packed(text[a:b] - (block[a] << BLOCK_BITS), *sums[:, a:b])
+        yield int(block[a]), packed(text[a:b] - (block[a] << BLOCK_BITS), *(x[a:b] for x in sums))
 
 
 def _units(p: np.ndarray) -> np.ndarray:
     return np.rint(np.log10(p) / UNIT).astype(np.int64)
 
 
-def _met(lines: DataFrame, model: Model, shared) -> DataFrame:
+def _met(rows: DataFrame, model: Model, shared) -> DataFrame:
     """Written: sums of dictionary tokens by ``block``, and by ``part`` the positions of the others with their
-    context's shares (``data``, both)."""
-    at = lines.where("data IS NOT NULL").select("bucket", F.lit(1).alias("kind"), F.col("number").alias("least"), "data")
-    both = model.pairs.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("least"), "data").unionByName(at)
-    both = both.repartition(model.shared.cuts.buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    context's shares (``data``, both). A bucket's pairs come with its positions or before them."""
     schema = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("least", pa.int64()), ("data", pa.binary())])
 
-    def row(*values):
-        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
-
     def others(held: list[tuple[np.ndarray, ...]], parts: int):
         texts, tokens, own, menu = (np.concatenate(x) for x in zip(*held))
         part = tokens % parts
@@ -616,41 +686,64 @@ def _met(lines: DataFrame, model: Model, shared) -> DataFrame:
         bits = [np.ascontiguousarray(x[order], np.float32).view(np.int32).astype(np.int64) for x in (own, menu)]
         for a, b in _runs(part):
             at = order[a:b]
-            yield row(None, int(part[a]), least, packed(texts[at] - least, tokens[at], bits[0][a:b], bits[1][a:b]))
+            data = packed(texts[at] - least, tokens[at], bits[0][a:b], bits[1][a:b])
+            yield _row(schema, part=int(part[a]), least=least, data=data)
+
+    def summed(held: list[tuple[np.ndarray, ...]]):
+        texts, units = (np.concatenate(x) for x in zip(*held))
+        nothing = np.zeros(len(texts), np.int64)
+        for block, data in _blocks(texts, units, nothing, nothing):
+            yield _row(schema, block=block, data=data)
 
     def run(rows):
         model = shared.value
-        size, bucket, now, held, waiting = len(model.counts), None, None, [], 0
-        seen = np.rint(np.log10(model.counts + 1.0) / UNIT).astype(np.int64)
+        size, bucket, now = len(model.counts), None, None
+        sums, waiting = [], []
         for batch in rows:
-            for number, kind, least, data in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["least"].to_pylist(), batch["data"]):
-                if number != now:
-                    bucket, now = model.bucket(number, data.as_py() if kind == 0 else None), number
-                if kind == 0:
+            for number, data, least, at in zip(batch["bucket"].to_pylist(), batch["data"], batch["number"].to_pylist(), batch["at"]):
+                if data.is_valid or number != now:
+                    bucket, now = model.bucket(number, data.as_py()), number
+                if not at.is_valid:
                     continue
-                contexts, tokens, texts = unpacked(data.as_py(), 3)
-                texts = texts + least
-                own, menu = bucket.look(contexts, tokens, model)
+                contexts, tokens, texts = unpacked(at.as_py(), 3)
+                texts = (texts >> 1) + least
+                new = _changes(contexts, tokens)
+                of, tokens = np.cumsum(new) - 1, tokens[new]
+                own, menu = bucket.look(contexts[new], tokens, model)
                 known = tokens < size
-                inside = tokens[known]
-                p = own[known] + menu[known] * model.root_menu[inside]
-                for block, sums in _blocks(texts[known], _units(p), seen[inside], np.ones(len(inside), np.int64)):
-                    yield row(block, None, None, sums)
+                units = np.zeros(len(tokens), np.int64)
+                units[known] = _units(own[known] + menu[known] * model.root_menu[tokens[known]])
+                inside = known[of]
+                sums.append((texts[inside], units[of[inside]]))
                 if not known.all():
-                    held.append(tuple(x[~known] for x in (texts, tokens, own, menu)))
-                    waiting += len(held[-1][0])
-                if waiting >= LOT:
-                    yield from others(held, model.parts)
-                    held, waiting = [], 0
-        if held:
-            yield from others(held, model.parts)
-
-    return _written(both.mapInArrow(run, "block long, part long, least long, data binary"), "met")
-
-
-def _sums(lines: DataFrame, model: Model, shared) -> DataFrame:
-    """``number`` and a text's sums over its tokens, ``units`` and ``base`` in units, and ``n_known``."""
-    met = _met(lines, model, shared)
+                    other = of[~inside]
+                    waiting.append((texts[~inside], tokens[other], own[other], menu[other]))
+                if sum(len(x[0]) for x in sums) >= LOT:
+                    yield from summed(sums)
+                    sums = []
+                if sum(len(x[0]) for x in waiting) >= LOT:
+                    yield from others(waiting, model.parts)
+                    waiting = []
+        if sums:
+            yield from summed(sums)
+        if waiting:
+            yield from others(waiting, model.parts)
+
+    met = rows.select("bucket", "data", "number", "at").mapInArrow(run, "block long, part long, least long, data binary")
+    return _written(met, "met")
+
+
+def _beside(pairs: DataFrame, positions: DataFrame, buckets: int) -> DataFrame:
+    """Rows of positions after the pairs of their bucket."""
+    pairs = pairs.select("bucket", "data", F.lit(None).cast("long").alias("number"), F.lit(None).cast("binary").alias("at"))
+    positions = positions.select("bucket", F.lit(None).cast("binary").alias("data"), "number", "at")
+    both = pairs.unionByName(positions).repartition(buckets, "bucket")
+    return both.sortWithinPartitions("bucket", F.col("data").isNull())
+
+
+def _sums(met: DataFrame, model: Model, shared) -> DataFrame:
+    """``number`` and sums over a text's tokens: ``units``; and over those outside the dictionary: ``more_base``, in
+    units too, and ``more_known``."""
     parts = model.shared.parts
     nothing = F.lit(0).cast("long")
     table = model.others.select((F.col("code") % parts).alias("part"), F.lit(0).alias("kind"), nothing.alias("least"), "code", "n", "times", F.lit(None).cast("binary").alias("data"))
@@ -685,7 +778,7 @@ def _sums(lines: DataFrame, model: Model, shared) -> DataFrame:
 
         def finished():
             at = np.flatnonzero(seen)
-            return pa.RecordBatch.from_pydict({"number": at + (now << BLOCK_BITS)} | dict(zip(("units", "base", "n_known"), sums[:, at])))
+            return pa.RecordBatch.from_pydict({"number": at + (now << BLOCK_BITS)} | dict(zip(("units", "more_base", "more_known"), sums[:, at])))
 
         for batch in rows:
             for block, data in zip(batch["block"].to_pylist(), batch["data"]):
@@ -700,17 +793,37 @@ def _sums(lines: DataFrame, model: Model, shared) -> DataFrame:
             yield finished()
 
     rows = met.where("block IS NOT NULL").select("block", "data").unionByName(both.mapInArrow(look_up, "block long, data binary"))
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(add, "number long, units long, base long, n_known long")
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(add, "number long, units long, more_base long, more_known long")
+
+
+def _scored(lines: DataFrame, met: DataFrame, key: str, model: Model, shared) -> DataFrame:
+    texts = lines.where("n_tokens IS NOT NULL").select(F.col("key").alias(key), "number", "n_tokens", "n_known", "base")
+    every = float(np.log10(model.shared.total + model.shared.distinct + 1.0))
+    base = (F.col("base") + F.col("more_base")) * F.lit(UNIT) - F.col("n_tokens") * F.lit(every)
+    return texts.join(_sums(met, model, shared), "number").select(
+        key, "n_tokens", (F.col("n_known") + F.col("more_known")).alias("n_known"),
+        F.lit(model.shared.total).cast("long").alias("train_tokens"),
+        base.alias("base_score"), (F.col("units") * F.lit(UNIT)).alias("score"),
+    )
 
 
 def score(docs: DataFrame, key: str, model: Model) -> DataFrame:
     """Per row: ``key``, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigrams) and ``score``, both log10."""
+    inner = model.shared
+    shared = docs.sparkSession.sparkContext.broadcast(inner)
+    lines = _written(_lines(_keyed(docs, F.col(key), F.lit(False)), inner.tokens, inner.counts, inner.cuts), "positions")
+    met = _met(_beside(model.pairs, lines.where("bucket IS NOT NULL"), inner.cuts.buckets), model, shared)
+    return _scored(lines, met, key, model, shared)
+
+
+def train_and_score(docs: DataFrame, key: str, learn: Column, settings: Settings = Settings()) -> DataFrame:
+    """As :func:`score` of all rows by the model of those with ``learn``. Positions are shuffled once, for both: they
+    lie beside the pairs of their bucket, but for those of hot pairs beyond four buckets' worth, which meet it later."""
+    model, placed = _learnt(_keyed(docs, F.col(key), F.coalesce(learn, F.lit(False))), settings, 4 * settings.bucket)
     shared = docs.sparkSession.sparkContext.broadcast(model.shared)
-    lines = _positions(docs, key, shared)
-    whole = lines.where("n_tokens IS NOT NULL").select(key, "number", "n_tokens").join(_sums(lines, model, shared), "number")
-    every = float(np.log10(model.shared.total + model.shared.distinct + 1.0))
-    return whole.select(
-        key, "n_tokens", "n_known", F.lit(model.shared.total).cast("long").alias("train_tokens"),
-        (F.col("base") * F.lit(UNIT) - F.col("n_tokens") * F.lit(every)).alias("base_score"),
-        (F.col("units") * F.lit(UNIT)).alias("score"),
-    )
+    rows = placed.where("once IS NOT NULL").select("bucket", "data", "number", "at")
+    beyond = placed.where("bucket IS NOT NULL AND once IS NULL").select("bucket", "number", "at")
+    hot = beyond.select("bucket").distinct()
+    if not hot.isEmpty():
+        rows = rows.unionByName(_beside(model.pairs.join(hot, "bucket", "left_semi"), beyond, model.shared.cuts.buckets))
+    return _scored(placed, _met(rows, model, shared), key, model, shared)

@@ -60,8 +60,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = remainder("doc_id", 7, 2)
-    model = perplexity.train(docs.where(~held))
-    return perplexity.score(docs, "doc_id", model).withColumn("held_out", held)
+    return perplexity.train_and_score(docs, "doc_id", ~held).withColumn("held_out", held)
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -435,6 +435,23 @@ def test_scores_add_up_word_by_word(spark, docs, dictionary):
         assert np.isclose(r["score"], by_hand, rtol=1e-6), r
 
 
+@pytest.mark.parametrize("bucket", [80, 5000])
+def test_positions_beside_their_pairs_score_alike(spark, bucket):
+    """One shuffle for learning and scoring, with and without positions that meet a bucket later; a pair is hot."""
+    rows = [(i % 70, text_of(20, i) + " hot red" * 40, i % 7 != 2) for i in range(80)] + [(None, None, True), (3, "", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    settings = perplexity.Settings(dictionary=15, bucket=bucket, least_buckets=3, sweeps=2)
+    order = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+    ranked = lambda df: sorted(map(tuple, df.select(*order).collect()), key=repr)
+    every = ranked(perplexity.train_and_score(docs, "doc_id", F.lit(True), settings))
+    assert every == ranked(perplexity.score(docs, "doc_id", perplexity.train(docs, settings)))
+    both = ranked(perplexity.train_and_score(docs, "doc_id", F.col("learn"), settings))
+    apart = ranked(perplexity.score(docs, "doc_id", perplexity.train(docs.where("learn"), settings)))
+    assert len(both) == len(rows) and [r[:4] for r in both] == [r[:4] for r in apart]
+    assert np.allclose([r[4] for r in both], [r[4] for r in apart], rtol=0.1)
+    assert perplexity.train_and_score(docs.limit(0), "doc_id", F.lit(True), settings).isEmpty()
+
+
 def test_language_model_counts_do_not_depend_on_buckets(spark):
     rows = [(i, text_of(200, i)) for i in range(20)]
     train = spark.createDataFrame(rows, "doc_id long, text string")
