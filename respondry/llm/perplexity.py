@@ -37,13 +37,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respondry.llm.common import batches, schema_with, task_numbers, text_bytes, words
+from respondry.llm.common import batches, schema_with, task_numbers, text_bytes
 from respondry.sources.workspace import written
 
 #: The end of a text as a token; no word holds a line feed.
 END = b"\n"
-#: Distinct tokens that a counting task holds before it hands them on.
-HELD = 250_000
+#: Bytes of texts that a task splits into words at once.
+SLICE = 4 << 20
 #: Longer tokens are never part of the dictionary.
 LONGEST = 64
 #: Positions that a task holds before it hands them on.
@@ -65,16 +65,16 @@ class Settings:
 
 @dataclass(frozen=True)
 class Tokens:
-    """Numbers of tokens: the place in the dictionary, beyond it a hash."""
+    """Numbers of tokens: the place in the dictionary, ``known`` (binary), beyond it a hash."""
 
-    known: dict[bytes, int]
+    known: pa.Array
 
-    def _other(self, token: bytes) -> int:
-        return len(self.known) + (xxhash.xxh64_intdigest(token) >> 2)
-
-    def codes(self, found: list[bytes]) -> np.ndarray:
-        get = self.known.get
-        return np.array([self._other(x) if (i := get(x)) is None else i for x in found], np.int64)
+    def codes(self, tokens: pa.Array | list[bytes]) -> np.ndarray:
+        found = pa.array(tokens, pa.binary()).dictionary_encode()
+        codes = pc.fill_null(pc.index_in(found.dictionary, self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        others = found.dictionary.filter(pa.array(codes < 0)).to_pylist()
+        codes[codes < 0] = np.array([xxhash.xxh64_intdigest(x) >> 2 for x in others], np.int64) + len(self.known)
+        return codes[found.indices.to_numpy(zero_copy_only=False)]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -139,28 +139,40 @@ def _written(df: DataFrame, name: str) -> DataFrame:
         conf.set(setting, before)
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    return [*words(text), END]
+def sliced(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with texts of about ``size`` bytes; a longer text is alone."""
+    ends, start = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)), 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, "right"))
+        yield batch.slice(start, max(stop - start, 1))
+        start = max(stop, start + 1)
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (binary), and how many each has."""
+    # as strings, whose bytes are not looked at further: both functions are about ASCII alone
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    found = lists.flatten()
+    full = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0  # white space at an edge gives an empty word
+    ahead = np.concatenate([[0], np.cumsum(full)])
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    return found.filter(pa.array(full)).view(pa.binary()), np.diff(ahead[ends])
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """``token`` (binary), how often rows to ``learn`` hold it, ``n``, and how often all do, ``every``."""
     schema = pa.schema([("token", pa.binary()), ("n", pa.int64()), ("every", pa.int64())])
 
-    def handed(learnt: Counter, others: Counter):
-        for held, factor in ((learnt, 1), (others, 0)):
-            n = np.fromiter(held.values(), np.int64, len(held))
-            yield from batches({"token": list(held), "n": n * factor, "every": n}, schema)
-
     def run(rows):
-        learnt, others = Counter(), Counter()
         for batch in rows:
-            for text, learn in zip(batch["text"].to_pylist(), batch["learn"].to_pylist()):
-                (learnt if learn else others).update(tokens_of(text))
-                if len(learnt) + len(others) > HELD:
-                    yield from handed(learnt, others)
-                    learnt, others = Counter(), Counter()
-        yield from handed(learnt, others)
+            for part in sliced(batch, 2 * SLICE):
+                for factor, some in ((1, part.filter(part["learn"])), (0, part.filter(pc.invert(part["learn"])))):
+                    if some.num_rows:
+                        found = split(some["text"])[0].value_counts()
+                        n = np.append(found.field("counts").to_numpy(), some.num_rows)
+                        tokens = pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())])
+                        arrays = [tokens, pa.array(n * factor, pa.int64()), pa.array(n, pa.int64())]
+                        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     parts = docs.select("text", "learn").mapInArrow(run, "token binary, n long, every long")
     return parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
@@ -195,9 +207,21 @@ def _runs(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip([0, *edges.tolist()], [*edges.tolist(), len(sorted_)]) if len(sorted_) else iter(())
 
 
+def _ranked(codes: np.ndarray) -> np.ndarray:
+    """Numbers below 2 ** 31 in the same order, equal for equal codes."""
+    beyond = codes >= 1 << 30
+    ranks = codes.copy()
+    ranks[beyond] = (1 << 30) + np.unique(codes[beyond], return_inverse=True)[1]
+    return ranks
+
+
+def _pair_order(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return np.argsort((_ranked(contexts) << 32) | _ranked(tokens))
+
+
 def _summed(contexts: np.ndarray, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs in order, each once, with their sums."""
-    order = np.lexsort((tokens, contexts))
+    order = _pair_order(contexts, tokens)
     contexts, tokens, n = contexts[order], tokens[order], n[order]
     first = np.flatnonzero(_changes(contexts, tokens))
     return contexts[first], tokens[first], np.add.reduceat(n, first) if len(first) else n
@@ -210,25 +234,6 @@ def _changes(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return new
 
 
-class Lot:
-    """Positions of several texts: context, token, the text's number."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
-
-    def add(self, end: int, codes: np.ndarray, number: int) -> None:
-        before = np.empty_like(codes)
-        before[0], before[1:] = end, codes[:-1]
-        self.parts.append((before, codes, np.full(len(codes), number, np.int64)))
-        self.size += len(codes)
-
-    def taken(self) -> tuple[np.ndarray, ...]:
-        out = tuple(np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.zeros(0, np.int64),) * 3
-        self.parts, self.size = [], 0
-        return out
-
-
 #: What a row of a text and a row of positions have besides the text's key.
 LINE = pa.schema(
     [("number", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.int64()), ("bucket", pa.int64()), ("at", pa.binary())]
@@ -245,10 +250,9 @@ def _lines(docs: DataFrame, tokens: Tokens, counts: np.ndarray, cuts: Cuts) -> D
     rows of positions, ``at`` (context, token, twice the text's number from ``number`` on and one more if learnt)."""
     shared = docs.sparkSession.sparkContext.broadcast((tokens, counts, cuts))
 
-    def handed(lot: Lot, cuts: Cuts, schema: pa.Schema):
-        contexts, found, numbers = lot.taken()
+    def handed(contexts: np.ndarray, found: np.ndarray, numbers: np.ndarray, cuts: Cuts, schema: pa.Schema):
         bucket = cuts.of(contexts, found)
-        order = np.lexsort((contexts, bucket))
+        order = np.argsort((bucket << 32) | np.minimum(contexts, 1 << 30))
         contexts, found, numbers, bucket = contexts[order], found[order], numbers[order], bucket[order]
         for a, b in _runs(bucket):
             least = int(numbers[a:b].min()) >> 1
@@ -256,27 +260,26 @@ def _lines(docs: DataFrame, tokens: Tokens, counts: np.ndarray, cuts: Cuts) -> D
             yield _row(schema, number=least, bucket=int(bucket[a]), at=at)
 
     def run(rows):
-        (tokens, counts, cuts), numbers, lot, schema = shared.value, task_numbers(), Lot(), None
-        end, size = int(tokens.codes([END])[0]), len(counts)
-        seen = np.append(_units(counts + 1.0), 0)
+        (tokens, counts, cuts), numbers = shared.value, task_numbers()
+        end, seen = tokens.codes([END])[0], np.append(_units(counts + 1.0), 0)
         for batch in rows:
             schema = pa.schema([pa.field("key", batch["key"].type), *LINE])
-            at, sizes, known, base = [], [], [], []
-            for text, learn in zip(batch["text"], batch["learn"].to_pylist()):
-                codes = tokens.codes(tokens_of(text.as_py()))
-                at.append(next(numbers))
-                sizes.append(len(codes))
-                inside = np.minimum(codes, size)
-                known.append(int((inside < size).sum()))
-                base.append(int(seen[inside].sum()))
-                lot.add(end, codes, 2 * at[-1] + learn)
-                if lot.size >= LOT:
-                    yield from handed(lot, cuts, schema)
-            nothing = [pa.nulls(len(at), f.type) for f in list(LINE)[4:]]
-            arrays = [batch["key"], *(pa.array(x, pa.int64()) for x in (at, sizes, known, base)), *nothing]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-        if schema is not None:
-            yield from handed(lot, cuts, schema)
+            for part in sliced(batch, SLICE):
+                found, sizes = split(part["text"])
+                sizes = sizes + 1
+                last = np.cumsum(sizes) - 1
+                codes, word = np.full(sizes.sum(), end, np.int64), np.ones(sizes.sum(), bool)
+                word[last] = False
+                codes[word] = tokens.codes(found)
+                first, inside = last + 1 - sizes, np.minimum(codes, len(counts))
+                known, base = np.add.reduceat((inside < len(counts)).astype(np.int64), first), np.add.reduceat(seen[inside], first)
+                number = np.fromiter(numbers, np.int64, part.num_rows)
+                arrays = [part["key"], *(pa.array(x, pa.int64()) for x in (number, sizes, known, base))]
+                nothing = [pa.nulls(part.num_rows, f.type) for f in list(LINE)[4:]]
+                yield pa.RecordBatch.from_arrays([*arrays, *nothing], schema=schema)
+                # before a text's first word stands the end of the text before
+                learn = part["learn"].to_numpy(zero_copy_only=False).astype(np.int64)
+                yield from handed(np.append(end, codes[:-1]), codes, np.repeat(2 * number + learn, sizes), cuts, schema)
 
     return docs.select("key", "text", "learn").mapInArrow(run, schema_with(docs.select("key"), LINE_DDL))
 
@@ -289,7 +292,7 @@ def _placed(lines: DataFrame, buckets: int, hold: int) -> DataFrame:
 
     def merged(bucket: int, held: list[tuple[np.ndarray, ...]], beyond: list[tuple[np.ndarray, ...]], schema: pa.Schema):
         contexts, tokens, numbers = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((tokens, contexts))
+        order = _pair_order(contexts, tokens)
         contexts, tokens, numbers = contexts[order], tokens[order], numbers[order]
         first = np.flatnonzero(_changes(contexts, tokens))
         n = np.add.reduceat(numbers & 1, first) if len(first) else numbers
@@ -362,13 +365,17 @@ def seated(
     # dishes of one customer keep their table; only the others are worked on
     n, customers, menu, place = len(movers), customers[movers], menu[movers], place[movers]
     now, sitting = np.ones(n, np.int64), np.ones(n, np.int64)
-    while (waiting := np.flatnonzero(sitting < customers)).size:
+    waiting = np.arange(n)
+    while waiting.size:
         lot = np.minimum(customers[waiting] - sitting[waiting], np.maximum(sitting[waiting] // 10, 1))
         new = (strength + discount * total[place[waiting]]) * menu[waiting]
-        opened = random.binomial(lot, new / (new + sitting[waiting] - discount * now[waiting]))
+        chance = new / (new + sitting[waiting] - discount * now[waiting])
+        # a lot of one is a single throw
+        opened = random.random(len(lot)) < chance if lot.max() == 1 else random.binomial(lot, chance)
         now[waiting] += opened
         np.add.at(total, place[waiting], opened)
         sitting[waiting] += lot
+        waiting = waiting[sitting[waiting] < customers[waiting]]
     if rounds:
         now = _moved(customers, now, menu, discount, strength, rounds, random, place, total)
     tables[movers] = now
@@ -394,8 +401,10 @@ def _moved(customers, tables, menu, discount, strength, rounds, random, place, t
         now = np.ones(n, np.int64)
         last = np.cumsum(count) - 1
         first = last + 1 - count
+        several = np.flatnonzero(count > 1)  # only these have a choice
+        leave, join, at = first.copy(), first.copy(), first[several]
         ends = np.cumsum(size)
-        leave = np.searchsorted(ends, ends[first] - size[first] + np.floor(random.random(len(big)) * many), "right")
+        leave[several] = np.searchsorted(ends, ends[at] - size[at] + np.floor(random.random(len(at)) * many[several]), "right")
         size[leave] -= 1
         empty = size[leave] == 0
         now[big] = count - empty
@@ -405,7 +414,7 @@ def _moved(customers, tables, menu, discount, strength, rounds, random, place, t
         tables = now + opens
         room = np.where(size > 0, size - discount, 0.0)
         ends = np.cumsum(room)
-        join = np.searchsorted(ends, ends[first] - room[first] + random.random(len(big)) * others[big], "right")
+        join[several] = np.searchsorted(ends, ends[at] - room[at] + random.random(len(at)) * others[big[several]], "right")
         join = np.clip(join, first, last)
         # rounding may point at a table just left empty; its last customer then stays
         join = np.where(size[join] > 0, join, leave)
@@ -413,10 +422,10 @@ def _moved(customers, tables, menu, discount, strength, rounds, random, place, t
         size[join[~opened]] += 1
         size[leave[opened & empty]] = 1  # the table left empty is the new one
         more, gone = opened & ~empty, size[leave] == 0
-        at = np.flatnonzero(size > 0)
-        ahead = np.searchsorted(at, last[more] + 1)
-        size = np.insert(size[at], ahead, 1)
-        count = count + more - gone
+        if more.any() or gone.any():
+            full = np.flatnonzero(size > 0)
+            size = np.insert(size[full], np.searchsorted(full, last[more] + 1), 1)
+            count = count + more - gone
         tables[big] = count
     return tables
 
@@ -454,7 +463,10 @@ class Bucket:
         self.hot = cuts.place(self.contexts)
         self.customers = np.bincount(self.place, self.n, len(self.contexts))
         self.whole = np.where(self.hot >= 0, np.append(cuts.customers, 0)[self.hot], self.customers)
-        self.words, self.word = np.unique(self.token, return_inverse=True)
+        order = np.sort((_ranked(self.token) << 32) | np.arange(len(self.token)))
+        order, first = order & 0xFFFFFFFF, np.diff(order >> 32, prepend=-1) != 0
+        self.words, self.word = self.token[order[first]], np.empty(len(order), np.int64)
+        self.word[order] = np.cumsum(first) - 1
         self.seen = np.bincount(self.word, minlength=len(self.words))[self.word]
 
     def seat(self, number: int, turn: int, before: list[Sweep], distinct: int, discount: float, settings: Settings) -> np.ndarray:
@@ -627,7 +639,7 @@ def _learnt(docs: DataFrame, settings: Settings, hold: int) -> tuple[Model, Data
     commonest = counts.where(short & (F.col("n") >= least_count)).select("token", "n").toPandas()
     commonest["token"] = commonest["token"].map(bytes)
     commonest = commonest.sort_values(["n", "token"], ascending=[False, True])
-    tokens = Tokens({token: i for i, token in enumerate(commonest["token"])})
+    tokens = Tokens(pa.array(list(commonest["token"]), pa.binary()))
     numbers = commonest["n"].to_numpy(np.int64)
     del commonest
     buckets = max(settings.least_buckets, every // settings.bucket)
