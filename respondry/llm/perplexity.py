@@ -12,7 +12,8 @@ a context with more than a quarter of a bucket by a hash of both tokens, so no b
 context; what such a context has seated in all buckets is summed after every sweep. Buckets follow the
 number of training tokens; a bucket is a row of a written table and is seated in a task. Positions of all
 texts, scored or learnt, meet their bucket by the same hash, and a text's sums come back in blocks of
-texts. Held whole are: the commonest tokens (all of one count or none, at most ``dictionary``) with the
+texts. Where a table is learnt and scored at once, one shuffle brings positions to their bucket, and the pairs are
+counted there. Held whole are: the commonest tokens (all of one count or none, at most ``dictionary``) with the
 root's customers of each, a short number for a common word and a place to look it up; hot contexts, at most four a bucket.
 Tokens outside the dictionary are known by 62 bits of a hash; positions that hold them meet their counts by
 that number afterwards. While seating, such a token's root count is that of its bucket, and how many of
@@ -43,11 +44,11 @@ from respondry.sources.workspace import written
 #: The end of a text as a token; no word holds a line feed.
 END = b"\n"
 #: Bytes of texts that a task splits into words at once.
-SLICE = 4 << 20
+SLICE = 3 << 20
 #: Longer tokens are never part of the dictionary.
 LONGEST = 64
 #: Positions that a task holds before it hands them on.
-LOT = 1_000_000
+LOT = 500_000
 #: Texts of a block; sums of logs travel as whole numbers of this unit, so their order does not matter.
 BLOCK_BITS, UNIT = 12, 1e-9
 
@@ -55,7 +56,7 @@ BLOCK_BITS, UNIT = 12, 1e-9
 @dataclass(frozen=True)
 class Settings:
     dictionary: int = 200_000
-    bucket: int = 1_000_000
+    bucket: int = 600_000
     least_buckets: int = 32
     sweeps: int = 4
     rounds: int = 12
@@ -288,10 +289,10 @@ def _placed(lines: DataFrame, buckets: int, hold: int) -> DataFrame:
     """Written: the texts' rows as they are, and a row per bucket: ``data`` are the learnt pairs and their counts,
     with how many pairs occur ``once`` and ``twice``, and ``at`` its positions in order of pairs. Positions beyond
     ``hold`` (many texts share a pair) follow in rows of their own, without ``data``."""
-    added = "data binary, once long, twice long"
 
     def merged(bucket: int, held: list[tuple[np.ndarray, ...]], beyond: list[tuple[np.ndarray, ...]], schema: pa.Schema):
         contexts, tokens, numbers = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         order = _pair_order(contexts, tokens)
         contexts, tokens, numbers = contexts[order], tokens[order], numbers[order]
         first = np.flatnonzero(_changes(contexts, tokens))
@@ -307,18 +308,19 @@ def _placed(lines: DataFrame, buckets: int, hold: int) -> DataFrame:
         return _row(schema, bucket=bucket, number=least, at=at, data=data, once=int((counts == 1).sum()), twice=int((counts == 2).sum()))
 
     def merge(rows):
-        now, held, size, beyond, schema = None, [(np.zeros(0, np.int64),) * 3], 0, [], None
+        nothing = (np.zeros(0, np.int64),) * 3
+        now, held, size, beyond, schema = None, [nothing], 0, [], None
         for batch in rows:
             schema = pa.schema([*batch.schema, ("data", pa.binary()), ("once", pa.int64()), ("twice", pa.int64())])
             texts = batch.filter(pc.is_null(batch["at"]))
             if texts.num_rows:
-                nothing = [pa.nulls(texts.num_rows, f.type) for f in list(schema)[-3:]]
-                yield pa.RecordBatch.from_arrays([*texts.columns, *nothing], schema=schema)
+                added = [pa.nulls(texts.num_rows, f.type) for f in list(schema)[-3:]]
+                yield pa.RecordBatch.from_arrays([*texts.columns, *added], schema=schema)
             rest = batch.filter(pc.is_valid(batch["at"]))
             for bucket, least, at in zip(rest["bucket"].to_pylist(), rest["number"].to_pylist(), rest["at"]):
                 if bucket != now and now is not None:
                     yield merged(now, held, beyond, schema)
-                    held, size, beyond = held[:1], 0, []
+                    held, size, beyond = [nothing], 0, []
                 now = bucket
                 contexts, tokens, numbers = unpacked(at.as_py(), 3)
                 if size + len(contexts) <= (hold or LOT):
@@ -337,7 +339,7 @@ def _placed(lines: DataFrame, buckets: int, hold: int) -> DataFrame:
     # a text's row may go to any task
     task = F.coalesce("bucket", F.pmod(F.hash("number"), F.lit(buckets)).cast("long"))
     parts = lines.withColumn("task", task).repartition(buckets, "task").sortWithinPartitions("bucket").drop("task")
-    return _written(parts.mapInArrow(merge, schema_with(lines, added)), "buckets")
+    return _written(parts.mapInArrow(merge, schema_with(lines, "data binary, once long, twice long")), "buckets")
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -494,8 +496,9 @@ class Bucket:
             self.menu += (settings.strength + discount * total) / (self.whole + settings.strength) / len(turns)
         self.key = self.place * max(len(self.words), 1) + self.word
 
-    def look(self, contexts: np.ndarray, tokens: np.ndarray, model: Shared) -> tuple[np.ndarray, np.ndarray]:
-        """Own share and share of the menu of every position; a context never learnt takes its menu."""
+    def look(self, contexts: np.ndarray, tokens: np.ndarray, learnt: np.ndarray, model: Shared) -> tuple[np.ndarray, np.ndarray]:
+        """Own share and share of the menu of every pair; a context never learnt takes its menu. Pairs in order
+        that are known to be ``learnt`` are not searched for where they are all that the bucket has."""
         own, menu = np.zeros(len(contexts)), np.ones(len(contexts))
         hot = model.cuts.place(contexts)
         menu[hot >= 0] = model.hot_menu[hot[hot >= 0]]
@@ -503,6 +506,9 @@ class Bucket:
             row = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
             found = self.contexts[row] == contexts
             menu[found] = self.menu[row[found]]
+            if learnt.sum() == len(self.own):
+                own[learnt] = self.own
+                return own, menu
             word = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
             key = row * len(self.words) + word
             at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
@@ -718,10 +724,10 @@ def _met(rows: DataFrame, model: Model, shared) -> DataFrame:
                 if not at.is_valid:
                     continue
                 contexts, tokens, texts = unpacked(at.as_py(), 3)
-                texts = (texts >> 1) + least
                 new = _changes(contexts, tokens)
-                of, tokens = np.cumsum(new) - 1, tokens[new]
-                own, menu = bucket.look(contexts[new], tokens, model)
+                learnt = np.maximum.reduceat(texts & 1, np.flatnonzero(new)) > 0
+                of, contexts, tokens, texts = np.cumsum(new) - 1, contexts[new], tokens[new], (texts >> 1) + least
+                own, menu = bucket.look(contexts, tokens, learnt, model)
                 known = tokens < size
                 units = np.zeros(len(tokens), np.int64)
                 units[known] = _units(own[known] + menu[known] * model.root_menu[tokens[known]])
