@@ -409,15 +409,21 @@ def grid_search(spark, sf_dir):
     return checked.join(F.broadcast(largest)).select(*point, "folds", "rows", agrees.alias("agrees"))
 
 
-def _walked(spark, scored, model):
-    """Scored rows with the score found by walking the stored trees, and whether both agree."""
+def _walked(spark, scored, model, *columns):
+    """``columns`` of scored rows, ``p_yes``, and whether it is the score found by walking the stored trees.
+
+    Features, forest and walk run once per row; what is written and joined has no vectors. Rows that share
+    a key are added up, and do not agree.
+    """
     nodes = trees.node_table(spark, model)
+    columns = list(dict.fromkeys([KEY, *columns, "p_yes", "prediction"]))
     depth = model.getOrDefault("maxDepth")
-    walked = trees.walked_scores(scored, KEY, nodes, model.getNumTrees, depth)
+    rows = written(trees.with_walked_scores(scored, nodes, model.getNumTrees, depth, columns), "walked")
+    walked = rows.groupBy(KEY).agg(F.sum("walked").alias("walked"))
     same = (F.abs(F.col("walked") - F.col("p_yes")) < 1e-9) & (
         (F.col("prediction") == 1.0) == (F.col("p_yes") > 0.5)
     )
-    return scored.join(walked, KEY, "left").withColumn("agrees", F.coalesce(same, F.lit(False)))
+    return rows.drop("walked").join(walked, KEY, "left").withColumn("agrees", F.coalesce(same, F.lit(False)))
 
 
 @query
@@ -425,7 +431,7 @@ def score_table(spark, sf_dir):
     """Scores of all prepared rows, against those of the stored trees walked node by node."""
     prepared, model = _fitted(spark, sf_dir)
     scored = training.score(prepared.features, model)
-    return _walked(spark, scored, model).select(KEY, "split", "label", "agrees")
+    return _walked(spark, scored, model, "split", "label").select(KEY, "split", "label", "agrees")
 
 
 @query
@@ -434,7 +440,7 @@ def forest_reload(spark, sf_dir):
     prepared, model = _fitted(spark, sf_dir)
     stored = models.load_forest(models.save_model(model, new_path(spark, "forest")))
     before = training.score(prepared.features, model).select(KEY, F.col("p_yes").alias("p_before"))
-    after = _walked(spark, training.score(prepared.features, stored), stored)
+    after = _walked(spark, training.score(prepared.features, stored), stored, "split", "label")
     same = F.col("agrees") & (F.col("p_yes") == F.col("p_before"))
     return after.join(before, KEY).select(KEY, "split", "label", same.alias("unchanged"))
 
@@ -776,13 +782,15 @@ def decide_stream(spark, sf_dir):
 def _decided(spark, raw, prepared, model):
     """Decisions next to what they say about the customer, and whether they follow from walked scores."""
     scored = preparation.score_contacts(raw, prepared.cleaning, prepared.features_model, model)
-    checked = _walked(spark, scored, model).select(KEY, "agrees", "p_yes")
+    asked = ["loan", "housing", "default", "pdays", "campaign", "previous", "cons_conf_idx", *fv.SUMMARY_COLUMNS]
+    walked = written(_walked(spark, scored, model, *asked), "agreeing")
+    checked = walked.select(KEY, "agrees", "p_yes")
     band = (
         F.when(F.col("p_yes") > 0.8, "High Potential")
         .when(F.col("p_yes") >= 0.5, "Medium Potential")
         .otherwise("Low Potential")
     )
-    return decisions.decide(scored).join(checked, KEY).withColumn(
+    return decisions.decide(walked).join(checked, KEY).withColumn(
         "agrees", F.col("agrees") & (F.col("potential") == band)
     )
 
