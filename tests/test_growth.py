@@ -19,7 +19,7 @@ def test_hashes_are_not_taken_per_vector_entry(spark):
     assert moved and not any("md5" in line for line in moved)
 
 
-def test_repeated_keys_draw_as_by_blocks(spark):
+def test_repeated_keys_get_their_copies(spark):
     rows = [(i // 2, 1.0, [float(i % 13), float(i % 7)]) for i in range(60)]
     points = spark.createDataFrame(rows, "id long, label double, vec array<double>")
     sizes, missing = {1.0: 60}, {1.0: 150}
