@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -16,10 +17,16 @@ from respondry.functions import fixed_values as fv
 from respondry.operators.splitting import fold_number
 from respondry.sources.workspace import exists, new_path, written
 
+#: The most rows of a search in one share, folds together.
+SHARE_ROWS = 500_000
+#: Trees deeper than this keep the node a row has reached, instead of walking from the root on every level.
+WALKED_DEPTH = 5
+
 
 def forest(num_trees: int = 20, max_depth: int = 5, seed: int = fv.SEED) -> RandomForestClassifier:
     return RandomForestClassifier(
-        featuresCol="features", labelCol="label", seed=seed, numTrees=num_trees, maxDepth=max_depth
+        featuresCol="features", labelCol="label", seed=seed, numTrees=num_trees, maxDepth=max_depth,
+        cacheNodeIds=max_depth > WALKED_DEPTH,
     )
 
 
@@ -41,6 +48,15 @@ def search_results(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("basePath", folder).parquet(f"{folder}/num_trees=*/max_depth=*/fold=*")
 
 
+def in_shares(rows: DataFrame) -> DataFrame:
+    """The same rows dealt round robin: shares of one size, as many in every round of tasks as there are cores.
+
+    A fit waits for its largest task on every level of its trees.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, math.ceil(rows.count() / (cores * SHARE_ROWS))))
+
+
 def grid_search(
     train: DataFrame,
     key: str = "row_key",
@@ -54,19 +70,16 @@ def grid_search(
     """Cross-validated search by AUC, then a refit of the best point on all rows.
 
     Folds come from the key's hash and are written as folder partitions, so leaving one out is a
-    pruned scan. Every fit writes its held-out predictions to a part of ``folder`` (one of the
+    pruned scan, each in files of one size, so that the tasks of a fit are alike. Every fit writes its held-out predictions to a part of ``folder`` (one of the
     application's own if none is named), and a search that is started again with the same folder and
     the same rows goes on after the parts it finds whole; see :func:`search_results`. Returns the model
     and one report row per grid point.
     """
     spark = train.sparkSession
     folder = folder or new_path(spark, "search")
+    rows = in_shares(train.select(F.col(key).alias("row_key"), "features", "label"))
     folded = written(
-        train.select(
-            F.col(key).alias("row_key"), "features", "label", fold_number(F.col(key), folds, seed).alias("fold")
-        ),
-        "folds",
-        partition_by=("fold",),
+        rows.withColumn("fold", fold_number(F.col("row_key"), folds, seed)), "folds", partition_by=("fold",)
     )
     grid = list(product(num_trees, max_depths))
 

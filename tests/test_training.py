@@ -1,6 +1,6 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -134,3 +134,34 @@ def test_a_search_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     areas = evaluation.curve_areas(counts, ["num_trees", "fold"]).groupBy("num_trees").agg(F.avg("roc_auc").alias("auc"))
     expected = {r["num_trees"]: r["auc"] for r in areas.collect()}
     assert all(abs(expected[r["num_trees"]] - r["avg_auc"]) < 1e-9 for r in first)
+
+
+def test_the_tasks_of_a_search_are_alike(spark, monkeypatch):
+    def table(first, rows, files):
+        numbers = spark.range(first, first + rows, 1, files)
+        vector = array_to_vector(F.array((F.col("id") % 10).cast("double"), (F.col("id") % 7).cast("double")))
+        return numbers.select(F.col("id").alias("row_key"), vector.alias("features"), (F.col("id") % 10 > 4).cast("double").alias("label"))
+
+    tasks, fit = [], training.fit_forest
+
+    def watched(train, *a):
+        tasks.append([r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(train, *a)
+
+    monkeypatch.setattr(training, "fit_forest", watched)
+    # one partition holds nearly all rows
+    train = table(0, 9000, 1).unionByName(table(9000, 1000, 7))
+    training.grid_search(train, num_trees=(2,), max_depths=(2,), parallelism=1)
+    assert len(tasks) == 4 and sum(tasks[-1]) == 10000
+    assert all(max(rows) < 2 * sum(rows) / len(rows) and len(rows) >= 8 for rows in tasks)
+
+
+def test_kept_nodes_change_no_tree(spark, monkeypatch):
+    rows = [(Vectors.dense([float(i % 10), float(i % 7), float(i % 3)]), float(i * i % 11 > 5)) for i in range(400)]
+    train = spark.createDataFrame(rows, ["features", "label"]).coalesce(1)
+    kept = training.fit_forest(train, 3, 7)
+    assert training.forest(3, 7).getCacheNodeIds()
+    monkeypatch.setattr(training, "WALKED_DEPTH", 7)
+    assert not training.forest(3, 7).getCacheNodeIds()
+    walked = training.fit_forest(train, 3, 7)
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.trees]
