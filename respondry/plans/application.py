@@ -75,7 +75,7 @@ def build(
     )
     fitted = Models(prepared.cleaning, prepared.features_model, forest)
     fitted.save(spark, f"{out}/models")
-    held_out = prepared.features.filter(F.col("split") != "train")
+    held_out = prepared.split("val", "test")
     named = influence.names_from_metadata(prepared.features, spec)
     reports = {
         "split_sizes": splitting.split_sizes(preparation.split_report_rows(prepared, balanced)),

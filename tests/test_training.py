@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -165,3 +167,15 @@ def test_kept_nodes_change_no_tree(spark, monkeypatch):
     assert not training.forest(3, 7).getCacheNodeIds()
     walked = training.fit_forest(train, 3, 7)
     assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.trees]
+
+
+def test_a_split_reads_only_its_own_rows(fitted, spark):
+    prepared, _, _ = fitted
+    for names in (("train",), ("val", "test")):
+        part = prepared.split(*names)
+        expected = prepared.features.filter(F.col("split").isin(*names))
+        assert part.columns == expected.columns
+        keys = part.select("contact_id", "split")
+        assert keys.exceptAll(expected.select(keys.columns)).isEmpty() and keys.count() == expected.count()
+        scan = part.select("features")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*split", scan)
