@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from respondry.functions import fixed_values as fv
+from respondry.operators import forests
 from respondry.operators.splitting import fold_number
 from respondry.sources.workspace import exists, new_path, written
 
@@ -31,9 +32,12 @@ def forest(num_trees: int = 20, max_depth: int = 5, seed: int = fv.SEED) -> Rand
 
 
 def fit_forest(
-    train: DataFrame, num_trees: int = 20, max_depth: int = 5, seed: int = fv.SEED
+    train: DataFrame, num_trees: int = 20, max_depth: int = 5, seed: int = fv.SEED,
+    grown: forests.Grown | None = None,
 ) -> RandomForestClassificationModel:
-    return forest(num_trees, max_depth, seed).fit(train.select("features", "label"))
+    """A forest of ``train``, fitted by Spark or taken from the trees ``grown`` on it."""
+    estimator = forest(num_trees, max_depth, seed)
+    return grown.forest(estimator) if grown else estimator.fit(train.select("features", "label"))
 
 
 def auc(scored: DataFrame) -> float:
@@ -70,7 +74,9 @@ def grid_search(
     """Cross-validated search by AUC, then a refit of the best point on all rows.
 
     Folds come from the key's hash and are written as folder partitions, so leaving one out is a
-    pruned scan, each in files of one size, so that the tasks of a fit are alike. Every fit writes its held-out predictions to a part of ``folder`` (one of the
+    pruned scan, each in files of one size, so that the tasks of a fit are alike. The forests of a fold
+    differ in size only and have their trees in common, so these are grown once (:mod:`.forests`). Every fit
+    writes its held-out predictions to a part of ``folder`` (one of the
     application's own if none is named), and a search that is started again with the same folder and
     the same rows goes on after the parts it finds whole; see :func:`search_results`. Returns the model
     and one report row per grid point.
@@ -84,24 +90,27 @@ def grid_search(
     grid = list(product(num_trees, max_depths))
 
     @inheritable_thread_target(spark)
-    def one_fit(task):
-        (trees, depth), held_out = task
-        part = f"{folder}/num_trees={trees}/max_depth={depth}/fold={held_out}"
-        if not exists(spark, f"{part}/_SUCCESS"):
-            model = fit_forest(folded.filter(F.col("fold") != held_out), trees, depth, seed)
+    def one_fold(held_out):
+        parts = {(t, d): f"{folder}/num_trees={t}/max_depth={d}/fold={held_out}" for t, d in grid}
+        missing = [point for point, part in parts.items() if not exists(spark, f"{part}/_SUCCESS")]
+        kept = folded.filter(F.col("fold") != held_out)
+        if missing:
+            grown = forests.Grown(kept, *map(max, zip(*missing)), seed)
+        for trees, depth in missing:
+            model = fit_forest(kept, trees, depth, seed, grown)
             scored = score(folded.filter(F.col("fold") == held_out), model)
-            scored.select("row_key", "label", "p_yes").write.mode("overwrite").parquet(part)
-        return auc(spark.read.parquet(part))
+            scored.select("row_key", "label", "p_yes").write.mode("overwrite").parquet(parts[trees, depth])
+        return [auc(spark.read.parquet(part)) for part in parts.values()]
 
     with ThreadPool(max(1, parallelism)) as pool:
-        values = pool.map(one_fit, list(product(grid, range(folds))))
-    averages = [sum(values[i * folds:(i + 1) * folds]) / folds for i in range(len(grid))]
+        values = list(zip(*pool.map(one_fold, range(folds), chunksize=1)))
+    averages = [sum(areas) / folds for areas in values]
     best = averages.index(max(averages))
     report = spark.createDataFrame(
         [(t, d, a, i == best) for i, ((t, d), a) in enumerate(zip(grid, averages))],
         "num_trees int, max_depth int, avg_auc double, is_best boolean",
     )
-    return fit_forest(folded, *grid[best], seed), report
+    return fit_forest(folded, *grid[best], seed, forests.Grown(folded, *grid[best], seed)), report
 
 
 def score(features: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
