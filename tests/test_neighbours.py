@@ -141,3 +141,21 @@ def test_many_copies_per_row(spark, monkeypatch):
     out = grown(spark, rows, 3)
     assert out.filter("label = 1.0").count() == 50
     assert out.select("row_key").distinct().count() == 100
+
+
+def test_a_query_meets_few_rows_of_its_block(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = np.hstack([rng.integers(0, 2, (6000, 6)).astype(float), rng.random((6000, 4))])
+    met, shortlist = [], neighbours._shortlist
+
+    def watched(queries, rows, reach, k):
+        met.append(len(queries) * len(rows))
+        pairs = shortlist(queries, rows, reach, k)
+        assert all(len(set(p)) == len(p) for p in [list(zip(*pairs))])
+        return pairs
+
+    monkeypatch.setattr(neighbours, "_shortlist", watched)
+    best = neighbours.search_block(data[:300], np.full(300, np.inf), data, np.arange(6000), 6)
+    assert sum(met) < 0.1 * 300 * 6000
+    apart = ((data[:300, None] - data[None]) ** 2).sum(2)
+    assert np.allclose(best.d2, np.sort(apart, axis=1)[:, :6])
